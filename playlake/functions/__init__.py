@@ -13,6 +13,7 @@ from playlake.functions.dates import date_path, days_between, to_date_utc, to_ti
 from playlake.functions.json import is_json_text, parse_tag_response  # noqa: F401
 from playlake.functions.maths import clamp, floor_div, py_round, rate, safe_div  # noqa: F401
 from playlake.functions.strings import (  # noqa: F401
+    char_length,
     composite_key,
     format4,
     py_strip,

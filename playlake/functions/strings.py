@@ -23,6 +23,11 @@ def py_strip(c: ColumnOrName) -> Column:
     return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
 
 
+def char_length(c: ColumnOrName) -> Column:
+    """STRG-4: length in characters."""
+    return F.char_length(as_col(c))
+
+
 def composite_key(*cols: ColumnOrName, sep: str = "-") -> Column:
     """STRG-5: ``"{a}-{b}-{c}"`` key text."""
     return F.concat_ws(sep, *[as_col(c).cast("string") for c in cols])

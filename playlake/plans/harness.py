@@ -76,3 +76,365 @@ STRICT_DROPOFF_SQL = _DROPOFF_SQL.format(e2="e1 AND e2")
 def q_episode_dropoff(spark, sf_dir):
     """AGG-1,2,3 JON-2 FLT-3,4 CND-1,2."""
     return dropoff(spark, sf_dir)
+
+
+# ---------------------------------------------------------------------------
+# Silver / gold analogs
+# ---------------------------------------------------------------------------
+from playlake.functions import (  # noqa: E402
+    first_or_null,
+    parse_string_array,
+    strip_html,
+    to_json_list,
+)
+from playlake.operators import silver  # noqa: E402
+from playlake.sources import bronze  # noqa: E402
+
+
+@register("latest_per_key", """
+SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS o_orderdate, o_totalprice, o_orderstatus
+FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+      FROM orders) WHERE rn = 1
+""")
+def q_latest_per_key(spark, sf_dir):
+    """WIN-1: newest order per customer, order key as tie-break."""
+    orders = table(spark, sf_dir, "orders")
+    newest = silver.latest(orders, ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
+    return newest.select("o_custkey", "o_orderkey", F.to_date("o_orderdate").alias("o_orderdate"),
+                         "o_totalprice", "o_orderstatus")
+
+
+@register("strip_html", """
+SELECT page_id, url, regexp_replace(coalesce(html, ''), '<[^>]+>', '', 'g') AS text FROM pages
+""")
+def q_strip_html(spark, sf_dir):
+    """STRG-1 over whole pages."""
+    return table(spark, sf_dir, "pages").select("page_id", "url", strip_html("html").alias("text"))
+
+
+@register("json_array_first", """
+WITH j AS (SELECT p_partkey, to_json(list_filter(string_split(p_name, ' '), lambda w: length(w) > 4)) AS g FROM part),
+     p AS (SELECT p_partkey, from_json(g, '["VARCHAR"]') AS genres FROM j)
+SELECT p_partkey, genres, genres[1] AS primary_genre, CAST(len(genres) AS BIGINT) AS n_genres FROM p
+""")
+def q_json_array_first(spark, sf_dir):
+    """JSN-1 -> ARR-1 -> PRJ-4: words of the part name as a JSON genre list, parsed, first element."""
+    part = table(spark, sf_dir, "part")
+    words = F.filter(F.split("p_name", " "), lambda w: F.length(w) > 4)
+    genres = parse_string_array(to_json_list(words))
+    return part.select("p_partkey", genres.alias("genres")).select(
+        "p_partkey", "genres", first_or_null("genres").alias("primary_genre"),
+        F.size("genres").cast("long").alias("n_genres"))
+
+
+def _valid_events(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    ok = silver.valid_playback(F.col("user_id"), F.col("event_id"), F.col("value") / F.lit(100.0))
+    return ev.filter(ok)
+
+
+@register("valid_events", """
+SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS event_date
+FROM events WHERE user_id IS NOT NULL AND event_id IS NOT NULL AND value / 100.0 BETWEEN 0 AND 1
+""")
+def q_valid_events(spark, sf_dir):
+    """FLT-1 / DAT-1: malformed-row filter (value scaled to a [0, 1] share)."""
+    return _valid_events(spark, sf_dir).select("event_id", "user_id", "event_type", "value",
+                                               F.to_date("ts").alias("event_date"))
+
+
+@register("fact_events", """
+SELECT event_id, user_id AS user_key, event_type, value, CAST(ts AS DATE) AS watch_date,
+       CAST(json_extract(props, '$.k') AS BIGINT) AS k
+FROM events WHERE user_id IS NOT NULL AND event_id IS NOT NULL AND value / 100.0 BETWEEN 0 AND 1
+""")
+def q_fact_events(spark, sf_dir):
+    """PRJ-1 / PRJ-2 / DAT-2: the fact projection over the cleaned events."""
+    return _valid_events(spark, sf_dir).select(
+        "event_id", F.col("user_id").alias("user_key"), "event_type", "value",
+        F.to_date("ts").alias("watch_date"),
+        F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+def label_tags(quality="quality", toxic="toxic"):
+    """Golden analog tags from the labels table."""
+    return F.array(F.when(F.col(quality) == 1, F.lit("hq")).otherwise(F.lit("lq")),
+                   F.when(F.col(toxic) == 1, F.lit("toxic")).otherwise(F.lit("safe")))
+
+
+_LABEL_TAGS_SQL = "[CASE WHEN quality = 1 THEN 'hq' ELSE 'lq' END, CASE WHEN toxic = 1 THEN 'toxic' ELSE 'safe' END]"
+
+
+@register("dim_title", f"""
+SELECT d.doc_id AS title_key,
+       coalesce(nullif(split_part(d.text, chr(10), 1), ''), d.source) AS title,
+       d.lang AS primary_genre, d.n_chars,
+       CASE WHEN l.doc_id IS NOT NULL THEN {_LABEL_TAGS_SQL} END AS mood_tags
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def q_dim_title(spark, sf_dir):
+    """JON-1 / PRJ-3: documents with label-derived tags by a left join."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", label_tags().alias("mood_tags"))
+    title = F.coalesce(F.nullif(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("")), F.col("source"))
+    return docs.join(labels, "doc_id", "left").select(
+        F.col("doc_id").alias("title_key"), title.alias("title"), F.col("lang").alias("primary_genre"),
+        "n_chars", "mood_tags")
+
+
+AS_OF = "1999-01-01"
+
+
+@register("dim_user", f"""
+SELECT c_custkey AS user_key, f.signup_date, c_mktsegment AS primary_device, c_nationkey AS region,
+       CAST(date_diff('day', f.signup_date, DATE '{AS_OF}') AS BIGINT) AS tenure_days
+FROM customer LEFT JOIN (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS signup_date
+                         FROM orders GROUP BY 1) f ON c_custkey = f.o_custkey
+""")
+def q_dim_user(spark, sf_dir):
+    """DAT-3: users with first-order date and tenure to a fixed as-of date."""
+    first = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("user_id")).agg(
+        F.min(F.to_date("o_orderdate")).alias("signup_date"))
+    users = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("primary_device"),
+        F.col("c_nationkey").alias("region"), F.lit(None).cast("string").alias("favorite_genre"))
+    stg = users.join(first, "user_id", "left")
+    return gold.dim_user(stg, as_of=AS_OF).select("user_key", "signup_date", "primary_device", "region",
+                                                 "tenure_days")
+
+
+@register("upsert_latest", """
+WITH newest AS (
+    SELECT o_custkey AS key, o_totalprice AS balance, CAST(o_orderdate AS DATE) AS as_of, 'orders' AS source
+    FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) rn
+          FROM orders) WHERE rn = 1)
+SELECT * FROM newest
+UNION ALL
+SELECT c_custkey, c_acctbal, CAST(NULL AS DATE), 'customer' FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM newest n WHERE n.key = c.c_custkey)
+""")
+def q_upsert_latest(spark, sf_dir):
+    """SNK-3 / JON-8: customer balances upserted with each customer's newest order."""
+    target = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.col("c_acctbal").alias("balance"),
+        F.lit(None).cast("date").alias("as_of"), F.lit("customer").alias("source"))
+    incoming = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("key"), F.col("o_totalprice").alias("balance"),
+        F.to_date("o_orderdate").alias("as_of"), F.lit("orders").alias("source"), "o_orderdate", "o_orderkey")
+    return bronze.upsert(target, incoming, ["key"], [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()])
+
+
+# ---------------------------------------------------------------------------
+# Report aggregates over the flagship mart
+# ---------------------------------------------------------------------------
+from playlake.functions import py_round, rate  # noqa: E402
+from playlake.operators import report  # noqa: E402
+
+
+@register("row_counts", """
+SELECT (SELECT count(*) FROM supplier) AS catalog_n, (SELECT count(*) FROM orders) AS users_n,
+       (SELECT count(*) FROM lineitem) AS events_n
+""")
+def q_row_counts(spark, sf_dir):
+    """AGG-4: sizes of the title, viewer and event tables."""
+    return report.row_counts(catalog_n=table(spark, sf_dir, "supplier"), users_n=table(spark, sf_dir, "orders"),
+                             events_n=table(spark, sf_dir, "lineitem"))
+
+
+@register("retention_hist", f"""
+SELECT ep2_retention, count(*) AS n FROM ({DROPOFF_SQL}) GROUP BY 1
+""")
+def q_retention_hist(spark, sf_dir):
+    """AGG-5: histogram of the retention ratio."""
+    return report.value_histogram(dropoff(spark, sf_dir), "ep2_retention")
+
+
+@register("genre_means", f"""
+SELECT primary_genre, round_even(avg(ep2_retention), 4) AS mean_ep2_retention, count(*) AS n
+FROM ({DROPOFF_SQL}) GROUP BY 1 HAVING count(*) >= 5
+""")
+def q_genre_means(spark, sf_dir):
+    """AGG-6 / FLT-5: mean retention per group with at least 5 titles."""
+    return report.group_means(dropoff(spark, sf_dir), "primary_genre", "ep2_retention", min_n=5)
+
+
+@register("device_qoe", """
+SELECT event_type AS device, round_even(avg(value), 2) AS rebuffers,
+       CAST(round_even(avg(CAST(json_extract(props, '$.k') AS BIGINT)), 0) AS BIGINT) AS startup_ms,
+       round_even(avg(CASE WHEN value >= 50 THEN 1.0 ELSE 0.0 END), 3) AS completion
+FROM events GROUP BY 1
+""")
+def q_device_qoe(spark, sf_dir):
+    """AGG-7 / CND-3: per event type mean value, mean props.k, share with value >= 50."""
+    ev = table(spark, sf_dir, "events")
+    return report.device_qoe(ev, device="event_type", rebuffer=F.col("value"),
+                             startup=F.get_json_object("props", "$.k").cast("long"),
+                             completed=F.col("value") >= 50).withColumnRenamed("event_type", "device")
+
+
+@register("retention_spread", f"""
+SELECT round(max(ep2_retention) - min(ep2_retention), 4) AS spread, count(ep2_retention) AS n,
+       round(max(ep2_retention) - min(ep2_retention), 4) > 0.02 AS planted_signal
+FROM ({DROPOFF_SQL})
+""")
+def q_retention_spread(spark, sf_dir):
+    """AGG-8: max - min retention and the planted-signal check."""
+    return report.spread(dropoff(spark, sf_dir), "ep2_retention")
+
+
+@register("top_bottom", f"""
+WITH d AS ({DROPOFF_SQL})
+SELECT * FROM (SELECT 'top' AS side, row_number() OVER (ORDER BY ep2_retention DESC NULLS LAST, title_key) AS rank,
+                      title_key, title, primary_genre, ep2_retention, ep1_viewers FROM d
+               ORDER BY ep2_retention DESC NULLS LAST, title_key LIMIT 15)
+UNION ALL
+SELECT * FROM (SELECT 'bottom', row_number() OVER (ORDER BY ep2_retention ASC NULLS LAST, title_key),
+                      title_key, title, primary_genre, ep2_retention, ep1_viewers FROM d
+               ORDER BY ep2_retention ASC NULLS LAST, title_key LIMIT 15)
+""")
+def q_top_bottom(spark, sf_dir):
+    """SRT-2 / SET-1: top and bottom 15 titles by retention (bag union)."""
+    d = dropoff(spark, sf_dir).select("title_key", "title", "primary_genre", "ep2_retention", "ep1_viewers")
+    out = report.top_bottom(d, "ep2_retention", "title_key", 15)
+    return out.select("side", F.col("rank").cast("long").alias("rank"), "title_key", "title", "primary_genre",
+                      "ep2_retention", "ep1_viewers")
+
+
+@register("top_popular", """
+SELECT p_partkey, p_name, p_retailprice,
+       row_number() OVER (ORDER BY p_retailprice DESC NULLS LAST, p_partkey) AS rank
+FROM part ORDER BY p_retailprice DESC NULLS LAST, p_partkey LIMIT 50
+""")
+def q_top_popular(spark, sf_dir):
+    """SRT-3: labeling pool, top 50 by popularity analog."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    out = report.top_k(part, [F.col("p_retailprice").desc_nulls_last(), F.col("p_partkey").asc()], 50)
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
+# ---------------------------------------------------------------------------
+# Ordering and statistics
+# ---------------------------------------------------------------------------
+from playlake.operators import labels as labelops  # noqa: E402
+from playlake.operators import stats  # noqa: E402
+
+SHUFFLE_SEED = "pass2-shuffle"
+
+
+@register("seeded_shuffle", f"""
+SELECT c_custkey, c_name,
+       row_number() OVER (ORDER BY sha256('{SHUFFLE_SEED}' || CAST(c_custkey AS VARCHAR)), c_custkey) AS position
+FROM customer
+""")
+def q_seeded_shuffle(spark, sf_dir):
+    """WIN-4 / STRG-6: seed-keyed shuffled position, computed without a one-task window."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return labelops.seeded_order(cust, "c_custkey", SHUFFLE_SEED)
+
+
+@register("eta_squared", """
+WITH x AS (SELECT label AS g, CAST(embedding[1] AS DOUBLE) AS v FROM embeddings WHERE embedding[1] IS NOT NULL),
+     gm AS (SELECT avg(v) AS m, count(*) AS n FROM x),
+     grp AS (SELECT g, count(*) AS n, avg(v) AS m FROM x GROUP BY g),
+     ss AS (SELECT (SELECT sum(grp.n * (grp.m - gm.m) * (grp.m - gm.m)) FROM grp, gm) AS ssb,
+                   (SELECT sum((v - gm.m) * (v - gm.m)) FROM x, gm) AS sst)
+SELECT (SELECT n FROM gm) AS n, (SELECT count(*) FROM grp) AS n_groups,
+       round_even(CASE WHEN sst > 0 THEN ssb / sst ELSE 0.0 END, 3) AS eta_squared
+FROM ss
+""")
+def q_eta_squared(spark, sf_dir):
+    """STA-1: variance of the first embedding component explained by the label."""
+    emb = table(spark, sf_dir, "embeddings").select("label", F.get("embedding", 0).cast("double").alias("v"))
+    return stats.eta_squared(emb, "label", "v")
+
+
+@register("r_squared", """
+WITH o AS (SELECT l_orderkey, sum(l_quantity) AS x, sum(l_extendedprice) AS y FROM lineitem GROUP BY 1)
+SELECT count(*) AS n_pairs,
+       round_even(CASE WHEN count(*) >= 3 AND var_pop(x) * var_pop(y) > 0
+                  THEN covar_pop(x, y) * covar_pop(x, y) / (var_pop(x) * var_pop(y)) ELSE 0.0 END, 3) AS r_squared
+FROM o WHERE x IS NOT NULL AND y IS NOT NULL
+""")
+def q_r_squared(spark, sf_dir):
+    """STA-2: r^2 of per-order quantity against per-order price."""
+    per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("x"), F.sum("l_extendedprice").alias("y"))
+    return stats.r_squared(per_order, "x", "y")
+
+
+# Analog nudges keyed by part type (the media model keys them by genre).
+PART_TYPE_NUDGES = {
+    "ECONOMY": ("cozy", 0.4),
+    "LARGE": ("hype", 0.35),
+    "MEDIUM": ("melancholy", 0.25),
+    "PROMO": ("absurd", 0.3),
+    "SMALL": ("dark", 0.35),
+}
+
+
+def _title_vector_sql() -> str:
+    tones = ["dark", "cozy", "hype", "melancholy", "absurd"]
+    hexd = "'0123456789abcdef'"
+    parts = []
+    for i, tone in enumerate(tones):
+        hi = f"(instr({hexd}, substr(h, {2 * i + 1}, 1)) - 1)"
+        lo = f"(instr({hexd}, substr(h, {2 * i + 2}, 1)) - 1)"
+        add = " + ".join(
+            f"(CASE WHEN p_type = '{g}' THEN {w} ELSE 0.0 END)" for g, (t, w) in PART_TYPE_NUDGES.items() if t == tone
+        ) or "0.0"
+        parts.append(f"least(1.0, CAST({hi} * 16 + {lo} AS DOUBLE) / 255.0 + {add}) AS b{i}")
+    norm = "sqrt(" + " + ".join(f"b{i} * b{i}" for i in range(5)) + ")"
+    vec = ", ".join(f"round_even(b{i} / coalesce(nullif(nrm, 0.0), 1.0), 4) + 0.0" for i in range(5))
+    return f"""
+WITH h AS (SELECT p_partkey, p_type, sha256('tone:' || CAST(p_partkey AS VARCHAR)) AS h FROM part),
+     b AS (SELECT p_partkey, {", ".join(parts)} FROM h),
+     n AS (SELECT *, {norm} AS nrm FROM b)
+SELECT p_partkey, [{vec}] AS tone FROM n
+"""
+
+
+@register("title_vectors", _title_vector_sql())
+def q_title_vectors(spark, sf_dir):
+    """STA-4 / ARR-5 / STA-5 rounding: hashed tone vectors nudged by part type."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.array("p_type").alias("genres"))
+    vec = stats.title_vectors(part, "p_partkey", "genres", PART_TYPE_NUDGES)
+    return vec.select("p_partkey", F.transform("tone", lambda x: F.bround(x, 4)).alias("tone"))
+
+
+@register("vector_norm", """
+WITH n AS (SELECT vec_id, label, embedding,
+                  sqrt(list_reduce(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)),
+                                   lambda a, b: a + b)) AS nrm FROM embeddings)
+SELECT vec_id, label, round_even(nrm, 6) AS norm,
+       list_transform(embedding, lambda x: round_even(CAST(x AS DOUBLE) / coalesce(nullif(nrm, 0.0), 1.0), 4) + 0.0) AS unit
+FROM n
+""")
+def q_vector_norm(spark, sf_dir):
+    """ARR-5: L2 norms and unit vectors of every embedding."""
+    from playlake.functions.arrays import l2_norm, l2_normalize
+
+    emb = table(spark, sf_dir, "embeddings")
+    return emb.select(
+        "vec_id", "label", F.bround(l2_norm("embedding"), 6).alias("norm"),
+        F.transform(l2_normalize("embedding"), lambda x: F.bround(x, 4) + F.lit(0.0)).alias("unit"))
+
+
+@register("vector_affinity", """
+WITH e AS (SELECT vec_id, label, embedding FROM embeddings),
+     c_el AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
+              FROM e, range(1, 65) r(i) WHERE i <= len(embedding) GROUP BY label, i),
+     c AS (SELECT label, list(m ORDER BY i) AS v FROM c_el GROUP BY label),
+     cu AS (SELECT label, list_transform(v, lambda x: x / coalesce(nullif(sqrt(list_sum(list_transform(v, lambda y: y * y))), 0.0), 1.0)) AS tv FROM c),
+     uu AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE) /
+                 coalesce(nullif(sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE)))), 0.0), 1.0)) AS uv
+            FROM e)
+SELECT uu.label, round_even(avg(list_dot_product(uv, tv)), 4) AS mean_affinity, count(*) AS n_pairs
+FROM uu JOIN cu ON uu.label = cu.label GROUP BY uu.label
+""")
+def q_vector_affinity(spark, sf_dir):
+    """JON-10 / STA-3 / ARR-4: mean dot(unit vector, unit label centroid) per label."""
+    emb = table(spark, sf_dir, "embeddings")
+    users = stats.unit_vectors(emb, "vec_id", "embedding")
+    cents = stats.unit_vectors(stats.centroids(emb, "label", "embedding"), "label", "embedding")
+    out = stats.mean_affinity(emb.select("vec_id", "label"), users, cents, "vec_id", "label")
+    return out.select("label", F.bround("mean_affinity", 4).alias("mean_affinity"), "n_pairs")
