@@ -16,7 +16,10 @@ from playlake.functions import floor_div, jaccard, py_round, rate
 from playlake.operators.ordering import exact_percentile
 from playlake.schemas import MAX_PARSE_FAIL, MIN_MACRO_F1
 
-_EMPTY = F.array().cast("array<string>")
+
+
+def _empty() -> Column:
+    return F.array().cast("array<string>")
 
 
 def vocabulary(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
@@ -25,10 +28,10 @@ def vocabulary(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
 
 def score_join(golden: DataFrame, preds: DataFrame, key: str = "media_id") -> DataFrame:
     """JON-4: golden x predictions on the key; ``want``/``got`` as element sets."""
-    g = golden.select(key, F.array_distinct(F.coalesce(F.col("mood_tags"), _EMPTY)).alias("want"))
+    g = golden.select(key, F.array_distinct(F.coalesce(F.col("mood_tags"), _empty())).alias("want"))
     p = preds.select(
         key,
-        F.array_distinct(F.coalesce(F.col("mood_tags"), _EMPTY)).alias("got"),
+        F.array_distinct(F.coalesce(F.col("mood_tags"), _empty())).alias("got"),
         "raw_response",
         "input_tokens",
         "output_tokens",
@@ -135,7 +138,7 @@ def trace_health(
     tok_out = F.coalesce(F.col("output_tokens"), F.lit(0))
     base = preds.groupBy().agg(
         F.count(F.lit(1)).alias("n"),
-        rate(F.size(F.coalesce(F.col("mood_tags"), _EMPTY)) == 0).alias("_empty"),
+        rate(F.size(F.coalesce(F.col("mood_tags"), _empty())) == 0).alias("_empty"),
         F.sum(tok_in + tok_out).alias("_tok"),
         F.avg(tok_in * F.lit(float(input_rate)) + tok_out * F.lit(float(output_rate))).alias("_cost"),
     )

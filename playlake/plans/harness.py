@@ -438,3 +438,271 @@ def q_vector_affinity(spark, sf_dir):
     cents = stats.unit_vectors(stats.centroids(emb, "label", "embedding"), "label", "embedding")
     out = stats.mean_affinity(emb.select("vec_id", "label"), users, cents, "vec_id", "label")
     return out.select("label", F.bround("mean_affinity", 4).alias("mean_affinity"), "n_pairs")
+
+
+# ---------------------------------------------------------------------------
+# Enrichment, evaluation and labeling analogs. Golden tags come from
+# `labels`; a rule over `documents` plays the classifier, whose raw response
+# takes one of ten shapes (valid, padded, object, junk item, trailing text,
+# mixed types, bare string, null, single quotes, empty list).
+# ---------------------------------------------------------------------------
+from playlake.operators import enrich, evals  # noqa: E402
+from playlake.functions import jaccard  # noqa: E402
+
+EVAL_VOCAB = ["hq", "lq", "toxic", "safe", "spam"]
+_VOCAB_SQL = "['hq', 'lq', 'toxic', 'safe', 'spam']"
+TOXIC_PATTERN = "(?i)password|secret|api[_-]?key|token"
+RATES = (3e-6, 1.5e-5)
+
+
+def _responses(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    q = F.when(F.col("n_chars") >= 1000, F.lit("hq")).otherwise(F.lit("lq"))
+    t = F.when(F.col("text").rlike(TOXIC_PATTERN), F.lit("toxic")).otherwise(F.lit("safe"))
+    shapes = [
+        F.concat(F.lit('["'), q, F.lit('","'), t, F.lit('"]')),
+        F.concat(F.lit(' ["'), q, F.lit('"]\n')),
+        F.concat(F.lit('{"'), q, F.lit('": 1, "'), t, F.lit('": 2}')),
+        F.concat(F.lit('["'), q, F.lit('", "'), t, F.lit('", "spam-ish"]')),
+        F.concat(F.lit('["'), q, F.lit('"] trailing')),
+        F.concat(F.lit('[1, "'), q, F.lit('", null, ["'), t, F.lit('"]]')),
+        F.concat(F.lit('"'), q, F.lit('"')),
+        F.lit("null"),
+        F.concat(F.lit("['"), q, F.lit("']")),
+        F.lit("[]"),
+    ]
+    which = F.pmod(F.col("doc_id"), F.lit(len(shapes)))
+    raw = F.element_at(F.array(*shapes), (which + 1).cast("int"))
+    tags, ok = evals_parse(raw)
+    return docs.select(
+        F.col("doc_id").alias("media_id"), "lang", raw.alias("raw_response"), tags.alias("mood_tags"),
+        ok.alias("parse_ok"), F.col("n_chars").alias("latency_ms"),
+        F.floor(F.col("n_chars") / 4).cast("long").alias("input_tokens"),
+        F.floor(F.length(raw) / 4).cast("long").alias("output_tokens"))
+
+
+def evals_parse(raw):
+    from playlake.functions import parse_tag_response
+
+    return parse_tag_response(raw, EVAL_VOCAB)
+
+
+_RESPONSES_SQL = f"""
+responses AS (
+    SELECT doc_id, lang, n_chars,
+           CASE doc_id % 10
+             WHEN 0 THEN '["' || q || '","' || t || '"]'
+             WHEN 1 THEN ' ["' || q || '"]' || chr(10)
+             WHEN 2 THEN '{{"' || q || '": 1, "' || t || '": 2}}'
+             WHEN 3 THEN '["' || q || '", "' || t || '", "spam-ish"]'
+             WHEN 4 THEN '["' || q || '"] trailing'
+             WHEN 5 THEN '[1, "' || q || '", null, ["' || t || '"]]'
+             WHEN 6 THEN '"' || q || '"'
+             WHEN 7 THEN 'null'
+             WHEN 8 THEN '[''' || q || ''']'
+             ELSE '[]' END AS raw_response
+    FROM (SELECT doc_id, lang, n_chars,
+                 CASE WHEN n_chars >= 1000 THEN 'hq' ELSE 'lq' END AS q,
+                 CASE WHEN regexp_matches(text, '{TOXIC_PATTERN}') THEN 'toxic' ELSE 'safe' END AS t
+          FROM documents)),
+stripped AS (
+    SELECT *, regexp_replace(raw_response, '^\\s+|\\s+$', '', 'g') AS r FROM responses),
+typed AS (
+    SELECT *, CASE WHEN json_valid(r) THEN json_type(r::JSON) END AS ty FROM stripped),
+preds AS (
+    SELECT doc_id AS media_id, lang, raw_response,
+           CASE WHEN ty = 'ARRAY' THEN list_transform(
+                     list_filter(CAST(r::JSON AS JSON[]),
+                                 lambda e: json_type(e) = 'VARCHAR' AND list_contains({_VOCAB_SQL}, e ->> '$')),
+                     lambda e: e ->> '$')
+                WHEN ty = 'OBJECT' THEN list_filter(json_keys(r::JSON), lambda k: list_contains({_VOCAB_SQL}, k))
+                ELSE CAST([] AS VARCHAR[]) END AS mood_tags,
+           coalesce(ty IN ('ARRAY', 'OBJECT', 'VARCHAR'), false) AS parse_ok,
+           n_chars AS latency_ms, CAST(floor(n_chars / 4) AS BIGINT) AS input_tokens,
+           CAST(floor(length(raw_response) / 4) AS BIGINT) AS output_tokens
+    FROM typed)"""
+
+_GOLDEN_SQL = f"golden AS (SELECT doc_id AS media_id, {_LABEL_TAGS_SQL} AS mood_tags FROM labels)"
+
+_SCORED_SQL = """
+scored AS (
+    SELECT g.media_id, list_distinct(g.mood_tags) AS want,
+           list_distinct(coalesce(p.mood_tags, CAST([] AS VARCHAR[]))) AS got,
+           p.raw_response, p.input_tokens, p.output_tokens
+    FROM golden g JOIN preds p ON g.media_id = p.media_id)"""
+
+_CONFUSION_SQL = f"""
+items AS (
+    SELECT unnest(list_filter(list_intersect(want, got), lambda x: list_contains({_VOCAB_SQL}, x))) AS tag, 0 AS kind FROM scored
+    UNION ALL
+    SELECT unnest(list_filter(got, lambda x: NOT list_contains(want, x) AND list_contains({_VOCAB_SQL}, x))), 1 FROM scored
+    UNION ALL
+    SELECT unnest(list_filter(want, lambda x: NOT list_contains(got, x) AND list_contains({_VOCAB_SQL}, x))), 2 FROM scored),
+counts AS (
+    SELECT tag, count(*) FILTER (WHERE kind = 0) AS tp, count(*) FILTER (WHERE kind = 1) AS fp,
+           count(*) FILTER (WHERE kind = 2) AS fn FROM items GROUP BY tag),
+confusion AS (
+    SELECT v.tag, CAST(coalesce(tp, 0) AS BIGINT) AS tp, CAST(coalesce(fp, 0) AS BIGINT) AS fp,
+           CAST(coalesce(fn, 0) AS BIGINT) AS fn
+    FROM (VALUES ('hq'), ('lq'), ('toxic'), ('safe'), ('spam')) v(tag) LEFT JOIN counts c ON v.tag = c.tag),
+prf AS (
+    SELECT tag, p AS precision, r AS recall, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f1
+    FROM (SELECT tag, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p,
+                      CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r FROM confusion))"""
+
+
+def _golden(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("media_id"), label_tags().alias("mood_tags"))
+
+
+def _scored(spark, sf_dir) -> DataFrame:
+    return evals.score_join(_golden(spark, sf_dir), _responses(spark, sf_dir), "media_id")
+
+
+@register("response_parse", f"WITH {_RESPONSES_SQL} SELECT media_id, raw_response, mood_tags, parse_ok FROM preds")
+def q_response_parse(spark, sf_dir):
+    """JSN-2 / ENR-3 / FLT-7: strict parse of every response and vocabulary filter."""
+    return _responses(spark, sf_dir).select("media_id", "raw_response", "mood_tags", "parse_ok")
+
+
+@register("tag_confusion", f"WITH {_RESPONSES_SQL}, {_GOLDEN_SQL}, {_SCORED_SQL}, {_CONFUSION_SQL} "
+                           "SELECT tag, tp, fp, fn FROM confusion")
+def q_tag_confusion(spark, sf_dir):
+    """EVL-1 / JON-4: TP/FP/FN per vocabulary tag."""
+    return evals.tag_confusion(_scored(spark, sf_dir), EVAL_VOCAB).select("tag", "tp", "fp", "fn")
+
+
+@register("tag_prf", f"WITH {_RESPONSES_SQL}, {_GOLDEN_SQL}, {_SCORED_SQL}, {_CONFUSION_SQL} "
+                     "SELECT tag, round_even(precision, 4) AS precision, round_even(recall, 4) AS recall, "
+                     "round_even(f1, 4) AS f1 FROM prf")
+def q_tag_prf(spark, sf_dir):
+    """EVL-2: precision / recall / F1 per tag (0.0 on empty denominators)."""
+    prf = evals.tag_prf(evals.tag_confusion(_scored(spark, sf_dir), EVAL_VOCAB))
+    return prf.select("tag", *[py_round(c, 4).alias(c) for c in ("precision", "recall", "f1")])
+
+
+@register("eval_summary", f"""
+WITH {_RESPONSES_SQL}, {_GOLDEN_SQL}, {_SCORED_SQL}, {_CONFUSION_SQL},
+per AS (
+    SELECT count(*) AS n_scored,
+           avg(CASE WHEN len(list_distinct(list_concat(want, got))) = 0 THEN 1.0
+                    ELSE len(list_intersect(want, got)) / len(list_distinct(list_concat(want, got))) END) AS jac,
+           avg(CASE WHEN len(got) = 0 AND length(coalesce(raw_response, '')) > 0 THEN 1.0 ELSE 0.0 END) AS pf,
+           sum(coalesce(input_tokens, 0) + coalesce(output_tokens, 0)) AS tok
+    FROM scored),
+macro AS (SELECT avg(f1) AS f1 FROM prf)
+SELECT n_scored, (SELECT count(*) FROM golden) AS n_golden, round_even(macro.f1, 4) AS macro_f1,
+       round_even(jac, 4) AS mean_jaccard, round_even(coalesce(pf, 0.0), 4) AS parse_fail_rate,
+       CAST(coalesce(tok, 0) // greatest(n_scored, 1) AS BIGINT) AS tokens_per_title,
+       (macro.f1 >= 0.6 AND coalesce(pf, 0.0) <= 0.05 AND n_scored > 0) AS passed
+FROM per, macro
+""")
+def q_eval_summary(spark, sf_dir):
+    """EVL-3..8: macro-F1, mean Jaccard, parse failures, tokens per title, gate."""
+    golden = _golden(spark, sf_dir)
+    scored = _scored(spark, sf_dir)
+    prf = evals.tag_prf(evals.tag_confusion(scored, EVAL_VOCAB))
+    return evals.eval_summary(golden, scored, prf)
+
+
+@register("trace_health", f"""
+WITH {_RESPONSES_SQL}
+SELECT count(*) AS n,
+       round_even(avg(CASE WHEN len(mood_tags) = 0 THEN 1.0 ELSE 0.0 END), 4) AS empty_tag_rate,
+       round_even(quantile_cont(latency_ms, 0.95), 2) AS p95_latency_ms,
+       CAST(sum(input_tokens + output_tokens) // greatest(count(*), 1) AS BIGINT) AS tokens_per_title,
+       round_even(avg(input_tokens * {RATES[0]} + output_tokens * {RATES[1]}), 6) AS cost_per_title
+FROM preds
+""")
+def q_trace_health(spark, sf_dir):
+    """EVL-9 / EVL-10: empty-tag rate, exact p95 latency, tokens and cost per title."""
+    return evals.trace_health(_responses(spark, sf_dir), *RATES)
+
+
+@register("enrich_candidates", """
+SELECT doc_id AS media_id, substring(text, 1, 2000) AS prompt FROM documents WHERE length(text) > 40
+""")
+def q_enrich_candidates(spark, sf_dir):
+    """ENR-1 / FLT-6 / STRG-2: texts longer than 40 characters and their prompts."""
+    docs = table(spark, sf_dir, "documents")
+    return enrich.candidates(docs, key="doc_id", text="text")
+
+
+def _pass2(spark, sf_dir) -> DataFrame:
+    return _responses(spark, sf_dir).filter(F.col("lang").isin("en", "fr")).select(
+        "media_id", F.concat(F.lit("doc-"), F.col("media_id")).alias("title"), "mood_tags")
+
+
+def _pass1(spark, sf_dir) -> DataFrame:
+    return _golden(spark, sf_dir).select("media_id", F.concat(F.lit("doc-"), F.col("media_id")).alias("title"),
+                                         "mood_tags")
+
+
+_AGREEMENT_SQL = f"""
+WITH {_RESPONSES_SQL}, {_GOLDEN_SQL},
+p1 AS (SELECT media_id, 'doc-' || media_id AS title, mood_tags FROM golden),
+p2 AS (SELECT media_id, 'doc-' || media_id AS title, mood_tags FROM preds WHERE lang IN ('en', 'fr')),
+j AS (
+    SELECT coalesce(p1.media_id, p2.media_id) AS media_id, coalesce(p1.title, p2.title, '') AS title,
+           p1.mood_tags AS pass1_tags, p2.mood_tags AS pass2_tags,
+           p1.media_id IS NOT NULL AS in_pass1, p2.media_id IS NOT NULL AS in_pass2,
+           list_distinct(coalesce(p1.mood_tags, CAST([] AS VARCHAR[]))) AS a,
+           list_distinct(coalesce(p2.mood_tags, CAST([] AS VARCHAR[]))) AS b
+    FROM p1 FULL OUTER JOIN p2 ON p1.media_id = p2.media_id),
+report AS (
+    SELECT media_id, title, pass1_tags, pass2_tags, in_pass1, in_pass2,
+           CASE WHEN in_pass1 AND in_pass2 THEN
+                CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN 0.0
+                     ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END END AS agreement
+    FROM j)"""
+
+
+@register("label_agreement", _AGREEMENT_SQL + """
+SELECT media_id, title, pass1_tags, pass2_tags, round_even(agreement, 4) AS agreement,
+       CASE WHEN agreement IS NULL THEN 'na' WHEN agreement >= 0.5 THEN 'high' ELSE 'low' END AS band,
+       in_pass1, in_pass2
+FROM report
+""")
+def q_label_agreement(spark, sf_dir):
+    """JON-5 / EVL-11 / CND-4: two labeling passes, per-title agreement and band."""
+    rep = labelops.agreement(_pass1(spark, sf_dir), _pass2(spark, sf_dir))
+    return rep.select("media_id", "title", "pass1_tags", "pass2_tags", py_round("agreement", 4).alias("agreement"),
+                      labelops.agreement_band(F.col("agreement")).alias("band"), "in_pass1", "in_pass2")
+
+
+@register("agreement_summary", _AGREEMENT_SQL + """
+SELECT count(*) AS total_titles, count(*) FILTER (WHERE in_pass1) AS pass1_count,
+       count(*) FILTER (WHERE in_pass2) AS pass2_count, count(agreement) AS both_count,
+       round_even(avg(agreement), 4) AS avg_agreement
+FROM report
+""")
+def q_agreement_summary(spark, sf_dir):
+    """EVL-12: agreement totals."""
+    return labelops.agreement_summary(labelops.agreement(_pass1(spark, sf_dir), _pass2(spark, sf_dir)))
+
+
+@register("label_validation", f"""
+WITH t AS (
+    SELECT l.doc_id AS media_id,
+           list_sort(list_filter([CASE WHEN quality = 1 THEN 'hq' END, CASE WHEN toxic = 1 THEN 'toxic' END,
+                                  CASE WHEN quality = 0 AND toxic = 1 THEN 'spam' END,
+                                  CASE WHEN toxic = 1 THEN 'lq' END, CASE WHEN d.lang = 'de' THEN d.lang END],
+                                 lambda x: x IS NOT NULL)) AS mood_tags
+    FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id)
+SELECT media_id, mood_tags, reason, reason IS NULL AS valid FROM (
+    SELECT *, CASE WHEN media_id IS NULL OR media_id = 0 THEN 'media_id required'
+                   WHEN mood_tags IS NULL OR len(mood_tags) NOT BETWEEN 1 AND 3 THEN 'mood_tags must have 1-3 items'
+                   WHEN NOT list_bool_and(list_transform(mood_tags, lambda x: list_contains({_VOCAB_SQL}, x)))
+                        THEN 'mood_tags must be from vocabulary' END AS reason
+    FROM t)
+""")
+def q_label_validation(spark, sf_dir):
+    """FLT-9 / ARR-3: label rows validated (id, 1-3 tags, vocabulary), tags sorted."""
+    lab = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "lang"),
+                                              "doc_id", "left")
+    tags = F.array_compact(F.array(
+        F.when(F.col("quality") == 1, F.lit("hq")), F.when(F.col("toxic") == 1, F.lit("toxic")),
+        F.when((F.col("quality") == 0) & (F.col("toxic") == 1), F.lit("spam")),
+        F.when(F.col("toxic") == 1, F.lit("lq")), F.when(F.col("lang") == "de", F.col("lang"))))
+    rows = lab.select(F.col("doc_id").alias("media_id"), tags.alias("mood_tags"))
+    return labelops.validate(rows, EVAL_VOCAB).select("media_id", "mood_tags", "reason", "valid")
