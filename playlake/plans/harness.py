@@ -706,3 +706,247 @@ def q_label_validation(spark, sf_dir):
         F.when(F.col("toxic") == 1, F.lit("lq")), F.when(F.col("lang") == "de", F.col("lang"))))
     rows = lab.select(F.col("doc_id").alias("media_id"), tags.alias("mood_tags"))
     return labelops.validate(rows, EVAL_VOCAB).select("media_id", "mood_tags", "reason", "valid")
+
+
+# ---------------------------------------------------------------------------
+# Event-log analogs. A gate-run log is derived from `events`: each user is a
+# run, each event type a gate with its events as log lines (sequence =
+# event id), gate boundaries from the first/last event, and the `error` gate
+# failing.
+# ---------------------------------------------------------------------------
+from playlake.operators import runlog  # noqa: E402
+from playlake.schemas import GATE_EVENT  # noqa: E402
+
+
+def _ndjson_lines(spark, sf_dir) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    record = F.to_json(F.struct(F.col("event_type").alias("event"),
+                                F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"),
+                                F.col("event_id").alias("seq"), F.col("props").alias("line")))
+    line = (F.when(F.col("event_type") == "error", F.concat(F.lit("ERROR event "), F.col("event_id")))
+            .when(F.col("value") < 1, F.lit("")).otherwise(record))
+    return ev.select(F.col("event_id").alias("offset"), line.alias("value"))
+
+
+NDJSON_SCHEMA = "event string, run_id string, seq long, line string"
+
+
+@register("ndjson_filter", """
+SELECT event_id AS seq, event_type AS event, 'run-' || user_id AS run_id, props AS line
+FROM events WHERE event_type <> 'error' AND value >= 1
+""")
+def q_ndjson_filter(spark, sf_dir):
+    """STR-1: only lines that are exactly one JSON value pass; blank and noise lines dropped."""
+    lines = _ndjson_lines(spark, sf_dir)
+    ok = (F.length(F.trim("value")) > 0) & runlog.is_json_text(F.col("value"))
+    parsed = lines.filter(ok).select(F.from_json("value", NDJSON_SCHEMA).alias("e"))
+    return parsed.select("e.seq", "e.event", "e.run_id", "e.line")
+
+
+@register("ndjson_rejected", """
+SELECT event_id AS offset, substring('ERROR event ' || event_id, 1, 120) AS line_head
+FROM events WHERE event_type = 'error'
+""")
+def q_ndjson_rejected(spark, sf_dir):
+    """STR-1 side output: non-JSON lines, first 120 characters."""
+    return runlog.rejected_lines(_ndjson_lines(spark, sf_dir), keep=["offset"])
+
+
+def _gate_events(spark, sf_dir) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"), F.col("event_type").alias("gate"), "ts",
+        F.col("event_id").alias("eid"))
+    cols = [f.name for f in GATE_EVENT.fields] + ["seq"]
+
+    def shape(df, **kv):
+        exprs = []
+        for f in GATE_EVENT.fields:
+            val = kv.get(f.name, F.col(f.name) if f.name in df.columns else F.lit(None))
+            exprs.append(val.cast(f.dataType).alias(f.name))
+        return df.select(*exprs, kv["seq"].cast("long").alias("seq"))
+
+    logs = shape(ev, event=F.lit("log"), line=F.concat(F.col("gate"), F.lit(" #"), F.col("eid")),
+                 seq=F.col("eid") * 4 + 1)
+    bounds = ev.groupBy("run_id", "gate").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"),
+                                              F.min("eid").alias("e0"), F.max("eid").alias("e1"))
+    starts = shape(bounds, event=F.lit("gate_start"), ts=F.col("t0"), seq=F.col("e0") * 4)
+    status = F.when(F.col("gate") == "error", F.lit("fail")).otherwise(F.lit("pass"))
+    ends = shape(bounds, event=F.lit("gate_end"), status=status, ts=F.col("t1"), seq=F.col("e1") * 4 + 2)
+    runs = ev.groupBy("run_id").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"),
+                                    F.min("eid").alias("e0"), F.max("eid").alias("e1"))
+    run_start = shape(runs, event=F.lit("run_start"), ts=F.col("t0"), seq=F.col("e0") * 4 - 1)
+    run_end = shape(runs, event=F.lit("run_end"), ts=F.col("t1"), seq=F.col("e1") * 4 + 3)
+    out = logs
+    for part in (starts, ends, run_start, run_end):
+        out = out.unionByName(part)
+    return out.select(*cols)
+
+
+_GATES_SQL = """
+g AS (
+    SELECT 'run-' || user_id AS run_id, event_type AS gate, min(event_id) AS e0,
+           CASE WHEN event_type = 'error' THEN 'fail' ELSE 'pass' END AS status,
+           floor((date_diff('microsecond', min(ts), max(ts)) + 5000) / 10000) / 100.0 AS duration_s,
+           count(*) AS n_lines
+    FROM events GROUP BY user_id, event_type),
+t AS (
+    SELECT 'run-' || user_id AS run_id, event_type AS gate, list(event_type || ' #' || event_id ORDER BY event_id) AS tail
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events)
+    WHERE rn <= 50 GROUP BY user_id, event_type)"""
+
+
+@register("gate_rollup", f"""
+WITH {_GATES_SQL}
+SELECT g.run_id, g.gate, status, duration_s, tail, n_lines FROM g JOIN t ON g.run_id = t.run_id AND g.gate = t.gate
+""")
+def q_gate_rollup(spark, sf_dir):
+    """STR-4 / STR-6 / WIN-3: per-gate status, duration and last 50 log lines."""
+    gates = runlog.gate_rollup(_gate_events(spark, sf_dir))
+    return gates.select("run_id", "gate", "status", "duration_s", "tail", "n_lines")
+
+
+_TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+@register("run_rollup", f"""
+WITH {_GATES_SQL},
+r AS (SELECT 'run-' || user_id AS run_id, min(ts) AS t0, max(ts) AS t1 FROM events GROUP BY user_id)
+SELECT r.run_id, strftime(t0, '%Y-%m-%d %H:%M:%S.%f') AS started_at, strftime(t1, '%Y-%m-%d %H:%M:%S.%f') AS finished_at,
+       CASE WHEN bool_or(status = 'fail') THEN 'fail' ELSE 'pass' END AS status,
+       list(gate ORDER BY e0) AS gate_names, count(*) AS n_gates
+FROM r JOIN g ON r.run_id = g.run_id GROUP BY r.run_id, t0, t1
+""")
+def q_run_rollup(spark, sf_dir):
+    """STR-4 / STR-5: one record per run; any failed gate fails the run."""
+    events = _gate_events(spark, sf_dir)
+    runs = runlog.run_rollup(events, runlog.gate_rollup(events))
+    return runs.select("run_id", F.date_format("started_at", _TS_FMT).alias("started_at"),
+                       F.date_format("finished_at", _TS_FMT).alias("finished_at"), "status",
+                       F.transform("gates", lambda g: g["gate"]).alias("gate_names"),
+                       F.size("gates").cast("long").alias("n_gates"))
+
+
+@register("run_totals", f"""
+WITH {_GATES_SQL}
+SELECT run_id, round(sum(coalesce(duration_s, 0.0)), 2) AS total_duration_s FROM g GROUP BY run_id
+""")
+def q_run_totals(spark, sf_dir):
+    """STR-7: run total = sum of gate durations."""
+    events = _gate_events(spark, sf_dir)
+    return runlog.run_totals(runlog.run_rollup(events, runlog.gate_rollup(events)))
+
+
+@register("event_order", """
+SELECT conv_id, arg_min(role, turn) AS first_role, arg_max(role, turn) AS last_role, count(*) AS n,
+       arg_min(role, turn) IN ('system', 'user') AS starts_ok, arg_max(role, turn) = 'assistant' AS ends_ok
+FROM conversations GROUP BY conv_id
+""")
+def q_event_order(spark, sf_dir):
+    """STR-8: stream integrity per conversation (first speaker, last speaker)."""
+    conv = table(spark, sf_dir, "conversations")
+    fl = runlog.first_last(conv, ["conv_id"], "turn", "role")
+    return fl.select("conv_id", "first_role", "last_role", "n",
+                     F.col("first_role").isin("system", "user").alias("starts_ok"),
+                     (F.col("last_role") == "assistant").alias("ends_ok"))
+
+
+@register("log_tail", """
+SELECT conv_id, list(text ORDER BY turn) AS tail
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations)
+WHERE rn <= 2 GROUP BY conv_id
+""")
+def q_log_tail(spark, sf_dir):
+    """WIN-3: last two turns of every conversation, in order."""
+    return runlog.log_tail(table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", 2)
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+from playlake.operators import quality  # noqa: E402
+
+
+@register("dq_unique", """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY 1, 2 HAVING count(*) > 1
+""")
+def q_dq_unique(spark, sf_dir):
+    """DQ-1: duplicated (order, line) pairs."""
+    return quality.duplicate_keys(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("ri_orphans", """
+SELECT doc_id, lang FROM documents d
+WHERE doc_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+""")
+def q_ri_orphans(spark, sf_dir):
+    """DQ-3 / JON-6: documents with no label row (relationships test, left anti join)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return quality.orphans(docs, table(spark, sf_dir, "labels"), "doc_id", "doc_id")
+
+
+def _suite(spark, sf_dir):
+    sup, cust = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "customer")
+    ev, li = table(spark, sf_dir, "events"), table(spark, sf_dir, "lineitem")
+    C = quality.Check
+    return [
+        C("unique", "dim_title", "s_suppkey", sup),
+        C("not_null", "dim_title", "s_suppkey", sup),
+        C("unique", "dim_user", "c_custkey", cust),
+        C("not_null", "dim_user", "c_custkey", cust),
+        C("unique", "fact_playback", "event_id", ev),
+        C("not_null", "fact_playback", "event_id", ev),
+        C("relationships", "fact_playback", "user_id", ev, cust, "c_custkey"),
+        C("relationships", "fact_playback", "l_suppkey", li, sup, "s_suppkey"),
+        C("not_null", "episode_dropoff", "ep2_retention", dropoff(spark, sf_dir)),
+    ]
+
+
+@register("dq_suite", f"""
+SELECT test_order, test, model, column_name, CAST(failures AS BIGINT) AS failures, failures = 0 AS passed FROM (
+  SELECT 0 AS test_order, 'unique' AS test, 'dim_title' AS model, 's_suppkey' AS column_name,
+         (SELECT count(*) FROM (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1)) AS failures
+  UNION ALL SELECT 1, 'not_null', 'dim_title', 's_suppkey', (SELECT count(*) FROM supplier WHERE s_suppkey IS NULL)
+  UNION ALL SELECT 2, 'unique', 'dim_user', 'c_custkey',
+         (SELECT count(*) FROM (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 3, 'not_null', 'dim_user', 'c_custkey', (SELECT count(*) FROM customer WHERE c_custkey IS NULL)
+  UNION ALL SELECT 4, 'unique', 'fact_playback', 'event_id',
+         (SELECT count(*) FROM (SELECT event_id FROM events WHERE event_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1))
+  UNION ALL SELECT 5, 'not_null', 'fact_playback', 'event_id', (SELECT count(*) FROM events WHERE event_id IS NULL)
+  UNION ALL SELECT 6, 'relationships', 'fact_playback', 'user_id',
+         (SELECT count(*) FROM events e WHERE user_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id))
+  UNION ALL SELECT 7, 'relationships', 'fact_playback', 'l_suppkey',
+         (SELECT count(*) FROM lineitem l WHERE l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey))
+  UNION ALL SELECT 8, 'not_null', 'episode_dropoff', 'ep2_retention',
+         (SELECT count(*) FROM ({DROPOFF_SQL}) WHERE ep2_retention IS NULL)
+) s
+""")
+def q_dq_suite(spark, sf_dir):
+    """DQ-2 / DQ-4: nine column tests in one result table."""
+    return quality.run_suite(_suite(spark, sf_dir))
+
+
+_FROZEN = """SELECT CAST(title_key AS VARCHAR) AS title_key, title, CAST(primary_genre AS VARCHAR) AS primary_genre,
+       CAST(ep1_viewers AS VARCHAR) AS ep1_viewers, CAST(ep2_viewers AS VARCHAR) AS ep2_viewers,
+       coalesce(printf('%.4f', ep2_retention), '') AS ep2_retention FROM ({sql})"""
+
+
+@register("golden_drift", f"""
+WITH e AS ({_FROZEN.format(sql=DROPOFF_SQL)}), a AS ({_FROZEN.format(sql=STRICT_DROPOFF_SQL)})
+SELECT *, 'missing' AS side FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM a)
+UNION ALL
+SELECT *, 'unexpected' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM e)
+""")
+def q_golden_drift(spark, sf_dir):
+    """SNK-6 / SET-4 / DQ-5: frozen mart against a changed model (strict cohort), both directions."""
+    cols = ["title_key", "title", "primary_genre", "ep1_viewers", "ep2_viewers", "ep2_retention"]
+    expected = quality.freeze(dropoff(spark, sf_dir), cols, ["title"])
+    actual = quality.freeze(dropoff(spark, sf_dir, strict_cohort=True), cols, ["title"])
+    return quality.drift(expected, actual)
+
+
+@register("fingerprint")
+def q_fingerprint(spark, sf_dir):
+    """DQ-6: order-insensitive table fingerprints (engine-specific hash, rows-only check)."""
+    parts = [quality.fingerprint(table(spark, sf_dir, t), t) for t in ("lineitem", "orders", "customer")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
