@@ -19,18 +19,35 @@ from playlake.functions.strings import py_strip
 
 
 def _single_value(text: Column) -> tuple[Column, Column]:
-    """(ok, value-as-variant) where ok means ``text`` is exactly one JSON value."""
+    """(ok, value-as-variant) where ok means ``text`` is exactly one JSON value.
+
+    The sentinel can only be the second item when the text held exactly one
+    value: a text of several values pushes it further back, trailing junk
+    fails the parse, and no text contains its own digest.
+    """
     seal = F.sha2(text, 256)
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]')))
-    items = F.try_variant_get(wrapped, "$", "array<variant>")
-    ok = (
-        wrapped.isNotNull()
-        & (F.size(items) == 2)
-        & (F.try_variant_get(F.element_at(items, 2), "$", "string") == seal)
+    items = F.try_variant_get(
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]'))), "$", "array<variant>"
     )
+    ok = F.try_variant_get(F.element_at(items, 2), "$", "string") == seal
     return F.coalesce(ok, F.lit(False)), F.element_at(items, 1)
 
 
+def with_json_check(df, column: str, out: str = "is_json"):
+    """DataFrame form of :func:`is_json_text`; the parse runs once per row."""
+    seal = F.sha2(F.col(column), 256)
+    staged = df.withColumn("_jc_seal", seal).withColumn(
+        "_jc_items",
+        F.try_variant_get(
+            F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit(',"'), F.col("_jc_seal"), F.lit('"]'))),
+            "$",
+            "array<variant>",
+        ),
+    )
+    ok = F.try_variant_get(F.element_at("_jc_items", 2), "$", "string") == F.col("_jc_seal")
+    return staged.withColumn(out, F.coalesce(ok, F.lit(False))).drop("_jc_seal", "_jc_items")
+
+
 def is_json_text(line: ColumnOrName) -> Column:
     """STR-1: true when the line (not blank) is exactly one JSON value of any type."""
     ok, _ = _single_value(as_col(line))
@@ -73,3 +90,58 @@ def parse_tag_response(raw: ColumnOrName, vocab: Sequence[str]) -> tuple[Column,
         parse_ok, F.filter(F.coalesce(candidates, empty), lambda t: F.array_contains(allowed, t))
     ).otherwise(empty)
     return tags, parse_ok
+
+
+def parse_tag_responses(
+    df,
+    raw: str,
+    vocab: Sequence[str],
+    tags: str = "mood_tags",
+    ok: str = "parse_ok",
+):
+    """DataFrame form of :func:`parse_tag_response` with staged projections.
+
+    Each intermediate (stripped text, its parse, the value's type) is its own
+    projection and is referenced several times downstream, so Catalyst keeps
+    it computed once per row instead of inlining it into every use.
+    """
+    allowed = F.array(*[F.lit(v) for v in vocab])
+    empty = F.array().cast("array<string>")
+    s = df.withColumn("_pr_text", py_strip(F.col(raw)))
+    s = s.withColumn("_pr_seal", F.sha2(F.col("_pr_text"), 256))
+    s = s.withColumn(
+        "_pr_items",
+        F.try_variant_get(
+            F.try_parse_json(F.concat(F.lit("["), F.col("_pr_text"), F.lit(',"'), F.col("_pr_seal"), F.lit('"]'))),
+            "$",
+            "array<variant>",
+        ),
+    )
+    s = s.withColumn(
+        "_pr_ok",
+        F.coalesce(
+            F.try_variant_get(F.element_at("_pr_items", 2), "$", "string") == F.col("_pr_seal"),
+            F.lit(False),
+        ),
+    ).withColumn("_pr_value", F.element_at("_pr_items", 1))
+    s = s.withColumn("_pr_kind", F.when(F.col("_pr_ok"), F.schema_of_variant("_pr_value")))
+    kind = F.col("_pr_kind")
+    is_array, is_object, is_string = kind.startswith("ARRAY"), kind.startswith("OBJECT"), kind == "STRING"
+    string_items = F.transform(
+        F.filter(F.try_variant_get("_pr_value", "$", "array<variant>"), lambda e: F.schema_of_variant(e) == "STRING"),
+        lambda e: F.variant_get(e, "$", "string"),
+    )
+    candidates = (
+        F.when(is_array, string_items)
+        .when(is_object, F.json_object_keys("_pr_text"))
+        .when(is_string, F.split(F.variant_get("_pr_value", "$", "string"), ""))
+        .otherwise(empty)
+    )
+    parsed_ok = F.coalesce(is_array | is_object | is_string, F.lit(False))
+    out = s.withColumn(ok, parsed_ok).withColumn(
+        tags,
+        F.when(F.col(ok), F.filter(F.coalesce(candidates, empty), lambda t: F.array_contains(allowed, t))).otherwise(
+            empty
+        ),
+    )
+    return out.drop("_pr_text", "_pr_seal", "_pr_items", "_pr_ok", "_pr_value", "_pr_kind")

@@ -14,24 +14,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.functions import is_json_text  # noqa: F401 (re-exported)
+from playlake.functions.json import with_json_check
 from playlake.schemas import GATE_EVENT, RUN_ID_PATTERN, TAIL_LINES
 
 
-def parse_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+def parse_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = (), schema=None) -> DataFrame:
     """STR-1: keep lines that are exactly one JSON value; blank lines skipped.
 
     Works on batch and streaming frames alike. Returns the F8 columns plus ``keep``.
     """
-    ok = F.length(F.trim(F.col(value))) > 0
-    ok = ok & is_json_text(F.col(value))
-    parsed = F.from_json(F.col(value), GATE_EVENT)
-    return lines.filter(ok).select(*keep, parsed.alias("_e")).select(*keep, "_e.*")
+    checked = with_json_check(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_ok")
+    parsed = F.from_json(F.col(value), schema or GATE_EVENT)
+    return checked.filter("_ok").select(*keep, parsed.alias("_e")).select(*keep, "_e.*")
 
 
 def rejected_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """STR-1 side output: non-blank lines that are not JSON, first 120 characters."""
-    bad = (F.length(F.trim(F.col(value))) > 0) & ~is_json_text(F.col(value))
-    return lines.filter(bad).select(*keep, F.substring(value, 1, 120).alias("line_head"))
+    checked = with_json_check(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_ok")
+    return checked.filter(~F.col("_ok")).select(*keep, F.substring(value, 1, 120).alias("line_head"))
 
 
 def log_tail(df: DataFrame, group: Sequence[str], seq: str, line: str, n: int = TAIL_LINES,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.operators import gold
+from playlake.operators.partitioning import spread
 from playlake.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -447,7 +448,7 @@ def q_vector_affinity(spark, sf_dir):
 # mixed types, bare string, null, single quotes, empty list).
 # ---------------------------------------------------------------------------
 from playlake.operators import enrich, evals  # noqa: E402
-from playlake.functions import jaccard  # noqa: E402
+from playlake.functions.json import parse_tag_responses  # noqa: E402
 
 EVAL_VOCAB = ["hq", "lq", "toxic", "safe", "spam"]
 _VOCAB_SQL = "['hq', 'lq', 'toxic', 'safe', 'spam']"
@@ -456,9 +457,13 @@ RATES = (3e-6, 1.5e-5)
 
 
 def _responses(spark, sf_dir) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    q = F.when(F.col("n_chars") >= 1000, F.lit("hq")).otherwise(F.lit("lq"))
-    t = F.when(F.col("text").rlike(TOXIC_PATTERN), F.lit("toxic")).otherwise(F.lit("safe"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "text"))
+    # the full-text regex runs once per document in its own projection
+    flagged = docs.select(
+        "doc_id", "lang", "n_chars",
+        F.when(F.col("n_chars") >= 1000, F.lit("hq")).otherwise(F.lit("lq")).alias("q"),
+        F.when(F.col("text").rlike(TOXIC_PATTERN), F.lit("toxic")).otherwise(F.lit("safe")).alias("t"))
+    q, t = F.col("q"), F.col("t")
     shapes = [
         F.concat(F.lit('["'), q, F.lit('","'), t, F.lit('"]')),
         F.concat(F.lit(' ["'), q, F.lit('"]\n')),
@@ -473,18 +478,13 @@ def _responses(spark, sf_dir) -> DataFrame:
     ]
     which = F.pmod(F.col("doc_id"), F.lit(len(shapes)))
     raw = F.element_at(F.array(*shapes), (which + 1).cast("int"))
-    tags, ok = evals_parse(raw)
-    return docs.select(
-        F.col("doc_id").alias("media_id"), "lang", raw.alias("raw_response"), tags.alias("mood_tags"),
-        ok.alias("parse_ok"), F.col("n_chars").alias("latency_ms"),
+    with_raw = flagged.select("doc_id", "lang", "n_chars", raw.alias("raw_response"))
+    parsed = parse_tag_responses(with_raw, "raw_response", EVAL_VOCAB)
+    return parsed.select(
+        F.col("doc_id").alias("media_id"), "lang", "raw_response", "mood_tags", "parse_ok",
+        F.col("n_chars").alias("latency_ms"),
         F.floor(F.col("n_chars") / 4).cast("long").alias("input_tokens"),
-        F.floor(F.length(raw) / 4).cast("long").alias("output_tokens"))
-
-
-def evals_parse(raw):
-    from playlake.functions import parse_tag_response
-
-    return parse_tag_response(raw, EVAL_VOCAB)
+        F.floor(F.length("raw_response") / 4).cast("long").alias("output_tokens"))
 
 
 _RESPONSES_SQL = f"""
@@ -737,10 +737,8 @@ FROM events WHERE event_type <> 'error' AND value >= 1
 """)
 def q_ndjson_filter(spark, sf_dir):
     """STR-1: only lines that are exactly one JSON value pass; blank and noise lines dropped."""
-    lines = _ndjson_lines(spark, sf_dir)
-    ok = (F.length(F.trim("value")) > 0) & runlog.is_json_text(F.col("value"))
-    parsed = lines.filter(ok).select(F.from_json("value", NDJSON_SCHEMA).alias("e"))
-    return parsed.select("e.seq", "e.event", "e.run_id", "e.line")
+    parsed = runlog.parse_lines(_ndjson_lines(spark, sf_dir), schema=NDJSON_SCHEMA)
+    return parsed.select("seq", "event", "run_id", "line")
 
 
 @register("ndjson_rejected", """
