@@ -29,8 +29,8 @@ def _single_value(text: Column) -> tuple[Column, Column]:
     items = F.try_variant_get(
         F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]'))), "$", "array<variant>"
     )
-    ok = F.try_variant_get(F.element_at(items, 2), "$", "string") == seal
-    return F.coalesce(ok, F.lit(False)), F.element_at(items, 1)
+    ok = F.try_variant_get(F.try_element_at(items, F.lit(2)), "$", "string") == seal
+    return F.coalesce(ok, F.lit(False)), F.try_element_at(items, F.lit(1))
 
 
 def with_json_check(df, column: str, out: str = "is_json"):
@@ -44,7 +44,7 @@ def with_json_check(df, column: str, out: str = "is_json"):
             "array<variant>",
         ),
     )
-    ok = F.try_variant_get(F.element_at("_jc_items", 2), "$", "string") == F.col("_jc_seal")
+    ok = F.try_variant_get(F.try_element_at(F.col("_jc_items"), F.lit(2)), "$", "string") == F.col("_jc_seal")
     return staged.withColumn(out, F.coalesce(ok, F.lit(False))).drop("_jc_seal", "_jc_items")
 
 
@@ -120,10 +120,10 @@ def parse_tag_responses(
     s = s.withColumn(
         "_pr_ok",
         F.coalesce(
-            F.try_variant_get(F.element_at("_pr_items", 2), "$", "string") == F.col("_pr_seal"),
+            F.try_variant_get(F.try_element_at(F.col("_pr_items"), F.lit(2)), "$", "string") == F.col("_pr_seal"),
             F.lit(False),
         ),
-    ).withColumn("_pr_value", F.element_at("_pr_items", 1))
+    ).withColumn("_pr_value", F.try_element_at(F.col("_pr_items"), F.lit(1)))
     s = s.withColumn("_pr_kind", F.when(F.col("_pr_ok"), F.schema_of_variant("_pr_value")))
     kind = F.col("_pr_kind")
     is_array, is_object, is_string = kind.startswith("ARRAY"), kind.startswith("OBJECT"), kind == "STRING"

@@ -117,7 +117,7 @@ def read_versioned(spark: SparkSession, base: str) -> DataFrame | None:
 
 
 def upsert_path(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
-                order: Sequence[Column]) -> int:
+                order: Sequence[Column], version: int | None = None) -> int:
     """SNK-3 on plain parquet: write the merged table as a new version directory.
 
     Overwriting the directory a plan reads would delete its input first (T8),
@@ -127,8 +127,10 @@ def upsert_path(spark: SparkSession, base: str, incoming: DataFrame, keys: Seque
     v = current_version(spark, base)
     target = read_versioned(spark, base)
     merged = latest(incoming, list(keys), list(order)) if target is None else upsert(target, incoming, keys, order)
-    nxt = 0 if v is None else v + 1
-    merged.write.mode("error").parquet(f"{base.rstrip('/')}/version={nxt}")
+    nxt = (0 if v is None else v + 1) if version is None else version
+    out = f"{base.rstrip('/')}/version={nxt}"
+    # a half-written attempt (no _SUCCESS) of this version is replaced
+    merged.write.mode("overwrite").parquet(out)
     return nxt
 
 
