@@ -45,4 +45,5 @@ def tag_display(tags: ColumnOrName) -> Column:
 
 def format4(c: ColumnOrName) -> Column:
     """STRG-8: a double as text with 4 decimals; NULL stays NULL."""
-    return F.format_string("%.4f", as_col(c).cast("double"))
+    v = as_col(c).cast("double")
+    return F.when(v.isNotNull(), F.format_string("%.4f", v))
