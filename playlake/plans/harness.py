@@ -948,3 +948,21 @@ def q_fingerprint(spark, sf_dir):
     """DQ-6: order-insensitive table fingerprints (engine-specific hash, rows-only check)."""
     parts = [quality.fingerprint(table(spark, sf_dir, t), t) for t in ("lineitem", "orders", "customer")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("report_document")
+def q_report_document(spark, sf_dir):
+    """SNK-7: the one-row nested report assembled from the mart aggregates (rows-only check)."""
+    d = dropoff(spark, sf_dir)
+    counts = q_row_counts(spark, sf_dir)
+    hist = report.value_histogram(d, "ep2_retention")
+    means = report.group_means(d, "primary_genre", "ep2_retention", min_n=5)
+    eta = stats.eta_squared(d, "primary_genre", "ep2_retention").select(F.col("eta_squared").alias("genre_eta2"))
+    per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("x"), F.sum("l_extendedprice").alias("y"))
+    r2 = stats.r_squared(per_order, "x", "y").select(F.col("r_squared").alias("tone_r2"))
+    variance = eta.withColumn("_k", F.lit(1)).join(r2.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    qoe = q_device_qoe(spark, sf_dir)
+    sample = report.top_bottom(d.select("title_key", "title", "primary_genre", "ep2_retention", "ep1_viewers"),
+                               "ep2_retention", "title_key", 15)
+    return report.report_document(counts, hist, means, variance, qoe, sample)
