@@ -83,6 +83,7 @@ def episode_viewers(
     episode: str = "episode",
     user_key: str = "user_key",
     strict_cohort: bool = False,
+    approx: bool = False,
 ) -> DataFrame:
     """AGG-1 + AGG-2: distinct episode-1 and episode-2 viewers per title.
 
@@ -115,6 +116,7 @@ def episode_dropoff(
     user_key: str = "user_key",
     min_viewers: int = MIN_EP1_VIEWERS,
     strict_cohort: bool = False,
+    approx: bool = False,
 ) -> DataFrame:
     """Episode-2 retention per title (the headline mart).
 
@@ -122,7 +124,7 @@ def episode_dropoff(
     (AGG-3), titles with fewer than ``min_viewers`` episode-1 viewers dropped
     (FLT-4), dimension columns attached by an inner join (JON-2). No stored sort.
     """
-    counts = episode_viewers(fact, title_key, episode, user_key, strict_cohort).filter(
+    counts = episode_viewers(fact, title_key, episode, user_key, strict_cohort, approx).filter(
         F.col("ep1_viewers") >= min_viewers
     )
     return counts.join(dim, title_key).select(

@@ -147,3 +147,25 @@ def test_upsert_is_idempotent_and_versioned(spark, tmp):
     assert bronze.upsert_path(spark, base, incoming, ["k"], order) == 1
     assert bronze.upsert_path(spark, base, incoming, ["k"], order) == 2
     assert sorted((r.k, r.v) for r in bronze.read_versioned(spark, base).collect()) == expect
+
+
+def test_approx_viewers_close_to_exact(spark):
+    rows = [(u, m, e) for u in range(1, 3000) for m in (1, 2) for e in (1, 2) if (u + m + e) % 3]
+    fact = spark.createDataFrame(rows, "user_key long, title_key long, episode long")
+    exact = {r.title_key: r.ep1_viewers for r in gold.episode_viewers(fact).collect()}
+    approx = {r.title_key: r.ep1_viewers for r in gold.episode_viewers(fact, approx=True).collect()}
+    for k, v in exact.items():
+        assert abs(approx[k] - v) / v < 0.1
+
+
+def test_catalog_table_upsert(spark):
+    bronze.ensure_schema(spark, "bronze_t")
+    table = "bronze_t.media"
+    first = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "k long, v string, ver long")
+    bronze.upsert_table(spark, table, first, ["k"], [F.col("ver").desc()])
+    second = spark.createDataFrame([(2, "b2", 2), (3, "c", 1)], "k long, v string, ver long")
+    bronze.upsert_table(spark, table, second, ["k"], [F.col("ver").desc()])
+    bronze.upsert_table(spark, table, second, ["k"], [F.col("ver").desc()])
+    assert sorted((r.k, r.v) for r in spark.table(table).collect()) == [(1, "a"), (2, "b2"), (3, "c")]
+    view = bronze.materialize(spark.table(table).filter("k > 1"), "stg_media_t")
+    assert view.count() == 2
