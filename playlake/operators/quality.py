@@ -130,3 +130,30 @@ def gate_results(spark: SparkSession, rows: list[tuple[str, str, str | None]]) -
         [(i, g, s, r) for i, (g, s, r) in enumerate(rows)],
         "gate_order int, gate string, status string, reason string",
     )
+
+
+def golden_check(spark: SparkSession, name: str, frozen: DataFrame, golden_path: str,
+                 schema: T.StructType | None = None) -> DataFrame:
+    """DQ-5 as a gate row: compare a frozen mart with its golden CSV.
+
+    Returns one row ``(gate, status, reason, drift_rows)``: 'skip' when the
+    golden file is absent (a missing golden is not a failure), 'fail' on any
+    drift in either direction, else 'pass'. Only the drift count leaves Spark.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(golden_path)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out_schema = "gate string, status string, reason string, drift_rows long"
+    if not fs.exists(path):
+        return spark.createDataFrame([(name, "skip", f"{golden_path} not found", None)], out_schema)
+    text_schema = T.StructType([T.StructField(c, T.StringType()) for c in frozen.columns])
+    golden = (spark.read.schema(schema or text_schema).option("header", True)
+              .option("nullValue", None).option("emptyValue", "").csv(golden_path))
+    golden = golden.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in frozen.columns])
+    diff = drift(golden, frozen).groupBy().agg(F.count(F.lit(1)).alias("drift_rows"))
+    return diff.select(
+        F.lit(name).alias("gate"),
+        F.when(F.col("drift_rows") > 0, F.lit("fail")).otherwise(F.lit("pass")).alias("status"),
+        F.when(F.col("drift_rows") > 0, F.lit("drift detected")).alias("reason"),
+        "drift_rows",
+    )

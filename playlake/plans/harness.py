@@ -770,8 +770,8 @@ def _gate_events(spark, sf_dir) -> DataFrame:
     starts = shape(bounds, event=F.lit("gate_start"), ts=F.col("t0"), seq=F.col("e0") * 4)
     status = F.when(F.col("gate") == "error", F.lit("fail")).otherwise(F.lit("pass"))
     ends = shape(bounds, event=F.lit("gate_end"), status=status, ts=F.col("t1"), seq=F.col("e1") * 4 + 2)
-    runs = ev.groupBy("run_id").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"),
-                                    F.min("eid").alias("e0"), F.max("eid").alias("e1"))
+    runs = bounds.groupBy("run_id").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"),
+                                        F.min("e0").alias("e0"), F.max("e1").alias("e1"))
     run_start = shape(runs, event=F.lit("run_start"), ts=F.col("t0"), seq=F.col("e0") * 4 - 1)
     run_end = shape(runs, event=F.lit("run_end"), ts=F.col("t1"), seq=F.col("e1") * 4 + 3)
     out = logs

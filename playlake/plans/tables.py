@@ -9,7 +9,17 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# The driver tables are read-only, so the scan relation (file listing and
+# footer schema) is resolved once per session and path; every query still
+# plans its own pruning and pushdown from it.
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters into the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark._jsparkSession.hashCode(), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df

@@ -57,6 +57,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a shared, fault-tolerant folder "
+                "(a machine-local temporary folder does not survive executor loss)"
+            )
         configured = tempfile.mkdtemp(prefix="playlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if not spark.sparkContext.getCheckpointDir():
