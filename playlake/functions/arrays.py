@@ -57,7 +57,12 @@ def l2_norm(v: ColumnOrName) -> Column:
     return F.sqrt(F.aggregate(as_col(v), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
 
 
-def l2_normalize(v: ColumnOrName) -> Column:
-    """ARR-5: divide by the L2 norm; a zero norm divides by 1."""
-    norm = F.coalesce(F.nullif(l2_norm(v), F.lit(0.0)), F.lit(1.0))
-    return F.transform(as_col(v), lambda x: x.cast("double") / norm)
+def l2_normalize(v: ColumnOrName, norm: ColumnOrName | None = None) -> Column:
+    """ARR-5: divide by the L2 norm; a zero norm divides by 1.
+
+    Pass ``norm`` as an already projected column on large vectors: an outer
+    expression inside the ``transform`` lambda is evaluated once per element.
+    """
+    n = l2_norm(v) if norm is None else as_col(norm)
+    safe = F.coalesce(F.nullif(n, F.lit(0.0)), F.lit(1.0))
+    return F.transform(as_col(v), lambda x: x.cast("double") / safe)

@@ -86,19 +86,27 @@ def title_vectors(
 
     Every nudge is non-negative, so adding all matching nudges and clamping
     once equals clamping after each addition. Genres may repeat and each
-    occurrence counts. All arithmetic stays in JVM expressions.
+    occurrence counts. The work is staged in projections (digest, components,
+    norm) so each is computed once per row; all arithmetic stays in the JVM.
     """
-    base = hashed_base(F.col(key), tones)
-    g = F.coalesce(F.col(genres), F.array().cast("array<string>"))
-    bumped = []
+    digest = df.select(
+        F.col(key),
+        F.coalesce(F.col(genres), F.array().cast("array<string>")).alias("_g"),
+        F.sha2(F.concat(F.lit("tone:"), F.col(key).cast("string")), 256).alias("_h"),
+    )
+    parts = []
     for i, tone in enumerate(tones):
-        hits = [(name, w) for name, (t, w) in nudges.items() if t == tone]
+        byte = F.conv(F.substring("_h", 2 * i + 1, 2), 16, 10).cast("double") / F.lit(255.0)
         add = F.lit(0.0)
-        for name, w in hits:
-            occurrences = F.size(F.filter(g, _equals(name)))
-            add = add + occurrences.cast("double") * F.lit(float(w))
-        bumped.append(F.least(F.lit(1.0), F.element_at(base, i + 1) + add))
-    return df.select(F.col(key), l2_normalize(F.array(*bumped)).alias("tone"))
+        for name, (t, w) in nudges.items():
+            if t == tone:
+                add = add + F.size(F.filter("_g", _equals(name))).cast("double") * F.lit(float(w))
+        parts.append(F.least(F.lit(1.0), byte + add).alias(f"_b{i}"))
+    comps = digest.select(F.col(key), *parts)
+    names = [f"_b{i}" for i in range(len(tones))]
+    sq = sum((F.col(c) * F.col(c) for c in names[1:]), F.col(names[0]) * F.col(names[0]))
+    normed = comps.withColumn("_n", F.coalesce(F.nullif(F.sqrt(sq), F.lit(0.0)), F.lit(1.0)))
+    return normed.select(F.col(key), F.array(*[F.col(c) / F.col("_n") for c in names]).alias("tone"))
 
 
 def centroids(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -137,8 +145,14 @@ def mean_affinity(
 
 
 def unit_vectors(df: DataFrame, key: str, vector: str, alias: str = "vector") -> DataFrame:
-    """ARR-5 over a table: L2-normalised vectors, zero vectors left as is."""
-    return df.select(key, l2_normalize(vector).alias(alias))
+    """ARR-5 over a table: L2-normalised vectors, zero vectors left as is.
+
+    The norm is its own projection, computed once per vector.
+    """
+    from playlake.functions.arrays import l2_norm
+
+    normed = df.select(key, vector, l2_norm(vector).alias("_norm"))
+    return normed.select(key, l2_normalize(vector, "_norm").alias(alias))
 
 
 def vector_catalog(vectors: DataFrame, dim: DataFrame, key: str, scale: int = 4) -> DataFrame:

@@ -414,10 +414,10 @@ def q_vector_norm(spark, sf_dir):
     """ARR-5: L2 norms and unit vectors of every embedding."""
     from playlake.functions.arrays import l2_norm, l2_normalize
 
-    emb = table(spark, sf_dir, "embeddings")
+    emb = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding", l2_norm("embedding").alias("_n"))
     return emb.select(
-        "vec_id", "label", F.bround(l2_norm("embedding"), 6).alias("norm"),
-        F.transform(l2_normalize("embedding"), lambda x: F.bround(x, 4) + F.lit(0.0)).alias("unit"))
+        "vec_id", "label", F.bround("_n", 6).alias("norm"),
+        F.transform(l2_normalize("embedding", "_n"), lambda x: F.bround(x, 4) + F.lit(0.0)).alias("unit"))
 
 
 @register("vector_affinity", """
@@ -719,7 +719,7 @@ from playlake.schemas import GATE_EVENT  # noqa: E402
 
 
 def _ndjson_lines(spark, sf_dir) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "user_id", "props", "value"))
     record = F.to_json(F.struct(F.col("event_type").alias("event"),
                                 F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"),
                                 F.col("event_id").alias("seq"), F.col("props").alias("line")))
