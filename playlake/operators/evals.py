@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.functions import floor_div, jaccard, py_round, rate
+from playlake.operators.frames import side_by_side
 from playlake.operators.ordering import exact_percentile
 from playlake.schemas import MAX_PARSE_FAIL, MIN_MACRO_F1
 
@@ -105,10 +106,7 @@ def eval_summary(
     )
     macro = prf.groupBy().agg(F.avg("f1").alias("_f1"))
     n_golden = golden.groupBy().agg(F.count(F.lit(1)).alias("n_golden"))
-    k = F.lit(1)
-    joined = per_title.withColumn("_k", k).join(macro.withColumn("_k", k), "_k").join(
-        n_golden.withColumn("_k", k), "_k"
-    )
+    joined = side_by_side(per_title, macro, n_golden)
     parse_fail = F.coalesce(F.col("_pf"), F.lit(0.0))
     return joined.select(
         "n_scored",
@@ -143,8 +141,7 @@ def trace_health(
         F.avg(tok_in * F.lit(float(input_rate)) + tok_out * F.lit(float(output_rate))).alias("_cost"),
     )
     pct = exact_percentile(preds, "latency_ms", quantile, "_p")
-    k = F.lit(1)
-    return base.withColumn("_k", k).join(pct.withColumn("_k", k), "_k").select(
+    return side_by_side(base, pct).select(
         "n",
         py_round("_empty", scale).alias("empty_tag_rate"),
         py_round("_p", 2).alias(f"p{int(round(quantile * 100))}_latency_ms"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.functions import py_round, rate
+from playlake.operators.frames import side_by_side
 
 
 def row_counts(**tables: DataFrame) -> DataFrame:
@@ -98,21 +99,20 @@ def report_document(
 
     Each input is already an aggregate with a bounded row count (a histogram of
     4-dp values, per-group rows, top/bottom samples), so each is folded into an
-    array by a single ``collect_list`` and the one-row frames are joined on a
-    constant.
+    array by a single ``collect_list``; the one-row results are then put side
+    by side without a join.
     """
-    def fold(df: DataFrame, name: str, order: list[str]) -> DataFrame:
-        packed = F.struct(*[F.col(c) for c in order])
-        return df.groupBy().agg(F.array_sort(F.collect_list(packed)).alias(name)).withColumn("_k", F.lit(1))
-
-    doc = counts.withColumn("_k", F.lit(1))
-    for part in (
-        fold(histogram, "retention_hist", histogram.columns),
-        fold(means, "genre_means", means.columns),
-        variance.withColumn("_k", F.lit(1)).select("_k", F.struct(*variance.columns).alias("variance_explained")),
-        fold(qoe, "device_qoe", qoe.columns),
-        fold(sample, "titles_sample", sample.columns),
-    ):
-        doc = doc.join(part, "_k")
+    def fold(df: DataFrame, name: str) -> DataFrame:
+        packed = F.struct(*[F.col(c) for c in df.columns])
+        return df.groupBy().agg(F.array_sort(F.collect_list(packed)).alias(name))
+
+    doc = side_by_side(
+        counts,
+        fold(histogram, "retention_hist"),
+        fold(means, "genre_means"),
+        variance.select(F.struct(*variance.columns).alias("variance_explained")),
+        fold(qoe, "device_qoe"),
+        fold(sample, "titles_sample"),
+    )
     ts = generated_at if generated_at is not None else F.current_timestamp()
-    return doc.drop("_k").withColumn("generated_at", ts)
+    return doc.withColumn("generated_at", ts)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playlake.operators import gold
+from playlake.operators.frames import side_by_side
 from playlake.operators.partitioning import spread
 from playlake.plans.tables import table
 
@@ -965,7 +966,7 @@ def q_report_document(spark, sf_dir):
     per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.sum("l_quantity").alias("x"), F.sum("l_extendedprice").alias("y"))
     r2 = stats.r_squared(per_order, "x", "y").select(F.col("r_squared").alias("tone_r2"))
-    variance = eta.withColumn("_k", F.lit(1)).join(r2.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    variance = side_by_side(eta, r2)
     qoe = q_device_qoe(spark, sf_dir)
     sample = report.top_bottom(d.select("title_key", "title", "primary_genre", "ep2_retention", "ep1_viewers"),
                                "ep2_retention", "title_key", 15)
