@@ -14,7 +14,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     parallelism) partitions, as any large dataset does, this is a no-op and
     adds no shuffle. Planning the partition count runs no job.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. a remote client): leave as is
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

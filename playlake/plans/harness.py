@@ -757,24 +757,22 @@ def _gate_events(spark, sf_dir) -> DataFrame:
         F.col("event_id").alias("eid"))
     cols = [f.name for f in GATE_EVENT.fields] + ["seq"]
 
-    def shape(df, **kv):
-        exprs = []
-        for f in GATE_EVENT.fields:
-            val = kv.get(f.name, F.col(f.name) if f.name in df.columns else F.lit(None))
-            exprs.append(val.cast(f.dataType).alias(f.name))
-        return df.select(*exprs, kv["seq"].cast("long").alias("seq"))
-
-    logs = shape(ev, event=F.lit("log"), line=F.concat(F.col("gate"), F.lit(" #"), F.col("eid")),
-                 seq=F.col("eid") * 4 + 1)
+    def shape(df, **exprs):
+        # one SQL projection per branch; unspecified event fields are typed NULLs
+        sql = [f"CAST({exprs.get(f.name, f.name if f.name in df.columns else 'NULL')} AS {f.dataType.simpleString()}) "
+               f"AS {f.name}" for f in GATE_EVENT.fields]
+        return df.selectExpr(*sql, f"CAST({exprs['seq']} AS BIGINT) AS seq")
+
+    logs = shape(ev, event="'log'", line="concat(gate, ' #', eid)", seq="eid * 4 + 1")
     bounds = ev.groupBy("run_id", "gate").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"),
                                               F.min("eid").alias("e0"), F.max("eid").alias("e1"))
-    starts = shape(bounds, event=F.lit("gate_start"), ts=F.col("t0"), seq=F.col("e0") * 4)
-    status = F.when(F.col("gate") == "error", F.lit("fail")).otherwise(F.lit("pass"))
-    ends = shape(bounds, event=F.lit("gate_end"), status=status, ts=F.col("t1"), seq=F.col("e1") * 4 + 2)
+    starts = shape(bounds, event="'gate_start'", ts="t0", seq="e0 * 4")
+    ends = shape(bounds, event="'gate_end'", status="CASE WHEN gate = 'error' THEN 'fail' ELSE 'pass' END",
+                 ts="t1", seq="e1 * 4 + 2")
     runs = bounds.groupBy("run_id").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"),
                                         F.min("e0").alias("e0"), F.max("e1").alias("e1"))
-    run_start = shape(runs, event=F.lit("run_start"), ts=F.col("t0"), seq=F.col("e0") * 4 - 1)
-    run_end = shape(runs, event=F.lit("run_end"), ts=F.col("t1"), seq=F.col("e1") * 4 + 3)
+    run_start = shape(runs, event="'run_start'", ts="t0", seq="e0 * 4 - 1")
+    run_end = shape(runs, event="'run_end'", ts="t1", seq="e1 * 4 + 3")
     out = logs
     for part in (starts, ends, run_start, run_end):
         out = out.unionByName(part)
