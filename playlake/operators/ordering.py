@@ -23,9 +23,15 @@ def global_position(
     num_partitions: int | None = None,
     with_total: bool = False,
 ) -> DataFrame:
-    """Add a dense 1-based ``name`` column following ``order`` across the whole frame."""
+    """Add a dense 1-based ``name`` column following ``order`` across the whole frame.
+
+    The range partition count defaults to the larger of the shuffle partition
+    setting and the input's own partition count, so each range partition stays
+    about the size of an input split (AQE cannot split an explicit range
+    repartition later). The offsets table has one row per partition.
+    """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or _partitions_for(df)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_mid", F.monotonically_increasing_id()
@@ -49,6 +55,14 @@ def global_position(
     return out.select(*keep)
 
 
+def _partitions_for(df: DataFrame) -> int:
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return max(base, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - no RDD access (remote client)
+        return base
+
+
 def exact_percentile(df: DataFrame, value: str, p: float, alias: str | None = None) -> DataFrame:
     """Exact ``percentile(value, p)`` with linear interpolation, distributed.
 
