@@ -73,6 +73,28 @@ def run_status(events: DataFrame) -> DataFrame:
              "gates_done", "log_lines")
 
 
+def run_sessions(events: DataFrame, gap: str = "30 minutes", watermark: str = "1 hour") -> DataFrame:
+    """STR-4 / STR-5 with bounded state: a run's events form a session window.
+
+    A run is considered over once no event arrives for ``gap``; with the
+    watermark, the engine finalises and evicts each run's state after that,
+    so state does not grow with the number of runs ever seen. Session windows
+    emit in output mode ``append``: one final row per run.
+    """
+    return (
+        events.withWatermark("ts", watermark)
+        .groupBy("run_id", F.session_window("ts", gap).alias("session"))
+        .agg(
+            F.min(F.when(F.col("event") == "run_start", F.col("ts"))).alias("started_at"),
+            F.max(F.when(F.col("event") == "run_end", F.col("ts"))).alias("finished_at"),
+            F.max(F.when((F.col("event") == "gate_end") & (F.col("status") == "fail"), 1).otherwise(0)).alias("_failed"),
+            F.count_if(F.col("event") == "gate_end").alias("gates_done"),
+        )
+        .select("run_id", "session", "started_at", "finished_at",
+                F.when(F.col("_failed") == 1, F.lit("fail")).otherwise(F.lit("pass")).alias("status"), "gates_done")
+    )
+
+
 def playback_stream(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Raw playback events arriving as files (F4 schema)."""
     return spark.readStream.schema(BRONZE_PLAYBACK).format(fmt).load(path)

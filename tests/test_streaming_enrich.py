@@ -91,3 +91,19 @@ def test_enrichment_job(spark):
     assert out[1].mood_tags == ["dark", "absurd"] and out[1].parse_ok and out[3].mood_tags == ["cozy"]
     done = raw.select("media_id").filter("media_id = 1")
     assert [r.media_id for r in enrich.candidates(titles, done=done).collect()] == [3]
+
+
+def test_run_sessions_bounded_state(spark, tmp):
+    src = os.path.join(tmp, "live2")
+    _write_ndjson(src, "run.ndjson", LINES)
+    later = [dict(x, run_id="20260711T230000Z-beef", ts=x["ts"].replace("T19:", "T23:")) if isinstance(x, dict) else x
+             for x in LINES]
+    _write_ndjson(src, "run2.ndjson", later)
+    sessions = streams.run_sessions(streams.gate_events(spark, src), gap="10 minutes", watermark="5 minutes")
+    q = (sessions.writeStream.format("memory").queryName("sessions_t").outputMode("append")
+         .option("checkpointLocation", os.path.join(tmp, "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    rows = {r.run_id: r for r in spark.table("sessions_t").collect()}
+    # the early run is final once the watermark passed its session end; the later one is still open
+    assert set(rows) == {LINES[0]["run_id"]}
+    assert rows[LINES[0]["run_id"]].status == "fail" and rows[LINES[0]["run_id"]].gates_done == 3
