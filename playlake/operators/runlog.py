@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playlake.functions import is_json_text  # noqa: F401 (re-exported)
 from playlake.functions.json import with_json_check
 from playlake.schemas import GATE_EVENT, RUN_ID_PATTERN, TAIL_LINES
 

@@ -229,7 +229,7 @@ def q_upsert_latest(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Report aggregates over the flagship mart
 # ---------------------------------------------------------------------------
-from playlake.functions import py_round, rate  # noqa: E402
+from playlake.functions import py_round  # noqa: E402
 from playlake.operators import report  # noqa: E402
 
 
