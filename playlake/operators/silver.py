@@ -23,14 +23,18 @@ def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
 
 
 def stg_media(bronze_media: DataFrame) -> DataFrame:
-    """Cleaned catalog: one row per ``media_id``, newest ingest wins."""
-    newest = latest(
-        bronze_media,
-        ["media_id"],
-        [F.col("_ingested_at").desc_nulls_last(), F.col("ingest_date").desc_nulls_last()]
-        if "ingest_date" in bronze_media.columns
-        else [F.col("_ingested_at").desc_nulls_last()],
-    )
+    """Cleaned catalog: one row per ``media_id``, newest ingest wins.
+
+    One ingest run stamps every row with the same ``_ingested_at``, so a title
+    listed on two pages of a run ties; a hash of the row's payload breaks the
+    tie the same way on every rerun.
+    """
+    payload = [c for c in bronze_media.columns if c not in ("_ingested_at", "ingest_date")]
+    order = [F.col("_ingested_at").desc_nulls_last()]
+    if "ingest_date" in bronze_media.columns:
+        order.append(F.col("ingest_date").desc_nulls_last())
+    order.append(F.xxhash64(*[F.col(c) for c in payload]).desc())
+    newest = latest(bronze_media, ["media_id"], order)
     return newest.select(
         "media_id",
         F.coalesce("title_english", "title_romaji").alias("title"),

@@ -10,18 +10,27 @@ from pyspark.sql import types as T
 from playlake.schemas import RUN_RECORD
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: bool = False,
+               with_seq: bool = False) -> DataFrame:
     """SRC-3: one JSON object per line with a declared schema.
 
     ``strict`` fails on the first malformed line (the eval's behaviour);
     otherwise malformed lines are dropped (the label server's behaviour).
+    ``with_seq`` adds ``file`` and ``seq`` (increasing in line order within a
+    file, assigned at the scan before any shuffle) so that "last line wins"
+    (WIN-2) can be applied by sequence instead of by file order.
     """
     if strict:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-    with_corrupt = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
-    df = (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt").json(path))
-    return df.filter(F.col("_corrupt").isNull()).drop("_corrupt")
+        df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    else:
+        with_corrupt = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
+        df = (spark.read.schema(with_corrupt).option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", "_corrupt").json(path))
+    if with_seq:
+        df = df.withColumn("file", F.col("_metadata.file_path")).withColumn("seq", F.monotonically_increasing_id())
+    if not strict:
+        df = df.filter(F.col("_corrupt").isNull()).drop("_corrupt")
+    return df
 
 
 def read_run_records(spark: SparkSession, path: str) -> DataFrame:

@@ -73,3 +73,17 @@ def test_vector_catalog(spark):
     cat = stats.vector_catalog(stats.title_vectors(titles, "title_key", "genres"), dim, "title_key")
     rows = {r.title_key: r for r in cat.collect()}
     assert rows[2].episodes is None and all(round(x, 4) == x for x in rows[1].tone)
+
+
+def test_jsonl_last_line_wins(spark, tmp):
+    from playlake.operators import labels
+
+    path = os.path.join(tmp, "pass1.jsonl")
+    with open(path, "w") as f:
+        f.write('{"media_id": 1, "title": "A", "mood_tags": ["dark"]}\n')
+        f.write('{"media_id": 2, "title": "B", "mood_tags": ["cozy"]}\n')
+        f.write("not json\n")
+        f.write('{"media_id": 1, "title": "A", "mood_tags": ["hype", "absurd"]}\n')
+    rows = files.read_jsonl(spark, path, GOLDEN_LABELS, with_seq=True)
+    out = {r.media_id: r.mood_tags for r in labels.last_line_wins(rows, "media_id", "seq").collect()}
+    assert out == {1: ["hype", "absurd"], 2: ["cozy"]}
