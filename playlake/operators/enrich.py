@@ -1,6 +1,7 @@
 """Batch enrichment (ENR-1..5): candidates, classification, parsing, assembly.
 
-The classifier is a caller-supplied function ``pandas.DataFrame -> pandas.DataFrame``
+UDF-1: the reference registers no UDF; this ``mapInPandas`` is the only
+Python execution in the library. The classifier is a caller-supplied function ``pandas.DataFrame -> pandas.DataFrame``
 (columns ``media_id, prompt`` in; ``media_id, raw_response, latency_ms,
 input_tokens, output_tokens`` out). It runs in ``mapInPandas`` on Arrow
 batches; parsing and vocabulary filtering stay in Spark expressions.

@@ -123,6 +123,8 @@ def episode_dropoff(
     ``ep2_retention = round(ep2 / ep1, 4)`` with independent distinct counts
     (AGG-3), titles with fewer than ``min_viewers`` episode-1 viewers dropped
     (FLT-4), dimension columns attached by an inner join (JON-2). No stored sort.
+    The dimension key stays in the output, so downstream joins use the key
+    rather than the title text (JON-3), and equal titles cannot fan out.
     """
     counts = episode_viewers(fact, title_key, episode, user_key, strict_cohort, approx).filter(
         F.col("ep1_viewers") >= min_viewers

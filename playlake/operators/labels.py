@@ -38,7 +38,8 @@ def upsert_labels(existing: DataFrame, incoming: DataFrame, key: str = "media_id
 
 
 def agreement(pass1: DataFrame, pass2: DataFrame, key: str = "media_id") -> DataFrame:
-    """JON-5 / EVL-11: per-title Jaccard of two passes, 0.0 for two empty sets,
+    """JON-5 / SET-2 / EVL-11: per-title Jaccard of two passes over the union of
+    their keys, 0.0 for two empty sets,
     NULL unless both passes labeled the title."""
     p1 = pass1.select(key, F.col("title").alias("_t1"), F.col("mood_tags").alias("pass1_tags"), F.lit(True).alias("_in1"))
     p2 = pass2.select(key, F.col("title").alias("_t2"), F.col("mood_tags").alias("pass2_tags"), F.lit(True).alias("_in2"))

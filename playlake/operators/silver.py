@@ -11,7 +11,7 @@ from playlake.functions import parse_string_array, strip_html, to_date_utc, to_t
 
 
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """WIN-1: keep the first row per ``keys`` under ``order`` (e.g. newest first).
+    """WIN-1 / FLT-2: keep the first row per ``keys`` under ``order`` (e.g. newest first).
 
     ``order`` must end in a unique tie-break so reruns keep the same row.
     Catalyst turns ``row_number() ... = 1`` into a WindowGroupLimit that keeps

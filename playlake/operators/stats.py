@@ -144,6 +144,17 @@ def mean_affinity(
     )
 
 
+def affinity_retention_r2(affinity: DataFrame, retention: DataFrame, key: str,
+                          x: str = "mean_affinity", y: str = "ep2_retention", scale: int = 3) -> DataFrame:
+    """JON-7 + STA-2: r^2 of per-title mean affinity against retention.
+
+    Titles are paired by an inner join on the key (both sides have one row
+    per title), then the squared correlation is one aggregate.
+    """
+    pairs = affinity.select(key, x).join(retention.select(key, y), key)
+    return r_squared(pairs, x, y, scale=scale)
+
+
 def unit_vectors(df: DataFrame, key: str, vector: str, alias: str = "vector") -> DataFrame:
     """ARR-5 over a table: L2-normalised vectors, zero vectors left as is.
 

@@ -40,7 +40,7 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flatten_payloads(pages: DataFrame, ingested_at, source: str = SOURCE_TAG) -> DataFrame:
-    """SRC-4: ``data.Page.media[]`` to flat bronze rows.
+    """SRC-4 / JSN-3: ``data.Page.media[]`` to flat bronze rows by struct paths.
 
     An absent ``title`` gives NULL titles; ``genres``/``tags`` become JSON text
     with ``[]`` for NULL; one ingest timestamp for the whole run.
