@@ -81,9 +81,13 @@ def title_vectors(
     genres: str,
     nudges: Mapping[str, tuple[str, float]] = GENRE_NUDGES,
     tones: Sequence[str] = TONES,
+    prefix: str = "tone:",
 ) -> DataFrame:
     """STA-4: unit tone vector per title from a hash plus genre nudges (clamped at 1).
 
+    The hash input is ``prefix`` followed by the key; other prefixes give
+    independent vectors for other entities (e.g. user preferences).
+
     Every nudge is non-negative, so adding all matching nudges and clamping
     once equals clamping after each addition. Genres may repeat and each
     occurrence counts. The work is staged in projections (digest, components,
@@ -92,7 +96,7 @@ def title_vectors(
     digest = df.select(
         F.col(key),
         F.coalesce(F.col(genres), F.array().cast("array<string>")).alias("_g"),
-        F.sha2(F.concat(F.lit("tone:"), F.col(key).cast("string")), 256).alias("_h"),
+        F.sha2(F.concat(F.lit(prefix), F.col(key).cast("string")), 256).alias("_h"),
     )
     parts = []
     for i, tone in enumerate(tones):

@@ -969,3 +969,67 @@ def q_report_document(spark, sf_dir):
     sample = report.top_bottom(d.select("title_key", "title", "primary_genre", "ep2_retention", "ep1_viewers"),
                                "ep2_retention", "title_key", 15)
     return report.report_document(counts, hist, means, variance, qoe, sample)
+
+
+# ---------------------------------------------------------------------------
+# Vector affinity at scale (STA-3 / JON-10 / JON-7): viewers (orders) and
+# titles (suppliers) get hashed unit tone vectors; watched pairs are the
+# distinct (order, supplier) pairs of lineitem.
+# ---------------------------------------------------------------------------
+def _title_affinity(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    pairs = li.select(F.col("l_orderkey").alias("user_key"), F.col("l_suppkey").alias("title_key")).distinct()
+    users = stats.title_vectors(table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("user_key"),
+                                                                      F.lit(None).cast("array<string>").alias("g")),
+                                "user_key", "g", nudges={}, prefix="pref:").withColumnRenamed("tone", "vector")
+    titles = stats.title_vectors(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("title_key"),
+                                                                        F.lit(None).cast("array<string>").alias("g")),
+                                 "title_key", "g", nudges={}).withColumnRenamed("tone", "vector")
+    return stats.mean_affinity(pairs, users, titles, "user_key", "title_key")
+
+
+def _unit_vector_sql(table_name: str, key: str, prefix: str) -> str:
+    hexd = "'0123456789abcdef'"
+    comps = []
+    for i in range(5):
+        hi = f"(instr({hexd}, substr(h, {2 * i + 1}, 1)) - 1)"
+        lo = f"(instr({hexd}, substr(h, {2 * i + 2}, 1)) - 1)"
+        comps.append(f"least(1.0, CAST({hi} * 16 + {lo} AS DOUBLE) / 255.0 + 0.0) AS b{i}")
+    norm = "sqrt(" + " + ".join(f"b{i} * b{i}" for i in range(5)) + ")"
+    vec = ", ".join(f"b{i} / coalesce(nullif(nrm, 0.0), 1.0) AS v{i}" for i in range(5))
+    return f"""(SELECT k, {vec} FROM (SELECT *, {norm} AS nrm FROM (
+        SELECT k, {", ".join(comps)} FROM (SELECT {key} AS k, sha256('{prefix}' || CAST({key} AS VARCHAR)) AS h
+                                            FROM {table_name}))))"""
+
+
+_AFFINITY_SQL = f"""
+pairs AS (SELECT DISTINCT l_orderkey AS user_key, l_suppkey AS title_key FROM lineitem),
+u AS {_unit_vector_sql("orders", "o_orderkey", "pref:")},
+t AS {_unit_vector_sql("supplier", "s_suppkey", "tone:")},
+aff AS (
+    SELECT p.title_key,
+           avg(0.0 + u.v0 * t.v0 + u.v1 * t.v1 + u.v2 * t.v2 + u.v3 * t.v3 + u.v4 * t.v4) AS mean_affinity,
+           count(*) AS n_pairs
+    FROM pairs p JOIN u ON p.user_key = u.k JOIN t ON p.title_key = t.k GROUP BY p.title_key)"""
+
+
+@register("title_affinity", f"""
+WITH {_AFFINITY_SQL}
+SELECT title_key, round_even(mean_affinity, 4) AS mean_affinity, n_pairs FROM aff
+""")
+def q_title_affinity(spark, sf_dir):
+    """STA-3 / JON-10 / ARR-4: mean viewer-title tone affinity over watched pairs."""
+    aff = _title_affinity(spark, sf_dir)
+    return aff.select("title_key", F.bround("mean_affinity", 4).alias("mean_affinity"), "n_pairs")
+
+
+@register("tone_r2", f"""
+WITH {_AFFINITY_SQL}, d AS ({DROPOFF_SQL}), j AS (SELECT mean_affinity AS x, ep2_retention AS y FROM aff JOIN d USING (title_key))
+SELECT count(*) AS n_pairs,
+       round_even(CASE WHEN count(*) >= 3 AND var_pop(x) * var_pop(y) > 0
+                  THEN covar_pop(x, y) * covar_pop(x, y) / (var_pop(x) * var_pop(y)) ELSE 0.0 END, 3) AS r_squared
+FROM j
+""")
+def q_tone_r2(spark, sf_dir):
+    """JON-7 / STA-2: r^2 of mean title affinity against episode-2 retention."""
+    return stats.affinity_retention_r2(_title_affinity(spark, sf_dir), dropoff(spark, sf_dir), "title_key")
