@@ -78,6 +78,18 @@ def bounds_checks(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df.groupBy().agg(*[F.count_if(~F.coalesce(cond, F.lit(False))).alias(name) for name, cond in rules.items()])
 
 
+def unparseable_json(df: DataFrame, column: str, schema: str = "array<string>") -> DataFrame:
+    """ARR-1 quality metric: rows whose JSON text is present but does not parse.
+
+    Spark's ``from_json`` yields NULL where another engine would raise, so the
+    silent NULLs are counted instead: one row ``(column_name, rows, unparseable)``.
+    """
+    text = F.col(column)
+    bad = text.isNotNull() & F.from_json(text, schema).isNull()
+    return df.groupBy().agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("unparseable")).select(
+        F.lit(column).alias("column_name"), "rows", "unparseable")
+
+
 def freeze(df: DataFrame, columns: Sequence[str], sort: Sequence[str]) -> DataFrame:
     """SNK-6: fixed column subset as text: doubles with 4 decimals, NULL as ''.
 

@@ -113,3 +113,9 @@ def test_quality_suite_drift_fingerprint(spark):
     bounds = quality.bounds_checks(spark.createDataFrame([(0.5, 1), (0.0, 0)], "w double, e long"),
                                    {"watch_pct": (F.col("w") > 0) & (F.col("w") <= 1), "episode": F.col("e") >= 1}).first()
     assert (bounds.watch_pct, bounds.episode) == (1, 1)
+
+
+def test_unparseable_json_metric(spark):
+    df = spark.createDataFrame([('["Action"]',), ("[]",), (None,), ("not json",), ('{"a": 1}',)], "genres string")
+    row = quality.unparseable_json(df, "genres").first()
+    assert (row.rows, row.unparseable) == (5, 2)
