@@ -16,6 +16,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Capturing the Python call site of every Column operation (DataFrame
+    # debugging) makes plan construction about 3x slower; errors still carry
+    # the JVM-side query context without it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
