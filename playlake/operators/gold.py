@@ -18,8 +18,15 @@ ENRICHMENT_COLUMNS = T.StructType([
 
 
 def empty_enrichment(spark: SparkSession) -> DataFrame:
-    """PRJ-6: typed empty relation; the optimizer folds the left join away."""
-    return spark.createDataFrame([], ENRICHMENT_COLUMNS)
+    """PRJ-6: typed empty relation; the optimizer folds the left join away.
+
+    Typed NULLs under a false filter: Catalyst proves the relation empty
+    (PruneFilters) and replaces the left join by NULL columns
+    (PropagateEmptyRelation), so no join or shuffle is planned.
+    """
+    return spark.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in ENRICHMENT_COLUMNS.fields]
+    ).where(F.lit(False))
 
 
 def dim_title(stg_media: DataFrame, enrichment: DataFrame | None = None) -> DataFrame:

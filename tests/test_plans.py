@@ -40,3 +40,15 @@ def test_no_cartesian_or_python_in_queries(spark, name):
 def test_global_position_avoids_single_partition_window(spark):
     p = plan(entry.queries()["seeded_shuffle"](spark, SF))
     assert "SinglePartition" not in p.split("BroadcastExchange")[0]
+
+
+def test_empty_enrichment_join_vanishes(spark):
+    from playlake.operators import gold
+
+    stg = spark.createDataFrame([(1, "T", "r", ["Action"], "s", 80, 10, 12, "SPRING", 2020, "TV")],
+                                "media_id long, title string, title_romaji string, genres array<string>, "
+                                "synopsis string, average_score long, popularity long, episodes long, "
+                                "season string, season_year long, format string")
+    p = plan(gold.dim_title(stg))
+    assert "Join" not in p
+    assert gold.dim_title(stg).first().mood_tags is None
