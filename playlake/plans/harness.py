@@ -11,10 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playlake.operators import gold
+from playlake.functions import first_or_null, parse_string_array, py_round, strip_html, to_json_list
+from playlake.functions.json import parse_tag_responses
+from playlake.operators import enrich, evals, gold, quality, report, runlog, silver, stats
+from playlake.operators import labels as labelops
 from playlake.operators.frames import side_by_side
 from playlake.operators.partitioning import spread
 from playlake.plans.tables import table
+from playlake.schemas import GATE_EVENT
+from playlake.sources import bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,14 +88,6 @@ def q_episode_dropoff(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Silver / gold analogs
 # ---------------------------------------------------------------------------
-from playlake.functions import (  # noqa: E402
-    first_or_null,
-    parse_string_array,
-    strip_html,
-    to_json_list,
-)
-from playlake.operators import silver  # noqa: E402
-from playlake.sources import bronze  # noqa: E402
 
 
 @register("latest_per_key", """
@@ -229,8 +226,6 @@ def q_upsert_latest(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Report aggregates over the flagship mart
 # ---------------------------------------------------------------------------
-from playlake.functions import py_round  # noqa: E402
-from playlake.operators import report  # noqa: E402
 
 
 @register("row_counts", """
@@ -317,8 +312,6 @@ def q_top_popular(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Ordering and statistics
 # ---------------------------------------------------------------------------
-from playlake.operators import labels as labelops  # noqa: E402
-from playlake.operators import stats  # noqa: E402
 
 SHUFFLE_SEED = "pass2-shuffle"
 
@@ -448,8 +441,6 @@ def q_vector_affinity(spark, sf_dir):
 # takes one of ten shapes (valid, padded, object, junk item, trailing text,
 # mixed types, bare string, null, single quotes, empty list).
 # ---------------------------------------------------------------------------
-from playlake.operators import enrich, evals  # noqa: E402
-from playlake.functions.json import parse_tag_responses  # noqa: E402
 
 EVAL_VOCAB = ["hq", "lq", "toxic", "safe", "spam"]
 _VOCAB_SQL = "['hq', 'lq', 'toxic', 'safe', 'spam']"
@@ -715,8 +706,6 @@ def q_label_validation(spark, sf_dir):
 # event id), gate boundaries from the first/last event, and the `error` gate
 # failing.
 # ---------------------------------------------------------------------------
-from playlake.operators import runlog  # noqa: E402
-from playlake.schemas import GATE_EVENT  # noqa: E402
 
 
 def _ndjson_lines(spark, sf_dir) -> DataFrame:
@@ -860,7 +849,6 @@ def q_log_tail(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Data quality
 # ---------------------------------------------------------------------------
-from playlake.operators import quality  # noqa: E402
 
 
 @register("dq_unique", """
