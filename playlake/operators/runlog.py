@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.functions.json import with_json_check
+from playlake.operators.silver import latest
 from playlake.schemas import GATE_EVENT, RUN_ID_PATTERN, TAIL_LINES
 
 
@@ -57,23 +58,27 @@ def centiseconds(start: Column, end: Column) -> Column:
 
 def gate_rollup(events: DataFrame, tail_lines: int = TAIL_LINES) -> DataFrame:
     """STR-4 / STR-6 per gate: status and duration from its end event (duration
-    from start/end timestamps when absent), the last log lines, first sequence."""
+    from start/end timestamps when absent), the last log lines, first sequence.
+
+    The aggregation over every event uses fixed-width buffers only (hash
+    aggregate, map-side combine); the last end event per gate is picked from
+    the few ``gate_end`` rows alone, and the tail is trimmed map-side.
+    """
     keys = ["run_id", "gate"]
     g = events.filter(F.col("gate").isNotNull())
-    ends = F.col("event") == "gate_end"
     bounds = g.groupBy(*keys).agg(
         F.min("seq").alias("first_seq"),
         F.min("ts").alias("started_at"),
         F.max("ts").alias("ended_at"),
         F.min(F.when(F.col("event") == "gate_start", F.col("ts"))).alias("_start"),
-        F.max(F.when(ends, F.col("ts"))).alias("_end"),
-        F.max_by(F.when(ends, F.col("status")), F.when(ends, F.col("seq"))).alias("_status"),
-        F.max_by(F.when(ends, F.col("duration_s")), F.when(ends, F.col("seq"))).alias("_reported"),
+        F.max(F.when(F.col("event") == "gate_end", F.col("ts"))).alias("_end"),
         F.count_if(F.col("event") == "log").alias("n_lines"),
     )
+    ends = latest(g.filter(F.col("event") == "gate_end"), keys, [F.col("seq").desc()]).select(
+        *keys, F.col("status").alias("_status"), F.col("duration_s").alias("_reported"))
     tails = log_tail(g.filter(F.col("event") == "log"), keys, "seq", "line", tail_lines)
     measured = centiseconds(F.col("_start"), F.col("_end")).cast("double") / F.lit(100.0)
-    return bounds.join(tails, keys, "left").select(
+    return bounds.join(ends, keys, "left").join(tails, keys, "left").select(
         *keys,
         "first_seq",
         "started_at",
