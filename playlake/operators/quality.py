@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession  # noqa: F401
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,17 +56,47 @@ class Check:
 
 
 def run_suite(checks: Sequence[Check]) -> DataFrame:
-    """DQ-4: every check runs; one result row each (test, model, column, failures, passed)."""
-    parts = [
-        c.failures().select(
-            F.lit(i).alias("test_order"),
-            F.lit(c.kind).alias("test"),
-            F.lit(c.model).alias("model"),
-            F.lit(c.column).alias("column_name"),
-            F.col("failures").cast("long").alias("failures"),
+    """DQ-4: every check runs; one result row each (test, model, column, failures, passed).
+
+    Checks share passes over their table: a ``unique`` and a ``not_null`` test
+    on the same column come from one grouped count (the NULL-key group holds
+    the not-null failures), the remaining ``not_null`` tests of a table fold
+    into one aggregation, and only ``relationships`` tests add an anti join.
+    """
+    def row(i: int, c: Check, failures: Column) -> Column:
+        return [F.lit(i).alias("test_order"), F.lit(c.kind).alias("test"), F.lit(c.model).alias("model"),
+                F.lit(c.column).alias("column_name"), failures.cast("long").alias("failures")]
+
+    indexed = list(enumerate(checks))
+    unique_cols = {(id(c.df), c.column) for _, c in indexed if c.kind == "unique"}
+    parts: list[DataFrame] = []
+
+    # unique (+ not_null on the same column): one grouped count per column
+    for df_id, column in sorted(unique_cols, key=lambda k: k[1]):
+        group = [(i, c) for i, c in indexed if id(c.df) == df_id and c.column == column
+                 and c.kind in ("unique", "not_null")]
+        df = group[0][1].df
+        counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        folded = counts.groupBy().agg(
+            F.count_if(F.col(column).isNotNull() & (F.col("_n") > 1)).alias("_dup"),
+            F.coalesce(F.sum(F.when(F.col(column).isNull(), F.col("_n"))), F.lit(0)).alias("_null"),
         )
-        for i, c in enumerate(checks)
-    ]
+        for i, c in group:
+            parts.append(folded.select(*row(i, c, F.col("_dup") if c.kind == "unique" else F.col("_null"))))
+
+    # remaining not_null tests: one aggregation per table
+    rest = [(i, c) for i, c in indexed if c.kind == "not_null" and (id(c.df), c.column) not in unique_cols]
+    for df_id in dict.fromkeys(id(c.df) for _, c in rest):
+        group = [(i, c) for i, c in rest if id(c.df) == df_id]
+        folded = group[0][1].df.groupBy().agg(
+            *[F.count_if(F.col(c.column).isNull()).alias(f"_null{i}") for i, c in group])
+        for i, c in group:
+            parts.append(folded.select(*row(i, c, F.col(f"_null{i}"))))
+
+    for i, c in indexed:
+        if c.kind not in ("unique", "not_null"):
+            parts.append(c.failures().select(*row(i, c, F.col("failures"))))
+
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
