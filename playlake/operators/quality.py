@@ -64,8 +64,12 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
     into one aggregation, and only ``relationships`` tests add an anti join.
     """
     def row(i: int, c: Check, failures: Column) -> Column:
-        return [F.lit(i).alias("test_order"), F.lit(c.kind).alias("test"), F.lit(c.model).alias("model"),
-                F.lit(c.column).alias("column_name"), failures.cast("long").alias("failures")]
+        return F.struct(F.lit(i).alias("test_order"), F.lit(c.kind).alias("test"), F.lit(c.model).alias("model"),
+                        F.lit(c.column).alias("column_name"), failures.cast("long").alias("failures"))
+
+    def emit(folded: DataFrame, rows: list[Column]) -> DataFrame:
+        # every result row of one shared pass comes out of that single pass
+        return folded.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
     indexed = list(enumerate(checks))
     unique_cols = {(id(c.df), c.column) for _, c in indexed if c.kind == "unique"}
@@ -81,8 +85,8 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
             F.count_if(F.col(column).isNotNull() & (F.col("_n") > 1)).alias("_dup"),
             F.coalesce(F.sum(F.when(F.col(column).isNull(), F.col("_n"))), F.lit(0)).alias("_null"),
         )
-        for i, c in group:
-            parts.append(folded.select(*row(i, c, F.col("_dup") if c.kind == "unique" else F.col("_null"))))
+        parts.append(emit(folded, [row(i, c, F.col("_dup") if c.kind == "unique" else F.col("_null"))
+                                   for i, c in group]))
 
     # remaining not_null tests: one aggregation per table
     rest = [(i, c) for i, c in indexed if c.kind == "not_null" and (id(c.df), c.column) not in unique_cols]
@@ -90,12 +94,11 @@ def run_suite(checks: Sequence[Check]) -> DataFrame:
         group = [(i, c) for i, c in rest if id(c.df) == df_id]
         folded = group[0][1].df.groupBy().agg(
             *[F.count_if(F.col(c.column).isNull()).alias(f"_null{i}") for i, c in group])
-        for i, c in group:
-            parts.append(folded.select(*row(i, c, F.col(f"_null{i}"))))
+        parts.append(emit(folded, [row(i, c, F.col(f"_null{i}")) for i, c in group]))
 
     for i, c in indexed:
         if c.kind not in ("unique", "not_null"):
-            parts.append(c.failures().select(*row(i, c, F.col("failures"))))
+            parts.append(emit(c.failures(), [row(i, c, F.col("failures"))]))
 
     out = parts[0]
     for p in parts[1:]:
