@@ -138,11 +138,23 @@ def freeze(df: DataFrame, columns: Sequence[str], sort: Sequence[str]) -> DataFr
 
 
 def drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """SET-4 / DQ-5: bag difference in both directions with a ``side`` column."""
+    """SET-4 / DQ-5: bag difference in both directions with a ``side`` column.
+
+    Equals ``expected.exceptAll(actual)`` tagged 'missing' plus
+    ``actual.exceptAll(expected)`` tagged 'unexpected', computed in one pass:
+    rows are counted with sign +1 / -1 per side (NULLs group together), and a
+    row with net count k != 0 is emitted |k| times on its side. Each input is
+    read once; identical hot rows combine map-side.
+    """
     cols = expected.columns
-    missing = expected.exceptAll(actual.select(*cols)).withColumn("side", F.lit("missing"))
-    unexpected = actual.select(*cols).exceptAll(expected).withColumn("side", F.lit("unexpected"))
-    return missing.unionByName(unexpected)
+    signed = expected.select(*cols, F.lit(1).alias("_d")).unionByName(
+        actual.select(*cols, F.lit(-1).alias("_d")))
+    net = signed.groupBy(*cols).agg(F.sum("_d").alias("_net")).filter(F.col("_net") != 0)
+    return net.select(
+        *cols,
+        F.when(F.col("_net") > 0, F.lit("missing")).otherwise(F.lit("unexpected")).alias("side"),
+        F.explode(F.sequence(F.lit(1), F.abs(F.col("_net")).cast("int"))).alias("_copy"),
+    ).drop("_copy")
 
 
 def fingerprint(df: DataFrame, name: str | None = None) -> DataFrame:

@@ -38,3 +38,20 @@ def test_global_position_is_a_dense_stable_ranking(spark, values, parts):
     got = [r.i for r in out.orderBy("position").collect()]
     assert got == sorted(range(len(values)), key=lambda i: (values[i], i))
     assert sorted(r.position for r in out.collect()) == list(range(1, len(values) + 1))
+
+
+bags = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from(["1.0000", "", None])), max_size=30)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(bags, bags)
+def test_drift_equals_except_all_both_ways(spark, left, right):
+    from playlake.operators import quality
+
+    schema = "t string, v string"
+    e, a = spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)
+    got = [tuple(r) for r in quality.drift(e, a).collect()]
+    want = ([tuple(r) + ("missing",) for r in e.exceptAll(a).collect()]
+            + [tuple(r) + ("unexpected",) for r in a.exceptAll(e).collect()])
+    key = lambda r: tuple("" if x is None else "~" + x for x in r)
+    assert sorted(got, key=key) == sorted(want, key=key)
