@@ -765,7 +765,9 @@ def _gate_events(spark, sf_dir) -> DataFrame:
     out = logs
     for part in (starts, ends, run_start, run_end):
         out = out.unionByName(part)
-    return out.select(*cols)
+    # the derived log is stored once (as the append sink stores a live log);
+    # the rollups then read it instead of re-deriving it per branch
+    return out.select(*cols).checkpoint(eager=True)
 
 
 _GATES_SQL = """
