@@ -32,8 +32,12 @@ def enriched_dim_title(stg_media: DataFrame, results: DataFrame) -> DataFrame:
 
 def evaluate(golden: DataFrame, results: DataFrame, vocab: Sequence[str] = MOOD_TAGS,
              min_f1: float = MIN_MACRO_F1, max_parse_fail: float = MAX_PARSE_FAIL) -> dict[str, DataFrame]:
-    """EVL-1..8: per-tag confusion and P/R/F1, and the summary row with the gate."""
-    scored = evals.score_join(golden, results)
+    """EVL-1..8: per-tag confusion and P/R/F1, and the summary row with the gate.
+
+    The scored join (one row per golden title) is stored once and read by the
+    per-tag and per-title branches.
+    """
+    scored = evals.score_join(golden, results).checkpoint(eager=True)
     confusion = evals.tag_confusion(scored, vocab)
     prf = evals.tag_prf(confusion)
     summary = evals.eval_summary(golden, scored, prf, min_f1, max_parse_fail)

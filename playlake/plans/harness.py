@@ -592,7 +592,8 @@ FROM per, macro
 def q_eval_summary(spark, sf_dir):
     """EVL-3..8: macro-F1, mean Jaccard, parse failures, tokens per title, gate."""
     golden = _golden(spark, sf_dir)
-    scored = _scored(spark, sf_dir)
+    # one row per golden title, read by both the per-title and the per-tag branch
+    scored = _scored(spark, sf_dir).checkpoint(eager=True)
     prf = evals.tag_prf(evals.tag_confusion(scored, EVAL_VOCAB))
     return evals.eval_summary(golden, scored, prf)
 
