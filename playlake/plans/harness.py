@@ -608,8 +608,13 @@ SELECT count(*) AS n,
 FROM preds
 """)
 def q_trace_health(spark, sf_dir):
-    """EVL-9 / EVL-10: empty-tag rate, exact p95 latency, tokens and cost per title."""
-    return evals.trace_health(_responses(spark, sf_dir), *RATES)
+    """EVL-9 / EVL-10: empty-tag rate, exact p95 latency, tokens and cost per title.
+
+    The predictions are stored once (as enrichment results are), since both
+    the summary and the distributed percentile read them.
+    """
+    preds = _responses(spark, sf_dir).select("mood_tags", "latency_ms", "input_tokens", "output_tokens")
+    return evals.trace_health(preds.checkpoint(eager=True), *RATES)
 
 
 @register("enrich_candidates", """
