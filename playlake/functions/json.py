@@ -33,8 +33,12 @@ def _single_value(text: Column) -> tuple[Column, Column]:
     return F.coalesce(ok, F.lit(False)), F.try_element_at(items, F.lit(1))
 
 
-def with_json_check(df, column: str, out: str = "is_json"):
-    """DataFrame form of :func:`is_json_text`; the parse runs once per row."""
+def with_json_check(df, column: str, out: str = "is_json", value: str | None = None):
+    """DataFrame form of :func:`is_json_text`; the parse runs once per row.
+
+    With ``value`` set, the parsed value is kept as a variant column of that
+    name, so callers can read fields without parsing the text again.
+    """
     seal = F.sha2(F.col(column), 256)
     staged = df.withColumn("_jc_seal", seal).withColumn(
         "_jc_items",
@@ -45,7 +49,10 @@ def with_json_check(df, column: str, out: str = "is_json"):
         ),
     )
     ok = F.try_variant_get(F.try_element_at(F.col("_jc_items"), F.lit(2)), "$", "string") == F.col("_jc_seal")
-    return staged.withColumn(out, F.coalesce(ok, F.lit(False))).drop("_jc_seal", "_jc_items")
+    staged = staged.withColumn(out, F.coalesce(ok, F.lit(False)))
+    if value:
+        staged = staged.withColumn(value, F.try_element_at(F.col("_jc_items"), F.lit(1)))
+    return staged.drop("_jc_seal", "_jc_items")
 
 
 def is_json_text(line: ColumnOrName) -> Column:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from playlake.functions.json import with_json_check
 from playlake.operators.silver import latest
@@ -23,9 +24,13 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()
 
     Works on batch and streaming frames alike. Returns the F8 columns plus ``keep``.
     """
-    checked = with_json_check(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_ok")
-    parsed = F.from_json(F.col(value), schema or GATE_EVENT)
-    return checked.filter("_ok").select(*keep, parsed.alias("_e")).select(*keep, "_e.*")
+    schema = schema or GATE_EVENT
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    checked = with_json_check(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_ok", "_v")
+    # fields come from the value parsed by the check; the text is not parsed twice
+    fields = [F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
+    return checked.filter("_ok").select(*keep, *fields)
 
 
 def rejected_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
