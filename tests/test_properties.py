@@ -55,3 +55,64 @@ def test_drift_equals_except_all_both_ways(spark, left, right):
             + [tuple(r) + ("unexpected",) for r in a.exceptAll(e).collect()])
     key = lambda r: tuple("" if x is None else "~" + x for x in r)
     assert sorted(got, key=key) == sorted(want, key=key)
+
+
+keyed = st.lists(st.tuples(st.integers(1, 8), st.integers(0, 5)), max_size=25)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(keyed, keyed)
+def test_upsert_matches_merge_semantics(spark, target_rows, incoming_rows):
+    from playlake.sources import bronze
+
+    target = {}
+    for k, v in target_rows:
+        target[k] = (v, -1)  # one row per key in a target table
+    incoming = [(k, v, i) for i, (k, v) in enumerate(incoming_rows)]
+    t = spark.createDataFrame([(k, v, s) for k, (v, s) in target.items()], "k long, v long, s long")
+    inc = spark.createDataFrame(incoming, "k long, v long, s long")
+    got = {r.k: (r.v, r.s) for r in bronze.upsert(t, inc, ["k"], [F.col("s").desc()]).collect()}
+    want = dict(target)
+    for k, v, s in incoming:  # later rows win
+        want[k] = (v, s)
+    assert got == want
+
+
+lines = st.lists(st.tuples(st.integers(1, 3), st.integers(0, 1000)), max_size=80, unique_by=lambda x: x[1])
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines, st.integers(1, 6))
+def test_log_tail_matches_brute_force(spark, rows, n):
+    from playlake.operators import runlog
+
+    df = spark.createDataFrame([(g, s, f"l{s}") for g, s in rows], "g long, seq long, line string")
+    got = {r.g: r.tail for r in runlog.log_tail(df, ["g"], "seq", "line", n).collect()}
+    want = {}
+    for g in {g for g, _ in rows}:
+        seqs = sorted(s for gg, s in rows if gg == g)[-n:]
+        want[g] = [f"l{s}" for s in seqs]
+    assert got == want
+
+
+tagsets = st.lists(st.sampled_from(["dark", "cozy", "hype", "melancholy", "absurd", "x"]), max_size=4)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(tagsets, tagsets, st.sampled_from(["", "raw", None])), min_size=1, max_size=20))
+def test_eval_metrics_match_brute_force(spark, rows):
+    from playlake.operators import evals
+    from playlake.schemas import MOOD_TAGS
+    from tests.test_evals_labels import brute
+
+    golden = [(i, w) for i, (w, _, _) in enumerate(rows)]
+    preds = [(i, g, raw, 1, 2) for i, (_, g, raw) in enumerate(rows)]
+    gdf = spark.createDataFrame(golden, "media_id long, mood_tags array<string>")
+    pdf = spark.createDataFrame(preds, "media_id long, mood_tags array<string>, raw_response string, "
+                                       "input_tokens long, output_tokens long")
+    tp, fp, fn, f1s, macro, jac, pf, tok, n = brute(golden, preds, MOOD_TAGS)
+    scored = evals.score_join(gdf, pdf)
+    prf = evals.tag_prf(evals.tag_confusion(scored, MOOD_TAGS))
+    s = evals.eval_summary(gdf, scored, prf).first()
+    assert (s.n_scored, s.tokens_per_title) == (n, tok)
+    assert s.macro_f1 == round(macro, 4) and s.mean_jaccard == round(jac, 4) and s.parse_fail_rate == round(pf, 4)
