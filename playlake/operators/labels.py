@@ -80,3 +80,23 @@ def seeded_order(df: DataFrame, key: str, seed: str, name: str = "position") ->
 def last_line_wins(df: DataFrame, key: str, seq: str) -> DataFrame:
     """WIN-2: the last line per key by an explicit sequence column (never file order)."""
     return latest(df, [key], [F.col(seq).desc()])
+
+
+def labeling_pool(dim_title: DataFrame, k: int = 50, shuffled: bool = False, seed: str = "pass2-shuffle",
+                  existing: DataFrame | None = None) -> DataFrame:
+    """SRT-3 + WIN-4: the titles offered for labeling.
+
+    The ``k`` most popular titles (NULL popularity last, key as tie-break),
+    with a ``position``: popularity rank for the first pass, or a stable
+    seed-keyed shuffled position for the blind second pass. ``existing``
+    labels (first pass only) are attached by a left join on the key.
+    """
+    from playlake.operators.report import top_k
+
+    pool = top_k(dim_title.select(F.col("title_key").alias("media_id"), "title", "synopsis", "popularity"),
+                 [F.col("popularity").desc_nulls_last(), F.col("media_id").asc()], k, "position")
+    if shuffled:
+        pool = seeded_order(pool.drop("position"), "media_id", seed)
+    if existing is not None and not shuffled:
+        pool = pool.join(existing.select("media_id", F.col("mood_tags").alias("existing_tags")), "media_id", "left")
+    return pool.withColumn("synopsis", F.coalesce(F.col("synopsis"), F.lit("")))
