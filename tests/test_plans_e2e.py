@@ -36,10 +36,10 @@ def test_gate_records_round_trip(spark, tmp):
     with open(os.path.join(src, "run.ndjson"), "w") as f:
         for i, x in enumerate(LINES):
             f.write((json.dumps(dict(x, seq=i)) if isinstance(x, dict) else x) + "\n")
-    recs = gate_runs.run_records(gate_runs.events_from_files(spark, src), trigger="labboard")
+    recs = gate_runs.run_records(gate_runs.events_from_files(spark, src), trigger="ui")
     out = os.path.join(tmp, "runs")
     gate_runs.write_records(recs, out)
     back = spark.read.json(out).first()
-    assert back.status == "fail" and back.trigger == "labboard" and len(back.gates) == 3
+    assert back.status == "fail" and back.trigger == "ui" and len(back.gates) == 3
     checked = runlog.check_records(recs).first()
     assert checked.record_ok
