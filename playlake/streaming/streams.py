@@ -45,6 +45,17 @@ def append_log(events: DataFrame, out_path: str, checkpoint: str, available_now:
     return writer.start(out_path)
 
 
+def append_to(stream: DataFrame, out_path: str, checkpoint: str, partition_by: Sequence[str] = (),
+              available_now: bool = False) -> StreamingQuery:
+    """Exactly-once parquet append of any stream (e.g. cleaned playback into silver)."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start(out_path)
+
+
 def replay(spark: SparkSession, log_path: str, schema: T.StructType = GATE_EVENT_SEQ) -> DataFrame:
     """STR-3: a late reader sees every stored event first, then new ones.
 

@@ -107,3 +107,28 @@ def test_run_sessions_bounded_state(spark, tmp):
     # the early run is final once the watermark passed its session end; the later one is still open
     assert set(rows) == {LINES[0]["run_id"]}
     assert rows[LINES[0]["run_id"]].status == "fail" and rows[LINES[0]["run_id"]].gates_done == 3
+
+
+def test_playback_stream_feeds_the_mart(spark, tmp):
+    from playlake.operators import gold
+
+    src = os.path.join(tmp, "raw")
+    os.makedirs(src)
+    rows = []
+    for uid in range(1, 31):
+        for ep in (1, 2) if uid % 3 else (1,):
+            rows.append({"event_id": f"{uid}-7-{ep}", "user_id": uid, "media_id": 7, "episode": ep,
+                         "started_at": "2026-04-01T10:00:00+00:00", "watch_pct": 0.5, "completed": False,
+                         "rebuffer_count": 0, "startup_time_ms": 900, "device": "tv", "region": "NA"})
+    rows.append(dict(rows[0]))  # a redelivered event
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+    silver_path = os.path.join(tmp, "silver")
+    q = streams.append_to(streams.clean_playback(streams.playback_stream(spark, src)), silver_path,
+                          os.path.join(tmp, "ck"), available_now=True)
+    q.awaitTermination(120)
+    stored = spark.read.parquet(silver_path)
+    assert stored.count() == len(rows) - 1
+    dim = spark.createDataFrame([(7, "Seven")], "title_key long, title string")
+    mart = gold.episode_dropoff(gold.fact_playback(stored), dim).first()
+    assert (mart.ep1_viewers, mart.ep2_viewers) == (30, 20)
