@@ -127,10 +127,15 @@ def trace_health(
     output_rate: float,
     quantile: float = 0.95,
     scale: int = 4,
+    exact: bool = True,
+    accuracy: int = 10000,
 ) -> DataFrame:
-    """EVL-9 / EVL-10: empty-tag rate, exact latency percentile, tokens and cost per title.
+    """EVL-9 / EVL-10: empty-tag rate, latency percentile, tokens and cost per title.
 
     Rates are caller-supplied prices per token; there is no default price.
+    ``exact`` ranks every latency with a distributed range sort (linear
+    interpolation, as ``percentile``); ``exact=False`` merges fixed-size
+    quantile sketches map-side (``percentile_approx``), with no sort.
     """
     tok_in = F.coalesce(F.col("input_tokens"), F.lit(0))
     tok_out = F.coalesce(F.col("output_tokens"), F.lit(0))
@@ -140,7 +145,11 @@ def trace_health(
         F.sum(tok_in + tok_out).alias("_tok"),
         F.avg(tok_in * F.lit(float(input_rate)) + tok_out * F.lit(float(output_rate))).alias("_cost"),
     )
-    pct = exact_percentile(preds, "latency_ms", quantile, "_p")
+    if exact:
+        pct = exact_percentile(preds, "latency_ms", quantile, "_p")
+    else:
+        pct = preds.groupBy().agg(
+            F.percentile_approx(F.col("latency_ms").cast("double"), quantile, accuracy).alias("_p"))
     return side_by_side(base, pct).select(
         "n",
         py_round("_empty", scale).alias("empty_tag_rate"),
