@@ -26,6 +26,10 @@ def _norm(v):
     return v
 
 
+_FAMILY = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+           "date": "DATE"}
+
+
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -48,6 +52,12 @@ def test_query_matches_oracle(spark, con, name):
     if sql is None:
         assert len(got) >= 0
         return
+    rel = con.sql(sql)
+    types = dict(df.dtypes)
+    for c, ty in zip(rel.columns, rel.types):  # same type family, no DECIMAL/HUGEINT drift
+        s = types[c]
+        want = f"{_FAMILY[s[6:-1]]}[]" if s.startswith("array<") else _FAMILY.get(s)
+        assert str(ty) == want, (c, s, str(ty))
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
     assert sorted(ocols) == cols
