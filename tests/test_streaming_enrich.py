@@ -132,3 +132,23 @@ def test_playback_stream_feeds_the_mart(spark, tmp):
     dim = spark.createDataFrame([(7, "Seven")], "title_key long, title string")
     mart = gold.episode_dropoff(gold.fact_playback(stored), dim).first()
     assert (mart.ep1_viewers, mart.ep2_viewers) == (30, 20)
+
+
+def test_classifier_called_once_per_title(spark, tmp):
+    import pandas as pd
+
+    log = os.path.join(tmp, "calls.txt")
+
+    def counting(batch: pd.DataFrame) -> pd.DataFrame:
+        with open(log, "a") as f:
+            f.write("".join(f"{m}\n" for m in batch["media_id"]))
+        return pd.DataFrame({"media_id": batch["media_id"].astype("int64"), "raw_response": '["dark"]',
+                             "latency_ms": 1, "input_tokens": 1, "output_tokens": 1})
+
+    titles = spark.createDataFrame([(i, "a long enough synopsis text " * 3) for i in range(40)],
+                                   "title_key long, synopsis string").repartition(4)
+    raw = enrich.classify(enrich.candidates(titles), counting)
+    assert raw.count() == 40 and len(raw.collect()) == 40
+    assert enrich.assemble(raw, "m").filter("parse_ok").count() == 40
+    calls = open(log).read().split()
+    assert sorted(map(int, calls)) == list(range(40))  # each title classified exactly once
