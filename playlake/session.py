@@ -58,18 +58,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     (tests, local runs) do we fall back to a fresh scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote client: the server side owns checkpointing
+        return (configured or "").rstrip("/")
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+        configured = sc.getCheckpointDir()
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a shared, fault-tolerant folder "
                 "(a machine-local temporary folder does not survive executor loss)"
             )
         configured = tempfile.mkdtemp(prefix="playlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(configured)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 
