@@ -7,15 +7,17 @@ Registers are cut into bands; representatives that share a band are candidates.
 on if the collision-corrected Jaccard estimate is not far below the threshold, and becomes a
 link if the full sets confirm it.
 
-Links are searched in two passes, so that a large group does not become all its pairs:
+Links are searched in three passes, so that a large group does not become all its pairs:
 
 1. each representative is compared with the smallest and largest members of its buckets
    (the three with which it shares most bands); confirmed links give first components;
-2. in each bucket that still holds several components, all pairs across components are
+2. in a few rounds over parts of the bands, each document outside its bucket's main component
+   tries its likeliest partner in another component, which joins most of a large group;
+3. in each bucket that still holds several components, all pairs across components are
    compared by their sketches (by a join in small buckets, else in blocks of about
    ``BLOCK`` members a side), and the likely ones confirmed.
 
-The second pass covers every pair that the first left out and that could join two
+The last pass covers every pair that the others left out and that could join two
 components, so components are those of all links among banded pairs. With 48 bands of
 5 registers a pair at similarity 0.8 shares no band with probability 5e-9.
 
@@ -44,9 +46,12 @@ BANDS, ROWS = 48, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Standard deviations by which an estimate may fall short of the threshold and still be confirmed.
-SIGMAS = 5.0
+SIGMAS = 4.0
 #: Members of a bucket up to which all its pairs are joined, and of the blocks that larger ones are cut into.
 SMALL, BLOCK = 16, 1000
+#: Rounds in which each document outside its bucket's main component tries its likeliest partner.
+#: They only order the work: what they leave is compared in full afterwards.
+ROUNDS = 3
 _RULE = W.rule(lower=True)
 _EC = 0.16991948715973909  # expected collisions, HyperMinHash paper (Yu and Weber), section on bias
 
@@ -104,12 +109,10 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return (equal - chance) / used, used
 
 
-def _likely(a, b, n_a, n_b, threshold: float) -> np.ndarray:
+def _allowed(est, used, n_a, n_b, threshold: float) -> np.ndarray:
     """Pairs that full sets must confirm: sizes allow the threshold, the estimate comes near it."""
-    est, used = estimate(a, b, n_a, n_b)
     low = threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / used)
-    sizes = np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b) - 1e-9
-    return sizes & (est >= low)
+    return (np.minimum(n_a, n_b) >= threshold * np.maximum(n_a, n_b) - 1e-9) & (est >= low)
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
@@ -164,7 +167,8 @@ def _pairs_near(reps: DataFrame, pairs: DataFrame, threshold: float) -> DataFram
         for x in batches:
             if len(x):
                 a, b = (np.frombuffer(b"".join(x[c]), ">u2").reshape(len(x), REGISTERS) for c in ("s_a", "s_b"))
-                yield x.loc[_likely(a, b, x["n_a"].to_numpy(), x["n_b"].to_numpy(), threshold), ["a", "b"]]
+                n_a, n_b = x["n_a"].to_numpy(), x["n_b"].to_numpy()
+                yield x.loc[_allowed(*estimate(a, b, n_a, n_b), n_a, n_b, threshold), ["a", "b"]]
 
     return pairs.join(one, "a").join(two, "b").mapInPandas(run, "a long, b long")
 
@@ -242,9 +246,31 @@ def _small_pairs(open_: DataFrame) -> DataFrame:
     return small.join(two, "band").where("rep < b and label <> l_b").select(F.col("rep").alias("a"), "b").distinct()
 
 
-def _large_pairs(open_: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """All likely pairs across components in larger buckets, compared in blocks."""
-    members = (
+def _across(x: pd.DataFrame, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rep, others, estimates) of likely pairs across components between two blocks of a bucket.
+
+    Members of the most common component are only compared with those outside it.
+    """
+    sketch = np.frombuffer(b"".join(x["sketch"]), ">u2").reshape(len(x), REGISTERS).astype(np.uint16)
+    rep, n, label = (x[c].to_numpy() for c in ("rep", "n_shingles", "label"))
+    left, right = ((x["own"] == x[c]).to_numpy() for c in ("i", "j"))
+    names, counts = np.unique(label, return_counts=True)
+    major = names[counts.argmax()]
+    for mine, other, all_ in ((left, right, True), (right, left, False)):
+        if not all_ and (left == right).all():
+            return
+        for k in np.flatnonzero(mine & (label != major)):
+            far = np.flatnonzero(other & (label != label[k]) if all_ else other & (label == major))
+            if len(far):
+                est, used = estimate(sketch[k][None], sketch[far], n[k], n[far])
+                ok = _allowed(est, used, n[k], n[far], threshold)
+                if ok.any():
+                    yield rep[k], rep[far[ok]], est[ok]
+
+
+def _blocks(open_: DataFrame, reps: DataFrame) -> DataFrame:
+    """Members of larger buckets, dealt to the pairs (i, j) of their bucket's blocks."""
+    return (
         open_.where(F.col("n") > SMALL)
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
         .join(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch"), "rep")
@@ -256,20 +282,29 @@ def _large_pairs(open_: DataFrame, reps: DataFrame, threshold: float) -> DataFra
         )
     )
 
+
+def _best_pairs(open_: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """For each member outside its block's main component, the likeliest partner in another one."""
+
     def run(x: pd.DataFrame) -> pd.DataFrame:
-        left, right = x[x["own"] == x["i"]], x[x["own"] == x["j"]]
-        s = np.frombuffer(b"".join(right["sketch"]), ">u2").reshape(len(right), REGISTERS)
-        n, lab, rep = (right[c].to_numpy() for c in ("n_shingles", "label", "rep"))
-        out = []
-        for own in left.itertuples():
-            far = np.flatnonzero(lab != own.label)
-            if len(far):
-                mine = np.frombuffer(own.sketch, ">u2")[None]
-                near = far[_likely(mine, s[far], np.int64(own.n_shingles), n[far], threshold)]
-                out += [(min(own.rep, r), max(own.rep, r)) for r in rep[near]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64").drop_duplicates()
+        best = [(k, others[est.argmax()], est.max()) for k, others, est in _across(x, threshold)]
+        return pd.DataFrame(best, columns=["rep", "other", "est"]).astype({"rep": "int64", "other": "int64", "est": "float64"})
+
+    found = _blocks(open_, reps).groupBy("band", "i", "j").applyInPandas(run, "rep long, other long, est double")
+    best = found.groupBy("rep").agg(F.max(F.struct("est", "other"))["other"].alias("other"))
+    return best.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
-    return members.groupBy("band", "i", "j").applyInPandas(run, "a long, b long").distinct()
+
+def _large_pairs(open_: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """All likely pairs across components in larger buckets."""
+
+    def run(x: pd.DataFrame) -> pd.DataFrame:
+        out = [np.empty((0, 2), np.int64)]
+        for k, others, _ in _across(x, threshold):
+            out.append(np.stack([np.minimum(k, others), np.maximum(k, others)], 1))
+        return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
+
+    return _blocks(open_, reps).groupBy("band", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, threshold_pct: int = 80) -> DataFrame:
@@ -292,17 +327,23 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, thresho
     )
     shared = store(spark, _shared_bands(_bands(reps)), "bands")
     first = store(spark, _pairs_near(reps, _first_pairs(shared), threshold), "pairs")
-    ids = first.select(F.col("a").alias("doc_id")).union(first.select("b")).distinct()
-    sets = store(spark, _shingles_of(docs, ids, size), "sets")
+    sets = store(spark, _shingles_of(docs, shared.select(F.col("rep").alias("doc_id")).distinct(), size), "sets")
     links = store(spark, _confirm(sets, first, threshold_pct), "links")
-    same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     label = connected_components(spark, links)
+    tried = first
+    for turn in range(ROUNDS):
+        some = _open_buckets(shared.where(F.pmod(F.col("band"), F.lit(4 * ROUNDS)) == turn), label)
+        best = store(spark, _best_pairs(some, reps, threshold).join(tried, ["a", "b"], "left_anti"), "pairs")
+        if best.isEmpty():
+            continue
+        tried = tried.unionByName(best)
+        links = links.unionByName(store(spark, _confirm(sets, best, threshold_pct), "links"))
+        label = connected_components(spark, links)
     open_ = store(spark, _open_buckets(shared, label), "open")
-    across = _pairs_near(reps, _small_pairs(open_), threshold).union(_large_pairs(open_, reps, threshold))
-    across = store(spark, across.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    more = across.select(F.col("a").alias("doc_id")).union(across.select("b")).distinct()
-    sets = store(spark, _shingles_of(docs, more, size), "sets")
-    links = links.unionByName(_confirm(sets, across, threshold_pct))
+    rest = _pairs_near(reps, _small_pairs(open_), threshold).union(_large_pairs(open_, reps, threshold))
+    rest = store(spark, rest.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(store(spark, _confirm(sets, rest, threshold_pct), "links"))
+    same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     final = connected_components(spark, links.unionByName(same))
     return (
         rows.select("doc_id", "n_shingles")
