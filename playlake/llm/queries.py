@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlake.llm import hyperminhash
+from playlake.llm import debruijn, hyperminhash
 from playlake.llm.common import table
 
 
+def op5_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.remove_repeats(table(spark, sf_dir, "documents"), size=20, digest=True)
+
+
 def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(spark, table(spark, sf_dir, "documents"), size=4, threshold_pct=80)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_debruijn_spans": op5_debruijn_spans,
     "op10_hyperminhash": op10_hyperminhash,
 }
 
