@@ -18,7 +18,7 @@ one row.
    one ended, in its document and in the source alike.
 4. ``remove_repeats``: spans are joined to their documents, and the words they cover go.
 
-An edge is known by two independent 64-bit hashes, of its minimizer and of the window.
+An edge is known by the hashes of its minimizer (64 bits) and of the window (56 bits).
 
 Edge cases: null or empty texts have no words; a text of fewer words than a window loses
 none. A row without doc_id has no place in the order: it loses nothing and is no source.
@@ -44,14 +44,26 @@ SIZE, GRAM = 20, 7
 _RULE = W.rule()
 _RUNS = "anchor long, doc_id long, sig int, start int, windows binary"
 _REPEATS = "doc_id long, sig int, start int, len int, src_doc long, src_sig int, src_start int"
-#: A run whose source is known already carries this record in place of its hashes. Its 21 bytes tell it apart.
-_TOLD = np.dtype([("doc", "<i8"), ("sig", "<i4"), ("start", "<i4"), ("len", "<i4"), ("mark", "u1")])
+#: A run whose source is known already carries this record in place of its hashes. Its 22 bytes tell it apart.
+_TOLD = np.dtype([("doc", "<i8"), ("sig", "<i4"), ("start", "<i4"), ("len", "<i4"), ("mark", "<u2")])
+#: Bytes of an edge's own hash that travel; with its minimizer's hash an edge is known by 120 bits.
+WIDTH = 7
 
 
 def _signature(text: str) -> F.Column:
     return F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 15)).cast("int")
 
 
+def _pack(edge: np.ndarray) -> bytes:
+    return edge.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :WIDTH].tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // WIDTH, 8), np.uint8)
+    out[:, :WIDTH] = np.frombuffer(raw, np.uint8).reshape(-1, WIDTH)
+    return out.view("<u8").ravel()
+
+
 def _minimizers(h: np.ndarray, size: int, gram: int) -> np.ndarray:
     """The smallest gram hash inside the window that starts at each word."""
     grams = W.window_hashes(h, gram)
@@ -63,7 +75,7 @@ def _minimizers(h: np.ndarray, size: int, gram: int) -> np.ndarray:
 
 
 def edge_runs(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
-    """Runs of edges with one minimizer; windows holds an 8-byte hash for each edge."""
+    """Runs of edges with one minimizer; windows holds WIDTH bytes of hash for each edge."""
     gram = min(gram, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,12 +94,12 @@ def edge_runs(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
             stop = np.append(begin[1:], len(at))
             doc, sig = (part.column(c).to_numpy(zero_copy_only=False)[text[begin]] for c in ("doc_id", "sig"))
             start = words.place()[at[begin]].astype(np.int32)
-            total = np.zeros(len(edge) + 1, np.uint64)
-            np.cumsum(W.mix(edge) * (words.place()[at].astype(np.uint64) * np.uint64(2) + np.uint64(1)), out=total[1:])
             anchor = low[begin]
             rank = np.lexsort((start, sig, doc, anchor))
-            # equal runs: same minimizer, same length and same first and last edge (which cover all its words)
-            name = np.stack([anchor, edge[begin], edge[stop - 1], (stop - begin).astype(np.uint64)], 1)
+            # equal runs: same minimizer, same length, same first edge and same sum over all edges
+            total = np.zeros(len(edge) + 1, np.uint64)
+            np.cumsum(W.mix(edge), out=total[1:])
+            name = np.stack([anchor, edge[begin], total[stop] - total[begin], (stop - begin).astype(np.uint64)], 1)
             order = rank[np.lexsort(tuple(name[rank].T[::-1]))]
             named = name[order]
             first = np.ones(len(order), bool)
@@ -98,9 +110,9 @@ def edge_runs(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
             told = np.zeros(len(order), _TOLD)
             told["doc"], told["sig"], told["start"] = doc[source], sig[source], start[source]
             told["len"] = stop - begin
-            told, raw, wide = told.tobytes(), edge.tobytes(), _TOLD.itemsize
+            told, raw, wide = told.tobytes(), _pack(edge), _TOLD.itemsize
             windows = [
-                told[wide * i: wide * i + wide] if k else raw[8 * a: 8 * b]
+                told[wide * i: wide * i + wide] if k else raw[WIDTH * a: WIDTH * b]
                 for i, (k, a, b) in enumerate(zip(known.tolist(), begin.tolist(), stop.tolist(), strict=True))
             ]
             # settled runs need no bucket: their own coordinates spread them
@@ -119,7 +131,7 @@ def edge_runs(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     return rows.mapInArrow(run, _RUNS)
 
 
-def _settle(anchor, doc, sig, start, edge, row_new) -> tuple[np.ndarray, np.ndarray]:
+def _settle(anchor: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(source, first) of every edge occurrence, given in the order of coordinates."""
     order = np.lexsort((edge, anchor))  # stable: the earliest of equal edges comes first
     a, e = anchor[order], edge[order]
@@ -154,10 +166,10 @@ def repeated_edges(runs: DataFrame) -> DataFrame:
                 yield _rows(
                     doc[known], sig[known], start[known], told["len"], told["doc"], told["sig"], told["start"]
                 )
-                edge = np.frombuffer(b"".join(v for v, k in zip(values, known, strict=True) if not k), np.uint64)
+                edge = _unpack(b"".join(v for v, k in zip(values, known, strict=True) if not k))
             else:
-                edge = np.frombuffer(b"".join(column.to_pylist()), np.uint64)
-            anchor, doc, sig, start, count = (x[~known] for x in (anchor, doc, sig, start, size // 8))
+                edge = _unpack(b"".join(column.to_pylist()))
+            anchor, doc, sig, start, count = (x[~known] for x in (anchor, doc, sig, start, size // WIDTH))
             if not len(anchor):
                 continue
             row = np.repeat(np.arange(len(anchor)), count)
@@ -170,7 +182,7 @@ def repeated_edges(runs: DataFrame) -> DataFrame:
                 )
             ]
             a, d, g, s, e = cols
-            source, first = _settle(a, d, g, s, e, None)
+            source, first = _settle(a, e)
             yield from _diagonals(d, g, s, source, old)
             last = first & (a == a[-1])
             kept = [x[last] for x in cols]
