@@ -4,22 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from playlake.llm import debruijn, hyperminhash
+from playlake.llm import debruijn, hyperminhash, phrase_index, sp_codec
 from playlake.llm.common import table
 
 
+def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_debruijn_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return debruijn.remove_repeats(table(spark, sf_dir, "documents"), size=20, digest=True)
 
 
+def op8_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("sig")
+
+
 def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(spark, table(spark, sf_dir, "documents"), size=4, threshold_pct=80)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op5_debruijn_spans": op5_debruijn_spans,
+    "op8_phrase_index": op8_phrase_index,
     "op10_hyperminhash": op10_hyperminhash,
 }
 
