@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from playlake.session import ensure_checkpoint_dir
 
 _FOLDERS: list[str] = []
+#: Bits of an IdFilter, whatever the number of ids.
+FILTER_BITS = 1 << 23
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,3 +46,39 @@ def clean(spark: SparkSession, since: int = 0) -> None:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
     del _FOLDERS[since:]
+
+
+class IdFilter:
+    """A Bloom filter over ids: a table of fixed size, so it may be sent to every task.
+
+    Rows that it rejects hold none of the ids; it lets some others through, the more the more
+    ids there are, so what it passes must still be joined. It saves shuffling the rest.
+    """
+
+    def __init__(self, spark: SparkSession, ids: DataFrame, column: str = "doc_id"):
+        places = F.explode(F.array(*self._places(column)))
+        words = (
+            ids.select(places.alias("p"))
+            .groupBy(F.shiftright("p", 5).cast("int").alias("w"))
+            .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("p") % 32).cast("int"))).alias("bits"))
+            .toPandas()
+        )
+        table = np.zeros(FILTER_BITS // 32, np.uint32)
+        table[words["w"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+        self.bits = spark.sparkContext.broadcast(table)
+
+    @staticmethod
+    def _places(column: str) -> list[Column]:
+        h = F.xxhash64(F.col(column).cast("long"))
+        return [F.pmod(h, F.lit(FILTER_BITS)), F.pmod(F.shiftright(h, 32), F.lit(FILTER_BITS))]
+
+    @staticmethod
+    def key(column: str = "doc_id") -> Column:
+        """The value that ``may_hold`` needs of each row."""
+        return F.xxhash64(F.col(column).cast("long"))
+
+    def may_hold(self, key: np.ndarray) -> np.ndarray:
+        table, ok = self.bits.value, np.ones(len(key), bool)
+        for p in (key % FILTER_BITS, (key >> 32) % FILTER_BITS):
+            ok &= (table[p >> 5] >> (p & 31).astype(np.uint32)) & 1 == 1
+        return ok

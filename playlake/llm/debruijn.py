@@ -34,11 +34,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from playlake.llm import words as W
+from playlake.llm.common import IdFilter, store
 
 SIZE, GRAM = 20, 7
 _RULE = W.rule()
@@ -246,27 +247,38 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataF
     return compact(repeated_edges(edge_runs(docs, size, gram)))
 
 
-def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, digest: bool = False) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = SIZE, gram: int = GRAM, digest: bool = False) -> DataFrame:
     """The rows of docs with the covered words cut out of text.
 
     Each covered word goes with the white space after it; all else stays as it is. With
-    ``digest`` the result is (doc_id, n_words, n_removed, kept_sha256, n_spans) instead.
+    ``digest`` the result is (doc_id, n_words, n_removed, kept_sha256, n_spans) instead. Only rows that
+    may have spans are shuffled to them; the others are finished where they are read.
     """
-    spans = (
-        repeated_spans(docs, size, gram)
-        .groupBy("doc_id", "sig")
-        .agg(F.collect_list(F.shiftleft(F.col("start").cast("long"), 32) + F.col("len")).alias("spans"))
-    )
-    names = [f"_c{i}" for i in range(len(docs.columns))] if not digest else []
+    packed = F.shiftleft(F.col("start").cast("long"), 32) + F.col("len")
+    spans = repeated_spans(docs, size, gram).groupBy("doc_id", "sig").agg(F.collect_list(packed).alias("spans"))
+    spans = store(spark, spans, "spans")
+    held = IdFilter(spark, spans.select("doc_id"))
+    # the text itself goes along once, as _text; other columns under numbers, so that no name can clash
+    others = [] if digest else [c for c in docs.columns if c != "text"]
+    names = [f"_c{i}" for i in range(len(others))]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("_doc_id"), F.col("text").cast("string").alias("_text"),
-        *[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names, strict=False)],
-    ).withColumn("_sig", _signature("_text"))
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)],
+    ).withColumn("_key", IdFilter.key("_doc_id"))
+
+    def sieve(wanted: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                some = held.may_hold(batch.column("_key").to_numpy(zero_copy_only=False))
+                some &= batch.column("_doc_id").is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(some == wanted))
+
+        return rows.mapInArrow(run, rows.schema)
+
+    shuffled = sieve(True).withColumn("_sig", _signature("_text"))
     on = (F.col("_doc_id") == F.col("doc_id")) & (F.col("_sig") == F.col("sig"))
-    joined = rows.join(spans, on, "left").drop("doc_id", "sig", "_sig")
-    # the text itself comes back once, as _text
-    names = [n for c, n in zip(docs.columns, names, strict=False) if c != "text"]
-    joined = joined.select("_doc_id", "_text", "spans", *names)
+    shuffled = shuffled.join(spans, on, "left").select("_doc_id", "_text", "spans", *names)
+    alone = sieve(False).select("_doc_id", "_text", F.lit(None).cast("array<bigint>").alias("spans"), *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, "_text"):
@@ -274,28 +286,27 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, digest:
             n = np.diff(words.first)
             mark = np.zeros(len(words) + 1, np.int64)
             lists = part.column("spans")
-            packed = lists.flatten().to_numpy(zero_copy_only=False)
-            held = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
-            begin = np.repeat(words.first[:-1], held) + (packed >> 32)
+            places = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            count = pa.compute.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+            begin = np.repeat(words.first[:-1], count) + (places >> 32)
             np.add.at(mark, begin, 1)
-            np.add.at(mark, begin + (packed & 0xFFFFFFFF) + size - 1, -1)
+            np.add.at(mark, begin + (places & 0xFFFFFFFF) + size - 1, -1)
             gone = np.cumsum(mark[:-1]) > 0
             removed = np.bincount(words.text_of()[gone], minlength=len(n))
             if digest:
-                yield _digests(part, words, gone, n, removed, held)
+                yield _digests(part, words, gone, n, removed, count)
             else:
                 text = _cut(words, gone) if gone.any() else part.column("_text")
                 text = pa.compute.if_else(pa.array(removed > 0), text, part.column("_text"))
                 yield pa.RecordBatch.from_arrays([text, *[part.column(c) for c in names]], ["_text", *names])
 
     if digest:
-        return joined.mapInArrow(
-            run, "doc_id long, n_words long, n_removed long, kept_sha256 string, n_spans long"
-        )
-    schema = T.StructType([T.StructField("_text", T.StringType()), *[joined.schema[c] for c in names]])
-    out = joined.mapInArrow(run, schema)
-    back = iter(names)
-    return out.select(*[F.col("_text" if c == "text" else next(back)).alias(c) for c in docs.columns])
+        schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, n_spans long"
+        return shuffled.mapInArrow(run, schema).unionByName(alone.mapInArrow(run, schema))
+    schema = T.StructType([T.StructField("_text", T.StringType()), *[shuffled.schema[c] for c in names]])
+    out = shuffled.mapInArrow(run, schema).unionByName(alone.mapInArrow(run, schema))
+    back = dict(zip(others, names, strict=True))
+    return out.select(*[F.col(back.get(c, "_text")).alias(c) for c in docs.columns])
 
 
 def _digests(part, words: W.Words, gone: np.ndarray, n, removed, held) -> pa.RecordBatch:

@@ -7,17 +7,16 @@ Registers are cut into bands; representatives that share a band are candidates.
 on if the collision-corrected Jaccard estimate is not far below the threshold, and becomes a
 link if the full sets confirm it.
 
-Links are searched in three passes, so that a large group does not become all its pairs:
+Links are searched in two passes, so that a large group does not become all its pairs:
 
-1. each representative is compared with the smallest and largest members of its buckets
-   (the three with which it shares most bands); confirmed links give first components;
-2. in a few rounds over parts of the bands, each document outside its bucket's main component
-   tries its likeliest partner in another component, which joins most of a large group;
-3. in each bucket that still holds several components, all pairs across components are
-   compared by their sketches (by a join in small buckets, else in blocks of about
-   ``BLOCK`` members a side), and the likely ones confirmed.
+1. each representative is compared with the smallest members of its buckets (the three with
+   which it shares most bands); confirmed links give first components;
+2. in each bucket that still holds several components, all pairs across components are
+   compared: by a join in small buckets; in larger ones in blocks of ``BLOCK`` members a side, on whole sets
+   of 40-bit hashes (thinned by a hash threshold beyond ``THIN`` shingles), of which only links that
+   join components leave the task. All are confirmed on full sets.
 
-The last pass covers every pair that the others left out and that could join two
+The second pass covers every pair that the first left out and that could join two
 components, so components are those of all links among banded pairs. With 48 bands of
 5 registers a pair at similarity 0.8 shares no band with probability 5e-9.
 
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
-from playlake.llm.common import store
+from playlake.llm.common import IdFilter, store
 from playlake.llm.components import connected_components
 
 BANDS, ROWS = 48, 5
@@ -48,10 +47,9 @@ MANTISSA = 10
 #: Standard deviations by which an estimate may fall short of the threshold and still be confirmed.
 SIGMAS = 4.0
 #: Members of a bucket up to which all its pairs are joined, and of the blocks that larger ones are cut into.
-SMALL, BLOCK = 16, 1000
-#: Rounds in which each document outside its bucket's main component tries its likeliest partner.
-#: They only order the work: what they leave is compared in full afterwards.
-ROUNDS = 3
+SMALL, BLOCK = 16, 4000
+#: Hashes of a thinned set, and bytes of each.
+THIN, THIN_BYTES = 4096, 5
 _RULE = W.rule(lower=True)
 _EC = 0.16991948715973909  # expected collisions, HyperMinHash paper (Yu and Weber), section on bias
 
@@ -173,25 +171,54 @@ def _pairs_near(reps: DataFrame, pairs: DataFrame, threshold: float) -> DataFram
     return pairs.join(one, "a").join(two, "b").mapInPandas(run, "a long, b long")
 
 
-def _shingles_of(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(doc_id, shingles) of the documents named in ids; shingles are sorted 8-byte hashes."""
+def _pack(values: np.ndarray) -> bytes:
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :THIN_BYTES].tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // THIN_BYTES, 8), np.uint8)
+    out[:, :THIN_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, THIN_BYTES)
+    return out.view("<u8").ravel()
+
+
+def _thin(values: np.ndarray) -> tuple[int, bytes]:
+    """(level, hashes): the set's upper hash bits; of a long set those below 2**-level of their range."""
+    short = np.unique(values >> np.uint64(64 - 8 * THIN_BYTES))
+    level = 0
+    while len(short) > THIN:
+        level += 1
+        short = short[short < np.uint64(1 << (8 * THIN_BYTES - level))]
+    return level, _pack(short)
+
+
+def _shingles_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
+    """(doc_id, n_shingles, shingles, level, thin) of the documents named in ids, and of few others.
+
+    shingles are sorted 8-byte hashes. A Bloom filter picks the documents where they are
+    read, so that no text is shuffled; those that it lets through by chance do no harm.
+    """
+    wanted = IdFilter(spark, ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches):
+        chosen = (b.filter(pa.array(wanted.may_hold(b.column("key").to_numpy(zero_copy_only=False)))) for b in batches)
+        for part in W.slices(chosen):
             of, value = shingle_sets(part.column("text"), size)
             bound = np.searchsorted(of, np.arange(part.num_rows + 1))
-            order = np.lexsort((value, of))
-            raw = value[order].tobytes()
+            own = [np.sort(value[i:j]) for i, j in zip(bound[:-1], bound[1:], strict=True)]
+            thin = [_thin(v) for v in own]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"),
-                    pa.array([raw[8 * i: 8 * j] for i, j in zip(bound[:-1], bound[1:], strict=True)], pa.binary()),
+                    part.column("doc_id"), pa.array([len(v) for v in own], pa.int64()),
+                    pa.array([v.tobytes() for v in own], pa.binary()), pa.array([t[0] for t in thin], pa.int32()),
+                    pa.array([t[1] for t in thin], pa.binary()),
                 ],
-                ["doc_id", "shingles"],
+                ["doc_id", "n_shingles", "shingles", "level", "thin"],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.join(ids, "doc_id", "left_semi").mapInArrow(run, "doc_id long, shingles binary")
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.withColumn("key", IdFilter.key()).mapInArrow(
+        run, "doc_id long, n_shingles long, shingles binary, level int, thin binary"
+    )
 
 
 def _confirm(sets: DataFrame, pairs: DataFrame, threshold_pct: int) -> DataFrame:
@@ -212,22 +239,16 @@ def _confirm(sets: DataFrame, pairs: DataFrame, threshold_pct: int) -> DataFrame
 
 
 def _shared_bands(bands: DataFrame) -> DataFrame:
-    """(band, rep, lo, hi, n) of the bands that at least two representatives share."""
-    ends = bands.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count("*").alias("n"))
-    return bands.join(ends.where("lo <> hi"), "band")
+    """(band, rep, hub, n) of the bands that several representatives share; hub is the smallest."""
+    ends = bands.groupBy("band").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    return bands.join(ends, "band")
 
 
 def _first_pairs(shared: DataFrame) -> DataFrame:
-    """Each representative with the ends of its buckets, the three sharing most bands."""
-    to = shared.select("rep", F.explode(F.array("lo", "hi")).alias("hub")).where("rep <> hub")
-    counts = to.groupBy("rep", "hub").agg(F.count("*").alias("n"))
+    """Each representative with the three hubs of its buckets that it shares most bands with."""
+    counts = shared.where("rep <> hub").groupBy("rep", "hub").agg(F.count("*").alias("n"))
     best = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("n"), "hub"))
-    return (
-        counts.withColumn("k", best)
-        .where("k <= 3")
-        .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
-        .distinct()
-    )
+    return counts.withColumn("k", best).where("k <= 3").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
 
 
 def _open_buckets(shared: DataFrame, label: DataFrame) -> DataFrame:
@@ -246,65 +267,88 @@ def _small_pairs(open_: DataFrame) -> DataFrame:
     return small.join(two, "band").where("rep < b and label <> l_b").select(F.col("rep").alias("a"), "b").distinct()
 
 
-def _across(x: pd.DataFrame, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(rep, others, estimates) of likely pairs across components between two blocks of a bucket.
-
-    Members of the most common component are only compared with those outside it.
-    """
-    sketch = np.frombuffer(b"".join(x["sketch"]), ">u2").reshape(len(x), REGISTERS).astype(np.uint16)
-    rep, n, label = (x[c].to_numpy() for c in ("rep", "n_shingles", "label"))
-    left, right = ((x["own"] == x[c]).to_numpy() for c in ("i", "j"))
-    names, counts = np.unique(label, return_counts=True)
-    major = names[counts.argmax()]
-    for mine, other, all_ in ((left, right, True), (right, left, False)):
-        if not all_ and (left == right).all():
-            return
-        for k in np.flatnonzero(mine & (label != major)):
-            far = np.flatnonzero(other & (label != label[k]) if all_ else other & (label == major))
-            if len(far):
-                est, used = estimate(sketch[k][None], sketch[far], n[k], n[far])
-                ok = _allowed(est, used, n[k], n[far], threshold)
-                if ok.any():
-                    yield rep[k], rep[far[ok]], est[ok]
-
-
-def _blocks(open_: DataFrame, reps: DataFrame) -> DataFrame:
-    """Members of larger buckets, dealt to the pairs (i, j) of their bucket's blocks."""
-    return (
+def _large_pairs(open_: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
+    """Pairs of larger buckets that join their components, compared in pairs of blocks."""
+    members = (
         open_.where(F.col("n") > SMALL)
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        .join(reps.select(F.col("doc_id").alias("rep"), "n_shingles", "sketch"), "rep")
+        .join(sets.select(F.col("doc_id").alias("rep"), "n_shingles", "level", "thin"), "rep")
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            "own", "rep", "label", "n_shingles", "sketch",
+            "own", "rep", "label", "n_shingles", "level", "thin",
         )
     )
 
-
-def _best_pairs(open_: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """For each member outside its block's main component, the likeliest partner in another one."""
-
     def run(x: pd.DataFrame) -> pd.DataFrame:
-        best = [(k, others[est.argmax()], est.max()) for k, others, est in _across(x, threshold)]
-        return pd.DataFrame(best, columns=["rep", "other", "est"]).astype({"rep": "int64", "other": "int64", "est": "float64"})
+        return pd.DataFrame(_joining(x, threshold_pct), columns=["a", "b"], dtype="int64")
 
-    found = _blocks(open_, reps).groupBy("band", "i", "j").applyInPandas(run, "rep long, other long, est double")
-    best = found.groupBy("rep").agg(F.max(F.struct("est", "other"))["other"].alias("other"))
-    return best.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+    return members.groupBy("band", "i", "j").applyInPandas(run, "a long, b long").distinct()
 
 
-def _large_pairs(open_: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """All likely pairs across components in larger buckets."""
+def _joining(x: pd.DataFrame, threshold_pct: int) -> list[tuple[int, int]]:
+    """Pairs between two blocks of a bucket that link different components.
 
-    def run(x: pd.DataFrame) -> pd.DataFrame:
-        out = [np.empty((0, 2), np.int64)]
-        for k, others, _ in _across(x, threshold):
-            out.append(np.stack([np.minimum(k, others), np.maximum(k, others)], 1))
-        return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b"])
-
-    return _blocks(open_, reps).groupBy("band", "i", "j").applyInPandas(run, "a long, b long").distinct()
+    Whole sets give exact similarities, so a spanning forest stands for all links among them. Where
+    a set is thinned the similarity is an estimate, and every pair near the threshold is returned.
+    """
+    x = x.drop_duplicates("rep")
+    rep, n, level, label = (x[c].to_numpy() for c in ("rep", "n_shingles", "level", "label"))
+    left, right = ((x["own"] == x[c]).to_numpy() for c in ("i", "j"))
+    names, counts = np.unique(label, return_counts=True)
+    if len(names) < 2:
+        return []
+    outside = label != names[counts.argmax()]  # every pair across components has a member here
+    values = [_unpack(v) for v in x["thin"]]
+    root = label.copy()
+    out: list[tuple[int, int]] = []
+    for top in np.unique(level):
+        use = np.flatnonzero((level == top) | (level == top - 1))
+        shared = _intersections([values[k] for k in use], int(top), outside[use])
+        for row, k in zip(shared, use[outside[use]], strict=True):
+            ok = (label[use] != label[k]) & ((left[k] & right[use]) | (right[k] & left[use]))
+            ok &= np.maximum(level[k], level[use]) == top
+            scale = 2.0 ** top
+            union = n[k] + n[use] - row * scale
+            if top == 0:
+                ok &= 100 * row >= threshold_pct * union
+            else:
+                similar = row * scale / np.maximum(union, 1)
+                margin = SIGMAS * np.sqrt(threshold_pct / 100 * (1 - threshold_pct / 100) / np.maximum(union / scale, 1))
+                ok &= similar >= threshold_pct / 100 - margin
+            far = use[ok]
+            if top:
+                out += [(min(rep[k], rep[f]), max(rep[k], rep[f])) for f in far]
+                continue
+            far = far[root[far] != root[k]]
+            while len(far):
+                f = far[0]
+                out.append((min(rep[k], rep[f]), max(rep[k], rep[f])))
+                root[root == root[f]] = root[k]
+                far = far[root[far] != root[k]]
+    return list(dict.fromkeys(out))
+
+
+def _intersections(values: list[np.ndarray], level: int, rows: np.ndarray) -> np.ndarray:
+    """Shared shingles of the marked sets with every set, thinned to a level, by matrix products."""
+    cut = np.uint64(1 << (8 * THIN_BYTES - level))
+    values = [v[v < cut] for v in values]
+    of = np.repeat(np.arange(len(values)), [len(v) for v in values])
+    name, column, counts = np.unique(np.concatenate([*values, np.empty(0, np.uint64)]), return_inverse=True, return_counts=True)
+    often = counts > 1  # a shingle of one set alone adds nothing
+    number = np.cumsum(often) - 1
+    keep = often[column]
+    of, column = of[keep], number[column[keep]]
+    total = np.zeros((int(rows.sum()), len(values)), np.float32)
+    order = np.argsort(column, kind="stable")
+    of, column = of[order], column[order]
+    for begin in range(0, int(often.sum()), 2048):
+        a, b = np.searchsorted(column, [begin, begin + 2048])
+        dense = np.zeros((len(values), 2048), np.float32)
+        dense[of[a:b], column[a:b] - begin] = 1
+        total += dense[rows] @ dense.T
+    return total
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, threshold_pct: int = 80) -> DataFrame:
@@ -320,29 +364,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, thresho
     member = store(
         spark, full.select("digest", "doc_id").distinct().join(classes, "digest").select("doc_id", "rep"), "classes"
     )
-    reps = store(
-        spark,
-        full.join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "digest"]),
-        "reps",
-    )
+    reps = full.join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
+    reps = store(spark, reps.select("doc_id", "n_shingles", "sketch"), "reps")
     shared = store(spark, _shared_bands(_bands(reps)), "bands")
+    sets = store(spark, _shingles_of(spark, docs, shared.select(F.col("rep").alias("doc_id")).distinct(), size), "sets")
     first = store(spark, _pairs_near(reps, _first_pairs(shared), threshold), "pairs")
-    sets = store(spark, _shingles_of(docs, shared.select(F.col("rep").alias("doc_id")).distinct(), size), "sets")
     links = store(spark, _confirm(sets, first, threshold_pct), "links")
     label = connected_components(spark, links)
-    tried = first
-    for turn in range(ROUNDS):
-        some = _open_buckets(shared.where(F.pmod(F.col("band"), F.lit(4 * ROUNDS)) == turn), label)
-        best = store(spark, _best_pairs(some, reps, threshold).join(tried, ["a", "b"], "left_anti"), "pairs")
-        if best.isEmpty():
-            continue
-        tried = tried.unionByName(best)
-        links = links.unionByName(store(spark, _confirm(sets, best, threshold_pct), "links"))
-        label = connected_components(spark, links)
     open_ = store(spark, _open_buckets(shared, label), "open")
-    rest = _pairs_near(reps, _small_pairs(open_), threshold).union(_large_pairs(open_, reps, threshold))
-    rest = store(spark, rest.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.unionByName(store(spark, _confirm(sets, rest, threshold_pct), "links"))
+    rest = _pairs_near(reps, _small_pairs(open_), threshold).union(_large_pairs(open_, sets, threshold_pct))
+    rest = rest.distinct().join(first, ["a", "b"], "left_anti")
+    links = links.unionByName(_confirm(sets, rest, threshold_pct))
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     final = connected_components(spark, links.unionByName(same))
     return (

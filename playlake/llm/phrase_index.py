@@ -35,6 +35,10 @@ from playlake.llm import words as W
 from playlake.llm.common import store
 
 WINDOW = 10
+#: Size of an index block, in slices.
+SCALE = 3
+#: Phrases that are looked up at a time. They hold at most so many terms, which bounds what is broadcast.
+PHRASES = 20_000
 _RULE = W.rule(W.ALNUM, lower=True)
 _INDEX = "block long, term binary, n int, positions binary"
 _COLUMNS = ["block", "term", "n", "positions"]
@@ -53,7 +57,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         block = (task.partitionId() if task else 0) << 32
-        for part in W.slices(batches):
+        for part in W.slices(batches, scale=SCALE):
             words = W.split(part.column("text"), _RULE)
             coded = words.values().dictionary_encode()
             code = coded.indices.to_numpy(zero_copy_only=False)
@@ -125,21 +129,16 @@ def windows_of(items: DataFrame, size: int = WINDOW) -> DataFrame:
     return rows.select("item_id", F.sha2(F.array_join("terms", " "), 256).alias("phrase"), "terms")
 
 
-def _rarest(index: DataFrame, phrases: DataFrame) -> DataFrame:
+def _rarest(lists: DataFrame, phrases: DataFrame, terms: DataFrame) -> DataFrame:
     """phrases with their two rarest terms: t1 at offset o1, and t2, ``gap`` words after t1.
 
     A phrase that repeats one word has no t2. Phrases with a term that the index lacks are gone.
     """
     listed = phrases.select("phrase", F.posexplode("terms").alias("at", "term"))
-    terms = listed.groupBy("phrase", F.col("term").cast("binary").alias("term")).agg(F.min("at").alias("at"))
-    counts = (
-        index.where("term is not null")
-        .join(terms.select("term").distinct(), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.sum("n").alias("total"))
-    )
+    listed = listed.groupBy("phrase", F.col("term").cast("binary").alias("term")).agg(F.min("at").alias("at"))
+    counts = lists.join(F.broadcast(terms), "term").groupBy("term").agg(F.sum("n").alias("total"))
     rank = F.row_number().over(Window.partitionBy("phrase").orderBy(F.col("total").asc_nulls_first(), "at"))
-    ranked = terms.join(counts, "term", "left").withColumn("rank", rank).where("rank <= 2")
+    ranked = listed.join(counts, "term", "left").withColumn("rank", rank).where("rank <= 2")
     two = ranked.groupBy("phrase").agg(
         F.max(F.when(F.col("rank") == 1, F.struct("term", "at", "total"))).alias("a"),
         F.max(F.when(F.col("rank") == 2, F.struct("term", "at"))).alias("b"),
@@ -176,11 +175,11 @@ def _candidates(lists: DataFrame, pairs: DataFrame, span: int | None) -> DataFra
             x = x[["t1", "t2", "gap", "block"]].assign(places=places)
             yield x[x["places"].notna()]
 
-    one = pairs.join(lists.select(F.col("term").alias("t1"), "block", F.col("positions").alias("p1")), "t1")
+    pairs = F.broadcast(pairs)
+    one = lists.select(F.col("term").alias("t1"), "block", F.col("positions").alias("p1")).join(pairs, "t1")
     alone = one.where("t2 is null").select("t1", "t2", "gap", "block", "p1", F.lit(None).cast("binary").alias("p2"))
-    two = one.where("t2 is not null").join(
-        lists.select(F.col("term").alias("t2"), "block", F.col("positions").alias("p2")), ["t2", "block"]
-    )
+    other = lists.select(F.col("term").alias("t2"), "block", F.col("positions").alias("p2")).join(pairs, "t2")
+    two = one.where("t2 is not null").join(other, ["t1", "t2", "gap", "block"])
     both = alone.union(two.select("t1", "t2", "gap", "block", "p1", "p2"))
     return both.mapInPandas(run, "t1 binary, t2 binary, gap int, block long, places binary")
 
@@ -221,28 +220,43 @@ def _near(x: pd.DataFrame, lists: dict, text_at: np.ndarray, span: int) -> Itera
 
 
 def matches(spark: SparkSession, index: DataFrame, phrases: DataFrame, span: int | None = None) -> DataFrame:
-    """(block, ord, n_hit, phrases) of every document that holds a phrase (phrase, terms).
+    """(block, ord, ranges, phrases) of every document that holds a phrase (phrase, terms).
 
-    Exact phrases if span is None: n_hit counts the document's words inside any occurrence. Else
-    proximity: n_hit counts the places of rarest terms around which all terms lie in span words.
+    Exact phrases if span is None: ranges are the document's words inside any occurrence, each
+    ``first * 2**32 + last + 1``. Else proximity: ranges are the places of rarest terms around which all
+    terms lie in span words. At most ``PHRASES`` phrases are asked for at a time.
     """
-    lists = index.where("term is not null").select("block", "term", "positions")
-    rare = store(spark, _rarest(index, phrases), "rarest")
+    blocks = max(1, -(-phrases.count() // PHRASES))
+    found = None
+    for k in range(blocks):
+        some = phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == k)
+        part = store(spark, _matches(spark, index, some, span), "matches")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _matches(spark: SparkSession, index: DataFrame, phrases: DataFrame, span: int | None) -> DataFrame:
+    terms = phrases.select(F.explode("terms").cast("binary").alias("term")).distinct()
+    lists = index.where("term is not null")
+    rare = store(spark, _rarest(lists, phrases, terms), "rarest")
     pairs = rare.select("t1", "t2", "gap").distinct()
     found = store(spark, _candidates(lists, pairs, span), "candidates")
     same = rare["t1"].eqNullSafe(found["t1"]) & rare["t2"].eqNullSafe(found["t2"]) & rare["gap"].eqNullSafe(found["gap"])
-    asked = found.join(rare, same).select("block", "phrase", "terms", "o1", "places")
+    asked = found.join(F.broadcast(rare), same).select("block", "phrase", "terms", "o1", "places")
     # the lists of every term asked for in a block, and the block's directory
     need = asked.select("block", F.explode("terms").alias("term")).distinct()
     need = need.select("block", F.col("term").cast("binary").alias("term"))
-    held = lists.join(need, ["block", "term"], "left_semi")
+    held = lists.join(F.broadcast(terms), "term").join(need, ["block", "term"], "left_semi")
+    held = held.select("block", "term", "positions")
     heads = index.where("term is null").select("block", "term", "positions")
     held = held.unionByName(heads.join(need.select("block").distinct(), "block", "left_semi"))
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
         head = right["term"].isna()
-        entry = np.frombuffer(right["positions"][head].iat[0], _ENTRY) if head.any() else np.empty(0, _ENTRY)
+        if not len(left) or not head.any():
+            return pd.DataFrame(columns=["block", "ord", "ranges", "phrases"])
+        entry = np.frombuffer(right["positions"][head].iat[0], _ENTRY)
+        first = np.concatenate([[0], np.cumsum(entry["n_words"])])
         text_at = np.repeat(np.arange(len(entry)), entry["n_words"])
         numbers = {t: _word_numbers(p) for t, p in zip(right["term"][~head], right["positions"][~head], strict=True)}
         hit = np.zeros(len(text_at) + 1, np.int64)
@@ -260,18 +274,42 @@ def matches(spark: SparkSession, index: DataFrame, phrases: DataFrame, span: int
             np.add.at(hit, starts + (len(left["terms"].iat[k]) if span is None else 1), -1)
             for t in np.unique(text_at[starts]):
                 named.setdefault(int(t), set()).add(left["phrase"].iat[k])
-        count = np.bincount(text_at[np.cumsum(hit[:-1]) > 0], minlength=len(entry))
-        block = left["block"].iat[0] if len(left) else 0
-        out = [(block, t, int(count[t]), sorted(p)) for t, p in named.items()]
-        return pd.DataFrame(out, columns=["block", "ord", "n_hit", "phrases"])
+        inside = np.cumsum(hit[:-1]) > 0
+        edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        # neighbouring hits of two texts are one run here, and are cut at the border
+        out = []
+        for t, p in named.items():
+            a, b = first[t], first[t + 1]
+            lo, hi = np.searchsorted(end, a, "right"), np.searchsorted(begin, b)
+            runs = (np.maximum(begin[lo:hi], a) - a << 32) + np.minimum(end[lo:hi], b) - a
+            out.append((left["block"].iat[0], t, runs.tolist(), sorted(p)))
+        return pd.DataFrame(out, columns=["block", "ord", "ranges", "phrases"])
 
     return (
         asked.groupBy("block")
         .cogroup(held.groupBy("block"))
-        .applyInPandas(run, "block long, ord int, n_hit long, phrases array<string>")
+        .applyInPandas(run, "block long, ord int, ranges array<bigint>, phrases array<string>")
     )
 
 
+def _covered(ranges: DataFrame) -> DataFrame:
+    """(block, ord, n_hit): words of a document inside any of its ranges."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            n = []
+            for parts in x["parts"]:
+                runs = np.sort(np.concatenate([np.asarray(p, np.int64) for p in parts]))
+                begin, end = runs >> 32, np.maximum.accumulate(runs & 0xFFFFFFFF)
+                reached = np.concatenate([[0], end[:-1]])
+                n.append(int(np.maximum(end - np.maximum(begin, reached), 0).sum()))
+            yield x[["block", "ord"]].assign(n_hit=n)
+
+    parts = ranges.groupBy("block", "ord").agg(F.collect_list("ranges").alias("parts"))
+    return parts.mapInPandas(run, "block long, ord int, n_hit long")
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, sig) of every row of docs.
 
@@ -279,8 +317,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, size:
     """
     index = store(spark, build_index(docs), "index")
     windows = store(spark, windows_of(items, size), "windows")
-    phrases = windows.select("phrase", "terms").dropDuplicates(["phrase"])
-    found = store(spark, matches(spark, index, phrases), "matches")
+    found = matches(spark, index, windows.select("phrase", "terms").dropDuplicates(["phrase"]))
     listed = (
         found.select("block", "ord", F.explode("phrases").alias("phrase"))
         .join(windows.select("phrase", "item_id"), "phrase")
@@ -289,7 +326,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, items: DataFrame, size:
         .groupBy("block", "ord")
         .agg(F.sort_array(F.collect_list("item_id")).alias("items"))
     )
-    hits = found.select("block", "ord", "n_hit").join(listed, ["block", "ord"], "left")
+    hits = _covered(found.select("block", "ord", "ranges")).join(listed, ["block", "ord"])
     items_ = F.coalesce("items", F.array().cast("array<string>"))
     return (
         documents_of(index)

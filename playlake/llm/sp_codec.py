@@ -34,6 +34,8 @@ SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
 #: Chunks that a task remembers, and the longest that it remembers.
 CACHE, CACHE_CHARS = 400_000, 64
+#: Characters up to which a chunk is merged by scanning, and the cost of a pair that is no piece.
+SHORT, _NEVER = 48, float("inf")
 _CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
@@ -120,6 +122,10 @@ class Codec:
     unknown: int
     normalizer: Normalizer
     cache: dict[str, tuple] = field(default_factory=dict)
+    cost: dict[str, float] = field(default_factory=dict)
+
+    def __post_init__(self):
+        self.cost = {piece: -self.scores[i] for piece, i in self.ids.items()}
 
     @classmethod
     def load(cls, path: str) -> Codec:
@@ -146,6 +152,8 @@ class Codec:
         plain = all(p.type not in (_USER, _UNUSED) for p in model.pieces)
         if model.trainer_spec.model_type != 2 or not plain or not model.trainer_spec.byte_fallback:
             raise ValueError("a BPE model with byte fallback and without user-defined or unused pieces is needed")
+        if any(len(p.encode()) > 255 for p in ids):
+            raise ValueError("a piece is longer than 255 bytes")
         if any(SPACE in p.lstrip(SPACE) for p in ids):
             raise ValueError("a piece holds a space mark after letters, so chunks cannot be encoded alone")
         normalizer = Normalizer(
@@ -155,6 +163,23 @@ class Codec:
 
     def merge(self, chunk: str) -> list[str]:
         """BPE: join the neighbouring pair of the best score, the leftmost of equals, until none is a piece."""
+        if len(chunk) > SHORT:
+            return self._merge_long(chunk)
+        part = list(chunk)
+        get = self.cost.get
+        cost = [get(a + b, _NEVER) for a, b in zip(part, part[1:], strict=False)]
+        while cost and (low := min(cost)) != _NEVER:
+            k = cost.index(low)
+            part[k: k + 2] = [part[k] + part[k + 1]]
+            del cost[k]
+            if k:
+                cost[k - 1] = get(part[k - 1] + part[k], _NEVER)
+            if k < len(cost):
+                cost[k] = get(part[k] + part[k + 1], _NEVER)
+        return part
+
+    def _merge_long(self, chunk: str) -> list[str]:
+        """The same by a heap of pairs, in time that grows with n log n."""
         ids, scores = self.ids, self.scores
         part: list[str] = list(chunk)
         n = len(part)
@@ -183,8 +208,8 @@ class Codec:
                 offer(before[left], left)
         return [p for p in part if p]
 
-    def chunk(self, chunk: str) -> tuple[list[int], list[int], str, str]:
-        """(ids, bytes of each piece, ids as text, decoded text) of a chunk."""
+    def chunk(self, chunk: str) -> tuple[list[int], bytes, str, str]:
+        """(ids, one byte for each piece's length, ids as text, decoded text) of a chunk."""
         held = self.cache.get(chunk)
         if held is None:
             numbers, sizes = [], []
@@ -197,7 +222,7 @@ class Codec:
                     for b in piece.encode():
                         numbers.append(self.byte_ids[b])
                         sizes.append(1)
-            held = (numbers, sizes, ",".join(map(str, numbers)), self.decode_part(numbers))
+            held = (numbers, bytes(sizes), ",".join(map(str, numbers)), self.decode_part(numbers))
             if len(chunk) <= CACHE_CHARS:
                 if len(self.cache) >= CACHE:
                     self.cache.clear()
@@ -217,10 +242,16 @@ class Codec:
         normal, source = self.normalizer(text)
         parts = [self.chunk(c) for c in _CHUNK.findall(normal)]
         numbers = [i for p in parts for i in p[0]]
-        ends = np.cumsum([0, *(s for p in parts for s in p[1])])
+        ends = _ends(parts)
         return numbers, np.stack([source[ends[:-1]], source[ends[1:]]], 1)
 
 
+def _ends(parts: list[tuple]) -> np.ndarray:
+    """Where each piece ends in the normalised bytes, after a 0."""
+    sizes = np.frombuffer(b"".join([p[1] for p in parts]), np.uint8)
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec.load(path)
@@ -241,21 +272,20 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _open(model)
-        sha, look, chunks = hashlib.sha256, own.chunk, _CHUNK.findall
+        sha, look, seen, chunks = hashlib.sha256, own.chunk, own.cache.get, _CHUNK.findall
         for part in W.slices(batches):
             out = []
             for text in part.column("text").to_pylist():
                 normal, source = own.normalizer(text or "")
-                parts = [look(c) for c in chunks(normal)]
-                sizes = np.fromiter((s for p in parts for s in p[1]), np.int64)
-                ends = np.concatenate([[0], np.cumsum(sizes)])
+                parts = [seen(c) or look(c) for c in chunks(normal)]
+                ends = _ends(parts)
                 # the heads of bytes written from one source byte: their distance is what a span covers
                 covered = int((source[ends[1:]] - source[ends[:-1]]).sum())
                 decoded = "".join([p[3] for p in parts])
                 if own.normalizer.dummy_prefix and decoded.startswith(" "):
                     decoded = decoded[1:]
                 ids = ",".join([p[2] for p in parts])
-                out.append((len(sizes), sha(ids.encode()).hexdigest(), sha(decoded.encode()).hexdigest(), int(source[-1]), covered))
+                out.append((len(ends) - 1, sha(ids.encode()).hexdigest(), sha(decoded.encode()).hexdigest(), int(source[-1]), covered))
             columns = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), *(pa.array(c) for c in columns)],

@@ -82,15 +82,15 @@ class Words:
         )
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches into slices of bounded text size, whole rows each."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", scale: int = 1) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into slices of ``scale`` times the usual text size and rows, whole rows each."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         total, begin = 0, 0
         for i, size in enumerate(sizes):
-            if i > begin and (total + size > SLICE_BYTES or i - begin >= SLICE_ROWS):
+            if i > begin and (total + size > scale * SLICE_BYTES or i - begin >= scale * SLICE_ROWS):
                 yield batch.slice(begin, i - begin)
                 total, begin = 0, i
             total += int(size)

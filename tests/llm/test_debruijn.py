@@ -50,7 +50,7 @@ def test_digests_equal_brute_force(spark, seed, size, gram, monkeypatch):
     monkeypatch.setattr("playlake.llm.words.SLICE_ROWS", 9)
     rows = corpus(seed, size)
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in D.remove_repeats(docs, size, gram, digest=True).collect()}
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in D.remove_repeats(spark, docs, size, gram, digest=True).collect()}
     assert got == {d: x[:3] for d, x in brute(rows, size).items()}
     assert sum(x[1] for x in got.values()) > 100
 
@@ -58,7 +58,7 @@ def test_digests_equal_brute_force(spark, seed, size, gram, monkeypatch):
 def test_text_keeps_what_is_not_covered(spark):
     rows = corpus(5, 8)
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("own")).withColumn("sig", F.col("doc_id"))
-    got = D.remove_repeats(docs, 8, 3)
+    got = D.remove_repeats(spark, docs, 8, 3)
     assert got.columns == docs.columns
     want, texts = brute(rows, 8), dict(rows)
     for r in got.collect():
@@ -77,14 +77,14 @@ def test_spans_name_their_sources(spark):
 def test_repeated_ids_missing_ids_and_empty_tables(spark):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(1, text), (1, text), (None, text), (2, text + " more"), (2, "quite another text")]
-    got = D.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = D.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, text), (1, text), (1, text), (2, "more"), (2, "quite another text")])
     none = spark.createDataFrame([], "doc_id long, text string")
-    assert D.remove_repeats(none).count() == 0 and D.remove_repeats(none, digest=True).count() == 0
+    assert D.remove_repeats(spark, none).count() == 0 and D.remove_repeats(spark, none, digest=True).count() == 0
 
 
 def test_very_long_text(spark):
     text = " ".join(str(i % 997) for i in range(60_000))
     rows = [(1, text), (2, "short")]
-    got = {r.doc_id: r.n_removed for r in D.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), digest=True).collect()}
+    got = {r.doc_id: r.n_removed for r in D.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string"), digest=True).collect()}
     assert got == {1: 60_000 - 997, 2: 0}

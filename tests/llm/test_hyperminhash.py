@@ -76,6 +76,14 @@ def test_large_group_is_compared_in_blocks(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == brute(rows)
 
 
+def test_thinned_sets_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(H, "SMALL", 3)
+    monkeypatch.setattr(H, "THIN", 32)
+    rows = corpus(8, 2, 50, 4, 90)
+    got = H.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), size=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute(rows)
+
+
 def test_empty_table_repeated_rows_and_missing_ids(spark):
     empty = H.near_duplicates(spark, spark.createDataFrame([], SCHEMA))
     assert empty.count() == 0 and empty.columns == ["doc_id", "n_shingles", "component_id", "kept"]

@@ -67,6 +67,8 @@ def test_hits_equal_brute_force(spark, seed, size, monkeypatch):
     monkeypatch.setattr("playlake.llm.words.SLICE_ROWS", 8)
     docs, items = tables(seed)
     got = run(spark, docs, items, size)
+    monkeypatch.setattr(P, "PHRASES", 40)
+    assert run(spark, docs, items, size) == got  # looked up in several blocks of phrases
     assert got == brute(docs, items, size) and any(r[5] for r in got) and not all(r[5] for r in got)
 
 
