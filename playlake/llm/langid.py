@@ -49,8 +49,9 @@ def subwords(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     of = np.repeat(np.arange(n), np.diff(offsets))[keep]
     byte = np.where(letter, _LOW[raw], 0x20)[keep]
     total = np.concatenate([[0], np.cumsum(keep)])[offsets]
-    byte = np.insert(byte, total[:-1], 0x20).astype(np.uint32)
-    of = np.insert(of, total[:-1], np.arange(n))
+    ends = np.stack([total[:-1], total[1:]], 1).ravel()
+    byte = np.insert(byte, ends, 0x20).astype(np.uint32)
+    of = np.insert(of, ends, np.repeat(np.arange(n), 2))
     out_of, out_bucket = [], []
     for size in GRAMS:
         m = len(byte) - size + 1
@@ -169,9 +170,7 @@ def train(spark: SparkSession, docs: DataFrame, learn: F.Column, seed: int = 7)
             back = error @ out.T
             np.subtract.at(emb, at, rate * weight[:, None] * np.repeat(back, np.diff(ends), 0))
             out -= 0.05 * rate * mean.T @ error
-            bias -= 0.01 * rate * error
-            if bias.ndim > 1:
-                bias = bias.sum(0)
+            bias -= 0.01 * rate * error.sum(0)
     scores = (emb @ out).astype(np.float64)
     check = np.flatnonzero(held) if held.any() else fit
     logit = np.stack([(scores[index[i]] * share[i][:, None]).sum(0) for i in check]) + bias

@@ -236,7 +236,7 @@ def matches(spark: SparkSession, index: DataFrame, phrases: DataFrame, span: int
 
 
 def _matches(spark: SparkSession, index: DataFrame, phrases: DataFrame, span: int | None) -> DataFrame:
-    terms = phrases.select(F.explode("terms").cast("binary").alias("term")).distinct()
+    terms = phrases.select(F.explode("terms").alias("term")).distinct().select(F.col("term").cast("binary").alias("term"))
     lists = index.where("term is not null")
     rare = store(spark, _rarest(lists, phrases, terms), "rarest")
     pairs = rare.select("t1", "t2", "gap").distinct()

@@ -6,10 +6,10 @@ the expected severity, the sum of the threshold probabilities.
 
 Training rows are the labelled documents, at most ``MAX_ROWS`` of them (those of the smallest hash of
 their doc_id), whose distinct words are counted in Spark. A word enters the vocabulary if the
-likelihood ratio between toxic and other labelled rows passes ``MIN_G2``, the best ``MAX_WORDS`` of
+toxic rows hold it more often and the likelihood ratio passes ``MIN_G2``, the best ``MAX_WORDS`` of
 them; so the model broadcast to the tasks is bounded whatever the input. Labels say toxic or
-not; the grades of toxic rows follow from how much of a text is made up of vocabulary words that mark
-toxic rows: up to the toxic rows' lower third 1, up to the upper third 2, else 3.
+not; the grades of toxic rows follow from how many words of the vocabulary they hold: up to the
+lower third of toxic rows 1, up to the upper third 2, else 3.
 
 Edge cases: a null or empty text holds no words, so its severity is that of the bare thresholds. Labels
 that are null or name no document are left out; a doc_id with several labels counts as toxic if
@@ -52,35 +52,31 @@ class Model:
 
 
 def training_words(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(row, toxic, word, n, total): how often each training row holds each word."""
+    """(row, toxic, word): the distinct words of each training row."""
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_ROWS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.join(marks.select("doc_id", F.col("toxic").cast("int").alias("toxic")), "doc_id")
+    rows = rows.withColumn("same", F.xxhash64("text")).dropDuplicates(["same"])  # copies teach once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
         for part in W.slices(batches):
             for d, text, toxic in zip(*(part.column(c).to_pylist() for c in ("doc_id", "text", "toxic")), strict=True):
-                count = Counter(_WORD.findall((text or "").lower()))
-                n = len(count)
+                words = sorted(set(_WORD.findall((text or "").lower()))) or [None]  # a row without words counts too
+                n = len(words)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, d)), pa.array(np.full(n, int(toxic > 0), np.int32)), pa.array(list(count), pa.string()),
-                        pa.array(np.fromiter(count.values(), np.int64, n)), pa.array(np.full(n, sum(count.values()), np.int64)),
-                    ],
-                    ["row", "toxic", "word", "n", "total"],
+                    [pa.array(np.full(n, d)), pa.array(np.full(n, int(toxic > 0), np.int32)), pa.array(words, pa.string())],
+                    ["row", "toxic", "word"],
                 )
 
-    return rows.select("doc_id", "text", "toxic").mapInArrow(run, "row long, toxic int, word string, n long, total long")
+    return rows.select("doc_id", "text", "toxic").mapInArrow(run, "row long, toxic int, word string")
 
 
-def _vocabulary(held: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """(word, marks) of the chosen words, marks true where toxic rows hold it more often; rows by label."""
+def _vocabulary(held: DataFrame) -> DataFrame:
+    """(word) of the words that toxic rows hold far more often than others, the best MAX_WORDS."""
     sizes = {r["toxic"]: r["n"] for r in held.groupBy("toxic").agg(F.countDistinct("row").alias("n")).collect()}
-    t, c = float(sizes.get(1, 0)), float(sizes.get(0, 0))
-    counts = held.groupBy("word").agg(F.countDistinct(F.when(F.col("toxic") == 1, F.col("row"))).alias("a"), F.countDistinct("row").alias("n"))
+    t, c = float(sizes[1]), float(sizes[0])
+    counts = held.where("word is not null").groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("a"), F.count("*").alias("n"))
 
     def part(seen, expected):
         return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
@@ -90,8 +86,8 @@ def _vocabulary(held: DataFrame) -> tuple[DataFrame, dict[int, int]]:
         part(a, n * t / all_) + part(n - a, n * c / all_)
         + part(t - a, (all_ - n) * t / all_) + part(c - (n - a), (all_ - n) * c / all_)
     )
-    chosen = counts.withColumn("g2", g2).where(F.col("g2") >= MIN_G2).orderBy(F.desc("g2"), "word").limit(MAX_WORDS)
-    return chosen.select("word", (a / t > n / all_).alias("marks")), sizes
+    chosen = counts.where(a / t > n / all_).withColumn("g2", g2).where(F.col("g2") >= MIN_G2)
+    return chosen.orderBy(F.desc("g2"), "word").limit(MAX_WORDS).select("word")
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
@@ -100,34 +96,31 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     sizes = {r["toxic"] for r in held.select("toxic").distinct().collect()}
     if sizes != {0, 1}:
         return Model({}, [40.0] * GRADES)
-    chosen, _ = _vocabulary(held)
-    chosen = store(spark, chosen, "vocabulary")
+    chosen = store(spark, _vocabulary(held), "vocabulary").withColumn("marks", F.lit(True))
     words = [r["word"] for r in chosen.orderBy("word").collect()]
     x = held.join(chosen, "word", "left")
     rows = (
-        x.groupBy("row", "toxic", "total")
-        .agg(
-            F.sum(F.when(F.col("marks"), F.col("n")).otherwise(0)).alias("marked"),
-            F.sort_array(F.collect_list(F.when(F.col("marks").isNotNull(), F.col("word")))).alias("words"),
-        )
+        x.groupBy("row", "toxic")
+        .agg(F.sort_array(F.collect_list(F.when(F.col("marks"), F.col("word")))).alias("words"))
         .toPandas()
         .sort_values("row")
     )
     place = {w: i for i, w in enumerate(words)}
-    share = rows["marked"].to_numpy() / np.maximum(rows["total"].to_numpy(), 1)
-    toxic = rows["toxic"].to_numpy() == 1
-    cuts = np.quantile(share[toxic], [1 / 3, 2 / 3])
-    grade = np.where(toxic, 1 + (share > cuts[0]) + (share > cuts[1]), 0)
     index = [np.array([place[w] for w in ws], np.int64) for ws in rows["words"]]
+    marked = np.array([len(i) for i in index])
+    toxic = rows["toxic"].to_numpy() == 1
+    cuts = np.quantile(marked[toxic & (marked > 0)], [1 / 3, 2 / 3]) if (toxic & (marked > 0)).any() else [0, 0]
+    grade = np.where(toxic, 1 + (marked > cuts[0]) + (marked > cuts[1]), 0)
     weights, thresholds = fit(index, grade, len(words))
     return Model({w: float(v) for w, v in zip(words, weights, strict=True) if v}, thresholds.tolist())
 
 
-def fit(index: list[np.ndarray], grade: np.ndarray, n_words: int, steps: int = 600, l2: float = 0.3, l1: float = 0.2) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds by proximal gradient steps on all rows' log likelihood.
+def fit(index: list[np.ndarray], grade: np.ndarray, n_words: int, steps: int = 800, l2: float = 0.02, l1: float = 0.05) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ordered thresholds by adaptive gradient steps on all rows' penalised log likelihood.
 
     The likelihood of grade g is P(> g - 1) - P(> g). Differences of thresholds are kept
-    positive through their logarithms; the l1 share drives the weights of idle words to nothing.
+    positive through their logarithms. Weights are not negative, since every word of the vocabulary
+    marks toxic rows; the l1 share keeps those of idle words near nothing.
     """
     row = np.repeat(np.arange(len(index)), [len(i) for i in index])
     col = np.concatenate([*index, np.empty(0, np.int64)]).astype(np.int64)
@@ -146,19 +139,17 @@ def fit(index: list[np.ndarray], grade: np.ndarray, n_words: int, steps: int = 6
         like = np.maximum(upper - lower, 1e-12)
         d_up = np.concatenate([np.zeros((n, 1)), d], 1)[np.arange(n), grade] / like
         d_low = np.concatenate([d, np.zeros((n, 1))], 1)[np.arange(n), grade] / like
-        g_w = np.bincount(col, (d_up - d_low)[row], n_words) - l2 * w
+        g_w = np.bincount(col, (d_up - d_low)[row], n_words) - l2 * w - l1
         g_theta = np.array([-(d_up[grade == j + 1]).sum() + d_low[grade == j].sum() for j in range(k)])
         g_t = np.concatenate([[g_theta.sum()], [g_theta[j:].sum() * np.exp(gaps[j - 1]) for j in range(1, k)]])
         rate = 0.1 / (1 + step / 200)
         m_w, v_w = 0.9 * m_w + 0.1 * g_w, 0.999 * v_w + 0.001 * g_w ** 2
         m_t, v_t = 0.9 * m_t + 0.1 * g_t, 0.999 * v_t + 0.001 * g_t ** 2
         fix1, fix2 = 1 - 0.9 ** step, 1 - 0.999 ** step
-        scale = np.sqrt(v_w / fix2) + 1e-8
-        w = w + rate * (m_w / fix1) / scale
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * l1 / scale, 0)
+        w = np.maximum(w + rate * (m_w / fix1) / (np.sqrt(v_w / fix2) + 1e-8), 0)
         move = rate * (m_t / fix1) / (np.sqrt(v_t / fix2) + 1e-8)
         first, gaps = first + move[0], np.clip(gaps + move[1:], -10, 4)
-    return w, first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
+    return np.where(w < 0.01, 0.0, w), first + np.concatenate([[0], np.cumsum(np.exp(gaps))])
 
 
 def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:

@@ -62,7 +62,7 @@ def test_subwords_do_not_cross_texts_or_words():
     of, bucket = L.subwords(one)
     apart = [sorted(L.subwords(pa.array([t]))[1].tolist()) for t in ("ab cd", "Xy")]
     assert [sorted(bucket[of == k].tolist()) for k in (0, 1)] == apart
-    assert sorted(L.subwords(pa.array(["ab  12 cd!"]))[1].tolist())[:2] == apart[0][:2]
+    assert sorted(L.subwords(pa.array(["ab  12 cd!"]))[1].tolist()) == apart[0]
     assert sorted(L.subwords(pa.array(["xY"]))[1].tolist()) == apart[1]
 
 
