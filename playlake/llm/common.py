@@ -60,7 +60,7 @@ class IdFilter:
         words = (
             ids.select(places.alias("p"))
             .groupBy(F.shiftright("p", 5).cast("int").alias("w"))
-            .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), (F.col("p") % 32).cast("int"))).alias("bits"))
+            .agg(F.expr("bit_or(shiftleft(1L, int(p % 32)))").alias("bits"))
             .toPandas()
         )
         table = np.zeros(FILTER_BITS // 32, np.uint32)
