@@ -10,7 +10,7 @@ from playlake.functions.arrays import (  # noqa: F401
     vocab_filter,
 )
 from playlake.functions.dates import date_path, days_between, to_date_utc, to_timestamp_utc  # noqa: F401
-from playlake.functions.json import is_json_text, parse_tag_response  # noqa: F401
+from playlake.functions.json import json_values, parse_tag_responses  # noqa: F401
 from playlake.functions.maths import clamp, floor_div, py_round, rate, safe_div  # noqa: F401
 from playlake.functions.strings import (  # noqa: F401
     char_length,

@@ -11,30 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from playlake.functions._util import ColumnOrName, as_col
 from playlake.functions.strings import py_strip
 
 
-def _single_value(text: Column) -> tuple[Column, Column]:
-    """(ok, value-as-variant) where ok means ``text`` is exactly one JSON value.
-
-    The sentinel can only be the second item when the text held exactly one
-    value: a text of several values pushes it further back, trailing junk
-    fails the parse, and no text contains its own digest.
-    """
-    seal = F.sha2(text, 256)
-    items = F.try_variant_get(
-        F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), seal, F.lit('"]'))), "$", "array<variant>"
-    )
-    ok = F.try_variant_get(F.try_element_at(items, F.lit(2)), "$", "string") == seal
-    return F.coalesce(ok, F.lit(False)), F.try_element_at(items, F.lit(1))
-
-
 def with_json_check(df, column: str, out: str = "is_json", value: str | None = None):
-    """DataFrame form of :func:`is_json_text`; the parse runs once per row.
+    """Whether the text is exactly one JSON value of any type; the parse runs once per row.
 
     With ``value`` set, the parsed value is kept as a variant column of that
     name, so callers can read fields without parsing the text again.
@@ -55,48 +38,20 @@ def with_json_check(df, column: str, out: str = "is_json", value: str | None = N
     return staged.drop("_jc_seal", "_jc_items")
 
 
-def is_json_text(line: ColumnOrName) -> Column:
-    """STR-1: true when the line (not blank) is exactly one JSON value of any type."""
-    ok, _ = _single_value(as_col(line))
-    return ok
-
+def json_values(df, column: str, out: str):
+    """Rows of df whose text is exactly one JSON value, with the value's text in ``out``.
 
-def parse_tag_response(raw: ColumnOrName, vocab: Sequence[str]) -> tuple[Column, Column]:
-    """JSN-2 / ENR-3: ``(tags, parse_ok)`` with Python ``json.loads`` semantics.
-
-    The text is stripped first. An array keeps its string items that are in
-    ``vocab`` (order and duplicates kept); an object contributes its keys; a
-    string contributes its characters; every case then filters by ``vocab``.
-    Numbers, booleans, null and malformed text give ``([], False)``.
-    Known differences from Python: ``NaN`` literals and duplicate object keys
-    are rejected here.
+    The text is read once: the generator that keeps or drops a row stands
+    between the parse and whatever follows, so no later step repeats it. NaN and
+    infinities pass, as do repeated keys (the last one wins when fields are read).
     """
-    text = py_strip(as_col(raw))
-    ok, value = _single_value(text)
-    kind = F.schema_of_variant(value)
-    is_array = kind.startswith("ARRAY")
-    is_object = kind.startswith("OBJECT")
-    is_string = kind == "STRING"
-    allowed = F.array(*[F.lit(v) for v in vocab])
-    empty = F.array().cast("array<string>")
-
-    elements = F.try_variant_get(value, "$", "array<variant>")
-    string_items = F.transform(
-        F.filter(elements, lambda e: F.schema_of_variant(e) == "STRING"),
-        lambda e: F.variant_get(e, "$", "string"),
-    )
-    candidates = (
-        F.when(is_array, string_items)
-        .when(is_object, F.json_object_keys(text))
-        .when(is_string, F.split(F.variant_get(value, "$", "string"), ""))
-        .otherwise(empty)
-    )
-    parse_ok = ok & (is_array | is_object | is_string)
-    parse_ok = F.coalesce(parse_ok, F.lit(False))
-    tags = F.when(
-        parse_ok, F.filter(F.coalesce(candidates, empty), lambda t: F.array_contains(allowed, t))
-    ).otherwise(empty)
-    return tags, parse_ok
+    options = {"allowSingleQuotes": "false"}
+    sealed = df.withColumn("_jv_seal", F.sha2(F.col(column), 256))
+    wrapped = F.concat(F.lit("["), F.col(column), F.lit(',"'), F.col("_jv_seal"), F.lit('"]'))
+    items = sealed.withColumn("_jv_items", F.from_json(wrapped, "array<string>", options))
+    one = (F.size("_jv_items") == 2) & (F.try_element_at("_jv_items", F.lit(2)) == F.col("_jv_seal"))
+    kept = F.when(one, F.slice("_jv_items", 1, 1)).otherwise(F.array().cast("array<string>"))
+    return items.withColumn(out, F.explode(kept)).drop("_jv_seal", "_jv_items")
 
 
 def parse_tag_responses(
@@ -106,7 +61,14 @@ def parse_tag_responses(
     tags: str = "mood_tags",
     ok: str = "parse_ok",
 ):
-    """DataFrame form of :func:`parse_tag_response` with staged projections.
+    """JSN-2 / ENR-3: the tags of each reply and whether it parsed.
+
+    The text is stripped first. An array keeps its string items that are in
+    ``vocab`` (order and duplicates kept); an object contributes its keys; a
+    string contributes its characters; every case then filters by ``vocab``.
+    Numbers, booleans, null and malformed text give ``([], False)``.
+    Known differences from Python: ``NaN`` literals and duplicate object keys
+    are rejected here.
 
     Each intermediate (stripped text, its parse, the value's type) is its own
     projection and is referenced several times downstream, so Catalyst keeps

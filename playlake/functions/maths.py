@@ -14,7 +14,11 @@ def safe_div(num: ColumnOrName, den: ColumnOrName) -> Column:
 
 
 def py_round(c: ColumnOrName, scale: int = 0) -> Column:
-    """MTH-2: Python ``round`` on floats (ties to even)."""
+    """MTH-2: round half to even, as Python's ``round`` does.
+
+    Ties are those of the value's shortest decimal text: 2.675 is a tie here and
+    gives 2.68, where Python rounds the binary value just below it to 2.67.
+    """
     return F.bround(as_col(c).cast("double"), scale)
 
 

@@ -17,7 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playlake.functions import char_length, parse_tag_response, truncate
+from playlake.functions import char_length, truncate
+from playlake.functions.json import parse_tag_responses
 from playlake.schemas import CLASSIFIER_OUTPUT, MIN_SYNOPSIS_CHARS, MOOD_TAGS, PROMPT_CHARS
 
 Classifier = Callable[[pd.DataFrame], pd.DataFrame]
@@ -60,34 +61,15 @@ def classify(cands: DataFrame, classifier: Classifier, checkpoint: bool = True)
 
 def assemble(raw: DataFrame, model: str, vocab: Sequence[str] = MOOD_TAGS, enriched_at=None) -> DataFrame:
     """ENR-3 / ENR-4: parse responses strictly and add model and run timestamp."""
-    tags, ok = parse_tag_response("raw_response", vocab)
     ts = F.current_timestamp() if enriched_at is None else F.lit(enriched_at).cast("timestamp")
-    return raw.select(
+    return parse_tag_responses(raw, "raw_response", vocab).select(
         "media_id",
-        tags.alias("mood_tags"),
+        "mood_tags",
         "raw_response",
-        ok.alias("parse_ok"),
+        "parse_ok",
         "latency_ms",
         "input_tokens",
         "output_tokens",
         F.lit(model).alias("enrichment_model"),
         ts.alias("enriched_at"),
     )
-
-
-def keyword_classifier(vocab: Sequence[str] = MOOD_TAGS) -> Classifier:
-    """A deterministic stand-in classifier for tests: tags whose word occurs in the prompt."""
-    import json
-
-    def run(batch: pd.DataFrame) -> pd.DataFrame:
-        lowered = batch["prompt"].fillna("").str.lower()
-        raws = [json.dumps([t for t in vocab if t in p]) for p in lowered]
-        return pd.DataFrame({
-            "media_id": batch["media_id"].astype("int64"),
-            "raw_response": raws,
-            "latency_ms": lowered.str.len().astype("int64"),
-            "input_tokens": (lowered.str.len() // 4).astype("int64"),
-            "output_tokens": pd.Series([len(r) // 4 for r in raws], dtype="int64"),
-        })
-
-    return run

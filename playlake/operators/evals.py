@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from playlake.functions import floor_div, jaccard, py_round, rate
 from playlake.operators.frames import side_by_side
 from playlake.operators.ordering import exact_percentile
+from playlake.operators.silver import latest
 from playlake.schemas import MAX_PARSE_FAIL, MIN_MACRO_F1
 
 
@@ -27,8 +28,14 @@ def vocabulary(spark: SparkSession, vocab: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(i, t) for i, t in enumerate(vocab)], "tag_order int, tag string")
 
 
-def score_join(golden: DataFrame, preds: DataFrame, key: str = "media_id") -> DataFrame:
-    """JON-4: golden x predictions on the key; ``want``/``got`` as element sets."""
+def score_join(golden: DataFrame, preds: DataFrame, key: str = "media_id", seq: str | None = None) -> DataFrame:
+    """JON-4: golden x predictions on the key; ``want``/``got`` as element sets.
+
+    Each side has one row per key. Where keys repeat, ``seq`` names the column
+    whose largest value wins (the last line); it must be unique within a key.
+    """
+    if seq is not None:
+        golden, preds = (latest(d, [key], [F.col(seq).desc()]) for d in (golden, preds))
     g = golden.select(key, F.array_distinct(F.coalesce(F.col("mood_tags"), _empty())).alias("want"))
     p = preds.select(
         key,
@@ -97,7 +104,10 @@ def eval_summary(
 ) -> DataFrame:
     """EVL-3..8: coverage, macro-F1 over every vocabulary tag, mean Jaccard
     (empty union = 1.0), parse-failure rate (no tags but a non-empty raw
-    response), tokens per title (floor division) and the regression gate."""
+    response), tokens per title (floor division) and the regression gate.
+
+    Golden titles and predictions without a common key are an error, raised when
+    the summary is computed."""
     per_title = scored.groupBy().agg(
         F.count(F.lit(1)).alias("n_scored"),
         F.avg(jaccard("want", "got", 1.0)).alias("_jac"),
@@ -108,8 +118,9 @@ def eval_summary(
     n_golden = golden.groupBy().agg(F.count(F.lit(1)).alias("n_golden"))
     joined = side_by_side(per_title, macro, n_golden)
     parse_fail = F.coalesce(F.col("_pf"), F.lit(0.0))
+    scored_any = F.when(F.col("n_scored") == 0, F.raise_error(F.lit("no golden title has a prediction")).cast("long"))
     return joined.select(
-        "n_scored",
+        scored_any.otherwise(F.col("n_scored")).alias("n_scored"),
         "n_golden",
         py_round("_f1", scale).alias("macro_f1"),
         py_round(F.col("_jac"), scale).alias("mean_jaccard"),
@@ -133,8 +144,8 @@ def trace_health(
     """EVL-9 / EVL-10: empty-tag rate, latency percentile, tokens and cost per title.
 
     Rates are caller-supplied prices per token; there is no default price.
-    ``exact`` ranks every latency with a distributed range sort (linear
-    interpolation, as ``percentile``); ``exact=False`` merges fixed-size
+    ``exact`` counts each distinct latency and interpolates between ranks of those
+    counts (linear interpolation, as ``percentile``); ``exact=False`` merges fixed-size
     quantile sketches map-side (``percentile_approx``), with no sort.
     """
     tok_in = F.coalesce(F.col("input_tokens"), F.lit(0))

@@ -90,10 +90,12 @@ def episode_viewers(
     episode: str = "episode",
     user_key: str = "user_key",
     strict_cohort: bool = False,
-    approx: bool = False,
 ) -> DataFrame:
     """AGG-1 + AGG-2: distinct episode-1 and episode-2 viewers per title.
 
+    A row without a user is no viewer, as in ``count(DISTINCT user)``; a title
+    with only such rows keeps its row with no viewers.
+
     Plan: one shuffle on (title, user) that also removes repeat views (map-side
     partial aggregation), then a tiny per-title count with map-side combine.
     Hashing on the user as well spreads a hot title over all reducers, and the
@@ -104,8 +106,8 @@ def episode_viewers(
         fact.filter(F.col(episode) <= 2)  # FLT-3, pushed to the scan
         .groupBy(title_key, user_key)
         .agg(
-            F.max(F.col(episode) == 1).alias("_e1"),
-            F.max(F.col(episode) == 2).alias("_e2"),
+            F.max((F.col(episode) == 1) & F.col(user_key).isNotNull()).alias("_e1"),
+            F.max((F.col(episode) == 2) & F.col(user_key).isNotNull()).alias("_e2"),
         )
     )
     e2 = (F.col("_e1") & F.col("_e2")) if strict_cohort else F.col("_e2")
@@ -123,7 +125,6 @@ def episode_dropoff(
     user_key: str = "user_key",
     min_viewers: int = MIN_EP1_VIEWERS,
     strict_cohort: bool = False,
-    approx: bool = False,
 ) -> DataFrame:
     """Episode-2 retention per title (the headline mart).
 
@@ -133,7 +134,7 @@ def episode_dropoff(
     The dimension key stays in the output, so downstream joins use the key
     rather than the title text (JON-3), and equal titles cannot fan out.
     """
-    counts = episode_viewers(fact, title_key, episode, user_key, strict_cohort, approx).filter(
+    counts = episode_viewers(fact, title_key, episode, user_key, strict_cohort).filter(
         F.col("ep1_viewers") >= min_viewers
     )
     return counts.join(dim, title_key).select(

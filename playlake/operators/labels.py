@@ -21,9 +21,9 @@ def validate(df: DataFrame, vocab: Sequence[str], key: str = "media_id", tags: s
     allowed = F.array(*[F.lit(t) for t in vocab])
     t = F.col(tags)
     reason = (
-        F.when(F.col(key).isNull() | (F.col(key) == 0), F.lit(f"{key} required"))
-        .when(t.isNull() | ~F.size(t).between(1, 3), F.lit(f"{tags} must have 1-3 items"))
-        .when(~F.forall(t, lambda x: F.array_contains(allowed, x)), F.lit(f"{tags} must be from vocabulary"))
+        F.when(F.col(key).isNull() | (F.col(key) == 0), F.lit("missing_key"))
+        .when(t.isNull() | ~F.size(t).between(1, 3), F.lit("tag_count"))
+        .when(~F.forall(t, lambda x: F.array_contains(allowed, x)), F.lit("unknown_tag"))
     )
     return df.withColumn("reason", reason).withColumn("valid", F.col("reason").isNull()).withColumn(
         tags, F.array_sort(t)
@@ -37,10 +37,14 @@ def upsert_labels(existing: DataFrame, incoming: DataFrame, key: str = "media_id
     return kept.unionByName(newest.withColumn("mood_tags", F.array_sort("mood_tags")), allowMissingColumns=True)
 
 
-def agreement(pass1: DataFrame, pass2: DataFrame, key: str = "media_id") -> DataFrame:
+def agreement(pass1: DataFrame, pass2: DataFrame, key: str = "media_id", seq: str | None = None) -> DataFrame:
     """JON-5 / SET-2 / EVL-11: per-title Jaccard of two passes over the union of
-    their keys, 0.0 for two empty sets,
-    NULL unless both passes labeled the title."""
+    their keys, 0.0 for two empty sets, NULL unless both passes labeled the title.
+
+    Each pass has one row per key. Where keys repeat, ``seq`` names the column
+    whose largest value wins (the last line); it must be unique within a key."""
+    if seq is not None:
+        pass1, pass2 = (last_line_wins(p, key, seq) for p in (pass1, pass2))
     p1 = pass1.select(key, F.col("title").alias("_t1"), F.col("mood_tags").alias("pass1_tags"), F.lit(True).alias("_in1"))
     p2 = pass2.select(key, F.col("title").alias("_t2"), F.col("mood_tags").alias("pass2_tags"), F.lit(True).alias("_in2"))
     both = F.col("_in1").isNotNull() & F.col("_in2").isNotNull()
@@ -72,9 +76,12 @@ def agreement_summary(report: DataFrame, scale: int = 4) -> DataFrame:
 
 
 def seeded_order(df: DataFrame, key: str, seed: str, name: str = "position") -> DataFrame:
-    """WIN-4: a stable, seed-keyed shuffled position (sha256 of seed || key, then key)."""
+    """WIN-4: a stable, seed-keyed shuffled position (sha256 of seed || key, then key) of unique keys."""
     h = F.sha2(F.concat(F.lit(seed), F.col(key).cast("string")), 256)
-    return global_position(df.withColumn("_h", h), [F.col("_h").asc(), F.col(key).asc()], name).drop("_h")
+    # only the keys are sorted and stored; the rows join their positions back
+    keys = df.select(key).withColumn("_h", h)
+    placed = global_position(keys, [F.col("_h").asc(), F.col(key).asc()], name).select(key, name)
+    return df.join(placed, key)
 
 
 def last_line_wins(df: DataFrame, key: str, seq: str) -> DataFrame:

@@ -66,19 +66,31 @@ def _partitions_for(df: DataFrame) -> int:
 def exact_percentile(df: DataFrame, value: str, p: float, alias: str | None = None) -> DataFrame:
     """Exact ``percentile(value, p)`` with linear interpolation, distributed.
 
-    Rows with NULL ``value`` are ignored. Returns one row (NULL on no rows).
+    Equal values are counted first (combined on the map side), so only distinct
+    values are sorted and stored. Rows with NULL ``value`` are ignored. Returns
+    one row (NULL on no rows).
     """
     alias = alias or f"p{int(round(p * 100))}_{value}"
-    vals = df.select(F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    ranked = global_position(
-        vals.withColumn("_u", F.monotonically_increasing_id()),
-        [F.col("_v").asc(), F.col("_u").asc()],
-        "_pos",
-        with_total=True,
+    counts = (
+        df.select(F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+        .groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
     )
+    ranged = counts.repartitionByRange(F.col("_v")).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_pid").agg(F.sum("_n").alias("_s")).select(
+        "_pid", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"),
+        F.sum("_s").over(Window.partitionBy()).alias("_total"))
+    within = Window.partitionBy("_pid").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = ranged.withColumn("_cum", F.sum("_n").over(within)).join(F.broadcast(offsets), "_pid").select(
+        "_v", "_n", (F.col("_off") + F.col("_cum")).alias("_last"), "_total")
+    # the ranks lo and hi between which the percentile lies; a value holds the ranks (last - n, last]
     h = (F.col("_total") - 1).cast("double") * F.lit(float(p))
+
+    def holds(rank: Column) -> Column:
+        return (F.col("_last") - F.col("_n") < rank) & (rank <= F.col("_last"))
+
     lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-    picked = ranked.filter((F.col("_pos") == lo) | (F.col("_pos") == hi)).withColumn("_frac", h - F.floor(h))
-    return picked.groupBy().agg(
-        (F.min("_v") + F.max("_frac") * (F.max("_v") - F.min("_v"))).alias(alias)
-    )
+    return last.groupBy().agg(
+        F.max(F.when(holds(lo), F.col("_v"))).alias("_lo"), F.max(F.when(holds(hi), F.col("_v"))).alias("_hi"),
+        F.max(h - F.floor(h)).alias("_frac"),
+    ).select((F.col("_lo") + F.col("_frac") * (F.col("_hi") - F.col("_lo"))).alias(alias))

@@ -123,11 +123,11 @@ def unparseable_json(df: DataFrame, column: str, schema: str = "array<string>")
         F.lit(column).alias("column_name"), "rows", "unparseable")
 
 
-def freeze(df: DataFrame, columns: Sequence[str], sort: Sequence[str]) -> DataFrame:
+def freeze(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """SNK-6: fixed column subset as text: doubles with 4 decimals, NULL as ''.
 
-    The sort keys are returned alongside so the writer can order a single CSV
-    (``orderBy`` + ``coalesce(1)`` only at write time, on an already small mart).
+    The rows have no order; ``files.write_golden_csv`` orders by the typed keys
+    before it freezes.
     """
     types = dict(df.dtypes)
     cols = []
@@ -137,6 +137,10 @@ def freeze(df: DataFrame, columns: Sequence[str], sort: Sequence[str]) -> DataFr
     return df.select(*cols)
 
 
+# Elements of an array that expands copies of one row.
+COPY_STEP = 4096
+
+
 def drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """SET-4 / DQ-5: bag difference in both directions with a ``side`` column.
 
@@ -144,25 +148,39 @@ def drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
     ``actual.exceptAll(expected)`` tagged 'unexpected', computed in one pass:
     rows are counted with sign +1 / -1 per side (NULLs group together), and a
     row with net count k != 0 is emitted |k| times on its side. Each input is
-    read once; identical hot rows combine map-side.
+    read once; identical hot rows combine map-side. Copies are expanded in two
+    steps of at most ``COPY_STEP`` elements an array, so a row with a very large
+    net count never becomes one array of that length.
     """
     cols = expected.columns
     signed = expected.select(*cols, F.lit(1).alias("_d")).unionByName(
         actual.select(*cols, F.lit(-1).alias("_d")))
     net = signed.groupBy(*cols).agg(F.sum("_d").alias("_net")).filter(F.col("_net") != 0)
-    return net.select(
+    step = F.lit(COPY_STEP)
+    copies = F.abs(F.col("_net"))
+    steps = net.select(
         *cols,
         F.when(F.col("_net") > 0, F.lit("missing")).otherwise(F.lit("unexpected")).alias("side"),
-        F.explode(F.sequence(F.lit(1), F.abs(F.col("_net")).cast("int"))).alias("_copy"),
-    ).drop("_copy")
+        copies.alias("_k"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / step))).alias("_i"),
+    )
+    left = F.least(step.cast("long"), F.col("_k") - F.col("_i") * step)
+    return steps.select(*cols, "side", F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("_copy")).drop("_copy")
 
 
 def fingerprint(df: DataFrame, name: str | None = None) -> DataFrame:
     """DQ-6: order-insensitive identity: row count and the exact sum of row hashes.
 
-    Stable across partitioning and file layout, unlike parquet bytes.
+    A row is written as text, ``column=value`` or ``column!`` for NULL, one to a
+    line, so that values cannot change places unseen; its hash is the first 60
+    bits of the SHA-256. Stable across partitioning and file layout, unlike
+    parquet bytes.
     """
-    h = F.xxhash64(*[F.col(c) for c in df.columns]).cast(T.DecimalType(38, 0))
+    def part(c: str) -> Column:
+        return F.coalesce(F.concat(F.lit(f"{c}="), F.col(c).cast("string")), F.lit(f"{c}!"))
+
+    text = F.concat_ws("\n", *[part(c) for c in df.columns])
+    h = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast(T.DecimalType(38, 0))
     out = df.groupBy().agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("fingerprint"))
     return out if name is None else out.select(F.lit(name).alias("table_name"), "*")
 

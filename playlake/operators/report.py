@@ -94,25 +94,33 @@ def report_document(
     qoe: DataFrame,
     sample: DataFrame,
     generated_at: Column | None = None,
+    suite: DataFrame | None = None,
 ) -> DataFrame:
     """SNK-7: one nested row built from small aggregates (no driver round trip).
 
     Each input is already an aggregate with a bounded row count (a histogram of
     4-dp values, per-group rows, top/bottom samples), so each is folded into an
     array by a single ``collect_list``; the one-row results are then put side
-    by side without a join.
+    by side without a join. Lists keep the order a reader wants: the histogram
+    by value, group means by falling mean, QoE by device, the sample as the top
+    titles by rank and then the bottom ones. ``suite`` (the rows of
+    ``quality.run_suite``) adds how many of its checks passed.
     """
-    def fold(df: DataFrame, name: str) -> DataFrame:
-        packed = F.struct(*[F.col(c) for c in df.columns])
-        return df.groupBy().agg(F.array_sort(F.collect_list(packed)).alias(name))
+    def fold(df: DataFrame, name: str, *order: Column) -> DataFrame:
+        row = F.struct(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]).alias("o"),
+                       F.struct(*[F.col(c) for c in df.columns]).alias("row"))
+        return df.groupBy().agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["row"]).alias(name))
 
-    doc = side_by_side(
+    mean = next(c for c in means.columns if c.startswith("mean_"))
+    parts = [
         counts,
-        fold(histogram, "retention_hist"),
-        fold(means, "genre_means"),
+        fold(histogram, "retention_hist", F.col(histogram.columns[0])),
+        fold(means, "genre_means", -F.col(mean), F.col(means.columns[0])),
         variance.select(F.struct(*variance.columns).alias("variance_explained")),
-        fold(qoe, "device_qoe"),
-        fold(sample, "titles_sample"),
-    )
+        fold(qoe, "device_qoe", F.col(qoe.columns[0])),
+        fold(sample, "titles_sample", F.when(F.col("side") == "top", 0).otherwise(1), F.col("rank")),
+    ]
+    if suite is not None:
+        parts.append(suite.groupBy().agg(F.count_if("passed").alias("checks_passed"), F.count(F.lit(1)).alias("checks_total")))
     ts = generated_at if generated_at is not None else F.current_timestamp()
-    return doc.withColumn("generated_at", ts)
+    return side_by_side(*parts).withColumn("generated_at", ts)

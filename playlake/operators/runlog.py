@@ -14,29 +14,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlake.functions.json import with_json_check
+from playlake.functions.json import json_values, with_json_check
 from playlake.operators.silver import latest
 from playlake.schemas import GATE_EVENT, RUN_ID_PATTERN, TAIL_LINES
 
 
-def parse_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = (), schema=None) -> DataFrame:
+def parse_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = (), schema=None,
+                raw: str | None = None) -> DataFrame:
     """STR-1: keep lines that are exactly one JSON value; blank lines skipped.
 
-    Works on batch and streaming frames alike. Returns the F8 columns plus ``keep``.
+    Works on batch and streaming frames alike. Returns the F8 columns plus
+    ``keep``; ``raw`` names a column for the line as it came, so that fields
+    outside the schema are not lost. A value that is no object has NULL fields.
     """
     schema = schema or GATE_EVENT
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    checked = with_json_check(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_ok", "_v")
-    # fields come from the value parsed by the check; the text is not parsed twice
-    fields = [F.try_variant_get("_v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields]
-    return checked.filter("_ok").select(*keep, *fields)
+    one = json_values(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_text")
+    fields = one.withColumn("_event", F.from_json("_text", schema))
+    line = [F.col(value).alias(raw)] if raw else []
+    return fields.select(*keep, *line, *[F.col(f"_event.{f.name}").alias(f.name) for f in schema.fields])
 
 
 def rejected_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """STR-1 side output: non-blank lines that are not JSON, first 120 characters."""
+    """STR-1 side output: non-blank lines that are not one JSON value, whole, with the reason."""
     checked = with_json_check(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_ok")
-    return checked.filter(~F.col("_ok")).select(*keep, F.substring(value, 1, 120).alias("line_head"))
+    return checked.filter(~F.col("_ok")).select(*keep, F.col(value).alias("line"), F.lit("not_one_json_value").alias("reason"))
 
 
 def log_tail(df: DataFrame, group: Sequence[str], seq: str, line: str, n: int = TAIL_LINES,
@@ -81,9 +84,13 @@ def gate_rollup(events: DataFrame, tail_lines: int = TAIL_LINES) -> DataFrame:
     )
     ends = latest(g.filter(F.col("event") == "gate_end"), keys, [F.col("seq").desc()]).select(
         *keys, F.col("status").alias("_status"), F.col("duration_s").alias("_reported"))
-    tails = log_tail(g.filter(F.col("event") == "log"), keys, "seq", "line", tail_lines)
+    rows = bounds.join(ends, keys, "left")
+    if tail_lines > 0:
+        rows = rows.join(log_tail(g.filter(F.col("event") == "log"), keys, "seq", "line", tail_lines), keys, "left")
+    else:  # nobody asks for the lines: they are not read
+        rows = rows.withColumn("tail", F.lit(None).cast("array<string>"))
     measured = centiseconds(F.col("_start"), F.col("_end")).cast("double") / F.lit(100.0)
-    return bounds.join(ends, keys, "left").join(tails, keys, "left").select(
+    return rows.select(
         *keys,
         "first_seq",
         "started_at",
@@ -124,10 +131,13 @@ def run_rollup(events: DataFrame, gates: DataFrame) -> DataFrame:
     )
 
 
-def run_totals(runs: DataFrame, scale: int = 2) -> DataFrame:
-    """STR-7: run total = sum of gate durations, a missing duration counting 0."""
-    total = F.aggregate("gates", F.lit(0.0), lambda acc, g: acc + F.coalesce(g["duration_s"], F.lit(0.0)))
-    return runs.select("run_id", F.round(total, scale).alias("total_duration_s"))
+def run_totals(gates: DataFrame, scale: int = 2) -> DataFrame:
+    """STR-7: run total = sum of its gates' durations, a missing duration counting 0.
+
+    ``gates`` are rows of :func:`gate_rollup`; their tails are not needed.
+    """
+    total = F.sum(F.coalesce("duration_s", F.lit(0.0)))
+    return gates.groupBy("run_id").agg(F.round(total, scale).alias("total_duration_s"))
 
 
 def first_last(df: DataFrame, group: Sequence[str], seq: str, value: str) -> DataFrame:

@@ -14,32 +14,26 @@ from playlake.schemas import GENRE_NUDGES, TONES
 def eta_squared(df: DataFrame, group: str, value: str, scale: int = 3) -> DataFrame:
     """STA-1: SS_between / SS_total of ``value`` by ``group``; 0.0 if SS_total is 0.
 
-    One scan: per-group count, mean and population variance are merged
-    map-side (Welford-style, numerically stable). SS_within = sum n_g var_g,
-    SS_between = sum n_g (mean_g - grand)^2 over the (few) group rows.
+    One scan and one shuffle of partial aggregates: a rollup gives the count and
+    population variance of each group and of all rows. Variances are merged
+    around the means, so values far from zero lose nothing:
+    SS_total = n var, SS_within = sum n_g var_g, SS_between is their difference.
     """
     v = F.col(value).cast("double")
-    groups = df.filter(v.isNotNull()).groupBy(group).agg(
-        F.count(F.lit(1)).alias("_n"), F.avg(v).alias("_m"), F.var_pop(v).alias("_var")
-    )
-    grand = F.sum(F.col("_n") * F.col("_m")) / F.sum("_n")
-    within = F.sum(F.col("_n") * F.col("_var"))
-    stats = groups.groupBy().agg(
-        F.sum("_n").alias("n"),
-        F.count(F.lit(1)).alias("n_groups"),
-        grand.alias("_grand"),
-        within.alias("_within"),
-        F.sum(F.col("_n") * F.col("_m") * F.col("_m")).alias("_sum_nm2"),
-    )
-    # sum n_g (m_g - grand)^2 = sum n_g m_g^2 - n grand^2 (group level only)
-    between = F.greatest(F.col("_sum_nm2") - F.col("n") * F.col("_grand") * F.col("_grand"), F.lit(0.0))
-    total = F.col("_within") + between
-    eta = F.when(F.coalesce(total, F.lit(0.0)) > 0, between / total).otherwise(F.lit(0.0))
-    return stats.select(
-        F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"),
-        "n_groups",
-        py_round(eta, scale).alias("eta_squared"),
+    rows = df.filter(v.isNotNull()).select(F.col(group).alias("_g"), v.alias("_v"))
+    parts = rows.rollup("_g").agg(
+        F.grouping("_g").alias("_all"), F.count(F.lit(1)).alias("_n"), F.var_pop("_v").alias("_var"))
+    whole = F.col("_all") == 1
+    ss = F.col("_n") * F.col("_var")
+    folded = parts.groupBy().agg(
+        F.coalesce(F.max(F.when(whole, F.col("_n"))), F.lit(0)).cast("long").alias("n"),
+        F.count_if(~whole).alias("n_groups"),
+        F.max(F.when(whole, ss)).alias("_total"),
+        F.sum(F.when(~whole, ss)).alias("_within"),
     )
+    between = F.greatest(F.col("_total") - F.col("_within"), F.lit(0.0))
+    eta = F.when(F.coalesce(F.col("_total"), F.lit(0.0)) > 0, between / F.col("_total")).otherwise(F.lit(0.0))
+    return folded.select("n", "n_groups", py_round(eta, scale).alias("eta_squared"))
 
 
 def r_squared(df: DataFrame, x: str, y: str, scale: int = 3, min_pairs: int = 3) -> DataFrame:
@@ -62,15 +56,6 @@ def r_squared(df: DataFrame, x: str, y: str, scale: int = 3, min_pairs: int = 3)
     return agg.select("n_pairs", py_round(r2, scale).alias("r_squared"))
 
 
-def hashed_base(key: Column, tones: Sequence[str] = TONES) -> Column:
-    """First ``len(tones)`` bytes of sha256(``tone:{key}``), each / 255."""
-    h = F.sha2(F.concat(F.lit("tone:"), key.cast("string")), 256)
-    return F.array(*[
-        F.conv(F.substring(h, 2 * i + 1, 2), 16, 10).cast("double") / F.lit(255.0)
-        for i in range(len(tones))
-    ])
-
-
 def _equals(value: str):
     return lambda x: x == F.lit(value)
 
@@ -132,20 +117,33 @@ def mean_affinity(
     title_vectors_df: DataFrame,
     user_key: str,
     title_key: str,
+    dim: int,
     vector: str = "vector",
 ) -> DataFrame:
     """STA-3 / JON-10: mean over watched pairs of dot(user vector, title vector) per title.
 
-    Pairs join user vectors on the user key (a co-partitioned shuffle join at
-    scale) and title vectors on the title key (broadcast when AQE measures it
-    small). The dot product is a JVM higher-order function.
+    The mean of u.t over a title's viewers is (mean u).t, so only user vectors
+    are joined to the pairs; ``dim`` component sums per title are combined on the
+    map side, and one row per title meets its title vector.
     """
     u = user_vectors.select(user_key, F.col(vector).alias("_uv"))
     t = title_vectors_df.select(title_key, F.col(vector).alias("_tv"))
-    joined = pairs.select(user_key, title_key).join(u, user_key).join(t, title_key)
-    return joined.groupBy(title_key).agg(
-        F.avg(dot("_uv", "_tv")).alias("mean_affinity"), F.count(F.lit(1)).alias("n_pairs")
+    sums = pairs.select(user_key, title_key).join(u, user_key).groupBy(title_key).agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        *[F.avg(F.get("_uv", F.lit(i)).cast("double")).alias(f"_m{i}") for i in range(dim)],
     )
+    means = sums.select(title_key, "n_pairs", F.array(*[F.col(f"_m{i}") for i in range(dim)]).alias("_mean"))
+    return means.join(t, title_key).select(title_key, dot("_mean", "_tv").alias("mean_affinity"), "n_pairs")
+
+
+def group_affinity(vectors: DataFrame, centres: DataFrame, key: str, vector: str) -> DataFrame:
+    """JON-10: mean dot(unit vector, centre of its group) per group, for vectors that carry their group."""
+    from playlake.functions.arrays import l2_norm
+
+    unit = vectors.select(key, vector, l2_norm(vector).alias("_n")).select(key, l2_normalize(vector, "_n").alias("_u"))
+    centre = centres.select(key, F.col("vector").alias("_c"))
+    return unit.join(centre, key).groupBy(key).agg(
+        F.avg(dot("_u", "_c")).alias("mean_affinity"), F.count(F.lit(1)).alias("n_pairs"))
 
 
 def affinity_retention_r2(affinity: DataFrame, retention: DataFrame, key: str,

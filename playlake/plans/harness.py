@@ -1,25 +1,30 @@
 """Registered queries over the driver tables, and their DuckDB oracles.
 
-Each query reuses a playlake operator on *analog* columns (SURVEY §7.4); the
+Each query applies a playlake operator to *analog* columns (SURVEY §7.4); the
 operator's semantics are those of §2. Every query reads whole tables.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from playlake.functions import first_or_null, parse_string_array, py_round, strip_html, to_json_list
+from playlake.functions import (
+    clamp, composite_key, first_or_null, parse_string_array, py_round, strip_html, tag_display, to_json_list,
+)
 from playlake.functions.json import parse_tag_responses
 from playlake.operators import enrich, evals, gold, quality, report, runlog, silver, stats
 from playlake.operators import labels as labelops
 from playlake.operators.frames import side_by_side
 from playlake.operators.partitioning import spread
 from playlake.plans.tables import table
-from playlake.schemas import GATE_EVENT
-from playlake.sources import bronze
+from playlake.schemas import CATALOG_PAGE, GATE_EVENT, TONES
+from playlake.session import scratch_path
+from playlake.sources import bronze, files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,22 +66,20 @@ def dropoff(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 
 _DROPOFF_SQL = """
-WITH per_user AS (
-    SELECT l_suppkey AS title_key, l_orderkey AS user_key,
-           bool_or(l_linenumber = 1) AS e1, bool_or(l_linenumber = 2) AS e2
-    FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1, 2),
-counts AS (
-    SELECT title_key, count(*) FILTER (WHERE e1) AS ep1_viewers,
-           count(*) FILTER (WHERE {e2}) AS ep2_viewers
-    FROM per_user GROUP BY 1)
+WITH counts AS (
+    SELECT l_suppkey AS title_key,
+           count(DISTINCT l_orderkey) FILTER (WHERE l_linenumber = 1) AS ep1_viewers,
+           count(DISTINCT l_orderkey) FILTER (WHERE l_linenumber = 2 {e2}) AS ep2_viewers
+    FROM lineitem GROUP BY 1)
 SELECT s_suppkey AS title_key, s_name AS title, s_nationkey AS primary_genre,
        ep1_viewers, ep2_viewers,
        round(CAST(ep2_viewers AS DOUBLE) / nullif(ep1_viewers, 0), 4) AS ep2_retention
 FROM counts JOIN supplier ON title_key = s_suppkey
 WHERE ep1_viewers >= 20
 """
-DROPOFF_SQL = _DROPOFF_SQL.format(e2="e2")
-STRICT_DROPOFF_SQL = _DROPOFF_SQL.format(e2="e1 AND e2")
+DROPOFF_SQL = _DROPOFF_SQL.format(e2="")
+STRICT_DROPOFF_SQL = _DROPOFF_SQL.format(
+    e2="AND (l_suppkey, l_orderkey) IN (SELECT (l_suppkey, l_orderkey) FROM lineitem WHERE l_linenumber = 1)")
 
 
 @register("episode_dropoff", DROPOFF_SQL)
@@ -142,17 +145,43 @@ def q_valid_events(spark, sf_dir):
                                                F.to_date("ts").alias("event_date"))
 
 
-@register("fact_events", """
-SELECT event_id, user_id AS user_key, event_type, value, CAST(ts AS DATE) AS watch_date,
-       CAST(json_extract(props, '$.k') AS BIGINT) AS k
-FROM events WHERE user_id IS NOT NULL AND event_id IS NOT NULL AND value / 100.0 BETWEEN 0 AND 1
+def _bronze_playback(spark, sf_dir) -> DataFrame:
+    """The events as they would land: text times, shares, device names."""
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("e"), F.col("event_id")).alias("event_id"), "user_id",
+        F.get_json_object("props", "$.k").cast("long").alias("media_id"), F.lit(1).cast("long").alias("episode"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("started_at"),
+        (F.col("value") / F.lit(100.0)).alias("watch_pct"), (F.col("value") >= 90).alias("completed"),
+        F.col("event_id").alias("rebuffer_count"), F.floor("value").alias("startup_time_ms"),
+        F.col("event_type").alias("device"), F.lit(None).cast("string").alias("region"))
+
+
+_STG_PLAYBACK_SQL = """
+    SELECT 'e' || event_id AS event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS media_id,
+           CAST(1 AS BIGINT) AS episode, ts AS started_at, value / 100.0 AS watch_pct, value >= 90 AS completed,
+           event_id AS rebuffer_count, CAST(floor(value) AS BIGINT) AS startup_time_ms, event_type AS device
+    FROM events
+    WHERE user_id IS NOT NULL AND json_extract(props, '$.k') IS NOT NULL AND value / 100.0 BETWEEN 0 AND 1"""
+
+
+@register("stg_playback", f"""
+SELECT event_id, user_id, media_id, epoch_us(started_at) AS started_us, watch_pct, completed, device FROM ({_STG_PLAYBACK_SQL})
+""")
+def q_stg_playback(spark, sf_dir):
+    """DAT-1 / DAT-5 / FLT-1: landed events with text times, cleaned and typed by the silver operator."""
+    stg = silver.stg_playback(_bronze_playback(spark, sf_dir))
+    return stg.select("event_id", "user_id", "media_id", F.unix_micros("started_at").alias("started_us"), "watch_pct",
+                      "completed", "device")
+
+
+@register("fact_events", f"""
+SELECT event_id, user_id AS user_key, media_id AS title_key, episode, CAST(started_at AS DATE) AS watch_date, watch_pct,
+       completed, rebuffer_count, startup_time_ms, device FROM ({_STG_PLAYBACK_SQL})
 """)
 def q_fact_events(spark, sf_dir):
     """PRJ-1 / PRJ-2 / DAT-2: the fact projection over the cleaned events."""
-    return _valid_events(spark, sf_dir).select(
-        "event_id", F.col("user_id").alias("user_key"), "event_type", "value",
-        F.to_date("ts").alias("watch_date"),
-        F.get_json_object("props", "$.k").cast("long").alias("k"))
+    fact = gold.fact_playback(silver.stg_playback(_bronze_playback(spark, sf_dir)))
+    return fact.drop("started_at", "region")
 
 
 def label_tags(quality="quality", toxic="toxic"):
@@ -164,21 +193,41 @@ def label_tags(quality="quality", toxic="toxic"):
 _LABEL_TAGS_SQL = "[CASE WHEN quality = 1 THEN 'hq' ELSE 'lq' END, CASE WHEN toxic = 1 THEN 'toxic' ELSE 'safe' END]"
 
 
+def _doc_titles(spark, sf_dir) -> DataFrame:
+    """Documents in the shape of the cleaned catalog."""
+    null = F.lit(None)
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("media_id"), F.concat_ws("/", "source", "lang").alias("title"), F.col("source").alias("title_romaji"),
+        F.array("lang").alias("genres"), F.col("text").alias("synopsis"), null.cast("long").alias("average_score"),
+        F.col("n_chars").alias("popularity"), null.cast("long").alias("episodes"), null.cast("string").alias("season"),
+        null.cast("long").alias("season_year"), F.lit("text").alias("format"))
+
+
+def _doc_enrichment(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("media_id"), label_tags().alias("mood_tags"), F.lit("labels").alias("enrichment_model"),
+        F.lit(None).cast("timestamp").alias("enriched_at"))
+
+
 @register("dim_title", f"""
-SELECT d.doc_id AS title_key,
-       coalesce(nullif(split_part(d.text, chr(10), 1), ''), d.source) AS title,
-       d.lang AS primary_genre, d.n_chars,
-       CASE WHEN l.doc_id IS NOT NULL THEN {_LABEL_TAGS_SQL} END AS mood_tags
+SELECT d.doc_id AS title_key, concat_ws('/', d.source, d.lang) AS title, d.lang AS primary_genre, d.text AS synopsis,
+       d.n_chars AS popularity, CASE WHEN l.doc_id IS NOT NULL THEN {_LABEL_TAGS_SQL} END AS mood_tags,
+       CASE WHEN l.doc_id IS NOT NULL THEN 'labels' END AS enrichment_model
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
 def q_dim_title(spark, sf_dir):
-    """JON-1 / PRJ-3: documents with label-derived tags by a left join."""
-    docs = table(spark, sf_dir, "documents")
-    labels = table(spark, sf_dir, "labels").select("doc_id", label_tags().alias("mood_tags"))
-    title = F.coalesce(F.nullif(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("")), F.col("source"))
-    return docs.join(labels, "doc_id", "left").select(
-        F.col("doc_id").alias("title_key"), title.alias("title"), F.col("lang").alias("primary_genre"),
-        "n_chars", "mood_tags")
+    """JON-1 / PRJ-4 / PRJ-7: the title dimension over documents, with label-derived tags by a left join."""
+    dim = gold.dim_title(_doc_titles(spark, sf_dir), _doc_enrichment(spark, sf_dir))
+    return dim.select("title_key", "title", "primary_genre", "synopsis", "popularity", "mood_tags", "enrichment_model")
+
+
+@register("dim_title_plain", """
+SELECT doc_id AS title_key, concat_ws('/', source, lang) AS title, n_chars AS popularity,
+       CAST(NULL AS VARCHAR[]) AS mood_tags FROM documents
+""")
+def q_dim_title_plain(spark, sf_dir):
+    """PRJ-6: without enrichment the typed empty relation leaves NULL tags and no join."""
+    return gold.dim_title(_doc_titles(spark, sf_dir)).select("title_key", "title", "popularity", "mood_tags")
 
 
 AS_OF = "1999-01-01"
@@ -328,9 +377,9 @@ def q_seeded_shuffle(spark, sf_dir):
 
 
 @register("eta_squared", """
-WITH x AS (SELECT label AS g, CAST(embedding[1] AS DOUBLE) AS v FROM embeddings WHERE embedding[1] IS NOT NULL),
-     gm AS (SELECT avg(v) AS m, count(*) AS n FROM x),
-     grp AS (SELECT g, count(*) AS n, avg(v) AS m FROM x GROUP BY g),
+WITH x AS (SELECT label AS g, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+     gm AS (SELECT avg(v) AS m, count(*) AS n FROM x WHERE v IS NOT NULL),
+     grp AS (SELECT g, count(*) AS n, avg(v) AS m FROM x WHERE v IS NOT NULL GROUP BY g),
      ss AS (SELECT (SELECT sum(grp.n * (grp.m - gm.m) * (grp.m - gm.m)) FROM grp, gm) AS ssb,
                    (SELECT sum((v - gm.m) * (v - gm.m)) FROM x, gm) AS sst)
 SELECT (SELECT n FROM gm) AS n, (SELECT count(*) FROM grp) AS n_groups,
@@ -338,8 +387,9 @@ SELECT (SELECT n FROM gm) AS n, (SELECT count(*) FROM grp) AS n_groups,
 FROM ss
 """)
 def q_eta_squared(spark, sf_dir):
-    """STA-1: variance of the first embedding component explained by the label."""
-    emb = table(spark, sf_dir, "embeddings").select("label", F.get("embedding", 0).cast("double").alias("v"))
+    """STA-1: variance of all embedding components explained by the label."""
+    emb = table(spark, sf_dir, "embeddings").select("label", F.explode("embedding").alias("x"))
+    emb = emb.select("label", F.col("x").cast("double").alias("v"))
     return stats.eta_squared(emb, "label", "v")
 
 
@@ -368,7 +418,7 @@ PART_TYPE_NUDGES = {
 
 
 def _title_vector_sql() -> str:
-    tones = ["dark", "cozy", "hype", "melancholy", "absurd"]
+    tones = TONES
     hexd = "'0123456789abcdef'"
     parts = []
     for i, tone in enumerate(tones):
@@ -417,7 +467,7 @@ def q_vector_norm(spark, sf_dir):
 @register("vector_affinity", """
 WITH e AS (SELECT vec_id, label, embedding FROM embeddings),
      c_el AS (SELECT label, i, avg(CAST(embedding[i] AS DOUBLE)) AS m
-              FROM e, range(1, 65) r(i) WHERE i <= len(embedding) GROUP BY label, i),
+              FROM (SELECT label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM e) GROUP BY label, i),
      c AS (SELECT label, list(m ORDER BY i) AS v FROM c_el GROUP BY label),
      cu AS (SELECT label, list_transform(v, lambda x: x / coalesce(nullif(sqrt(list_sum(list_transform(v, lambda y: y * y))), 0.0), 1.0)) AS tv FROM c),
      uu AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE) /
@@ -429,9 +479,8 @@ FROM uu JOIN cu ON uu.label = cu.label GROUP BY uu.label
 def q_vector_affinity(spark, sf_dir):
     """JON-10 / STA-3 / ARR-4: mean dot(unit vector, unit label centroid) per label."""
     emb = table(spark, sf_dir, "embeddings")
-    users = stats.unit_vectors(emb, "vec_id", "embedding")
     cents = stats.unit_vectors(stats.centroids(emb, "label", "embedding"), "label", "embedding")
-    out = stats.mean_affinity(emb.select("vec_id", "label"), users, cents, "vec_id", "label")
+    out = stats.group_affinity(emb, cents, "label", "embedding")
     return out.select("label", F.bround("mean_affinity", 4).alias("mean_affinity"), "n_pairs")
 
 
@@ -627,7 +676,8 @@ def q_enrich_candidates(spark, sf_dir):
 
 
 def _pass2(spark, sf_dir) -> DataFrame:
-    return _responses(spark, sf_dir).filter(F.col("lang").isin("en", "fr")).select(
+    # the second pass holds the titles whose reply could be read
+    return _responses(spark, sf_dir).filter("parse_ok").select(
         "media_id", F.concat(F.lit("doc-"), F.col("media_id")).alias("title"), "mood_tags")
 
 
@@ -639,7 +689,7 @@ def _pass1(spark, sf_dir) -> DataFrame:
 _AGREEMENT_SQL = f"""
 WITH {_RESPONSES_SQL}, {_GOLDEN_SQL},
 p1 AS (SELECT media_id, 'doc-' || media_id AS title, mood_tags FROM golden),
-p2 AS (SELECT media_id, 'doc-' || media_id AS title, mood_tags FROM preds WHERE lang IN ('en', 'fr')),
+p2 AS (SELECT media_id, 'doc-' || media_id AS title, mood_tags FROM preds WHERE parse_ok),
 j AS (
     SELECT coalesce(p1.media_id, p2.media_id) AS media_id, coalesce(p1.title, p2.title, '') AS title,
            p1.mood_tags AS pass1_tags, p2.mood_tags AS pass2_tags,
@@ -688,10 +738,10 @@ WITH t AS (
                                  lambda x: x IS NOT NULL)) AS mood_tags
     FROM labels l LEFT JOIN documents d ON l.doc_id = d.doc_id)
 SELECT media_id, mood_tags, reason, reason IS NULL AS valid FROM (
-    SELECT *, CASE WHEN media_id IS NULL OR media_id = 0 THEN 'media_id required'
-                   WHEN mood_tags IS NULL OR len(mood_tags) NOT BETWEEN 1 AND 3 THEN 'mood_tags must have 1-3 items'
+    SELECT *, CASE WHEN media_id IS NULL OR media_id = 0 THEN 'missing_key'
+                   WHEN mood_tags IS NULL OR len(mood_tags) NOT BETWEEN 1 AND 3 THEN 'tag_count'
                    WHEN NOT list_bool_and(list_transform(mood_tags, lambda x: list_contains({_VOCAB_SQL}, x)))
-                        THEN 'mood_tags must be from vocabulary' END AS reason
+                        THEN 'unknown_tag' END AS reason
     FROM t)
 """)
 def q_label_validation(spark, sf_dir):
@@ -738,14 +788,26 @@ def q_ndjson_filter(spark, sf_dir):
 
 
 @register("ndjson_rejected", """
-SELECT event_id AS offset, substring('ERROR event ' || event_id, 1, 120) AS line_head
+SELECT event_id AS offset, 'ERROR event ' || event_id AS line, 'not_one_json_value' AS reason
 FROM events WHERE event_type = 'error'
 """)
 def q_ndjson_rejected(spark, sf_dir):
-    """STR-1 side output: non-JSON lines, first 120 characters."""
+    """STR-1 side output: lines that are not one JSON value, whole, with the reason."""
     return runlog.rejected_lines(_ndjson_lines(spark, sf_dir), keep=["offset"])
 
 
+@register("ndjson_odd_values", """
+SELECT event_id AS offset, '{"event":"' || event_type || '","seq":1,"x":NaN,"seq":' || event_id || '}' AS raw_line,
+       event_type AS event, event_id AS seq
+FROM events
+""")
+def q_ndjson_odd_values(spark, sf_dir):
+    """STR-1: NaN and repeated keys are valid lines (the last key wins), and the line is kept as it came."""
+    line = F.concat(F.lit('{"event":"'), F.col("event_type"), F.lit('","seq":1,"x":NaN,"seq":'), F.col("event_id"), F.lit("}"))
+    lines = table(spark, sf_dir, "events").select(F.col("event_id").alias("offset"), line.alias("value"))
+    return runlog.parse_lines(lines, keep=["offset"], schema="event string, seq long", raw="raw_line")
+
+
 def _gate_events(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"), F.col("event_type").alias("gate"), "ts",
@@ -759,19 +821,17 @@ def _gate_events(spark, sf_dir) -> DataFrame:
         return df.selectExpr(*sql, f"CAST({exprs['seq']} AS BIGINT) AS seq")
 
     logs = shape(ev, event="'log'", line="concat(gate, ' #', eid)", seq="eid * 4 + 1")
-    bounds = ev.groupBy("run_id", "gate").agg(F.min("ts").alias("t0"), F.max("ts").alias("t1"),
-                                              F.min("eid").alias("e0"), F.max("eid").alias("e1"))
-    starts = shape(bounds, event="'gate_start'", ts="t0", seq="e0 * 4")
-    ends = shape(bounds, event="'gate_end'", status="CASE WHEN gate = 'error' THEN 'fail' ELSE 'pass' END",
-                 ts="t1", seq="e1 * 4 + 2")
-    runs = bounds.groupBy("run_id").agg(F.min("t0").alias("t0"), F.max("t1").alias("t1"),
-                                        F.min("e0").alias("e0"), F.max("e1").alias("e1"))
-    run_start = shape(runs, event="'run_start'", ts="t0", seq="e0 * 4 - 1")
-    run_end = shape(runs, event="'run_end'", ts="t1", seq="e1 * 4 + 3")
-    out = logs
-    for part in (starts, ends, run_start, run_end):
-        out = out.unionByName(part)
-    return out.select(*cols)
+    # one rollup gives the bounds of gates and, where gate is NULL, of runs; each row is two events
+    bounds = ev.rollup("run_id", "gate").agg(
+        F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.min("eid").alias("e0"), F.max("eid").alias("e1"),
+    ).filter("run_id IS NOT NULL")
+    ends = bounds.selectExpr(
+        "run_id", "gate", "CASE WHEN gate = 'error' THEN 'fail' WHEN gate IS NOT NULL THEN 'pass' END AS result",
+        "CASE WHEN gate IS NULL THEN 'run' ELSE 'gate' END AS kind",
+        "explode(array(struct('_start' AS part, t0 AS at, e0 * 4 - IF(gate IS NULL, 1, 0) AS s),"
+        " struct('_end' AS part, t1 AS at, e1 * 4 + IF(gate IS NULL, 3, 2) AS s))) AS x")
+    marks = shape(ends, event="concat(kind, x.part)", status="IF(x.part = '_end', result, NULL)", ts="x.at", seq="x.s")
+    return logs.unionByName(marks).select(*cols)
 
 
 _GATES_SQL = """
@@ -825,7 +885,7 @@ SELECT run_id, round(sum(coalesce(duration_s, 0.0)), 2) AS total_duration_s FROM
 def q_run_totals(spark, sf_dir):
     """STR-7: run total = sum of gate durations."""
     events = _gate_events(spark, sf_dir)
-    return runlog.run_totals(runlog.run_rollup(events, runlog.gate_rollup(events)))
+    return runlog.run_totals(runlog.gate_rollup(events, tail_lines=0))
 
 
 @register("event_order", """
@@ -931,38 +991,71 @@ SELECT *, 'unexpected' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM e)
 def q_golden_drift(spark, sf_dir):
     """SNK-6 / SET-4 / DQ-5: frozen mart against a changed model (strict cohort), both directions."""
     cols = ["title_key", "title", "primary_genre", "ep1_viewers", "ep2_viewers", "ep2_retention"]
-    expected = quality.freeze(dropoff(spark, sf_dir), cols, ["title"])
-    actual = quality.freeze(dropoff(spark, sf_dir, strict_cohort=True), cols, ["title"])
+    expected = quality.freeze(dropoff(spark, sf_dir), cols)
+    actual = quality.freeze(dropoff(spark, sf_dir, strict_cohort=True), cols)
     return quality.drift(expected, actual)
 
 
-@register("fingerprint")
+_PRINTED = {
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "documents": ["doc_id", "text", "lang", "source", "n_chars"],
+}
+
+
+def _fingerprint_sql(name: str) -> str:
+    text = " || chr(10) || ".join(f"coalesce('{c}=' || CAST({c} AS VARCHAR), '{c}!')" for c in _PRINTED[name])
+    return (f"SELECT '{name}' AS table_name, count(*) AS n_rows, "
+            f"CAST(sum(CAST(CAST('0x' || substr(sha256({text}), 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS fingerprint FROM {name}")
+
+
+@register("fingerprint", " UNION ALL ".join(_fingerprint_sql(t) for t in _PRINTED))
 def q_fingerprint(spark, sf_dir):
-    """DQ-6: order-insensitive table fingerprints (engine-specific hash, rows-only check)."""
-    parts = [quality.fingerprint(table(spark, sf_dir, t), t) for t in ("lineitem", "orders", "customer")]
+    """DQ-6: order-insensitive fingerprints of whole tables."""
+    parts = [quality.fingerprint(table(spark, sf_dir, t).select(*_PRINTED[t]), t) for t in _PRINTED]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@register("report_document")
-def q_report_document(spark, sf_dir):
-    """SNK-7: the one-row nested report assembled from the mart aggregates (rows-only check).
+_REPORT_SQL = """
+SELECT (SELECT count(*) FROM supplier) AS catalog_n, (SELECT count(*) FROM orders) AS users_n,
+       (SELECT count(*) FROM lineitem) AS events_n,
+       coalesce((SELECT list(printf('%.4f %d', v, n) ORDER BY v) FROM ({hist}) h(v, n)), CAST([] AS VARCHAR[])) AS retention_hist,
+       coalesce((SELECT list(printf('%d %.4f %d', g, m, n) ORDER BY m DESC, g) FROM ({means}) x(g, m, n)), CAST([] AS VARCHAR[])) AS genre_means,
+       coalesce((SELECT list(printf('%s %.2f %d %.3f', d, r, s, c) ORDER BY d) FROM ({qoe}) q(d, r, s, c)), CAST([] AS VARCHAR[])) AS device_qoe,
+       coalesce((SELECT list(printf('%s %d %d', side, rank, title_key) ORDER BY side DESC, rank) FROM ({sample})), CAST([] AS VARCHAR[])) AS titles_sample,
+       (SELECT eta_squared FROM ({eta})) AS genre_eta2, (SELECT r_squared FROM ({tone})) AS tone_r2,
+       (SELECT count(*) FILTER (WHERE passed) FROM ({suite})) AS checks_passed, (SELECT count(*) FROM ({suite})) AS checks_total
+"""
 
-    The mart (one row per title) is materialised once in the shared checkpoint
-    folder and read by all five aggregates instead of being recomputed.
-    """
-    d = dropoff(spark, sf_dir).checkpoint(eager=True)
-    counts = q_row_counts(spark, sf_dir)
-    hist = report.value_histogram(d, "ep2_retention")
-    means = report.group_means(d, "primary_genre", "ep2_retention", min_n=5)
+
+def _report(spark, sf_dir) -> DataFrame:
+    """The nested document; the mart (one row per title) is stored once for the five aggregates that read it."""
+    mart = scratch_path(spark, f"mart-{uuid.uuid4().hex}")
+    dropoff(spark, sf_dir).write.parquet(mart)
+    d = spark.read.parquet(mart)
     eta = stats.eta_squared(d, "primary_genre", "ep2_retention").select(F.col("eta_squared").alias("genre_eta2"))
-    per_order = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.sum("l_quantity").alias("x"), F.sum("l_extendedprice").alias("y"))
-    r2 = stats.r_squared(per_order, "x", "y").select(F.col("r_squared").alias("tone_r2"))
-    variance = side_by_side(eta, r2)
-    qoe = q_device_qoe(spark, sf_dir)
+    tone = stats.affinity_retention_r2(_title_affinity(spark, sf_dir), d, "title_key").select(F.col("r_squared").alias("tone_r2"))
     sample = report.top_bottom(d.select("title_key", "title", "primary_genre", "ep2_retention", "ep1_viewers"),
                                "ep2_retention", "title_key", 15)
-    return report.report_document(counts, hist, means, variance, qoe, sample)
+    return report.report_document(
+        q_row_counts(spark, sf_dir), report.value_histogram(d, "ep2_retention"),
+        report.group_means(d, "primary_genre", "ep2_retention", min_n=5), side_by_side(eta, tone),
+        q_device_qoe(spark, sf_dir), sample, suite=quality.run_suite(_suite(spark, sf_dir)))
+
+
+def q_report_document(spark, sf_dir):
+    """SNK-7: the nested report, its lists written as text in the order they have in the document."""
+    def lines(column: str, form: str, *fields: str):
+        return F.transform(column, lambda r: F.format_string(form, *[r[f] for f in fields])).alias(column)
+
+    return _report(spark, sf_dir).select(
+        "catalog_n", "users_n", "events_n",
+        lines("retention_hist", "%.4f %d", "ep2_retention", "n"),
+        lines("genre_means", "%d %.4f %d", "primary_genre", "mean_ep2_retention", "n"),
+        lines("device_qoe", "%s %.2f %d %.3f", "device", "rebuffers", "startup_ms", "completion"),
+        lines("titles_sample", "%s %d %d", "side", "rank", "title_key"),
+        F.col("variance_explained.genre_eta2").alias("genre_eta2"), F.col("variance_explained.tone_r2").alias("tone_r2"),
+        F.col("checks_passed").cast("long").alias("checks_passed"), F.col("checks_total").cast("long").alias("checks_total"))
 
 
 # ---------------------------------------------------------------------------
@@ -979,7 +1072,7 @@ def _title_affinity(spark, sf_dir) -> DataFrame:
     titles = stats.title_vectors(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("title_key"),
                                                                         F.lit(None).cast("array<string>").alias("g")),
                                  "title_key", "g", nudges={}).withColumnRenamed("tone", "vector")
-    return stats.mean_affinity(pairs, users, titles, "user_key", "title_key")
+    return stats.mean_affinity(pairs, users, titles, "user_key", "title_key", len(TONES))
 
 
 def _unit_vector_sql(table_name: str, key: str, prefix: str) -> str:
@@ -1027,3 +1120,243 @@ FROM j
 def q_tone_r2(spark, sf_dir):
     """JON-7 / STA-2: r^2 of mean title affinity against episode-2 retention."""
     return stats.affinity_retention_r2(_title_affinity(spark, sf_dir), dropoff(spark, sf_dir), "title_key")
+
+
+_MART_ETA_SQL = f"""
+WITH d AS ({DROPOFF_SQL}), gm AS (SELECT avg(ep2_retention) AS m FROM d),
+     grp AS (SELECT primary_genre, count(*) AS n, avg(ep2_retention) AS m FROM d GROUP BY 1),
+     ss AS (SELECT (SELECT sum(n * (grp.m - gm.m) * (grp.m - gm.m)) FROM grp, gm) AS ssb,
+                   (SELECT sum((ep2_retention - gm.m) * (ep2_retention - gm.m)) FROM d, gm) AS sst)
+SELECT round_even(CASE WHEN sst > 0 THEN ssb / sst ELSE 0.0 END, 3) AS eta_squared FROM ss"""
+
+register("report_document", _REPORT_SQL.format(
+    hist=ORACLE["retention_hist"], means=ORACLE["genre_means"], qoe=ORACLE["device_qoe"], sample=ORACLE["top_bottom"],
+    eta=_MART_ETA_SQL, tone=ORACLE["tone_r2"], suite=ORACLE["dq_suite"]))(q_report_document)
+
+
+# ---------------------------------------------------------------------------
+# Keys that repeat: the last line of a key wins (WIN-2, JON-4, JON-5, SNK-8).
+# Golden rows are a customer's orders by key, predictions the same by date.
+# ---------------------------------------------------------------------------
+def _order_tags(spark, sf_dir, tags, seq) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("media_id"), F.concat(F.lit("c"), F.col("o_custkey")).alias("title"),
+        F.array(tags).alias("mood_tags"), F.col("o_orderpriority").alias("raw_response"),
+        F.floor(F.col("o_totalprice")).alias("input_tokens"), F.lit(1).cast("long").alias("output_tokens"), seq.alias("seq"))
+
+
+def _status_rows(spark, sf_dir):
+    return _order_tags(spark, sf_dir, F.col("o_orderstatus"), F.col("o_orderkey"))
+
+
+def _price_rows(spark, sf_dir):
+    tag = F.when(F.col("o_totalprice") >= 150000, "F").when(F.col("o_totalprice") >= 75000, "O").otherwise("P")
+    return _order_tags(spark, sf_dir, tag, F.struct("o_orderdate", "o_orderkey"))
+
+
+_LAST_SQL = """
+g AS (SELECT o_custkey AS k, o_orderstatus AS tag FROM orders
+      QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1),
+p AS (SELECT o_custkey AS k, CASE WHEN o_totalprice >= 150000 THEN 'F' WHEN o_totalprice >= 75000 THEN 'O' ELSE 'P' END AS tag
+      FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
+
+
+@register("eval_last_wins", f"WITH {_LAST_SQL} SELECT k AS media_id, [g.tag] AS want, [p.tag] AS got FROM g JOIN p USING (k)")
+def q_eval_last_wins(spark, sf_dir):
+    """JON-4 / WIN-2: golden and predictions with repeated keys, one scored row per key."""
+    return evals.score_join(_status_rows(spark, sf_dir), _price_rows(spark, sf_dir), seq="seq").select("media_id", "want", "got")
+
+
+@register("agreement_last_wins", f"""
+WITH {_LAST_SQL}
+SELECT k AS media_id, [g.tag] AS pass1_tags, [p.tag] AS pass2_tags, CASE WHEN g.tag = p.tag THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS agreement
+FROM g JOIN p USING (k)
+""")
+def q_agreement_last_wins(spark, sf_dir):
+    """JON-5 / WIN-2: two passes with repeated keys."""
+    rep = labelops.agreement(_status_rows(spark, sf_dir), _price_rows(spark, sf_dir), seq="seq")
+    return rep.select("media_id", "pass1_tags", "pass2_tags", "agreement")
+
+
+@register("label_upsert", """
+WITH incoming AS (SELECT o_custkey AS media_id, [o_orderstatus] AS mood_tags FROM orders
+                  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) = 1)
+SELECT media_id, mood_tags FROM incoming
+UNION ALL SELECT c_custkey, [c_mktsegment] FROM customer WHERE c_custkey NOT IN (SELECT media_id FROM incoming)
+""")
+def q_label_upsert(spark, sf_dir):
+    """SNK-8: the newest label of a key replaces the stored one."""
+    stored = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("media_id"), F.array("c_mktsegment").alias("mood_tags"), F.lit(0).cast("long").alias("seq"))
+    return labelops.upsert_labels(stored, _status_rows(spark, sf_dir).select("media_id", "mood_tags", "seq")).select("media_id", "mood_tags")
+
+
+# ---------------------------------------------------------------------------
+# Landing, catalog and checks over the given tables
+# ---------------------------------------------------------------------------
+def _payload_pages(spark, sf_dir) -> DataFrame:
+    """Parts as catalog documents: JSON text, then the declared page schema, as files would be read."""
+    item = F.struct(
+        F.col("p_partkey").alias("id"),
+        F.when(F.col("p_size") > 10, F.struct(F.col("p_name").alias("romaji"), F.col("p_brand").alias("english"))).alias("title"),
+        F.when(F.col("p_size") > 5, F.array("p_type", "p_brand")).alias("genres"),
+        F.concat(F.lit("<p>"), F.col("p_name"), F.lit("</p>")).alias("description"),
+        F.floor("p_retailprice").alias("popularity"), F.col("p_size").cast("long").alias("episodes"))
+    page = F.to_json(F.struct(F.struct(F.struct(F.array(item).alias("media")).alias("Page")).alias("data")))
+    return table(spark, sf_dir, "part").select(F.from_json(page, CATALOG_PAGE).alias("p")).select("p.*")
+
+
+_FLAT_SQL = """SELECT p_partkey AS media_id, CASE WHEN p_size > 10 THEN p_name END AS title_romaji,
+       CASE WHEN p_size > 10 THEN p_brand END AS title_english,
+       CASE WHEN p_size > 5 THEN '["' || p_type || '","' || p_brand || '"]' ELSE '[]' END AS genres,
+       '<p>' || p_name || '</p>' AS description_html, CAST(floor(p_retailprice) AS BIGINT) AS popularity FROM part"""
+
+
+@register("flatten_payloads", _FLAT_SQL)
+def q_flatten_payloads(spark, sf_dir):
+    """SRC-4 / JSN-3: nested payload documents to flat rows."""
+    flat = bronze.flatten_payloads(_payload_pages(spark, sf_dir), "2024-05-01T00:00:00Z")
+    return flat.select("media_id", "title_romaji", "title_english", "genres", "description_html", "popularity")
+
+
+@register("landed_catalog", """
+SELECT p_partkey AS media_id, CASE WHEN p_size > 10 THEN p_brand END AS title,
+       CASE WHEN p_size > 5 THEN [p_type, p_brand] ELSE CAST([] AS VARCHAR[]) END AS genres, p_name AS synopsis,
+       DATE '2024-05-02' AS ingest_date
+FROM part
+""")
+def q_landed_catalog(spark, sf_dir):
+    """SNK-1 / SNK-2 / SRC-1 / DAT-4 / PRJ-3: two daily appends, read back from the newer day, cleaned."""
+    root = scratch_path(spark, f"landed-{uuid.uuid4().hex}")
+    for day in ("2024-05-01", "2024-05-02"):
+        bronze.append_partitioned(bronze.flatten_payloads(_payload_pages(spark, sf_dir), f"{day}T08:00:00Z"), root)
+    rows = bronze.read(spark, root, since="2024-05-02")
+    return silver.stg_media(rows).join(rows.select("media_id", "ingest_date"), "media_id").select(
+        "media_id", "title", "genres", "synopsis", "ingest_date")
+
+
+@register("golden_roundtrip", f"SELECT title_key, title, ep1_viewers, ep2_viewers, ep2_retention FROM ({DROPOFF_SQL})")
+def q_golden_roundtrip(spark, sf_dir):
+    """SNK-6 / SRC-7 / SRT-4: the mart frozen to CSV in key order and read back."""
+    columns = ["title_key", "title", "ep1_viewers", "ep2_viewers", "ep2_retention"]
+    path = scratch_path(spark, f"golden-{uuid.uuid4().hex}")
+    files.write_golden_csv(dropoff(spark, sf_dir), path, columns, ["title_key"])
+    schema = T.StructType([T.StructField(c, t) for c, t in zip(
+        columns, (T.LongType(), T.StringType(), T.LongType(), T.LongType(), T.DoubleType()), strict=True)])
+    return files.read_golden_csv(spark, path, schema)
+
+
+@register("vector_catalog", f"""
+WITH v AS ({_title_vector_sql()})
+SELECT p_partkey, tone, p_name, p_type FROM v JOIN part USING (p_partkey)
+""")
+def q_vector_catalog(spark, sf_dir):
+    """STA-5: title vectors joined to their dimension, rounded."""
+    part = table(spark, sf_dir, "part")
+    vec = stats.title_vectors(part.select("p_partkey", F.array("p_type").alias("genres")), "p_partkey", "genres", PART_TYPE_NUDGES)
+    return stats.vector_catalog(vec, part.select("p_partkey", "p_name", "p_type"), "p_partkey")
+
+
+@register("bounds_checks", """
+SELECT count(*) FILTER (WHERE NOT coalesce(l_quantity BETWEEN 1 AND 40, false)) AS quantity,
+       count(*) FILTER (WHERE NOT coalesce(l_discount <= 0.08, false)) AS discount,
+       count(*) FILTER (WHERE NOT coalesce(l_linenumber >= 1, false)) AS line FROM lineitem
+""")
+def q_bounds_checks(spark, sf_dir):
+    """DQ-7: violations of three rules in one scan."""
+    return quality.bounds_checks(table(spark, sf_dir, "lineitem"), {
+        "quantity": F.col("l_quantity").between(1, 40), "discount": F.col("l_discount") <= 0.08, "line": F.col("l_linenumber") >= 1})
+
+
+@register("quality_gate", f"""
+SELECT CASE WHEN count(*) FILTER (WHERE NOT passed) > 0 THEN 'fail' ELSE 'pass' END AS status,
+       list(test || ' ' || model || ' ' || CASE WHEN passed THEN 'pass' ELSE 'fail' END ORDER BY test_order) AS gates
+FROM ({ORACLE["dq_suite"]})
+""")
+def q_quality_gate(spark, sf_dir):
+    """DQ-8: the suite's rows folded into one status, in order."""
+    rows = quality.run_suite(_suite(spark, sf_dir)).select(
+        F.col("test_order").alias("gate_order"), F.concat_ws(" ", "test", "model").alias("gate"),
+        F.when(F.col("passed"), "pass").otherwise("fail").alias("status"), F.lit(None).cast("string").alias("reason"))
+    return quality.gate(rows).select("status", F.transform("gates", lambda g: F.concat_ws(" ", g["gate"], g["status"])).alias("gates"))
+
+
+@register("valid_run_ids", r"""
+WITH r AS (SELECT event_id, strftime(ts, '%Y%m%dT%H%M%SZ') || '-' || CASE WHEN event_type = 'click' THEN 'xyz' ELSE '' END
+                  || lower(to_hex(event_id + 4096)) AS run_id FROM events)
+SELECT event_id, run_id, regexp_full_match(run_id, '\d{8}T\d{6}Z-[0-9a-f]{4,}') AS ok FROM r
+""")
+def q_valid_run_ids(spark, sf_dir):
+    """FLT-8: run ids that are safe as file names."""
+    run_id = F.concat(F.date_format("ts", "yyyyMMdd'T'HHmmss'Z-'"), F.when(F.col("event_type") == "click", "xyz").otherwise(""),
+                      F.lower(F.hex(F.col("event_id") + 4096)))
+    rows = table(spark, sf_dir, "events").select("event_id", run_id.alias("run_id"))
+    return rows.withColumn("ok", runlog.valid_run_id(F.col("run_id")))
+
+
+@register("run_order_checks", """
+SELECT DISTINCT 'run-' || user_id AS run_id, true AS starts_ok, true AS ends_ok, CAST(0 AS BIGINT) AS bad_gates FROM events
+""")
+def q_run_order_checks(spark, sf_dir):
+    """STR-8: every run starts and ends as it should, its gates in order."""
+    return runlog.check_order(_gate_events(spark, sf_dir))
+
+
+@register("run_record_checks", """
+SELECT 'run-' || user_id AS run_id, false AS record_ok, count(DISTINCT event_type) AS n_gates FROM events GROUP BY 1
+""")
+def q_run_record_checks(spark, sf_dir):
+    """STR-9: the record contract; these runs' ids are not of the required form."""
+    events = _gate_events(spark, sf_dir)
+    runs = runlog.check_records(runlog.run_rollup(events, runlog.gate_rollup(events)))
+    return runs.select("run_id", "record_ok", F.size("gates").cast("long").alias("n_gates"))
+
+
+@register("long_gate_tail", """
+SELECT event_type AS gate, list(event_id ORDER BY event_id) AS tail, 50 < max(n) AS is_cut
+FROM (SELECT event_type, event_id, count(*) OVER (PARTITION BY event_type) AS n,
+             row_number() OVER (PARTITION BY event_type ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn <= 50 GROUP BY event_type
+""")
+def q_long_gate_tail(spark, sf_dir):
+    """WIN-3: gates of many more than 50 lines keep the last 50 in order."""
+    ev = table(spark, sf_dir, "events")
+    tails = runlog.log_tail(ev, ["event_type"], "event_id", "event_id")
+    n = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return tails.join(n, "event_type").select(F.col("event_type").alias("gate"), "tail", (F.col("n") > 50).alias("is_cut"))
+
+
+@register("enrich_assemble", f"""
+WITH {_RESPONSES_SQL}
+SELECT p.media_id AS title_key, p.mood_tags, 'rule-1' AS enrichment_model, p.raw_response, p.parse_ok
+FROM preds p
+""")
+def q_enrich_assemble(spark, sf_dir):
+    """ENR-3 / ENR-4 / ENR-5: raw replies assembled into results and joined back to the titles."""
+    raw = _responses(spark, sf_dir).select("media_id", "raw_response", "latency_ms", "input_tokens", "output_tokens")
+    results = enrich.assemble(raw, "rule-1", EVAL_VOCAB, enriched_at="2024-05-01T00:00:00Z")
+    dim = gold.dim_title(_doc_titles(spark, sf_dir).drop("synopsis").withColumn("synopsis", F.lit("")), results)
+    return dim.join(results.select(F.col("media_id").alias("title_key"), "raw_response", "parse_ok"), "title_key").select(
+        "title_key", "mood_tags", "enrichment_model", "raw_response", "parse_ok")
+
+
+@register("pass_positions", """
+SELECT p_partkey AS media_id, row_number() OVER (ORDER BY p_retailprice DESC NULLS LAST, p_partkey) AS position, p_type AS title
+FROM part QUALIFY position <= 50
+""")
+def q_pass_positions(spark, sf_dir):
+    """SRT-3 / SRT-5 / MTH-3: the labeling pool of the first pass."""
+    dim = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("title_key"), F.col("p_type").alias("title"), F.lit("").alias("synopsis"), F.col("p_retailprice").alias("popularity"))
+    return labelops.labeling_pool(dim).select("media_id", F.col("position").cast("long").alias("position"), "title")
+
+
+@register("display_keys", """
+SELECT l_orderkey, l_linenumber, l_orderkey || '-' || l_partkey || '-' || l_suppkey AS event_key,
+       concat_ws(', ', l_returnflag, l_linestatus) AS flags, least(greatest(l_quantity, 5.0), 30.0) AS clamped FROM lineitem
+""")
+def q_display_keys(spark, sf_dir):
+    """STRG-5 / STRG-7 / MTH-3: composite keys, tag display and clamping."""
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", composite_key("l_orderkey", "l_partkey", "l_suppkey").alias("event_key"),
+        tag_display(F.array("l_returnflag", "l_linestatus")).alias("flags"), clamp("l_quantity", 5.0, 30.0).alias("clamped"))

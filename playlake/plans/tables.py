@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -11,15 +13,14 @@ TABLES = (
 
 # The driver tables are read-only, so the scan relation (file listing and
 # footer schema) is resolved once per session and path; every query still
-# plans its own pruning and pushdown from it.
-_SCANS: dict[tuple[int, str], DataFrame] = {}
+# plans its own pruning and pushdown from it. A session's scans go with it.
+_SCANS: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Catalyst prunes columns and pushes filters into the scan."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark._jsparkSession.hashCode(), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
+    scans = _SCANS.setdefault(spark, {})
+    if path not in scans:
+        scans[path] = spark.read.parquet(path)
+    return scans[path]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from playlake.functions import py_round
 from playlake.operators import gold, quality, report, silver, stats
 from playlake.schemas import BRONZE_MEDIA, BRONZE_PLAYBACK, BRONZE_USERS
+from playlake.schemas import TONES
 from playlake.sources import bronze
 
 
@@ -77,7 +78,7 @@ def title_affinity(w: Warehouse, user_vectors: DataFrame) -> DataFrame:
     """STA-3 / JON-10: mean dot(user vector, title tone vector) over watched pairs."""
     pairs = w.fact_playback.select("user_key", "title_key").distinct()
     tones = stats.title_vectors(w.dim_title, "title_key", "genres").withColumnRenamed("tone", "vector")
-    return stats.mean_affinity(pairs, user_vectors, tones, "user_key", "title_key")
+    return stats.mean_affinity(pairs, user_vectors, tones, "user_key", "title_key", len(TONES))
 
 
 def report_document(w: Warehouse, user_vectors: DataFrame | None = None) -> DataFrame:
@@ -92,11 +93,11 @@ def report_document(w: Warehouse, user_vectors: DataFrame | None = None) -> Data
         r2 = stats.affinity_retention_r2(title_affinity(w, user_vectors), d, "title_key").select(
             F.col("r_squared").alias("tone_r2"))
     else:
-        r2 = eta.sparkSession.createDataFrame([(0.0,)], "tone_r2 double")
+        r2 = eta.select(F.lit(None).cast("double").alias("tone_r2"))  # no vectors, no figure
     from playlake.operators.frames import side_by_side
 
     qoe = report.device_qoe(w.fact_playback)
     sample = report.top_bottom(d.select("title_key", "title", "primary_genre", "ep2_retention", "ep1_viewers"),
                                "ep2_retention", "title_key", 15).withColumn(
         "ep2_retention", py_round("ep2_retention", 4))
-    return report.report_document(counts, hist, means, side_by_side(eta, r2), qoe, sample)
+    return report.report_document(counts, hist, means, side_by_side(eta, r2), qoe, sample, suite=column_tests(w))

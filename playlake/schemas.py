@@ -27,9 +27,6 @@ GENRE_NUDGES = {
     "Drama": ("melancholy", 0.25),
     "Romance": ("cozy", 0.2),
 }
-# Device and region domains of playback telemetry.
-DEVICES = ["tv", "mobile", "web", "console"]
-REGIONS = ["NA", "LATAM", "EU", "APAC"]
 # Eval gate defaults: macro-F1 floor and parse-failure ceiling.
 MIN_MACRO_F1 = 0.6
 MAX_PARSE_FAIL = 0.05

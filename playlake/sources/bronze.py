@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql import types as T
 from playlake.functions import to_json_list
 from playlake.operators.silver import latest
 from playlake.schemas import CATALOG_PAGE, SOURCE_TAG
+from playlake.session import scratch_path
 
 
 def read(spark: SparkSession, location: str, name: str | None = None, schema: T.StructType | None = None,
@@ -116,21 +119,57 @@ def read_versioned(spark: SparkSession, base: str) -> DataFrame | None:
     return None if v is None else spark.read.parquet(f"{base.rstrip('/')}/version={v}")
 
 
+def _notes(spark: SparkSession, base: str, version: int | None) -> dict[str, int]:
+    """The last batch of each stream that a version holds: {query id: batch id}."""
+    if version is None:
+        return {}
+    fs, p = _fs(spark, f"{base.rstrip('/')}/_applied/{version}.json")
+    if not fs.exists(p):
+        return {}
+    stream = fs.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def _write_notes(spark: SparkSession, base: str, version: int, notes: dict[str, int]) -> None:
+    fs, p = _fs(spark, f"{base.rstrip('/')}/_applied/{version}.json")
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(json.dumps(notes).encode()))
+    finally:
+        stream.close()
+
+
+def applied_batch(spark: SparkSession, base: str, query: str) -> int | None:
+    """The last batch id of the stream ``query`` that the current version holds, if any."""
+    return _notes(spark, base, current_version(spark, base)).get(query)
+
+
 def upsert_path(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
-                order: Sequence[Column], version: int | None = None) -> int:
+                order: Sequence[Column], batch: tuple[str, int] | None = None) -> int:
     """SNK-3 on plain parquet: write the merged table as a new version directory.
 
     Overwriting the directory a plan reads would delete its input first (T8),
     so each upsert writes ``version=N+1`` and readers take the newest complete
-    version. Returns the new version number.
+    version. Returns the new version number. ``batch`` = (query id, batch id)
+    records which micro-batch of a stream the version holds, apart from the
+    version number; the record is written before the data and counts only once
+    the version is complete. Every upsert rewrites the whole target: plain
+    parquet has no smaller unit, so large targets belong in a format with MERGE
+    (``upsert_table``).
     """
     v = current_version(spark, base)
     target = read_versioned(spark, base)
     merged = latest(incoming, list(keys), list(order)) if target is None else upsert(target, incoming, keys, order)
-    nxt = (0 if v is None else v + 1) if version is None else version
-    out = f"{base.rstrip('/')}/version={nxt}"
+    nxt = 0 if v is None else v + 1
+    notes = _notes(spark, base, v)
+    if batch is not None:
+        notes[batch[0]] = batch[1]
+    _write_notes(spark, base, nxt, notes)
     # a half-written attempt (no _SUCCESS) of this version is replaced
-    merged.write.mode("overwrite").parquet(out)
+    merged.write.mode("overwrite").parquet(f"{base.rstrip('/')}/version={nxt}")
     return nxt
 
 
@@ -139,31 +178,45 @@ def ensure_schema(spark: SparkSession, schema_name: str) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema_name}")
 
 
+# Table formats whose Spark connectors implement MERGE INTO.
+MERGE_PROVIDERS = ("delta", "iceberg", "hudi")
+
+
+def table_provider(spark: SparkSession, table: str) -> str:
+    """The lower-cased format of a catalog table."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("lower(col_name) = 'provider'").collect()
+    return (rows[0]["data_type"] if rows else "").lower()
+
+
 def upsert_table(spark: SparkSession, table: str, incoming: DataFrame, keys: Sequence[str],
                  order: Sequence[Column]) -> None:
     """SNK-4 + SNK-3 on catalog tables: create when absent, else merge.
 
-    Uses ``MERGE INTO`` when the table format supports it (e.g. Delta); plain
-    parquet tables get the merged rows written to a fresh table that replaces
-    the old one.
+    The table's format decides how: ``MERGE INTO`` where it is supported (an
+    error there is raised, never answered by a rewrite), else the merged rows
+    are staged in the shared checkpoint folder and written over the table with
+    INSERT OVERWRITE. The catalog entry, its properties and its format stay.
     """
     newest = latest(incoming, list(keys), list(order))
     if not spark.catalog.tableExists(table):
         newest.write.saveAsTable(table)
         return
-    try:
+    if table_provider(spark, table) in MERGE_PROVIDERS:
         cond = " AND ".join(f"t.{k} = s.{k}" for k in keys)
-        view = "_playlake_incoming"
+        view = f"_playlake_incoming_{uuid.uuid4().hex}"
         newest.createOrReplaceTempView(view)
-        spark.sql(f"MERGE INTO {table} t USING {view} s ON {cond} "
-                  "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
-    except Exception:  # noqa: BLE001 - format without MERGE support
-        merged = upsert(spark.table(table), newest, keys, order)
-        staging = f"{table}__next"
-        spark.sql(f"DROP TABLE IF EXISTS {staging}")
-        merged.write.saveAsTable(staging)
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        try:
+            spark.sql(f"MERGE INTO {table} t USING {view} s ON {cond} "
+                      "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+        finally:
+            spark.catalog.dropTempView(view)
+        return
+    target = spark.table(table)
+    staged = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
+    upsert(target, newest, keys, order).write.parquet(staged)
+    spark.read.schema(target.schema).parquet(staged).write.insertInto(table, overwrite=True)
+    fs, p = _fs(spark, staged)
+    fs.delete(p, True)
 
 
 def materialize(df: DataFrame, name: str, kind: str = "view") -> DataFrame:

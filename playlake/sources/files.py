@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from playlake.operators.quality import freeze
 from playlake.schemas import RUN_RECORD
 
 
@@ -48,10 +49,14 @@ def read_golden_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
     return spark.read.schema(schema).option("header", True).option("nullValue", "").csv(path)
 
 
-def write_golden_csv(frozen: DataFrame, path: str, sort: list[str]) -> None:
-    """SNK-6 writer: one CSV in a fixed order (the mart is small by construction)."""
-    (frozen.orderBy(*[F.col(c).asc_nulls_last() for c in sort]).coalesce(1)
-     .write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path))
+def write_golden_csv(mart: DataFrame, path: str, columns: list[str], sort: list[str]) -> None:
+    """SNK-6 writer: the frozen columns as CSV, in the order of the typed keys.
+
+    Rows are range-partitioned, so part files follow each other in order; a small
+    mart comes out as one file.
+    """
+    ordered = mart.orderBy(*[F.col(c).asc_nulls_last() for c in sort])
+    freeze(ordered, columns).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
 
 
 def write_report(doc: DataFrame, path: str) -> None:

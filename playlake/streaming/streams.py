@@ -32,13 +32,20 @@ def read_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None
 
 
 def gate_events(spark: SparkSession, path: str, schema: T.StructType = GATE_EVENT_SEQ) -> DataFrame:
-    """SRC-6 + STR-1: parsed gate events; blank and non-JSON lines are dropped."""
-    return runlog.parse_lines(read_lines(spark, path), schema=schema)
+    """SRC-6 + STR-1: parsed gate events with the line as it came; blank and non-JSON lines are dropped."""
+    return runlog.parse_lines(read_lines(spark, path), schema=schema, raw="raw_line")
 
 
 def append_log(events: DataFrame, out_path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """STR-2: append every accepted event to a per-run directory (exactly once via the checkpoint)."""
-    writer = (events.writeStream.format("parquet").partitionBy("run_id")
+    """STR-2: append every accepted event (exactly once via the checkpoint).
+
+    Folders are by day and by one of 64 hashes of the run, so their number does
+    not grow with the runs; ``run_id`` stays a column, and a reader of one run
+    filters by it and by its hash.
+    """
+    placed = events.withColumn("log_date", F.to_date("ts")).withColumn(
+        "run_bucket", F.pmod(F.xxhash64("run_id"), F.lit(64)).cast("int"))
+    writer = (placed.writeStream.format("parquet").partitionBy("log_date", "run_bucket")
               .option("checkpointLocation", checkpoint).outputMode("append"))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -63,7 +70,8 @@ def replay(spark: SparkSession, log_path: str, schema: T.StructType = GATE_EVENT
     checkpoint it resumes where it stopped. Use ``trigger(availableNow=True)``
     for a bounded catch-up.
     """
-    full = T.StructType([f for f in schema.fields if f.name != "run_id"] + [T.StructField("run_id", T.StringType())])
+    full = T.StructType([*schema.fields, T.StructField("log_date", T.DateType()),
+                         T.StructField("run_bucket", T.IntegerType()), T.StructField("raw_line", T.StringType())])
     return spark.readStream.schema(full).parquet(log_path)
 
 
@@ -121,19 +129,28 @@ def clean_playback(events: DataFrame, watermark: str = "2 days", dedupe: bool =
     return cleaned.dropDuplicatesWithinWatermark(["event_id"]) if dedupe else cleaned
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint folder; a new folder means a new stream."""
+    row = spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()
+    return row["id"]
+
+
 def upsert_stream(stream: DataFrame, base_path: str, keys: Sequence[str], order: Sequence[Column],
                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """STR-11: rerunnable catalog refresh; each micro-batch is upserted as a new version.
 
-    The version number is derived from the batch id, so a batch replayed after
-    a failure finds its version already written and is skipped.
+    A version records the last batch of this stream that it holds, by the
+    stream's own id. A batch replayed after a failure is skipped by that record
+    and by nothing else: versions written by others, or by a stream with another
+    checkpoint, have no bearing on it.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        current = bronze.current_version(spark, base_path)
-        if current is not None and current >= batch_id:
+        query = query_id(spark, checkpoint)
+        done = bronze.applied_batch(spark, base_path, query)
+        if done is not None and done >= batch_id:
             return
-        bronze.upsert_path(spark, base_path, batch, keys, order, version=batch_id)
+        bronze.upsert_path(spark, base_path, batch, keys, order, batch=(query, batch_id))
 
     writer = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     if available_now:

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from playlake.plans import harness
 from playlake.plans.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
@@ -43,7 +44,7 @@ def test_entry_smoke(spark):
     assert df.count() >= 0 and "ep2_retention" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(harness.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cols = sorted(df.columns)

@@ -12,15 +12,15 @@ from playlake.sources import bronze
 
 PAGES = [
     {"data": {"Page": {"pageInfo": {"hasNextPage": True}, "media": [
-        {"id": 1, "title": {"romaji": "Kaubōi Bibappu", "english": "Cowboy Bebop"}, "genres": ["Action", "Sci-Fi"],
-         "tags": [{"name": "Space", "rank": 90}], "description": "<p>Bounty <i>hunters</i></p>",
-         "averageScore": 86, "popularity": 457201, "episodes": 26, "season": "SPRING", "seasonYear": 1998,
-         "format": "TV", "status": "FINISHED"},
-        {"id": 21, "title": None, "genres": None, "description": None, "popularity": 727528, "episodes": None},
+        {"id": 501, "title": {"romaji": "Ranpu Dōri", "english": "Lantern Street"}, "genres": ["Mystery", "Music"],
+         "tags": [{"name": "Fog", "rank": 71}], "description": "<p>A street <i>of lamps</i></p>",
+         "averageScore": 64, "popularity": 1200, "episodes": 9, "season": "FALL", "seasonYear": 2011,
+         "format": "ONA", "status": "FINISHED"},
+        {"id": 502, "title": None, "genres": None, "description": None, "popularity": 800, "episodes": None},
     ]}}},
     {"data": {"Page": {"pageInfo": {"hasNextPage": False}, "media": [
-        {"id": 21, "title": {"romaji": "One Piece", "english": None}, "genres": [], "description": "Pirates",
-         "popularity": 727529, "episodes": None},
+        {"id": 502, "title": {"romaji": "Nine Tin Suns", "english": None}, "genres": [], "description": "Metal",
+         "popularity": 801, "episodes": None},
     ]}}},
 ]
 
@@ -40,9 +40,9 @@ def test_flatten_and_partitioned_append(spark, tmp):
     flat = _land(spark, tmp, PAGES, "2026-07-01T10:00:00Z")
     rows = {(r.media_id, r.title_romaji) : r for r in flat.collect()}
     assert len(rows) == 3
-    missing = rows[(21, None)]
+    missing = rows[(502, None)]
     assert missing.title_english is None and json.loads(missing.genres) == []
-    assert json.loads(rows[(1, "Kaubōi Bibappu")].tags) == [{"name": "Space", "rank": 90}]
+    assert json.loads(rows[(501, "Ranpu Dōri")].tags) == [{"name": "Fog", "rank": 71}]
     _land(spark, tmp, PAGES[1:], "2026-07-02T10:00:00Z")
     b = bronze.read(spark, os.path.join(tmp, "bronze"), "anilist_media")
     assert sorted(r.ingest_date.isoformat() for r in b.select("ingest_date").distinct().collect()) == [
@@ -58,13 +58,13 @@ def test_stg_media_latest_wins_and_dim_title(spark, tmp):
     _land(spark, tmp, PAGES[1:], "2026-07-02T10:00:00Z")
     stg = silver.stg_media(bronze.read(spark, os.path.join(tmp, "bronze"), "anilist_media"))
     rows = {r.media_id: r for r in stg.collect()}
-    assert set(rows) == {1, 21}
-    assert rows[21].title == "One Piece" and rows[21].genres == []
-    assert rows[1].title == "Cowboy Bebop" and rows[1].synopsis == "Bounty hunters"
+    assert set(rows) == {501, 502}
+    assert rows[502].title == "Nine Tin Suns" and rows[502].genres == []
+    assert rows[501].title == "Lantern Street" and rows[501].synopsis == "A street of lamps"
     dim = {r.title_key: r for r in gold.dim_title(stg).collect()}
-    assert dim[1].primary_genre == "Action" and dim[21].primary_genre is None and dim[1].mood_tags is None
-    enr = spark.createDataFrame([(1, ["dark"], "m", None)], gold.ENRICHMENT_COLUMNS)
-    assert {r.title_key: r.mood_tags for r in gold.dim_title(stg, enr).collect()}[1] == ["dark"]
+    assert dim[501].primary_genre == "Mystery" and dim[502].primary_genre is None and dim[501].mood_tags is None
+    enr = spark.createDataFrame([(501, ["dark"], "m", None)], gold.ENRICHMENT_COLUMNS)
+    assert {r.title_key: r.mood_tags for r in gold.dim_title(stg, enr).collect()}[501] == ["dark"]
 
 
 def test_latest_has_map_side_limit(spark):
@@ -149,13 +149,43 @@ def test_upsert_is_idempotent_and_versioned(spark, tmp):
     assert sorted((r.k, r.v) for r in bronze.read_versioned(spark, base).collect()) == expect
 
 
-def test_approx_viewers_close_to_exact(spark):
-    rows = [(u, m, e) for u in range(1, 3000) for m in (1, 2) for e in (1, 2) if (u + m + e) % 3]
+def test_rows_without_a_user_are_no_viewers(spark):
+    rows = [(u, 1, 1) for u in range(30)] + [(None, 1, 1), (None, 1, 2), (None, 2, 1)]
     fact = spark.createDataFrame(rows, "user_key long, title_key long, episode long")
-    exact = {r.title_key: r.ep1_viewers for r in gold.episode_viewers(fact).collect()}
-    approx = {r.title_key: r.ep1_viewers for r in gold.episode_viewers(fact, approx=True).collect()}
-    for k, v in exact.items():
-        assert abs(approx[k] - v) / v < 0.1
+    got = {r.title_key: (r.ep1_viewers, r.ep2_viewers) for r in gold.episode_viewers(fact).collect()}
+    assert got == {1: (30, 0), 2: (0, 0)}
+
+
+def test_catalog_table_keeps_properties_and_never_goes(spark):
+    bronze.ensure_schema(spark, "bronze_p")
+    table, order = "bronze_p.media", [F.col("ver").desc()]
+    first = spark.createDataFrame([(1, "a", 1)], "k long, v string, ver long")
+    bronze.upsert_table(spark, table, first, ["k"], order)
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('owner_team' = 'catalog')")
+    bronze.upsert_table(spark, table, spark.createDataFrame([(2, "b", 1)], "k long, v string, ver long"), ["k"], order)
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    assert props.get("owner_team") == "catalog" and spark.table(table).count() == 2
+    broken = spark.createDataFrame([(3, "c", 1)], "k long, v string, ver long").withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
+    try:
+        bronze.upsert_table(spark, table, broken, ["k"], order)
+        raise AssertionError("the error must reach the caller")
+    except Exception as e:  # noqa: BLE001
+        assert "boom" in str(e)
+    assert spark.table(table).count() == 2
+
+
+def test_merge_errors_are_raised(spark, monkeypatch):
+    bronze.ensure_schema(spark, "bronze_m")
+    table = "bronze_m.media"
+    rows = spark.createDataFrame([(1, "a", 1)], "k long, v string, ver long")
+    bronze.upsert_table(spark, table, rows, ["k"], [F.col("ver").desc()])
+    monkeypatch.setattr(bronze, "table_provider", lambda *_: "delta")
+    try:
+        bronze.upsert_table(spark, table, rows, ["k"], [F.col("ver").desc()])
+        raise AssertionError("parquet has no MERGE")
+    except Exception as e:  # noqa: BLE001
+        assert "MERGE" in str(e).upper()
+    assert spark.table(table).count() == 1
 
 
 def test_catalog_table_upsert(spark):

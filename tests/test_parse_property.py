@@ -1,67 +1,58 @@
-"""Property test: the strict Spark parser agrees with Python's json.loads."""
+"""Property test: the expected tags follow from the value that each text was written from."""
 
 import json
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from playlake import functions as pf
+from playlake.functions.json import parse_tag_responses, with_json_check
 from playlake.schemas import MOOD_TAGS
 
 words = st.sampled_from(MOOD_TAGS + ["x", "Dark", "", "hype ", "d"])
-scalars = st.one_of(words, st.integers(-5, 5), st.booleans(), st.none(), st.floats(allow_nan=False, allow_infinity=False, width=32))
-values = st.recursive(scalars, lambda inner: st.one_of(st.lists(inner, max_size=4),
-                                                       st.dictionaries(words, inner, max_size=3)), max_leaves=8)
+leaves = st.one_of(st.integers(-5, 5), st.booleans(), st.none(), st.floats(allow_nan=False, allow_infinity=False, width=32))
+
+
+def kept(names):
+    return [n for n in names if n in MOOD_TAGS]
 
 
 @st.composite
-def raw_texts(draw):
-    text = json.dumps(draw(values), separators=draw(st.sampled_from([(",", ":"), (", ", ": ")])))
+def cases(draw):
+    """(text, expected tags, expected to parse, is one JSON value)."""
+    kind = draw(st.sampled_from(["list", "list", "object", "string", "leaf"]))
+    names = draw(st.lists(words, max_size=4))
+    if kind == "list":
+        value, tags, ok = list(names), kept(names), True
+        for _ in range(draw(st.integers(0, 3))):
+            value.insert(draw(st.integers(0, len(value))), draw(st.one_of(leaves, st.lists(words, max_size=2))))
+    elif kind == "object":
+        value = {n: draw(leaves) for n in names}
+        tags, ok = kept(value), True
+    elif kind == "string":
+        value, tags, ok = draw(words), [], True
+    else:
+        value, tags, ok = draw(leaves), [], False
+    text = json.dumps(value, separators=draw(st.sampled_from([(",", ":"), (", ", ": ")])))
     pad = draw(st.sampled_from(["", " ", "\n", "\t ", " \r\n"]))
-    mutation = draw(st.sampled_from(["none", "none", "none", "trailing", "leading", "truncate", "quote", "double"]))
-    if mutation == "trailing":
+    damage = draw(st.sampled_from([None, None, None, "after", "before", "twice", "cut"]))
+    if damage == "after":
         text += draw(st.sampled_from([" x", "]", "}", ",", " []"]))
-    elif mutation == "leading":
-        text = draw(st.sampled_from(["x", "[", ",", "```"])) + text
-    elif mutation == "truncate" and len(text) > 1:
-        text = text[: draw(st.integers(1, len(text) - 1))]
-    elif mutation == "quote":
-        text = text.replace('"', "'")
-    elif mutation == "double":
-        text = text + " " + text
-    return pad + text + pad
-
-
-def python_parse(raw):
-    try:
-        return [t for t in json.loads(raw.strip()) if t in MOOD_TAGS], True
-    except (json.JSONDecodeError, TypeError):
-        return [], False
+    elif damage == "before":
+        text = draw(st.sampled_from(["x", ",", "```"])) + text
+    elif damage == "twice":
+        text = f"{text} {text}"
+    elif damage == "cut":
+        text = text[:-1] if text[-1] in "]}\"" else text + "]"
+    if damage:
+        tags, ok = [], False
+    return pad + text + pad, tags, ok, not damage
 
 
 @settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(raw_texts(), min_size=60, max_size=60))
-def test_parse_agrees_with_json_loads(spark, raws):
-    df = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "i int, raw string")
-    tags, ok = pf.parse_tag_response("raw", MOOD_TAGS)
-    for row in df.select("raw", tags.alias("t"), ok.alias("ok"), pf.is_json_text("raw").alias("j")).collect():
-        expected = python_parse(row.raw)
-        # duplicate object keys are the one documented rejection
-        try:
-            json.loads(row.raw, object_pairs_hook=lambda kv: _no_dupes(kv))
-        except ValueError:
-            continue
-        assert (row.t, row.ok) == expected, row.raw
-        try:
-            json.loads(row.raw)
-            is_json = bool(row.raw.strip())
-        except json.JSONDecodeError:
-            is_json = False
-        assert row.j == is_json, row.raw
-
-
-def _no_dupes(pairs):
-    keys = [k for k, _ in pairs]
-    if len(keys) != len(set(keys)):
-        raise ValueError("duplicate keys")
-    return dict(pairs)
+@given(st.lists(cases(), min_size=60, max_size=60))
+def test_parse_gives_what_the_text_was_written_from(spark, batch):
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(batch)], "i int, raw string")
+    out = with_json_check(parse_tag_responses(df, "raw", MOOD_TAGS), "raw")
+    for row in out.collect():
+        text, tags, ok, one = batch[row.i]
+        assert (row.mood_tags, row.parse_ok, row.is_json) == (tags, ok, one), text

@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from playlake.plans import harness
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
@@ -30,7 +31,7 @@ def test_windowed_top_k_is_trimmed_map_side(spark, name):
     assert "WindowGroupLimit" in p
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(harness.QUERIES))
 def test_no_cartesian_or_python_in_queries(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p

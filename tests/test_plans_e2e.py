@@ -3,26 +3,27 @@
 import json
 import os
 
-from playlake.operators import enrich, runlog
+from playlake.operators import runlog
 from playlake.plans import enrichment, gate_runs
 from playlake.schemas import MOOD_TAGS
 from playlake.sources import files
 
+from tests.classifier import keyword_classifier
 from tests.test_runlog_quality import LINES
 
 
 def test_enrichment_and_gate(spark):
     titles = spark.createDataFrame(
-        [(1, "A dark, melancholy story about hype and bounty hunters", "Cowboy Bebop", ["Action"]),
-         (21, "Pirates with hype and absurd adventures across the sea", "One Piece", ["Action"]),
-         (30, "short", "Evangelion", ["Drama"])],
+        [(501, "A cozy street whose lamps go dark one after the other", "Lantern Street", ["Mystery"]),
+         (502, "Nine suns of tin, absurd machines and endless hype", "Nine Tin Suns", ["Music"]),
+         (503, "short", "Salt", ["Drama"])],
         "title_key long, synopsis string, title string, genres array<string>")
-    results = enrichment.enrich_titles(titles, enrich.keyword_classifier(MOOD_TAGS), "keyword-v1",
+    results = enrichment.enrich_titles(titles, keyword_classifier(MOOD_TAGS), "keyword-v1",
                                        enriched_at="2026-07-11T00:00:00Z")
-    assert sorted(r.media_id for r in results.collect()) == [1, 21]
-    again = enrichment.enrich_titles(titles, enrich.keyword_classifier(MOOD_TAGS), "keyword-v1", done=results)
+    assert sorted(r.media_id for r in results.collect()) == [501, 502]
+    again = enrichment.enrich_titles(titles, keyword_classifier(MOOD_TAGS), "keyword-v1", done=results)
     assert again.count() == 0
-    golden = spark.createDataFrame([(1, ["melancholy", "hype"]), (21, ["hype", "absurd"]), (30, ["dark"])],
+    golden = spark.createDataFrame([(501, ["cozy", "dark"]), (502, ["absurd"]), (503, ["dark"])],
                                    "media_id long, mood_tags array<string>")
     out = enrichment.evaluate(golden, results)
     s = out["summary"].first()

@@ -100,19 +100,27 @@ tagsets = st.lists(st.sampled_from(["dark", "cozy", "hype", "melancholy", "absur
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(tagsets, tagsets, st.sampled_from(["", "raw", None])), min_size=1, max_size=20))
-def test_eval_metrics_match_brute_force(spark, rows):
+def test_eval_counts_add_up_and_swap(spark, rows):
     from playlake.operators import evals
     from playlake.schemas import MOOD_TAGS
-    from tests.test_evals_labels import brute
-
-    golden = [(i, w) for i, (w, _, _) in enumerate(rows)]
-    preds = [(i, g, raw, 1, 2) for i, (_, g, raw) in enumerate(rows)]
-    gdf = spark.createDataFrame(golden, "media_id long, mood_tags array<string>")
-    pdf = spark.createDataFrame(preds, "media_id long, mood_tags array<string>, raw_response string, "
-                                       "input_tokens long, output_tokens long")
-    tp, fp, fn, f1s, macro, jac, pf, tok, n = brute(golden, preds, MOOD_TAGS)
-    scored = evals.score_join(gdf, pdf)
-    prf = evals.tag_prf(evals.tag_confusion(scored, MOOD_TAGS))
-    s = evals.eval_summary(gdf, scored, prf).first()
-    assert (s.n_scored, s.tokens_per_title) == (n, tok)
-    assert s.macro_f1 == round(macro, 4) and s.mean_jaccard == round(jac, 4) and s.parse_fail_rate == round(pf, 4)
+
+    schema = "media_id long, mood_tags array<string>, raw_response string, input_tokens long, output_tokens long"
+    sides = [spark.createDataFrame([(i, r[k], r[2], 1, 2) for i, r in enumerate(rows)], schema) for k in (0, 1)]
+
+    def score(golden, preds):
+        scored = evals.score_join(golden, preds)
+        confusion = evals.tag_confusion(scored, MOOD_TAGS)
+        return {r.tag: (r.tp, r.fp, r.fn) for r in confusion.collect()}, evals.eval_summary(golden, scored, evals.tag_prf(confusion)).first()
+
+    (there, one), (back, two) = score(*sides), score(*sides[::-1])
+    for tag in MOOD_TAGS:
+        tp, fp, fn = there[tag]
+        assert (tp + fn, tp + fp) == tuple(sum(tag in r[k] for r in rows) for k in (0, 1))
+        assert back[tag] == (tp, fn, fp)
+    assert one.mean_jaccard == two.mean_jaccard and one.macro_f1 == two.macro_f1  # both are symmetric
+    assert (one.n_scored, one.tokens_per_title) == (len(rows), 3)
+    silent = sum(not r[1] and bool(r[2]) for r in rows)
+    assert abs(one.parse_fail_rate - silent / len(rows)) <= 0.5e-4
+    _, same = score(sides[0], sides[0])
+    assert same.mean_jaccard == 1.0
+

@@ -10,6 +10,7 @@ from playlake.schemas import BRONZE_PLAYBACK, MOOD_TAGS
 from playlake.sources import bronze
 from playlake.streaming import streams
 
+from tests.classifier import keyword_classifier
 from tests.test_runlog_quality import LINES
 
 
@@ -80,13 +81,45 @@ def test_upsert_stream_is_rerunnable(spark, tmp):
     assert sorted((r.k, r.v) for r in bronze.read_versioned(spark, base).collect()) == [(1, "b"), (2, "d")]
 
 
+def _json_rows(path, name, rows):
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, name), "w") as f:
+        f.write("\n".join(json.dumps(r) for r in rows))
+
+
+def test_upsert_stream_on_a_table_that_has_versions(spark, tmp):
+    base, order = os.path.join(tmp, "tbl"), [F.col("ver").desc()]
+    schema = "k long, v string, ver long"
+    for v in range(3):
+        bronze.upsert_path(spark, base, spark.createDataFrame([(v, "seed", 0)], schema), ["k"], order)
+    src = os.path.join(tmp, "cat")
+    _json_rows(src, "a.json", [{"k": 9, "v": "new", "ver": 1}])
+    stream = spark.readStream.schema(schema).json(src)
+    streams.upsert_stream(stream, base, ["k"], order, os.path.join(tmp, "ck")).awaitTermination(120)
+    want = [(0, "seed"), (1, "seed"), (2, "seed"), (9, "new")]
+    assert sorted((r.k, r.v) for r in bronze.read_versioned(spark, base).collect()) == want
+    # a stream with a new checkpoint starts at batch 0 again, and its rows arrive too
+    _json_rows(src, "b.json", [{"k": 9, "v": "newer", "ver": 2}])
+    streams.upsert_stream(stream, base, ["k"], order, os.path.join(tmp, "ck-new")).awaitTermination(120)
+    assert {r.k: r.v for r in bronze.read_versioned(spark, base).collect()}[9] == "newer"
+
+
+def test_a_replayed_batch_is_applied_once(spark, tmp):
+    base, order, schema = os.path.join(tmp, "tbl"), [F.col("ver").desc()], "k long, v string, ver long"
+    first = spark.createDataFrame([(1, "a", 1)], schema)
+    assert bronze.upsert_path(spark, base, first, ["k"], order, batch=("q", 0)) == 0
+    assert bronze.applied_batch(spark, base, "q") == 0 and bronze.applied_batch(spark, base, "other") is None
+    assert bronze.upsert_path(spark, base, spark.createDataFrame([(1, "b", 2)], schema), ["k"], order) == 1
+    assert bronze.applied_batch(spark, base, "q") == 0  # kept by versions that others write
+
+
 def test_enrichment_job(spark):
     titles = spark.createDataFrame([(1, "A dark and absurd tale " * 3), (2, "short"), (3, "Cozy slice of life " * 200)],
                                    "title_key long, synopsis string")
     cands = enrich.candidates(titles)
     assert sorted(r.media_id for r in cands.collect()) == [1, 3]
     assert max(len(r.prompt) for r in cands.collect()) == 2000
-    raw = enrich.classify(cands, enrich.keyword_classifier(MOOD_TAGS))
+    raw = enrich.classify(cands, keyword_classifier(MOOD_TAGS))
     out = {r.media_id: r for r in enrich.assemble(raw, "keyword-v1", enriched_at="2026-07-11T00:00:00Z").collect()}
     assert out[1].mood_tags == ["dark", "absurd"] and out[1].parse_ok and out[3].mood_tags == ["cozy"]
     done = raw.select("media_id").filter("media_id = 1")
@@ -96,7 +129,7 @@ def test_enrichment_job(spark):
 def test_run_sessions_bounded_state(spark, tmp):
     src = os.path.join(tmp, "live2")
     _write_ndjson(src, "run.ndjson", LINES)
-    later = [dict(x, run_id="20260711T230000Z-beef", ts=x["ts"].replace("T19:", "T23:")) if isinstance(x, dict) else x
+    later = [dict(x, run_id="20250102T090000Z-beef", ts=x["ts"].replace("T03:", "T09:")) if isinstance(x, dict) else x
              for x in LINES]
     _write_ndjson(src, "run2.ndjson", later)
     sessions = streams.run_sessions(streams.gate_events(spark, src), gap="10 minutes", watermark="5 minutes")

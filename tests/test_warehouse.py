@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from playlake.operators import quality
 from playlake.plans import warehouse
-from playlake.schemas import BRONZE_PLAYBACK, BRONZE_USERS, DEVICES, REGIONS
+from playlake.schemas import BRONZE_PLAYBACK, BRONZE_USERS
 
 from tests.test_marts import PAGES, _land
 
-GENRES = {1: ["Action", "Sci-Fi"], 21: ["Action"], 30: ["Drama", "Psychological"]}
+DEVICES, REGIONS = ["tv", "phone", "desk"], ["north", "south"]
+GENRES = {501: ["Mystery", "Music"], 502: ["Mystery"], 503: ["Drama", "Psychological"]}
 
 
 def _fixture(spark, tmp):
@@ -20,7 +21,7 @@ def _fixture(spark, tmp):
          "description": f"<p>Synopsis of {mid}</p>", "popularity": 1000 * mid, "episodes": 12}
         for mid, g in GENRES.items()]}}}]
     _land(spark, tmp, pages, "2026-07-01T10:00:00Z")
-    _land(spark, tmp, PAGES[1:], "2026-07-02T10:00:00Z")  # a later ingest of title 21 wins
+    _land(spark, tmp, PAGES[1:], "2026-07-02T10:00:00Z")  # a later ingest of title 502 wins
     rng = random.Random(42)
     users, events = [], []
     for uid in range(1, 301):
@@ -41,7 +42,7 @@ def test_warehouse_end_to_end(spark, tmp):
     root, events = _fixture(spark, tmp)
     w = warehouse.build(spark, root, as_of="2026-07-01")
     titles = {r.title_key: r for r in w.dim_title.collect()}
-    assert titles[21].title == "One Piece" and titles[1].primary_genre == "Action"
+    assert titles[502].title == "Nine Tin Suns" and titles[501].primary_genre == "Mystery"
     # brute-force retention from the landed events
     e1, e2 = {}, {}
     for _, uid, mid, ep, *_ in events:
@@ -61,6 +62,8 @@ def test_warehouse_end_to_end(spark, tmp):
     assert doc.catalog_n == 3 and doc.users_n == 300 and doc.events_n == len(events) - 1
     assert len(doc.titles_sample) == 2 * len(want)
     assert {g.device for g in doc.device_qoe} <= set(DEVICES)
+    assert (doc.checks_passed, doc.checks_total) == (9, 9)
+    assert warehouse.report_document(w).first().variance_explained.tone_r2 is None
 
 
 def test_warehouse_materialized(spark, tmp):
@@ -68,5 +71,5 @@ def test_warehouse_materialized(spark, tmp):
     w = warehouse.build(spark, root, as_of="2026-07-01", materialize="wh_")
     assert spark.catalog.tableExists("wh_episode_dropoff")
     frozen = quality.freeze(w.episode_dropoff, ["title", "primary_genre", "ep1_viewers", "ep2_viewers",
-                                                "ep2_retention"], ["title"])
+                                                "ep2_retention"])
     assert frozen.count() == w.episode_dropoff.count()
