@@ -246,7 +246,8 @@ def _matches(spark: SparkSession, index: DataFrame, phrases: DataFrame, span: in
     # the lists of every term asked for in a block, and the block's directory
     need = asked.select("block", F.explode("terms").alias("term")).distinct()
     need = need.select("block", F.col("term").cast("binary").alias("term"))
-    held = lists.join(F.broadcast(terms), "term").join(need, ["block", "term"], "left_semi")
+    # need has no repeats; a semi join would be moved below the broadcast one, and shuffle the whole index
+    held = lists.join(F.broadcast(terms), "term").join(need, ["block", "term"])
     held = held.select("block", "term", "positions")
     heads = index.where("term is null").select("block", "term", "positions")
     held = held.unionByName(heads.join(need.select("block").distinct(), "block", "left_semi"))
