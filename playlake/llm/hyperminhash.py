@@ -47,7 +47,7 @@ MANTISSA = 10
 #: Standard deviations by which an estimate may fall short of the threshold and still be confirmed.
 SIGMAS = 4.0
 #: Members of a bucket up to which all its pairs are joined, and of the blocks that larger ones are cut into.
-SMALL, BLOCK = 16, 4000
+SMALL, BLOCK = 8, 4000
 #: Hashes of a thinned set, and bytes of each.
 THIN, THIN_BYTES = 4096, 5
 _RULE = W.rule(lower=True)
@@ -192,7 +192,7 @@ def _thin(values: np.ndarray) -> tuple[int, bytes]:
 
 
 def _shingles_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, shingles, level, thin) of the documents named in ids, and of few others.
+    """(doc_id, shingles) of the documents named in ids, and of few others.
 
     shingles are sorted 8-byte hashes. A Bloom filter picks the documents where they are
     read, so that no text is shuffled; those that it lets through by chance do no harm.
@@ -205,22 +205,28 @@ def _shingles_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int
             of, value = shingle_sets(part.column("text"), size)
             bound = np.searchsorted(of, np.arange(part.num_rows + 1))
             own = [np.sort(value[i:j]) for i, j in zip(bound[:-1], bound[1:], strict=True)]
-            thin = [_thin(v) for v in own]
             yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"), pa.array([len(v) for v in own], pa.int64()),
-                    pa.array([v.tobytes() for v in own], pa.binary()), pa.array([t[0] for t in thin], pa.int32()),
-                    pa.array([t[1] for t in thin], pa.binary()),
-                ],
-                ["doc_id", "n_shingles", "shingles", "level", "thin"],
+                [part.column("doc_id"), pa.array([v.tobytes() for v in own], pa.binary())], ["doc_id", "shingles"]
             )
 
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.withColumn("key", IdFilter.key()).mapInArrow(
-        run, "doc_id long, n_shingles long, shingles binary, level int, thin binary"
+        run, "doc_id long, shingles binary"
     )
 
 
+def _thin_sets(sets: DataFrame) -> DataFrame:
+    """(doc_id, level, thin) of every set, see ``_thin``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            thin = [_thin(np.frombuffer(v, np.uint64)) for v in batch.column("shingles").to_pylist()]
+            levels, values = pa.array([t[0] for t in thin], pa.int32()), pa.array([t[1] for t in thin], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), levels, values], ["doc_id", "level", "thin"])
+
+    return sets.select("doc_id", "shingles").mapInArrow(run, "doc_id long, level int, thin binary")
+
+
 def _confirm(sets: DataFrame, pairs: DataFrame, threshold_pct: int) -> DataFrame:
     """The pairs (a, b) with 100 * shared >= threshold_pct * union on full sets."""
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("s_a"))
@@ -251,20 +257,23 @@ def _first_pairs(shared: DataFrame) -> DataFrame:
     return counts.withColumn("k", best).where("k <= 3").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
 
 
-def _open_buckets(shared: DataFrame, label: DataFrame) -> DataFrame:
-    """(band, rep, label, n) of the buckets whose members lie in several components so far."""
+def _open_buckets(shared: DataFrame, label: DataFrame, reps: DataFrame) -> DataFrame:
+    """(band, rep, label, n, n_shingles) of the buckets whose members lie in several components so far."""
     held = shared.join(label, F.col("rep") == F.col("node"), "left").select(
         "band", "rep", F.coalesce("component", "rep").alias("label"), "n"
     )
     several = held.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return held.join(several.select("band"), "band")
+    sizes = reps.select(F.col("doc_id").alias("rep"), "n_shingles")
+    return held.join(several.select("band"), "band").join(sizes, "rep")
 
 
-def _small_pairs(open_: DataFrame) -> DataFrame:
-    """All pairs across components in buckets of at most SMALL members."""
+def _small_pairs(open_: DataFrame, threshold_pct: int) -> DataFrame:
+    """All pairs across components in buckets of at most SMALL members whose sizes allow the threshold."""
     small = open_.where(F.col("n") <= SMALL)
-    two = small.select("band", F.col("rep").alias("b"), F.col("label").alias("l_b"))
-    return small.join(two, "band").where("rep < b and label <> l_b").select(F.col("rep").alias("a"), "b").distinct()
+    two = small.select("band", F.col("rep").alias("b"), F.col("label").alias("l_b"), F.col("n_shingles").alias("n_b"))
+    sizes = 100 * F.least("n_shingles", "n_b") >= threshold_pct * F.greatest("n_shingles", "n_b")
+    pairs = small.join(two, (small["band"] == two["band"]) & (F.col("rep") < F.col("b")) & (F.col("label") != F.col("l_b")) & sizes)
+    return pairs.select(F.col("rep").alias("a"), "b").distinct()
 
 
 def _large_pairs(open_: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
@@ -272,7 +281,7 @@ def _large_pairs(open_: DataFrame, sets: DataFrame, threshold_pct: int) -> DataF
     members = (
         open_.where(F.col("n") > SMALL)
         .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        .join(sets.select(F.col("doc_id").alias("rep"), "n_shingles", "level", "thin"), "rep")
+        .join(_thin_sets(sets).withColumnRenamed("doc_id", "rep"), "rep")
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -371,8 +380,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, thresho
     first = store(spark, _pairs_near(reps, _first_pairs(shared), threshold), "pairs")
     links = store(spark, _confirm(sets, first, threshold_pct), "links")
     label = connected_components(spark, links)
-    open_ = store(spark, _open_buckets(shared, label), "open")
-    rest = _pairs_near(reps, _small_pairs(open_), threshold).union(_large_pairs(open_, sets, threshold_pct))
+    open_ = store(spark, _open_buckets(shared, label, reps), "open")
+    rest = _pairs_near(reps, _small_pairs(open_, threshold_pct), threshold).union(_large_pairs(open_, sets, threshold_pct))
     rest = rest.distinct().join(first, ["a", "b"], "left_anti")
     links = links.unionByName(_confirm(sets, rest, threshold_pct))
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
