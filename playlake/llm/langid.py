@@ -133,7 +133,7 @@ def training_counts(docs: DataFrame, learn: F.Column) -> DataFrame:
                 ["doc_id", "lang", "buckets", "counts"],
             )
 
-    return rows.join(chosen.select("doc_id"), "doc_id", "left_semi").mapInArrow(
+    return rows.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").mapInArrow(
         run, "doc_id long, lang string, buckets array<int>, counts array<int>"
     )
 

@@ -56,7 +56,8 @@ def training_words(docs: DataFrame, labels: DataFrame) -> DataFrame:
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_ROWS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.join(marks.select("doc_id", F.col("toxic").cast("int").alias("toxic")), "doc_id")
+    # at most MAX_ROWS ids and marks: a bound that lets them be broadcast, so that texts stay where they are
+    rows = rows.join(F.broadcast(marks.select("doc_id", F.col("toxic").cast("int").alias("toxic"))), "doc_id")
     rows = rows.withColumn("same", F.xxhash64("text")).dropDuplicates(["same"])  # copies teach once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,21 +97,17 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Model:
     sizes = {r["toxic"] for r in held.select("toxic").distinct().collect()}
     if sizes != {0, 1}:
         return Model({}, [40.0] * GRADES)
-    chosen = store(spark, _vocabulary(held), "vocabulary").withColumn("marks", F.lit(True))
+    chosen = store(spark, _vocabulary(held), "vocabulary")
     words = [r["word"] for r in chosen.orderBy("word").collect()]
-    x = held.join(chosen, "word", "left")
-    rows = (
-        x.groupBy("row", "toxic")
-        .agg(F.sort_array(F.collect_list(F.when(F.col("marks"), F.col("word")))).alias("words"))
-        .toPandas()
-        .sort_values("row")
-    )
+    marked = held.join(F.broadcast(chosen), "word").groupBy("row").agg(F.sort_array(F.collect_list("word")).alias("words"))
+    rows = held.select("row", "toxic").distinct().join(marked, "row", "left").toPandas().sort_values(["row", "toxic"])
     place = {w: i for i, w in enumerate(words)}
-    index = [np.array([place[w] for w in ws], np.int64) for ws in rows["words"]]
-    marked = np.array([len(i) for i in index])
+    index = [np.array([place[w] for w in ws] if ws is not None else [], np.int64) for ws in rows["words"]]
+    held_words = np.array([len(i) for i in index])
     toxic = rows["toxic"].to_numpy() == 1
-    cuts = np.quantile(marked[toxic & (marked > 0)], [1 / 3, 2 / 3]) if (toxic & (marked > 0)).any() else [0, 0]
-    grade = np.where(toxic, 1 + (marked > cuts[0]) + (marked > cuts[1]), 0)
+    found = held_words[toxic & (held_words > 0)]
+    cuts = np.quantile(found, [1 / 3, 2 / 3]) if len(found) else [0, 0]
+    grade = np.where(toxic, 1 + (held_words > cuts[0]) + (held_words > cuts[1]), 0)
     weights, thresholds = fit(index, grade, len(words))
     return Model({w: float(v) for w, v in zip(words, weights, strict=True) if v}, thresholds.tolist())
 
