@@ -20,6 +20,7 @@ Only doc_id and text are read.
 from __future__ import annotations
 
 import os
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -41,6 +42,8 @@ OFTEN, SCALE = 8, 4
 #: Documents whose sums a task holds before it hands them on.
 HELD = 4_000_000
 LIMIT = 512
+#: A document of a slice: its id, if it has one, its bytes and the pieces counted so far.
+_ENTRY = np.dtype([("doc_id", "<i8"), ("named", "<i8"), ("n_bytes", "<i8"), ("n", "<i8")])
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The byte-level pre-tokeniser's pattern, with the white space of Unicode spelt out.
 _SPLIT = regex.compile(
@@ -116,7 +119,7 @@ def _pack(table: pa.Table) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _tail(pre: list[str], order: list[int], n: list[int], base: int, buckets: int) -> Iterator[tuple[int, bytes]]:
+def _tail(pre: list[str], order: list[int], n: list[int], buckets: int) -> Iterator[tuple[int, bytes]]:
     """(bucket, packed (pre, ord, n)) of a slice's rare pre-tokens, sorted so that equal ones lie together."""
     bucket = np.fromiter((xxhash.xxh32_intdigest(p) % buckets for p in pre), np.int32, len(pre))
     table = pa.table({"b": bucket, "pre": pa.array(pre, pa.string()), "ord": np.array(order, np.int32), "n": np.array(n, np.int32)})
@@ -134,7 +137,7 @@ def token_counts(spark: SparkSession, docs: DataFrame, path: str, limit: int = L
     buckets = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document (key below 0) and one for each slice and bucket of rare pre-tokens."""
+        """A row for each slice of documents (key below 0), and one for each of its buckets of rare pre-tokens."""
         from pyspark import TaskContext
 
         known = head.value
@@ -155,43 +158,45 @@ def token_counts(spark: SparkSession, docs: DataFrame, path: str, limit: int = L
                         tail[2].append(n)
                 sizes.append(len(text.encode()))
                 sums.append(total)
-            n = part.num_rows
-            rows = np.arange(base, base + n)
+            ids = part.column("doc_id")
+            head_rows = np.zeros(part.num_rows, _ENTRY)
+            head_rows["doc_id"] = ids.fill_null(0).to_numpy(zero_copy_only=False)
+            head_rows["named"] = ids.is_valid().to_numpy(zero_copy_only=False)
+            head_rows["n_bytes"], head_rows["n"] = sizes, sums
+            packed = list(_tail(*tail, buckets))
+            keys = [-1 - zlib.crc32(str(base).encode()) % buckets, *(b for b, _ in packed)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array((-1 - rows % buckets).astype(np.int32)), pa.array(rows), part.column("doc_id"),
-                    pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.nulls(n, pa.binary()),
+                    pa.array(keys, pa.int32()), pa.array(np.full(len(keys), base)),
+                    pa.array([head_rows.tobytes(), *[None] * len(packed)], pa.binary()),
+                    pa.array([None, *(v for _, v in packed)], pa.binary()),
                 ],
-                _COLUMNS,
+                ["bucket", "base", "head", "tail"],
             )
-            packed = list(_tail(*tail, base, buckets))
-            none = pa.nulls(len(packed), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([b for b, _ in packed], pa.int32()), pa.array(np.full(len(packed), base)), none, none, none,
-                    pa.array([v for _, v in packed], pa.binary()),
-                ],
-                _COLUMNS,
-            )
-            base += n
+            base += part.num_rows
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Count each distinct pre-token of a bucket once, and join the counts to its frequencies."""
+        """Count each distinct pre-token of a bucket once, and join the counts to its frequencies.
+
+        What a task has counted for a slice of documents leaves as one row of sums.
+        """
         bucket, counted = None, {}
         sums: dict[int, np.ndarray] = {}
 
+        def row(base, head, total):
+            arrays = [pa.array([base], pa.int64()), pa.array([head], pa.binary()), pa.array([total], pa.binary())]
+            return pa.RecordBatch.from_arrays(arrays, ["base", "head", "sums"])
+
         def flush():
             for base, total in sums.items():
-                at = np.flatnonzero(total)
-                none = pa.nulls(len(at), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(at + base), none, none, pa.array(total[at])], _SUMS)
+                yield row(base, None, total.tobytes())
             sums.clear()
 
         for batch in batches:
-            whole = batch.filter(pa.compute.is_null(batch.column("tail")))
-            yield pa.RecordBatch.from_arrays([whole.column(c) for c in ("row", "doc_id", "n_bytes", "n")], _SUMS)
-            rest = batch.filter(pa.compute.is_valid(batch.column("tail")))
-            for key, base, raw in zip(*(rest.column(c).to_pylist() for c in ("bucket", "row", "tail")), strict=True):
+            for key, base, head_rows, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if raw is None:
+                    yield row(base, head_rows, None)
+                    continue
                 if key != bucket:
                     bucket, counted = key, {}
                 table = pa.ipc.open_stream(raw).read_all()
@@ -202,22 +207,55 @@ def token_counts(spark: SparkSession, docs: DataFrame, path: str, limit: int = L
                         counted[name] = pieces(path, name)
                 own = np.fromiter((counted[name] for name in names), np.int64, len(names))
                 n = own[coded.indices.to_numpy()] * table.column("n").to_numpy()
-                total = np.bincount(table.column("ord").to_numpy(), n).astype(np.int64)
-                if base in sums and len(sums[base]) >= len(total):
-                    sums[base][: len(total)] += total
-                else:
-                    total[: len(sums.get(base, ()))] += sums.get(base, 0)
-                    sums[base] = total
+                sums[base] = _add(sums.get(base), np.bincount(table.column("ord").to_numpy(), n).astype(np.int64))
             if sum(map(len, sums.values())) > HELD:
                 yield from flush()
         yield from flush()
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    split = rows.mapInArrow(read, "bucket int, row long, doc_id long, n_bytes long, n long, tail binary")
-    parts = split.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "row long, doc_id long, n_bytes long, n long")
-    whole = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n").alias("n_tokens"))
-    return whole.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Add the sums of each slice of documents, whose rows come one after the other."""
+        current, entry, total = None, None, None
 
+        def documents():
+            n = entry["n"].copy()
+            if total is not None:
+                n[: len(total)] += total
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(entry["doc_id"].copy(), mask=entry["named"] == 0), pa.array(entry["n_bytes"].copy()),
+                    pa.array(n), pa.array(n > limit),
+                ],
+                ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+            )
 
-_COLUMNS = ["bucket", "row", "doc_id", "n_bytes", "n", "tail"]
-_SUMS = ["row", "doc_id", "n_bytes", "n"]
+        for batch in batches:
+            for base, head_rows, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if base != current:
+                    if current is not None:
+                        yield documents()
+                    current, entry, total = base, None, None
+                if head_rows is not None:
+                    entry = np.frombuffer(head_rows, _ENTRY)
+                else:
+                    total = _add(total, np.frombuffer(raw, np.int64))
+        if current is not None:
+            yield documents()
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    split = rows.mapInArrow(read, "bucket int, base long, head binary, tail binary")
+    parts = split.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "base long, head binary, sums binary")
+    return (
+        parts.repartition("base").sortWithinPartitions("base")
+        .mapInArrow(merge, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    )
+
+
+def _add(a: np.ndarray | None, b: np.ndarray) -> np.ndarray:
+    """Sum of two arrays, the shorter one continued by zeros."""
+    if a is None:
+        return b
+    if len(a) < len(b):
+        a, b = b, a
+    out = a.copy()
+    out[: len(b)] += b
+    return out
