@@ -138,7 +138,7 @@ WITH t AS (
   FROM v
 )
 SELECT conv_id, perspective, position::BIGINT AS position, turn, speaker, segment, char_start,
-       CASE WHEN mine THEN char_start + 20 END AS loss_start,
+       CASE WHEN mine THEN char_start + length('<|start|>assistant') + 1 END AS loss_start,
        CASE WHEN mine THEN char_start + length(segment) END::BIGINT AS loss_end
 FROM o
 """
