@@ -44,8 +44,9 @@ from playlake.llm.components import connected_components
 BANDS, ROWS = 48, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
-#: Standard deviations by which an estimate may fall short of the threshold and still be confirmed.
-SIGMAS = 4.0
+#: Standard deviations by which an estimate may fall short of the threshold and still be confirmed. Pairs below are never
+#: confirmed, so a link may be lost with about 1e-8, in line with the bands.
+SIGMAS = 6.0
 #: Members of a bucket up to which all its pairs are joined, and of the blocks that larger ones are cut into.
 SMALL, BLOCK = 8, 4000
 #: Hashes of a thinned set, and bytes of each.
@@ -314,18 +315,20 @@ def _joining(x: pd.DataFrame, threshold_pct: int) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for top in np.unique(level):
         use = np.flatnonzero((level == top) | (level == top - 1))
-        shared = _intersections([values[k] for k in use], int(top), outside[use])
+        held = [v[v < np.uint64(1 << (8 * THIN_BYTES - int(top)))] for v in (values[k] for k in use)]
+        shared = _intersections(held, outside[use])
+        size = np.array([len(v) for v in held])
+        of = {k: len(v) for k, v in zip(use, held, strict=True)}
         for row, k in zip(shared, use[outside[use]], strict=True):
             ok = (label[use] != label[k]) & ((left[k] & right[use]) | (right[k] & left[use]))
             ok &= np.maximum(level[k], level[use]) == top
-            scale = 2.0 ** top
-            union = n[k] + n[use] - row * scale
             if top == 0:
-                ok &= 100 * row >= threshold_pct * union
-            else:
-                similar = row * scale / np.maximum(union, 1)
-                margin = SIGMAS * np.sqrt(threshold_pct / 100 * (1 - threshold_pct / 100) / np.maximum(union / scale, 1))
-                ok &= similar >= threshold_pct / 100 - margin
+                ok &= 100 * row >= threshold_pct * (n[k] + n[use] - row)
+            else:  # the thinned union is a sample of the union, so its shared part is binomial
+                union = np.maximum(of[k] + size - row, 1)
+                margin = SIGMAS * np.sqrt(threshold_pct / 100 * (1 - threshold_pct / 100) / union)
+                ok &= row / union >= threshold_pct / 100 - margin
+                ok &= 100 * np.minimum(n[k], n[use]) >= threshold_pct * np.maximum(n[k], n[use])
             far = use[ok]
             if top:
                 out += [(min(rep[k], rep[f]), max(rep[k], rep[f])) for f in far]
@@ -339,10 +342,8 @@ def _joining(x: pd.DataFrame, threshold_pct: int) -> list[tuple[int, int]]:
     return list(dict.fromkeys(out))
 
 
-def _intersections(values: list[np.ndarray], level: int, rows: np.ndarray) -> np.ndarray:
-    """Shared shingles of the marked sets with every set, thinned to a level, by matrix products."""
-    cut = np.uint64(1 << (8 * THIN_BYTES - level))
-    values = [v[v < cut] for v in values]
+def _intersections(values: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
+    """Shared shingles of the marked sets with every set, by matrix products."""
     of = np.repeat(np.arange(len(values)), [len(v) for v in values])
     name, column, counts = np.unique(np.concatenate([*values, np.empty(0, np.uint64)]), return_inverse=True, return_counts=True)
     often = counts > 1  # a shingle of one set alone adds nothing

@@ -118,3 +118,37 @@ def test_connected_components_on_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5)]
     got = connected_components(spark, spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == {**{i: 0 for i in range(1, 61)}, 101: 100}
+
+
+def test_estimates_five_deviations_short_are_still_confirmed():
+    import numpy as np
+    import pandas as pd
+
+    used = np.array([H.REGISTERS])
+    est = 0.8 - 5 * np.sqrt(0.8 * 0.2 / used)
+    assert H._allowed(est, used, np.array([1000]), np.array([1000]), 0.8).all()
+
+    # two sets thinned to half, 500 hashes each: with 416 shared the estimate is 5.3 deviations short, with 400 8.2
+    def joined(shared):
+        one, two = np.arange(500, dtype=np.uint64), np.arange(500, dtype=np.uint64) + np.uint64(500 - shared)
+        x = pd.DataFrame({
+            "rep": [1, 2], "label": [1, 2], "own": [0, 0], "i": [0, 0], "j": [0, 0], "n_shingles": [1000, 1000], "level": [1, 1],
+            "thin": [H._pack(one), H._pack(two)],
+        })
+        return H._joining(x, 80)
+
+    assert joined(416) == [(1, 2)] and joined(400) == []
+
+
+def test_thinned_margin_covers_the_sampling_error():
+    import numpy as np
+    import pandas as pd
+
+    # sets of 10,000 at similarity just above 0.8; thinning to a quarter keeps few of the shared hashes and more of the others
+    one = np.concatenate([np.arange(2150), np.arange(3000, 3340)]).astype(np.uint64)
+    two = np.concatenate([np.arange(2150), np.arange(4000, 4340)]).astype(np.uint64)
+    x = pd.DataFrame({
+        "rep": [1, 2], "label": [1, 2], "own": [0, 0], "i": [0, 0], "j": [0, 0], "n_shingles": [10000, 10000], "level": [2, 2],
+        "thin": [H._pack(one), H._pack(two)],
+    })
+    assert H._joining(x, 80) == [(1, 2)]
