@@ -1,8 +1,11 @@
 """Main text of web pages by site template removal (operator 1).
 
 A page is parsed into elements. Each element subtree is hashed (tag, attributes and all it holds), and
-Spark counts on how many pages of a host each hash occurs. Subtrees on more than ``SHARE`` of a
-host's pages, and on more than ``LEAST``, are the site's template and are deleted. Elements that say
+Spark counts on how many pages of a host each hash occurs; pages of one content (the same text outside of
+useless elements) count as one page, so that copies are no template. Subtrees on more than ``SHARE`` of a
+host's pages, and on more than ``LEAST``, are the site's template and are deleted. An ``article`` or
+``main`` element is never deleted so, and template hits that would take over half of the page's main block
+(near copies of one page), or all of its text, are not followed. Elements that say
 themselves that they are no article (navigation, footers, forms, scripts and the like, by tag, role or class)
 are deleted on any page, since a host with few pages has no counts to go by. If what is left holds an
 ``article`` or ``main`` element, text outside of such elements goes too.
@@ -21,9 +24,11 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -51,6 +56,9 @@ NO_CLASS = re.compile(
     r"comment|comments|commentlist|respond|disqus|widget|pagination|pager|login|signup|skip-link)(?:$|[\s_-])",
     re.I,
 )
+#: Elements above any block of a page, and elements that group blocks.
+ROOTS = frozenset("html-root html body".split())
+CONTAINERS = frozenset("address aside center details div dl footer header hgroup nav ol section table tbody td tr ul".split())
 #: A start tag ends an open element of these names.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -71,6 +79,8 @@ class Element:
     attributes: str = ""
     children: list = field(default_factory=list)  # elements and strings
     digest: int = 0
+    size: int = 0  # characters of text, without elements of NO_TEXT
+    best: int = 0  # size of the largest article or main, itself included
 
 
 def parse(page: str) -> Element:
@@ -139,13 +149,22 @@ def digest(root: Element) -> list[int]:
             continue
         h = xxhash.xxh3_64(f"{e.tag} {e.attributes}")
         full = bool(e.attributes)
+        e.size = e.best = 0
         for c in e.children:
             if isinstance(c, Element):
                 h.update(c.digest.to_bytes(8, "big", signed=True))
                 full = full or c.digest != 0
+                e.size += c.size
+                e.best = max(e.best, c.best)
             elif not c.isspace():
-                h.update(_SPACES.sub(" ", c))
+                text = _SPACES.sub(" ", c)
+                h.update(text)
+                e.size += len(text)
                 full = True
+        if e.tag in NO_TEXT:
+            e.size = e.best = 0
+        elif e.tag in ("article", "main"):
+            e.best = e.size
         e.digest = int.from_bytes(h.digest(), "big", signed=True) if full else 0
         if full and e.tag not in ("html-root", "html", "body", "head"):
             found.add(e.digest)
@@ -167,13 +186,56 @@ def _useless(e: Element) -> bool:
     return False
 
 
+def _main_block(root: Element) -> Element:
+    """The innermost element that holds most of the page's text, or one around it that is no block of its own."""
+    at = root
+    while inner := next((c for c in at.children if isinstance(c, Element) and c.tag in BLOCKS and 2 * c.size > root.size), None):
+        at = inner
+    return at
+
+
+def _hits_size(e: Element, template: frozenset[int] | set[int], every: bool) -> int:
+    """Characters of the outermost template hits in an element; only those that are no containers unless ``every``."""
+    total, todo = 0, [e]
+    while todo:
+        x = todo.pop()
+        if x.digest in template and x.tag not in ("article", "main") and (every or x.tag not in CONTAINERS):
+            total += x.size
+        elif every or x.digest not in template:
+            todo += [c for c in x.children if isinstance(c, Element)]
+    return total
+
+
+def _copied(root: Element, template: frozenset[int] | set[int]) -> tuple[Element | None, bool]:
+    """(block, whether) the page's main block, null for its articles, and whether most of it is template hits.
+
+    A page most of whose main block recurs is a near copy, and what recurs is its content.
+    """
+    if root.best:
+        held, todo = [], [root]
+        while todo:
+            e = todo.pop()
+            if e.tag in ("article", "main"):
+                held.append(e)
+            else:
+                todo += [c for c in e.children if isinstance(c, Element)]
+        return None, 2 * sum(_hits_size(e, template, True) for e in held) > sum(e.size for e in held)
+    block = _main_block(root)
+    return block, 2 * _hits_size(block, template, block.tag not in ROOTS) > block.size
+
+
 def main_text(root: Element, template: frozenset[int] | set[int]) -> str:
-    """Blocks of what is left when template and useless subtrees are deleted."""
+    """Blocks of what is left when template and useless subtrees are deleted; ``digest`` must have seen the page."""
+    text = _text(root, template, *_copied(root, template)) if template else ""
+    return text or _text(root, frozenset(), None, False)
+
+
+def _text(root: Element, template: frozenset[int] | set[int], block: Element | None, copied: bool) -> str:
     blocks: list[list[str]] = [[]]
     main: list[bool] = [False]
-    todo: list = [(root, False)]
+    todo: list = [(root, False, False)]
     while todo:
-        e, inside = todo.pop()
+        e, inside, kept = todo.pop()
         if isinstance(e, str):
             blocks[-1].append(e)
             continue
@@ -181,19 +243,23 @@ def main_text(root: Element, template: frozenset[int] | set[int]) -> str:
             blocks.append([])
             main.append(inside)
             continue
-        if _useless(e) or e.digest in template or e.tag == "header" and not inside:
+        article = e.tag in ("article", "main")
+        kept = kept or copied and (article or e is block)
+        flat = block is not None and block.tag in ROOTS and e.tag in CONTAINERS  # a container beside the copied paragraphs
+        hit = e.digest in template and not article and (not kept or flat)
+        if _useless(e) or hit or e.tag == "header" and not inside:
             if e.tag in BLOCKS:
                 blocks.append([])
                 main.append(inside)
             continue
-        own = inside or e.tag in ("article", "main")
+        own = inside or article
         if e.tag == "br" or e.tag == "wbr":
             blocks[-1].append(" " if e.tag == "br" else "")
         if e.tag in BLOCKS:
             blocks.append([])
             main.append(own)
-            todo.append((None, inside))
-        todo += [(c if isinstance(c, str) else (c, own)) if False else (c, own) for c in reversed(e.children)]
+            todo.append((None, inside, kept))
+        todo += [(c, own, kept) for c in reversed(e.children)]
     texts = [_SPACES.sub(" ", references.unescape("".join(b))).strip() for b in blocks]
     chosen = [t for t, m in zip(texts, main, strict=True) if t and m] if any(main) else [t for t in texts if t]
     return "\n".join(chosen)
@@ -207,7 +273,7 @@ def _pages(pages: DataFrame) -> DataFrame:
 
 
 def template_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """(host, template): hashes of the subtrees on more than ``share`` of a host's pages.
+    """(host, template): hashes of the subtrees on more than ``share`` of a host's distinct contents.
 
     A host's list is short whatever its size: the subtrees on over half of its pages are at most
     twice as many as a page has on average.
@@ -215,14 +281,35 @@ def template_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, "html"):
-            host, found = [], []
+            found: dict[tuple[str, int], bytes] = {}
             for name, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-                own = digest(parse(page or ""))
-                host += [name] * (len(own) + 1)
-                found += [*own, None]  # the row without a subtree counts the page
-            yield pa.RecordBatch.from_arrays([pa.array(host, pa.string()), pa.array(found, pa.int64())], ["host", "subtree"])
+                root = parse(page or "")
+                own = np.sort(np.array(digest(root), np.int64)).tobytes()
+                content = xxhash.xxh3_64(main_text(root, frozenset())).intdigest() - (1 << 63)
+                found[name, content] = min(own, found.get((name, content), own))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int64()),
+                    pa.array(found.values(), pa.binary()),
+                ],
+                ["host", "content", "subtrees"],
+            )
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # counts of the batch; the row without a subtree counts the contents
+            counts: dict[str, Counter] = defaultdict(Counter)
+            for name, own in zip(batch.column("host").to_pylist(), batch.column("subtrees").to_pylist(), strict=True):
+                counts[name].update([None, *np.frombuffer(own, np.int64).tolist()])
+            rows = [(name, subtree, n) for name, held in counts.items() for subtree, n in held.items()]
+            host, subtree, n = zip(*rows, strict=True) if rows else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(host, pa.string()), pa.array(subtree, pa.int64()), pa.array(n, pa.int64())], ["host", "subtree", "n"]
+            )
 
-    counts = _pages(pages).select("host", "html").mapInArrow(run, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("n"))
+    # one page stands for all of its host with the same content
+    contents = _pages(pages).select("host", "html").mapInArrow(run, "host string, content long, subtrees binary")
+    contents = contents.groupBy("host", "content").agg(F.min("subtrees").alias("subtrees")).select("host", "subtrees")
+    counts = contents.mapInArrow(spread, "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("n"))
     total = F.max(F.when(F.col("subtree").isNull(), F.col("n")))
     several = counts.where((F.col("n") > least) | F.col("subtree").isNull())
     sizes = several.groupBy("host").agg(total.alias("pages"))

@@ -71,3 +71,28 @@ def test_a_hosts_template_list_is_what_most_pages_share(spark):
     rows, _ = site(random.Random(2), "a.example", 12, 0)
     got = H.template_subtrees(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [r.host for r in got] == ["a.example"] and len(got[0].template) == 3  # the notice, its span and its link
+
+
+def test_copies_and_near_copies_on_a_host_are_no_template(spark):
+    rng = random.Random(3)
+    body = [" ".join(rng.choices([f"w{i}" for i in range(300)], k=20)) for _ in range(6)]
+    menu = "<div><a href='/'>home</a> <a href='/x'>all the pages</a></div>"
+    forms = {
+        "article.example": "{menu}<article>{p}</article>{menu}",
+        "div.example": "{menu}<div class='post'>{p}</div>{menu}",
+        "flat.example": "{menu}{p}{menu}",
+    }
+    rows, want = [], {}
+    for host, form in forms.items():
+        for i in range(40):  # 10 exact copies, 20 near copies, 10 pages of their own
+            own = list(body) if i < 30 else [" ".join(rng.choices([f"{host}{k}" for k in range(300)], k=20)) for _ in range(5)]
+            if 10 <= i < 30:
+                own[i % 6] += f" changed {i}"
+            page = form.format(menu=menu, p="".join(f"<p>{x}</p>" for x in own))
+            rows.append((len(rows), f"https://{host}/{i}", f"<html><body>{page}</body></html>"))
+            want[len(rows) - 1] = "\n".join(own)
+    for i in range(4):  # nothing but equal pages
+        rows.append((len(rows), f"https://same.example/{i}", "<body><p>the only page</p><p>of its host</p></body>"))
+        want[len(rows) - 1] = "the only page\nof its host"
+    got = H.extract(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert {r.page_id: r.text for r in got} == want
