@@ -7,8 +7,10 @@ host's pages, and on more than ``LEAST``, are the site's template and are delete
 ``main`` element is never deleted so, and template hits that would take over half of the page's main block
 (near copies of one page), or all of its text, are not followed. Elements that say
 themselves that they are no article (navigation, footers, forms, scripts and the like, by tag, role or class)
-are deleted on any page, since a host with few pages has no counts to go by. If what is left holds an
-``article`` or ``main`` element, text outside of such elements goes too.
+are deleted on any page, since a host with few pages has no counts to go by. Classes and ids count as whole words,
+a heading's id not at all, and they never take the page's largest article or, on a page without one, most of its text (reader
+comments: all of its text). If what is left holds an ``article`` or ``main`` element with text that is no reader's comment,
+text outside of such elements goes too.
 
 What remains is cut into blocks at block elements. Character references are decoded, white
 space inside a block becomes one space, and blocks are joined by a line feed in page order.
@@ -50,12 +52,16 @@ NO_TEXT = frozenset(
     "iframe object embed svg math canvas audio video dialog menu".split()
 )
 NO_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-NO_CLASS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|sidebar|side-bar|menu|nav|navbar|navigation|"
-    r"breadcrumb|breadcrumbs|footer|masthead|cookie|cookies|consent|notice|gdpr|popup|modal|newsletter|subscribe|share|social|related|"
-    r"comment|comments|commentlist|respond|disqus|widget|pagination|pager|login|signup|skip-link)(?:$|[\s_-])",
-    re.I,
+#: Whole class words and ids; parts of compound names say nothing about what an element holds.
+COMMENT_NAMES = frozenset("comment comments commentlist comment-list comments-area comment-respond respond disqus disqus_thread".split())
+NO_NAMES = COMMENT_NAMES | frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo banner sidebar side-bar menu nav navbar navigation "
+    "breadcrumb breadcrumbs footer masthead cookie cookies consent notice gdpr popup modal newsletter subscribe share social related "
+    "widget pagination pager login signup skip-link site-footer site-header page-footer main-nav site-nav top-nav nav-menu main-menu "
+    "cookie-banner cookie-notice cookie-consent share-buttons social-share social-links related-posts related-articles "
+    "widget-area sidebar-left sidebar-right left-sidebar right-sidebar ad-container ad-banner newsletter-signup".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements above any block of a page, and elements that group blocks.
 ROOTS = frozenset("html-root html body".split())
 CONTAINERS = frozenset("address aside center details div dl footer header hgroup nav ol section table tbody td tr ul".split())
@@ -163,7 +169,7 @@ def digest(root: Element) -> list[int]:
                 full = True
         if e.tag in NO_TEXT:
             e.size = e.best = 0
-        elif e.tag in ("article", "main"):
+        elif e.size and _is_article(e):
             e.best = e.size
         e.digest = int.from_bytes(h.digest(), "big", signed=True) if full else 0
         if full and e.tag not in ("html-root", "html", "body", "head"):
@@ -171,19 +177,40 @@ def digest(root: Element) -> list[int]:
     return list(found)
 
 
-def _useless(e: Element) -> bool:
+def _names(e: Element) -> set[str]:
+    """Whole class words and the id of an element, lower-cased; a heading's id is an anchor, not a name."""
+    if not e.attributes:
+        return set()
+    found: set[str] = set()
+    for name, *values in _ATTRIBUTE.findall(e.attributes):
+        name = name.lower()
+        if name == "class" or name == "id" and e.tag not in HEADINGS:
+            found.update(next((v for v in values if v), "").lower().split())
+    return found
+
+
+def _is_article(e: Element) -> bool:
+    return e.tag in ("article", "main") and not COMMENT_NAMES & _names(e)
+
+
+def _useless(e: Element, whole: Element, best: int) -> bool:
+    """Whether an element says itself that it is no article; whole is the article around it or the page, best the page's."""
     if e.tag in NO_TEXT:
         return True
-    if not e.attributes or e.tag in ("article", "main", "html", "body"):
+    if not e.attributes or e.tag in ROOTS or e.tag in ("article", "main") and _is_article(e):
         return False
     for name, *values in _ATTRIBUTE.findall(e.attributes):
         value = next((v for v in values if v), "")
         name = name.lower()
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.lower() in NO_ROLE or name in ("class", "id") and NO_CLASS.search(value):
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in NO_ROLE:
             return True
-    return False
+    named = NO_NAMES & _names(e)
+    if not named:
+        return False
+    # a name does not outweigh the page's largest article, or most of the text around; comments may be most of a page
+    if e.best and e.best == best:
+        return False
+    return e.size < whole.size if named & COMMENT_NAMES else 2 * e.size <= whole.size
 
 
 def _main_block(root: Element) -> Element:
@@ -199,7 +226,7 @@ def _hits_size(e: Element, template: frozenset[int] | set[int], every: bool) ->
     total, todo = 0, [e]
     while todo:
         x = todo.pop()
-        if x.digest in template and x.tag not in ("article", "main") and (every or x.tag not in CONTAINERS):
+        if x.digest in template and not _is_article(x) and (every or x.tag not in CONTAINERS):
             total += x.size
         elif every or x.digest not in template:
             todo += [c for c in x.children if isinstance(c, Element)]
@@ -215,7 +242,7 @@ def _copied(root: Element, template: frozenset[int] | set[int]) -> tuple[Element
         held, todo = [], [root]
         while todo:
             e = todo.pop()
-            if e.tag in ("article", "main"):
+            if _is_article(e):
                 held.append(e)
             else:
                 todo += [c for c in e.children if isinstance(c, Element)]
@@ -233,7 +260,7 @@ def main_text(root: Element, template: frozenset[int] | set[int]) -> str:
 def _text(root: Element, template: frozenset[int] | set[int], block: Element | None, copied: bool) -> str:
     blocks: list[list[str]] = [[]]
     main: list[bool] = [False]
-    todo: list = [(root, False, False)]
+    todo: list = [(root, None, False)]
     while todo:
         e, inside, kept = todo.pop()
         if isinstance(e, str):
@@ -241,27 +268,27 @@ def _text(root: Element, template: frozenset[int] | set[int], block: Element | N
             continue
         if e is None:
             blocks.append([])
-            main.append(inside)
+            main.append(inside is not None)
             continue
-        article = e.tag in ("article", "main")
+        article = _is_article(e)
         kept = kept or copied and (article or e is block)
         flat = block is not None and block.tag in ROOTS and e.tag in CONTAINERS  # a container beside the copied paragraphs
         hit = e.digest in template and not article and (not kept or flat)
-        if _useless(e) or hit or e.tag == "header" and not inside:
+        if _useless(e, inside or root, root.best) or hit or e.tag == "header" and not inside:
             if e.tag in BLOCKS:
                 blocks.append([])
-                main.append(inside)
+                main.append(inside is not None)
             continue
-        own = inside or article
+        own = e if article else inside
         if e.tag == "br" or e.tag == "wbr":
             blocks[-1].append(" " if e.tag == "br" else "")
         if e.tag in BLOCKS:
             blocks.append([])
-            main.append(own)
+            main.append(own is not None)
             todo.append((None, inside, kept))
         todo += [(c, own, kept) for c in reversed(e.children)]
     texts = [_SPACES.sub(" ", references.unescape("".join(b))).strip() for b in blocks]
-    chosen = [t for t, m in zip(texts, main, strict=True) if t and m] if any(main) else [t for t in texts if t]
+    chosen = [t for t, m in zip(texts, main, strict=True) if t and m] or [t for t in texts if t]
     return "\n".join(chosen)
 
 

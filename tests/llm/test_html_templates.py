@@ -96,3 +96,26 @@ def test_copies_and_near_copies_on_a_host_are_no_template(spark):
         want[len(rows) - 1] = "the only page\nof its host"
     got = H.extract(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
     assert {r.page_id: r.text for r in got} == want
+
+
+def test_names_that_only_contain_a_useless_word_keep_their_text():
+    for name in ("class='content has-sidebar'", "class='no-sidebar'", "class='post category-social'",
+                 "class='elementor-widget elementor-widget-text'", "id='related-work'", "id='share-price'"):
+        assert text_of(f"<body><p>one</p><div {name}><p>two</p></div><p>three four five six</p></body>") == "one\ntwo\nthree four five six"
+    assert text_of("<body><h2 id='related'>Related work</h2><p>text</p></body>") == "Related work\ntext"
+
+
+def test_names_never_take_an_article_or_most_of_the_text():
+    assert text_of("<body><p>a</p><div class='content sidebar'><p>the article's own text</p></div></body>") == "a\nthe article's own text"
+    assert text_of("<body><p>a longer text than that</p><div class='sidebar'><article>short</article></div></body>") == "short"
+    page = "<body><div>a menu of many words that is longer</div><article><p>a</p><div class='widget'>all its text</div></article></body>"
+    assert text_of(page) == "a\nall its text"
+    assert text_of("<body><div class='post'>the post's text</div><div class='sidebar'>side</div></body>") == "the post's text"
+
+
+def test_main_elements_without_text_and_comments():
+    assert text_of("<body><main><script>x</script></main><div>all the text</div></body>") == "all the text"
+    assert text_of("<body><main id='app'></main><p>text</p></body>") == "text"
+    page = "<body><div class='post'><p>the post</p></div><article class='comment odd'><p>first!</p></article><article id='comments'>c</article></body>"
+    assert text_of(page) == "the post"
+    assert text_of("<body><main><p>post</p><article class='comment'>a much longer comment than the post</article></main></body>") == "post"
