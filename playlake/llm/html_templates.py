@@ -5,7 +5,9 @@ Spark counts on how many pages of a host each hash occurs; pages of one content
 useless elements) count as one page, so that copies are no template. Subtrees on more than ``SHARE`` of a
 host's pages, and on more than ``LEAST``, are the site's template and are deleted. An ``article`` or
 ``main`` element is never deleted so, and template hits that would take over half of the page's main block
-(near copies of one page), or all of its text, are not followed. Elements that say
+(near copies of one page), or all of its text, are not followed. On pages without such an element, subtrees outside of
+the block that holds most text go by the lower ``OUTER_SHARE`` and ``OUTER_LEAST``: a menu of one section of a large
+host is template, a passage that some articles share is not. Elements that say
 themselves that they are no article (navigation, footers, forms, scripts and the like, by tag, role or class)
 are deleted on any page, since a host with few pages has no counts to go by. Classes and ids count as whole words,
 a heading's id not at all, and they never take the page's largest article or, on a page without one, most of its text (reader
@@ -37,8 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playlake.llm import words as W
+from playlake.llm.common import IdFilter, store
 
 SHARE, LEAST = 0.5, 3
+#: The same outside of the block that holds most of a page's text.
+OUTER_SHARE, OUTER_LEAST = 0.05, 10
 # Names of HTML elements, roles and usual class words.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math".split())
@@ -213,14 +218,48 @@ def _useless(e: Element, whole: Element, best: int) -> bool:
     return e.size < whole.size if named & COMMENT_NAMES else 2 * e.size <= whole.size
 
 
+def _inner(e: Element, root: Element) -> Element | None:
+    """The container in an element that holds most of the page's text, unless paragraphs stand beside it."""
+    largest = None
+    for c in e.children:
+        if isinstance(c, str):
+            if not c.isspace():
+                return None
+        elif c.tag in CONTAINERS or c.tag in ROOTS:
+            if 2 * c.size > root.size:
+                largest = c
+        elif c.size and c.tag not in HEADINGS:
+            return None
+    return largest
+
+
 def _main_block(root: Element) -> Element:
-    """The innermost element that holds most of the page's text, or one around it that is no block of its own."""
+    """The innermost element that holds most of the page's text; of the ROOTS if no block does."""
     at = root
-    while inner := next((c for c in at.children if isinstance(c, Element) and c.tag in BLOCKS and 2 * c.size > root.size), None):
+    while inner := _inner(at, root):
         at = inner
     return at
 
 
+def _outer(root: Element) -> list[Element]:
+    """Elements outside of the main block of a page without article: all of them, or its outermost containers if no block holds most text."""
+    if root.best:
+        return []
+    found, at = [], root
+    block = _main_block(root)
+    while at is not block:  # down to the block: what stands beside the path
+        path = _inner(at, root)
+        todo = [c for c in at.children if isinstance(c, Element) and c is not path]
+        while todo and path.tag not in ROOTS:
+            e = todo.pop()
+            found.append(e)
+            todo += [c for c in e.children if isinstance(c, Element)]
+        at = path
+    if block.tag in ROOTS:
+        found += [c for c in block.children if isinstance(c, Element) and c.tag in CONTAINERS]
+    return [e for e in found if e.size and e.tag not in ROOTS and e.tag not in NO_TEXT]
+
+
 def _hits_size(e: Element, template: frozenset[int] | set[int], every: bool) -> int:
     """Characters of the outermost template hits in an element; only those that are no containers unless ``every``."""
     total, todo = 0, [e]
@@ -251,13 +290,17 @@ def _copied(root: Element, template: frozenset[int] | set[int]) -> tuple[Element
     return block, 2 * _hits_size(block, template, block.tag not in ROOTS) > block.size
 
 
-def main_text(root: Element, template: frozenset[int] | set[int]) -> str:
-    """Blocks of what is left when template and useless subtrees are deleted; ``digest`` must have seen the page."""
-    text = _text(root, template, *_copied(root, template)) if template else ""
-    return text or _text(root, frozenset(), None, False)
+def main_text(root: Element, template: frozenset[int] | set[int], outer: frozenset[int] | set[int] = frozenset()) -> str:
+    """Blocks of what is left when template and useless subtrees are deleted; ``digest`` must have seen the page.
+
+    outer has subtrees that are template only outside of the main block.
+    """
+    beside = {id(e) for e in _outer(root) if e.digest in outer} if outer else set()
+    text = _text(root, template, beside, *_copied(root, template)) if template or beside else ""
+    return text or _text(root, frozenset(), set(), None, False)
 
 
-def _text(root: Element, template: frozenset[int] | set[int], block: Element | None, copied: bool) -> str:
+def _text(root: Element, template: frozenset[int] | set[int], beside: set[int], block: Element | None, copied: bool) -> str:
     blocks: list[list[str]] = [[]]
     main: list[bool] = [False]
     todo: list = [(root, None, False)]
@@ -273,7 +316,7 @@ def _text(root: Element, template: frozenset[int] | set[int], block: Element | N
         article = _is_article(e)
         kept = kept or copied and (article or e is block)
         flat = block is not None and block.tag in ROOTS and e.tag in CONTAINERS  # a container beside the copied paragraphs
-        hit = e.digest in template and not article and (not kept or flat)
+        hit = e.digest in template and not article and (not kept or flat) or id(e) in beside
         if _useless(e, inside or root, root.best) or hit or e.tag == "header" and not inside:
             if e.tag in BLOCKS:
                 blocks.append([])
@@ -299,12 +342,8 @@ def _pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def template_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """(host, template): hashes of the subtrees on more than ``share`` of a host's distinct contents.
-
-    A host's list is short whatever its size: the subtrees on over half of its pages are at most
-    twice as many as a page has on average.
-    """
+def recurring_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
+    """(host, subtree, everywhere) of the subtrees that recur on a host's distinct contents; if not everywhere, by the outer bar only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, "html"):
@@ -338,10 +377,50 @@ def template_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAST
     contents = contents.groupBy("host", "content").agg(F.min("subtrees").alias("subtrees")).select("host", "subtrees")
     counts = contents.mapInArrow(spread, "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("n"))
     total = F.max(F.when(F.col("subtree").isNull(), F.col("n")))
-    several = counts.where((F.col("n") > least) | F.col("subtree").isNull())
+    several = counts.where((F.col("n") > min(least, OUTER_LEAST)) | F.col("subtree").isNull())
     sizes = several.groupBy("host").agg(total.alias("pages"))
-    often = several.where("subtree is not null").join(sizes, "host").where(F.col("n") > share * F.col("pages"))
-    return often.groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template"))
+    everywhere = (F.col("n") > least) & (F.col("n") > share * F.col("pages"))
+    outer = (F.col("n") > OUTER_LEAST) & (F.col("n") > OUTER_SHARE * F.col("pages"))
+    often = several.where("subtree is not null").join(sizes, "host").where(everywhere | outer)
+    return often.select("host", "subtree", everywhere.alias("everywhere"))
+
+
+def _lists(recurring: DataFrame) -> DataFrame:
+    """(host, template) of the subtrees that are template everywhere.
+
+    A host's list is short whatever its size: the subtrees on over half of its pages are at most
+    twice as many as a page has on average.
+    """
+    return recurring.where("everywhere").groupBy("host").agg(F.sort_array(F.collect_list("subtree")).alias("template"))
+
+
+def template_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
+    """(host, template): hashes of the subtrees on more than ``share`` of a host's distinct contents."""
+    return _lists(recurring_subtrees(pages, share, least))
+
+
+def _outer_hits(rows: DataFrame, recurring: DataFrame) -> DataFrame:
+    """(row, beside) of the pages that hold recurring subtrees outside of their main block.
+
+    The list of such subtrees may be long, so it is not held by host: its rows are joined to those of the pages.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in W.slices(batches, "html"):
+            row, host, found = [], [], []
+            for key, name, page in zip(*(part.column(c).to_pylist() for c in ("row", "host", "html")), strict=True):
+                root = parse(page or "")
+                digest(root)
+                own = {e.digest for e in _outer(root)}
+                row += [key] * len(own)
+                host += [name] * len(own)
+                found += own
+            columns = [pa.array(row, pa.int64()), pa.array(host, pa.string()), pa.array(found, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "host", "subtree"])
+
+    own = rows.select("row", "host", "html").mapInArrow(run, "row long, host string, subtree long")
+    hits = own.join(recurring.select("host", "subtree"), ["host", "subtree"])
+    return hits.groupBy("row").agg(F.collect_set("subtree").alias("beside"))
 
 
 def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
@@ -350,12 +429,12 @@ def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, "html"):
             text, held = [], []
-            for page, template in zip(part.column("html").to_pylist(), part.column("template").to_pylist(), strict=True):
+            for page, template, beside in zip(*(part.column(c).to_pylist() for c in ("html", "template", "beside")), strict=True):
                 root = parse(page or "")
                 own = set(digest(root))
-                known = own.intersection(template or ())
-                text.append(main_text(root, known))
-                held.append(len(known))
+                known, outer = own.intersection(template or ()), own.intersection(beside or ())
+                text.append(main_text(root, known, outer))
+                held.append(len(known | outer))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("page_id"), part.column("url"), pa.array(text, pa.string()),
@@ -364,7 +443,25 @@ def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataF
                 ["page_id", "url", "text", "n_chars", "n_template"],
             )
 
-    templates = template_subtrees(pages, share, least).withColumnRenamed("host", "site")
-    rows = _pages(pages)
-    joined = rows.join(templates, F.col("host") == F.col("site"), "left").select("page_id", "url", "html", "template")
+    spark = pages.sparkSession
+    rows = _pages(pages).withColumn("row", F.xxhash64("page_id", "url", "html"))  # equal rows hold the same hits
+    recurring = store(spark, recurring_subtrees(pages, share, least), "templates")
+    hits = store(spark, _outer_hits(rows, recurring), "beside")
+    held = IdFilter(spark, hits, "row")
+    keyed = rows.withColumn("key", IdFilter.key("row"))
+
+    def sieve(wanted: bool) -> DataFrame:
+        def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(held.may_hold(batch.column("key").to_numpy(zero_copy_only=False)) == wanted))
+
+        return keyed.mapInArrow(some, keyed.schema)
+
+    # only pages that may have hits outside of their main block are shuffled to them
+    names = ["page_id", "url", "html", "host", "beside"]
+    beside = sieve(True).join(hits, "row", "left").select(names)
+    alone = sieve(False).withColumn("beside", F.lit(None).cast("array<bigint>")).select(names)
+    templates = _lists(recurring).withColumnRenamed("host", "site")
+    joined = beside.unionByName(alone).join(templates, F.col("host") == F.col("site"), "left")
+    joined = joined.select("page_id", "url", "html", "template", "beside")
     return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long, n_template long")

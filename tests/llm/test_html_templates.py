@@ -119,3 +119,31 @@ def test_main_elements_without_text_and_comments():
     page = "<body><div class='post'><p>the post</p></div><article class='comment odd'><p>first!</p></article><article id='comments'>c</article></body>"
     assert text_of(page) == "the post"
     assert text_of("<body><main><p>post</p><article class='comment'>a much longer comment than the post</article></main></body>") == "post"
+
+
+def test_a_menu_of_one_section_goes_and_a_passage_of_some_articles_stays(spark):
+    rng = random.Random(4)
+    vocabulary = [f"w{i}" for i in range(300)]
+    menus = [f"<div><span>section {k}</span> <a href='/{k}'>go there</a></div>" for k in range(4)]
+    rows, want = [], {}
+    for form in ("{menu}<div>{p}</div>", "<div>{menu}<div>{p}</div></div>", "{menu}{p}"):
+        for i in range(80):  # each menu on a quarter of the host, one passage in a third of its articles
+            lines = [" ".join(rng.choices(vocabulary, k=12)) for _ in range(5)]
+            if i % 3 == 0:
+                lines[2] = "a passage that several articles of this host share"
+            page = form.format(menu=menus[i % 4], p="".join(f"<p>{x}</p>" for x in lines))
+            rows.append((len(rows), f"https://{form.count('div')}.example/{i}", f"<html><body>{page}</body></html>"))
+            want[len(rows) - 1] = "\n".join(lines)
+    rows += [(1000 + i, "https://few.example/", f"<body>{menus[0]}<div><p>{' '.join(rng.choices(vocabulary, k=12))}</p></div></body>") for i in range(3)]
+    got = H.extract(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    found = {r.page_id: r.text for r in got}
+    assert len(got) == len(rows) and {d: found[d] for d in want} == want
+    assert all(found[1000 + i].startswith("section 0 go there\n") for i in range(3))
+
+
+def test_the_main_block_is_not_one_of_its_paragraphs():
+    page = "<body><div>menu</div><div><h2>a</h2><p>b</p><div><p>%s</p></div><p>c</p></div></body>" % ("long " * 50)
+    root = H.parse(page)
+    H.digest(root)
+    assert [c.tag for c in H._main_block(root).children] == ["h2", "p", "div", "p"]
+    assert [e.tag for e in H._outer(root)] == ["div"]
