@@ -3,7 +3,7 @@
 A text is the average of the embeddings of its subwords: byte grams of ``GRAMS`` lengths over its
 lower-cased letters, words set apart by one space, hashed into ``BUCKETS`` rows. A linear softmax
 over that average gives the languages. Both are trained by stochastic gradient descent in numpy on at
-most ``MAX_ROWS`` labelled documents (those of the smallest hash of their doc_id), whose subword counts are taken
+most ``MAX_ROWS`` labelled rows (those of the smallest hash of their doc_id; equal rows count once), whose subword counts are taken
 from whole texts in Spark tasks. The average is linear, so a task needs only each bucket's class scores
 (embedding times output weights), a table of fixed size.
 
@@ -112,35 +112,43 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def training_counts(docs: DataFrame, learn: F.Column) -> DataFrame:
-    """(doc_id, lang, buckets, counts) of the training rows' subwords."""
+    """(doc_id, sig, lang, buckets, counts) of the training rows' subwords: at most MAX_ROWS rows, equal rows once."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
-    )
-    chosen = rows.select("doc_id", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id").limit(MAX_ROWS)
+    ).withColumn("sig", F.xxhash64("text", "lang"))
+    chosen = rows.select("doc_id", "sig", F.xxhash64("doc_id").alias("h")).distinct().orderBy("h", "doc_id", "sig").limit(MAX_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # at most MAX_ROWS
         for part in W.slices(batches):
+            new = []
+            for row in zip(part.column("doc_id").to_pylist(), part.column("sig").to_pylist(), strict=True):
+                new.append(row not in seen)
+                seen.add(row)
+            if not any(new):
+                continue
+            part = part.filter(pa.array(new, pa.bool_()))
             of, bucket = subwords(part.column("text"))
             key, count = np.unique(of * BUCKETS + bucket, return_counts=True)
             bound = np.searchsorted(key, np.arange(part.num_rows + 1) * BUCKETS)
             both = list(zip(bound[:-1], bound[1:], strict=True))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"), part.column("lang"),
+                    part.column("doc_id"), part.column("sig"), part.column("lang"),
                     pa.array([(key[a:b] % BUCKETS).astype(np.int32) for a, b in both], pa.list_(pa.int32())),
                     pa.array([count[a:b].astype(np.int32) for a, b in both], pa.list_(pa.int32())),
                 ],
-                ["doc_id", "lang", "buckets", "counts"],
+                ["doc_id", "sig", "lang", "buckets", "counts"],
             )
 
-    return rows.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").mapInArrow(
-        run, "doc_id long, lang string, buckets array<int>, counts array<int>"
-    )
+    own = rows.join(F.broadcast(chosen.select("doc_id", "sig")), ["doc_id", "sig"], "left_semi").select("doc_id", "sig", "lang", "text")
+    found = own.mapInArrow(run, "doc_id long, sig long, lang string, buckets array<int>, counts array<int>")
+    return found.dropDuplicates(["doc_id", "sig"])
 
 
 def train(spark: SparkSession, docs: DataFrame, learn: F.Column, seed: int = 7) -> Model:
     """Fit and calibrate on the rows for which ``learn`` holds."""
-    rows = store(spark, training_counts(docs, learn), "subwords").toPandas().sort_values("doc_id", ignore_index=True)
+    rows = store(spark, training_counts(docs, learn), "subwords").toPandas().sort_values(["doc_id", "sig"], ignore_index=True)
     rows = rows[rows["buckets"].map(len) > 0].reset_index(drop=True)
     names = sorted(rows["lang"].unique())
     if not names:

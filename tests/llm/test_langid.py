@@ -68,3 +68,13 @@ def test_subwords_do_not_cross_texts_or_words():
 
 def test_letters_of_any_script():
     assert L.has_letter(pa.array(["a", "1", "é", "😀", "²", "漢", "", None])).tolist() == [True, False, True, False, False, True, False, False]
+
+
+def test_training_rows_are_bounded_when_one_id_repeats(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_ROWS", 20)
+    data = [(1, f"the thing {'er' * k}", "en", "en") for k in range(60)] + [(1, "the same row", "en", "en")] * 30 + rows(5, 10)
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, truth string").repartition(4)
+    got = L.training_counts(docs, F.lit(True)).collect()
+    assert len(got) == 20 and len({(r.doc_id, r.sig) for r in got}) == 20
+    few = spark.createDataFrame([(1, "the same row", "en", "en")] * 30, docs.schema).repartition(4)
+    assert L.training_counts(few, F.lit(True)).count() == 1
