@@ -10,6 +10,8 @@ one row.
 1. ``edge_runs``: runs of edges by minimizer. Within a slice of documents a run equal to an
    earlier one is settled at once (a map-side combine), so a passage that a third of all
    documents hold reaches its bucket once a slice, not once a document.
+   ``hot_minimizers`` counts the edges that stay; a minimizer with more than ``HOT_EDGES`` has its edges dealt to several
+   buckets by their own hashes.
 2. ``repeated_edges``: buckets are sorted by minimizer and coordinates. The first holder of an
    edge is its source; each later occurrence is reported with the source's coordinates, in
    runs on one diagonal (same source document, constant distance).
@@ -42,6 +44,8 @@ from playlake.llm import words as W
 from playlake.llm.common import IdFilter, store
 
 SIZE, GRAM = 20, 7
+#: Edges of a minimizer from which its bucket is split by the windows' hashes.
+HOT_EDGES = 200_000
 _RULE = W.rule()
 _RUNS = "anchor long, doc_id long, sig int, start int, windows binary"
 _REPEATS = "doc_id long, sig int, start int, len int, src_doc long, src_sig int, src_start int"
@@ -75,8 +79,35 @@ def _minimizers(h: np.ndarray, size: int, gram: int) -> np.ndarray:
     return low
 
 
-def edge_runs(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
-    """Runs of edges with one minimizer; windows holds WIDTH bytes of hash for each edge."""
+def hot_minimizers(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
+    """(anchor, parts) of the minimizers with more than HOT_EDGES edges that are not settled in their slice.
+
+    A slice that holds a minimizer in a single run does not report it, so few rows are shuffled; a bucket may exceed the bound by those.
+    """
+
+    def tally(slices: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices:
+            anchor = batch.column("anchor").to_numpy(zero_copy_only=False)
+            n = pa.compute.binary_length(batch.column("windows")).to_numpy(zero_copy_only=False)
+            anchor, n = anchor[n != _TOLD.itemsize], n[n != _TOLD.itemsize] // WIDTH
+            name, of, runs = np.unique(anchor, return_inverse=True, return_counts=True)
+            edges = np.bincount(of, n, len(name)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(name[runs > 1]), pa.array(edges[runs > 1])], ["anchor", "edges"])
+
+    counts = edge_runs(docs, size, gram, tally=tally)  # in the same Python process, which a second step would double
+    total = counts.groupBy("anchor").agg(F.sum("edges").alias("edges")).where(F.col("edges") > HOT_EDGES)
+    return total.select("anchor", F.ceil(F.col("edges") / HOT_EDGES).alias("parts"))
+
+
+def edge_runs(
+    docs: DataFrame, size: int = SIZE, gram: int = GRAM, hot: tuple[np.ndarray, np.ndarray] | None = None, tally=None
+) -> DataFrame:
+    """Runs of edges with one minimizer; windows holds WIDTH bytes of hash for each edge.
+
+    hot has minimizers in order and the parts of each: their edges are dealt by (minimizer, window hash modulo
+    parts), so equal windows still meet, and ``compact`` joins the shorter runs again. tally, if given, turns the runs
+    of each slice into (anchor, edges).
+    """
     gram = min(gram, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,6 +142,19 @@ def edge_runs(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
             told = np.zeros(len(order), _TOLD)
             told["doc"], told["sig"], told["start"] = doc[source], sig[source], start[source]
             told["len"] = stop - begin
+            if hot is not None and len(hot[0]):
+                names, parts = hot
+                at_hot = np.minimum(np.searchsorted(names, anchor.view(np.int64)), len(names) - 1)
+                split = (names[at_hot] == anchor.view(np.int64)) & ~known
+                of_run = np.cumsum(new) - 1
+                part_of = np.where(split[of_run], W.mix(edge) % parts[at_hot][of_run].astype(np.uint64) + np.uint64(1), np.uint64(0))
+                new[1:] |= part_of[1:] != part_of[:-1]
+                begin = np.flatnonzero(new)
+                stop = np.append(begin[1:], len(at))
+                of_run, part_of = of_run[begin], part_of[begin]
+                doc, sig, told, known = doc[of_run], sig[of_run], told[of_run], known[of_run]
+                start = words.place()[at[begin]].astype(np.int32)
+                anchor = np.where(part_of > 0, W.mix(anchor[of_run] ^ W.mix(part_of)), anchor[of_run])
             told, raw, wide = told.tobytes(), _pack(edge), _TOLD.itemsize
             windows = [
                 told[wide * i: wide * i + wide] if k else raw[WIDTH * a: WIDTH * b]
@@ -129,6 +173,8 @@ def edge_runs(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     rows = docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"), _signature("text").alias("sig")
     )
+    if tally is not None:
+        return rows.mapInArrow(lambda batches: tally(run(batches)), "anchor long, edges long")
     return rows.mapInArrow(run, _RUNS)
 
 
@@ -244,7 +290,9 @@ def compact(repeats: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """All spans of at least one window that start earlier elsewhere, with their sources."""
-    return compact(repeated_edges(edge_runs(docs, size, gram)))
+    found = hot_minimizers(docs, size, gram).toPandas().sort_values("anchor")
+    hot = found["anchor"].to_numpy(np.int64), found["parts"].to_numpy(np.int64)
+    return compact(repeated_edges(edge_runs(docs, size, gram, hot)))
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = SIZE, gram: int = GRAM, digest: bool = False) -> DataFrame:

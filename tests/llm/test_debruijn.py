@@ -88,3 +88,24 @@ def test_very_long_text(spark):
     rows = [(1, text), (2, "short")]
     got = {r.doc_id: r.n_removed for r in D.remove_repeats(spark, spark.createDataFrame(rows, "doc_id long, text string"), digest=True).collect()}
     assert got == {1: 60_000 - 997, 2: 0}
+
+
+def test_edges_of_a_frequent_phrase_are_dealt_to_several_buckets(spark, monkeypatch):
+    monkeypatch.setattr(D, "HOT_EDGES", 50)
+    monkeypatch.setattr("playlake.llm.words.SLICE_ROWS", 40)
+    rng = random.Random(6)
+    phrase = [f"often{k}" for k in range(9)]
+    rows = corpus(6, 20)
+    for d in range(200):  # a phrase between words that differ, and a few passages that hold it
+        around = [[f"w{rng.randrange(5000)}" for _ in range(15)] for _ in range(2)]
+        rows.append((2000 + d, " ".join([*around[0], *phrase, *around[1]])))
+        if d % 20 == 0:
+            rows.append((3000 + d, rows[-1][1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    hot = D.hot_minimizers(docs).toPandas().sort_values("anchor")
+    assert len(hot) and hot["parts"].max() > 3
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in D.remove_repeats(spark, docs, digest=True).collect()}
+    assert got == {d: x[:3] for d, x in brute(rows, 20).items()}
+    plain = D.edge_runs(docs).groupBy("anchor").agg(F.sum(F.length("windows")).alias("n")).agg(F.max("n")).first()[0]
+    split = D.edge_runs(docs, hot=(hot["anchor"].to_numpy(), hot["parts"].to_numpy()))
+    assert 3 * split.groupBy("anchor").agg(F.sum(F.length("windows")).alias("n")).agg(F.max("n")).first()[0] < plain
