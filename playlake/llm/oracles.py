@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playlake.llm import line_frequency, perspectives
+from playlake.llm import divergence, line_frequency, perspectives
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -86,4 +86,5 @@ ORACLE: dict[str, str] = {
     "op7_line_frequency": QUALITY,
     "op8_phrase_index": LEAKS,
     "op10_hyperminhash": NEAR,
+    "op12_source_divergence": divergence.ORACLE,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from playlake.llm import (
     debruijn,
+    divergence,
     html_templates,
     hyperminhash,
     langid,
@@ -64,10 +65,15 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(spark, table(spark, sf_dir, "documents"), size=4, threshold_pct=80)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_templates, op2_toxicity, op3_perspectives, op4_sentencepiece_codec, op5_debruijn_spans, op6_language_id,
         op7_line_frequency, op8_phrase_index, op9_token_counts, op10_hyperminhash,
+        op12_source_divergence,
     )
 }
