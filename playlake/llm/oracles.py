@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playlake.llm import divergence, line_frequency, perspectives
+from playlake.llm import divergence, line_frequency, perspectives, prefix_trie
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"[^\x20\x09-\x0D]+"
@@ -87,4 +87,5 @@ ORACLE: dict[str, str] = {
     "op8_phrase_index": LEAKS,
     "op10_hyperminhash": NEAR,
     "op12_source_divergence": divergence.ORACLE,
+    "op13_prefix_trie": prefix_trie.ORACLE,
 }

@@ -17,6 +17,7 @@ from playlake.llm import (
     perspectives,
     phrase_index,
     piece_counts,
+    prefix_trie,
     sp_codec,
     toxicity,
 )
@@ -69,11 +70,15 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark, table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_templates, op2_toxicity, op3_perspectives, op4_sentencepiece_codec, op5_debruijn_spans, op6_language_id,
         op7_line_frequency, op8_phrase_index, op9_token_counts, op10_hyperminhash,
-        op12_source_divergence,
+        op12_source_divergence, op13_prefix_trie,
     )
 }
