@@ -80,12 +80,15 @@ SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, doc_id = co
 FROM comp LEFT JOIN n USING (doc_id)
 """
 
+LINKED = NEAR.replace("100 * c >= 80 * (", "100 * c >= 85 * (").replace(", doc_id = component_id AS kept", "")
+
 ORACLE: dict[str, str] = {
     "op3_perspectives": perspectives.ORACLE,
     "op5_debruijn_spans": SPANS,
     "op7_line_frequency": QUALITY,
     "op8_phrase_index": LEAKS,
     "op10_hyperminhash": NEAR,
+    "op11_adaptive_prefixes": LINKED,
     "op12_source_divergence": divergence.ORACLE,
     "op13_prefix_trie": prefix_trie.ORACLE,
 }

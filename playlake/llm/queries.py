@@ -18,6 +18,7 @@ from playlake.llm import (
     phrase_index,
     piece_counts,
     prefix_trie,
+    shingle_join,
     sp_codec,
     toxicity,
 )
@@ -66,6 +67,10 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(spark, table(spark, sf_dir, "documents"), size=4, threshold_pct=80)
 
 
+def op11_adaptive_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.similar_sets(spark, table(spark, sf_dir, "documents"), size=4, pct=85)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(spark, table(spark, sf_dir, "documents"))
 
@@ -79,6 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_html_templates, op2_toxicity, op3_perspectives, op4_sentencepiece_codec, op5_debruijn_spans, op6_language_id,
         op7_line_frequency, op8_phrase_index, op9_token_counts, op10_hyperminhash,
-        op12_source_divergence, op13_prefix_trie,
+        op11_adaptive_prefixes, op12_source_divergence, op13_prefix_trie,
     )
 }
