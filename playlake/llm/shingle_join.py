@@ -14,11 +14,11 @@ candidates must be verified: each set takes the l of the least estimated cost.
    more than d unique shingles has no partner. For the others l is chosen, and the prefix and all shared shingles
    are kept: shared shingles alone decide every intersection, so they confirm links exactly.
 4. ``buckets``: shingles with the same holders become one bucket.
-5. Links are searched in three passes, each confirmed on full intersections, so that a large group does not
-   become all its pairs: (a) each set with the three smallest holders it shares most prefix shingles with;
-   (b) pairs across components in buckets of up to ``SMALL`` sets, and in larger ones, in blocks of
-   ``BLOCK`` sets a side, the best pair of any two components; (c) all other pairs across components in the larger ones.
-   Pairs that share fewer prefix shingles than their two prefixes ask for are not verified.
+5. Links are searched in two passes, so that a large group does not become all its pairs: each set with the
+   three smallest holders it shares most prefix shingles with; then all pairs across the components found so far, by a
+   join in buckets of up to ``SMALL`` sets, in larger ones in blocks of ``BLOCK`` sets a side, which return a spanning
+   forest of the links they confirm. Pairs that share fewer prefix shingles than their two prefixes ask for are
+   not verified; the others are, on full intersections.
 
 Every pair that could join two components is looked at, so components are those of all links.
 
@@ -53,6 +53,8 @@ BUCKET, LEAST_BITS = 1 << 22, 10
 FREQUENT, LEAST_FREQUENT = 500_000, 1000
 #: Sets of a bucket up to which its pairs are joined, and of a block of a larger one.
 SMALL, BLOCK = 32, 250
+#: Shingles of the sets of a block, about.
+BLOCK_SHINGLES = 1 << 19
 _REST = 6  # bytes of a shingle that travel beside its bucket
 _MOVED = "key long, slice binary, kind int, a binary, b binary, c binary"
 
@@ -273,20 +275,20 @@ def _choose(n: int, unique: int, held: np.ndarray, pct: int) -> tuple[int, int]
 
 
 def buckets(sets: DataFrame) -> DataFrame:
-    """(bucket, w, c, hub, sid, n, p): w shingles have these c holders, of which hub is the smallest."""
+    """(bucket, w, c, m, hub, sid, n, p): w shingles have these c holders, with m shingles together; hub is the smallest."""
     rows = sets.select("sid", "n", "p", F.explode("prefix").alias("token"))
     holders = rows.groupBy("token").agg(
-        F.count("*").alias("c"), F.min("sid").alias("hub"),
+        F.count("*").alias("c"), F.sum("n").alias("m"), F.min("sid").alias("hub"),
         F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "sid")).alias("y"),
     ).where("c > 1")
-    alike = holders.groupBy("c", "hub", "x", "y").agg(F.min("token").alias("token"), F.count("*").alias("w"))
-    return rows.join(alike.select("token", "w", "c", "hub"), "token").withColumnRenamed("token", "bucket")
+    alike = holders.groupBy("c", "m", "hub", "x", "y").agg(F.min("token").alias("token"), F.count("*").alias("w"))
+    return rows.join(alike.select("token", "w", "c", "m", "hub"), "token").withColumnRenamed("token", "bucket")
 
 
 def _hub_pairs(held: DataFrame) -> DataFrame:
     """Each set with the three smallest holders of its buckets that it shares most prefix shingles with."""
-    counts = held.where("sid <> hub").groupBy("sid", "hub").agg(F.sum("w").alias("m"))
-    best = F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("m"), "hub"))
+    counts = held.where("sid <> hub").groupBy("sid", "hub").agg(F.sum("w").alias("shared"))
+    best = F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("shared"), "hub"))
     return counts.withColumn("k", best).where("k <= 3").select(F.col("hub").alias("a"), F.col("sid").alias("b"))
 
 
@@ -304,50 +306,77 @@ def _small_pairs(open_: DataFrame, pct: int) -> DataFrame:
     return one.join(two, "bucket").where((F.col("a") < F.col("b")) & (F.col("l_a") != F.col("l_b")) & near).select("a", "b").distinct()
 
 
-def _large_pairs(open_: DataFrame, sets: DataFrame, pct: int, best: bool) -> DataFrame:
-    """Pairs across components in larger buckets that share as many prefix shingles as they need.
+def _large_links(open_: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """Confirmed links that join the components of larger buckets, compared in pairs of blocks.
 
-    With ``best`` each two components of two blocks give the pair that shares most.
+    A first look at the prefixes names the sets that have candidates; only those bring their shingles.
     """
+    on = ["bucket", "i", "j"]
     members = (
         open_.where(F.col("c") > SMALL)
-        .withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+        .withColumn("blocks", F.ceil(F.greatest(F.col("c") / BLOCK, F.col("m") / BLOCK_SHINGLES)).cast("int"))
         .withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "label", "n", "p")
-        .join(sets.select("sid", "prefix"), "sid")
+        .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "label")
     )
 
-    def run(x: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_block_pairs(x, pct, best), columns=["a", "b"])
+    def look(x: pd.DataFrame) -> pd.DataFrame:
+        a, b = _candidates(x, pct)
+        return x.loc[x.index[np.unique([*a, *b]).astype(np.int64)], [*on, "own", "sid", "label"]]
 
-    return members.groupBy("bucket", "i", "j").applyInPandas(run, "a binary, b binary").distinct()
+    def confirm(x: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_joining(x, pct), columns=["a", "b"])
 
+    some = members.join(sets.select("sid", "n", "p", "prefix"), "sid").groupBy(*on).applyInPandas(
+        look, "bucket long, i int, j int, own int, sid binary, label binary"
+    )
+    return some.join(sets, "sid").groupBy(*on).applyInPandas(confirm, "a binary, b binary").distinct()
 
-def _block_pairs(x: pd.DataFrame, pct: int, best: bool) -> list[tuple[bytes, bytes]]:
-    sid = [bytes(s) for s in x["sid"]]
-    names, label = np.unique([bytes(v).hex() for v in x["label"]], return_inverse=True)
-    if len(names) < 2:
-        return []
+
+def _candidates(x: pd.DataFrame, pct: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the pairs across components, between the two blocks, that share as many prefix shingles as they need.
+
+    A pair belongs to the bucket of its first common shingle, so it is looked at once.
+    """
+    _, label = np.unique([bytes(v).hex() for v in x["label"]], return_inverse=True)
     n, p, own = (x[c].to_numpy(np.int64) for c in ("n", "p", "own"))
-    i, j = int(x["i"].iloc[0]), int(x["j"].iloc[0])
-    shared = _matches([np.asarray(v, np.int64) for v in x["prefix"]])
-    ok = (label[:, None] != label[None, :]) & (shared >= _need(n[:, None], n[None, :], p[:, None], p[None, :], pct))
+    bucket, i, j = (int(x[c].iloc[0]) for c in ("bucket", "i", "j"))
+    lists = [np.asarray(v, np.int64) for v in x["prefix"]]
+    ok = (label[:, None] != label[None, :]) & (own[:, None] == i) & (own[None, :] == j)
     ok &= 100 * np.minimum(n[:, None], n[None, :]) >= pct * np.maximum(n[:, None], n[None, :])
-    ok &= (own[:, None] == i) & (own[None, :] == j)
-    a, b = np.nonzero(ok)
-    if best and len(a):
-        two = np.minimum(label[a], label[b]) * len(names) + np.maximum(label[a], label[b])
-        order = np.lexsort((-shared[a, b], two))
-        first = order[np.flatnonzero(np.diff(two[order], prepend=-1))]
-        a, b = a[first], b[first]
-    return [(min(sid[k], sid[m]), max(sid[k], sid[m])) for k, m in zip(a, b, strict=True)]
+    if not ok.any():
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    ok &= _matches(lists) >= _need(n[:, None], n[None, :], p[:, None], p[None, :], pct)
+    ok &= _matches([v[v < bucket] for v in lists]) == 0
+    if i == j:
+        ok = np.triu(ok, 1)
+    return np.nonzero(ok)
+
+
+def _joining(x: pd.DataFrame, pct: int) -> list[tuple[bytes, bytes]]:
+    """Links among the candidates of a block, confirmed on whole sets; a spanning forest of them joins what they join."""
+    a, b = _candidates(x, pct)
+    if not len(a):
+        return []
+    n = x["n"].to_numpy(np.int64)
+    both = _matches([np.frombuffer(v, np.int64) for v in x["shingles"]])[a, b]
+    linked = 100 * both >= pct * (n[a] + n[b] - both)
+    sid = [bytes(s) for s in x["sid"]]
+    _, root = np.unique([bytes(v).hex() for v in x["label"]], return_inverse=True)
+    out = []
+    for k, m in zip(a[linked], b[linked], strict=True):
+        if root[k] != root[m]:
+            out.append((min(sid[k], sid[m]), max(sid[k], sid[m])))
+            root[root == root[m]] = root[k]
+    return out
 
 
 def _matches(lists: list[np.ndarray]) -> np.ndarray:
     """How many values each two lists share, by products of parts of their incidence matrix."""
     of = np.repeat(np.arange(len(lists)), [len(v) for v in lists])
-    _, column = np.unique(np.concatenate(lists), return_inverse=True)
+    _, column, held = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    several = held > 1  # the others add nothing
+    of, column = of[several[column]], (np.cumsum(several) - 1)[column[several[column]]]
     order = np.argsort(column, kind="stable")
     of, column = of[order], column[order]
     total = np.zeros((len(lists), len(lists)), np.float32)
@@ -384,17 +413,9 @@ def links(spark: SparkSession, sets: DataFrame, pct: int = PCT) -> DataFrame:
     held = store(spark, buckets(sets), "buckets")
     tried = store(spark, _hub_pairs(held), "pairs")
     found = store(spark, _confirm(sets, tried, pct), "links")
-    for best in (True, False):
-        open_ = store(spark, _open_buckets(held, connected_components(spark, found)), "open")
-        pairs = _large_pairs(open_, sets, pct, best)
-        if best:
-            pairs = pairs.unionByName(_small_pairs(open_, pct)).distinct()
-        pairs = store(spark, pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        found = found.unionByName(store(spark, _confirm(sets, pairs, pct), "links"))
-        tried = tried.unionByName(pairs)
-        if open_.where(F.col("c") > SMALL).isEmpty():
-            break
-    return found
+    open_ = store(spark, _open_buckets(held, connected_components(spark, found)), "open")
+    rest = _small_pairs(open_, pct).join(tried, ["a", "b"], "left_anti")
+    return found.unionByName(_confirm(sets, rest, pct)).unionByName(_large_links(open_, sets, pct))
 
 
 def similar_sets(spark: SparkSession, docs: DataFrame, size: int = SIZE, pct: int = PCT) -> DataFrame:
