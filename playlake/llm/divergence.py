@@ -152,7 +152,7 @@ def profiles(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, DataFrame
     groups = groups.withColumn("gid", F.col("block") * (1 << 32) + F.col("gid"))
     groups = store(spark, groups.withColumn("base", F.coalesce(_share(zero, "total", "terms"), zero)), "groups")
     placed = kept.select("lang", "term").join(langs.select("lang", F.ceil(F.col("terms") / TERMS).alias("buckets")), "lang")
-    placed = placed.select("lang", "term", F.pmod(F.xxhash64("term"), F.col("buckets")).alias("bucket"))
+    placed = placed.select("lang", "term", F.pmod(F.xxhash64("term"), F.col("buckets")).alias("bucket")).repartition("lang", "bucket")
     placed = placed.withColumn("tid", F.row_number().over(Window.partitionBy("lang", "bucket").orderBy("term")).cast("long"))
     shares = (
         cells.join(groups.select("lang", "source", "total", "terms", "lang_total", "blocks", "block", "gid"), ["lang", "source"])
