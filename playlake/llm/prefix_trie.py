@@ -47,7 +47,7 @@ HEADS, FAMILY = 9, 5
 #: Turns of a conversation whose prefix keys one window adds up.
 STEP = 512
 #: Members of a unit in the first round, and by how much units grow with each round.
-SHARD, GROWTH = 2000, 64
+SHARD, GROWTH = 250, 64
 #: Messages that a queue holds in memory, and numbers in a piece of an end list.
 HELD, PIECE = 500_000, 8192
 _KEY = ["depth", "x1", "x2"]
