@@ -38,20 +38,40 @@ def with_json_check(df, column: str, out: str = "is_json", value: str | None = N
     return staged.drop("_jc_seal", "_jc_items")
 
 
-def json_values(df, column: str, out: str):
-    """Rows of df whose text is exactly one JSON value, with the value's text in ``out``.
+#: A JSON string, and a run of digits that the parser's limit on numbers would refuse, with the part of it that is kept.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_LONG_NUMBER = f"({_STRING})|([0-9]{{400}})[0-9]{{500,}}"
+
 
-    The text is read once: the generator that keeps or drops a row stands
-    between the parse and whatever follows, so no later step repeats it. NaN and
-    infinities pass, as do repeated keys (the last one wins when fields are read).
+def json_lines(df, column: str, out: str = "value", reason: str = "reason"):
+    """Every row of df with its text's one JSON value in ``out``, or a ``reason`` why it has none.
+
+    The text is read once: both columns come from one generator, which no filter
+    on them can cross, so accepted and rejected rows are two filters on one
+    parse and never overlap. NaN, Infinity and -Infinity pass, as do repeated keys (the last
+    one wins when fields are read); +INF and its like do not. A number of over
+    900 digits passes, cut to its first 400: as a double or a long the
+    value is the same (infinite, zero or out of range), or differs beyond its precision.
     """
-    options = {"allowSingleQuotes": "false"}
-    sealed = df.withColumn("_jv_seal", F.sha2(F.col(column), 256))
-    wrapped = F.concat(F.lit("["), F.col(column), F.lit(',"'), F.col("_jv_seal"), F.lit('"]'))
-    items = sealed.withColumn("_jv_items", F.from_json(wrapped, "array<string>", options))
-    one = (F.size("_jv_items") == 2) & (F.try_element_at("_jv_items", F.lit(2)) == F.col("_jv_seal"))
-    kept = F.when(one, F.slice("_jv_items", 1, 1)).otherwise(F.array().cast("array<string>"))
-    return items.withColumn(out, F.explode(kept)).drop("_jv_seal", "_jv_items")
+    raw = F.col(column)
+    text = F.when(raw.rlike("[0-9]{900}"), F.regexp_replace(raw, _LONG_NUMBER, "$1$2")).otherwise(raw)
+    sealed = df.withColumn("_jl_text", text).withColumn("_jl_seal", F.sha2(F.col("_jl_text"), 256))
+    wrapped = F.concat(F.lit("["), F.col("_jl_text"), F.lit(',"'), F.col("_jl_seal"), F.lit('"]'))
+    items = sealed.withColumn("_jl_items", F.from_json(wrapped, "array<string>", {"allowSingleQuotes": "false"}))
+    one = (F.size("_jl_items") == 2) & (F.try_element_at("_jl_items", F.lit(2)) == F.col("_jl_seal"))
+    # the parser takes signs and names of infinity that JSON readers refuse; a plus is fine in an exponent
+    odd = F.when(raw.contains("INF") | raw.contains("+"), F.regexp_replace("_jl_text", _STRING, '""').rlike(r"INF|(?<![eE])\+"))
+    fine = items.withColumn("_jl_fine", F.coalesce(one, F.lit(False)) & ~F.coalesce(odd, F.lit(False)))
+    found = F.struct(
+        F.when(F.col("_jl_fine"), F.try_element_at("_jl_items", F.lit(1))).alias(out),
+        F.when(~F.col("_jl_fine"), F.lit("not_one_json_value")).alias(reason),
+    )
+    return fine.select(*df.columns, F.inline(F.array(found)))
+
+
+def json_values(df, column: str, out: str):
+    """The rows of ``json_lines`` that hold one JSON value, with the value's text in ``out``."""
+    return json_lines(df, column, out, "_jv_reason").filter(F.col("_jv_reason").isNull()).drop("_jv_reason")
 
 
 def parse_tag_responses(
@@ -71,8 +91,9 @@ def parse_tag_responses(
     are rejected here.
 
     Each intermediate (stripped text, its parse, the value's type) is its own
-    projection and is referenced several times downstream, so Catalyst keeps
-    it computed once per row instead of inlining it into every use.
+    projection and is referenced several times, so Catalyst computes it once per
+    row. A generator of one row stands between them and the results: a filter on
+    ``ok`` or ``tags`` stays above it and cannot write the parse out again.
     """
     allowed = F.array(*[F.lit(v) for v in vocab])
     empty = F.array().cast("array<string>")
@@ -94,6 +115,7 @@ def parse_tag_responses(
         ),
     ).withColumn("_pr_value", F.try_element_at(F.col("_pr_items"), F.lit(1)))
     s = s.withColumn("_pr_kind", F.when(F.col("_pr_ok"), F.schema_of_variant("_pr_value")))
+    s = s.select(*df.columns, F.inline(F.array(F.struct("_pr_text", "_pr_value", "_pr_kind"))))
     kind = F.col("_pr_kind")
     is_array, is_object, is_string = kind.startswith("ARRAY"), kind.startswith("OBJECT"), kind == "STRING"
     string_items = F.transform(
@@ -113,4 +135,4 @@ def parse_tag_responses(
             empty
         ),
     )
-    return out.drop("_pr_text", "_pr_seal", "_pr_items", "_pr_ok", "_pr_value", "_pr_kind")
+    return out.drop("_pr_text", "_pr_value", "_pr_kind")

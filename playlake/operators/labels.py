@@ -41,21 +41,30 @@ def agreement(pass1: DataFrame, pass2: DataFrame, key: str = "media_id", seq: st
     """JON-5 / SET-2 / EVL-11: per-title Jaccard of two passes over the union of
     their keys, 0.0 for two empty sets, NULL unless both passes labeled the title.
 
-    Each pass has one row per key. Where keys repeat, ``seq`` names the column
-    whose largest value wins (the last line); it must be unique within a key."""
-    if seq is not None:
-        pass1, pass2 = (last_line_wins(p, key, seq) for p in (pass1, pass2))
-    p1 = pass1.select(key, F.col("title").alias("_t1"), F.col("mood_tags").alias("pass1_tags"), F.lit(True).alias("_in1"))
-    p2 = pass2.select(key, F.col("title").alias("_t2"), F.col("mood_tags").alias("pass2_tags"), F.lit(True).alias("_in2"))
-    both = F.col("_in1").isNotNull() & F.col("_in2").isNotNull()
-    return p1.join(p2, key, "full").select(
+    The passes are stacked and folded by one grouped aggregation in place of a full
+    outer join: each side's last row of a key is picked before the shuffle and after it, so a
+    key with very many rows spreads, and repeated keys give one row. ``seq`` names the column whose
+    largest value is the last line (it must be unique within a key and side); without it the
+    last is that of the frame's own order, which is the file's for a scan. A NULL key is one key.
+    """
+    def tagged(rows: DataFrame, side: int) -> DataFrame:
+        order = F.col(seq) if seq else F.monotonically_increasing_id()
+        return rows.select(key, F.lit(side).alias("_side"), F.struct(order.alias("at")).alias(f"_at{side}"),
+                           F.struct(F.col("title").alias("title"), F.col("mood_tags").alias("tags")).alias("_row"))
+
+    def last(side: int) -> Column:
+        return F.max_by(F.when(F.col("_side") == side, F.col("_row")), F.col(f"_at{side}")).alias(f"_{side}")
+
+    folded = tagged(pass1, 1).unionByName(tagged(pass2, 2), allowMissingColumns=True).groupBy(key).agg(
+        last(1), last(2), (F.count_if(F.col("_side") == 1) > 0).alias("in_pass1"), (F.count_if(F.col("_side") == 2) > 0).alias("in_pass2"))
+    return folded.select(
         key,
-        F.coalesce("_t1", "_t2", F.lit("")).alias("title"),
-        "pass1_tags",
-        "pass2_tags",
-        F.when(both, jaccard("pass1_tags", "pass2_tags", 0.0)).alias("agreement"),
-        F.coalesce("_in1", F.lit(False)).alias("in_pass1"),
-        F.coalesce("_in2", F.lit(False)).alias("in_pass2"),
+        F.coalesce("_1.title", "_2.title", F.lit("")).alias("title"),
+        F.col("_1.tags").alias("pass1_tags"),
+        F.col("_2.tags").alias("pass2_tags"),
+        F.when(F.col("in_pass1") & F.col("in_pass2"), jaccard("_1.tags", "_2.tags", 0.0)).alias("agreement"),
+        "in_pass1",
+        "in_pass2",
     )
 
 

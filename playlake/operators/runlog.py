@@ -14,11 +14,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from playlake.functions.json import json_values, with_json_check
+from playlake.functions.json import json_lines
+from playlake.functions.strings import py_strip
 from playlake.operators.silver import latest
 from playlake.schemas import GATE_EVENT, RUN_ID_PATTERN, TAIL_LINES
 
 
+def classified_lines(lines: DataFrame, value: str = "value", text: str = "_text", reason: str = "reason") -> DataFrame:
+    """STR-1: the non-blank lines, each with the text of its one JSON value or the reason why it has none.
+
+    One parse serves both outputs; see ``json_lines``. Lines of white space only are blank, as for ``str.strip``.
+    """
+    return json_lines(lines.filter(F.length(py_strip(F.col(value))) > 0), value, text, reason)
+
+
+def accepted(classified: DataFrame, value: str = "value", keep: Sequence[str] = (), schema=None, raw: str | None = None) -> DataFrame:
+    """The events of ``classified_lines``: F8 columns plus ``keep``, and the line as it came if ``raw`` names a column."""
+    schema = schema or GATE_EVENT
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    fields = classified.filter(F.col("reason").isNull()).withColumn("_event", F.from_json("_text", schema))
+    line = [F.col(value).alias(raw)] if raw else []
+    return fields.select(*keep, *line, *[F.col(f"_event.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def rejected(classified: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+    """The other lines of ``classified_lines``, whole, with the reason."""
+    return classified.filter(F.col("reason").isNotNull()).select(*keep, F.col(value).alias("line"), "reason")
+
+
 def parse_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = (), schema=None,
                 raw: str | None = None) -> DataFrame:
     """STR-1: keep lines that are exactly one JSON value; blank lines skipped.
@@ -27,19 +51,12 @@ def parse_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()
     ``keep``; ``raw`` names a column for the line as it came, so that fields
     outside the schema are not lost. A value that is no object has NULL fields.
     """
-    schema = schema or GATE_EVENT
-    if isinstance(schema, str):
-        schema = T._parse_datatype_string(schema)
-    one = json_values(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_text")
-    fields = one.withColumn("_event", F.from_json("_text", schema))
-    line = [F.col(value).alias(raw)] if raw else []
-    return fields.select(*keep, *line, *[F.col(f"_event.{f.name}").alias(f.name) for f in schema.fields])
+    return accepted(classified_lines(lines, value), value, keep, schema, raw)
 
 
 def rejected_lines(lines: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """STR-1 side output: non-blank lines that are not one JSON value, whole, with the reason."""
-    checked = with_json_check(lines.filter(F.length(F.trim(F.col(value))) > 0), value, "_ok")
-    return checked.filter(~F.col("_ok")).select(*keep, F.col(value).alias("line"), F.lit("not_one_json_value").alias("reason"))
+    return rejected(classified_lines(lines, value), value, keep)
 
 
 def log_tail(df: DataFrame, group: Sequence[str], seq: str, line: str, n: int = TAIL_LINES,

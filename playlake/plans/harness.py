@@ -808,6 +808,38 @@ def q_ndjson_odd_values(spark, sf_dir):
     return runlog.parse_lines(lines, keep=["offset"], schema="event string, seq long", raw="raw_line")
 
 
+def _mixed_lines(spark, sf_dir) -> DataFrame:
+    """Lines of eight shapes by event, on which lenient and strict readers of JSON differ."""
+    n = F.col("event_id")
+    long = F.repeat(F.lit("7"), 1500)
+    shapes = [
+        F.concat(F.lit('{"event":"a","seq":'), n, F.lit(',"x":NaN}')),
+        F.concat(F.lit('{"event":"b","seq":0,"seq":'), n, F.lit("}")),
+        F.concat(F.lit('{"event":"c","seq":'), n, F.lit(',"x":'), long, F.lit("}")),
+        F.concat(F.lit('{"event":"d+INF","seq":'), n, F.lit(',"x":-Infinity,"y":1e+5}')),
+        F.concat(F.lit('{"event":"e","seq":'), n, F.lit(',"x":+INF}')),
+        F.concat(F.lit('{"event":"f","seq":'), n, F.lit("} {}")),
+        F.concat(F.lit("{'event':'g','seq':"), n, F.lit("}")),
+        F.lit(" \t "),
+    ]
+    line = F.element_at(F.array(*shapes), (F.pmod(n, F.lit(len(shapes))) + 1).cast("int"))
+    return table(spark, sf_dir, "events").select(n.alias("offset"), line.alias("value"))
+
+
+@register("ndjson_split", """
+SELECT event_id AS offset, CASE WHEN event_id % 8 < 4 THEN ['a', 'b', 'c', 'd+INF'][event_id % 8 + 1] END AS event,
+       CASE WHEN event_id % 8 < 4 THEN event_id END AS seq,
+       CASE WHEN event_id % 8 >= 4 THEN 'not_one_json_value' END AS reason
+FROM events WHERE event_id % 8 <> 7
+""")
+def q_ndjson_split(spark, sf_dir):
+    """STR-1: accepted and rejected lines of one parse; NaN, repeated keys and long numbers pass, +INF does not."""
+    lines = runlog.classified_lines(_mixed_lines(spark, sf_dir))
+    good = runlog.accepted(lines, keep=["offset"], schema="event string, seq long").withColumn("reason", F.lit(None).cast("string"))
+    bad = runlog.rejected(lines, keep=["offset"])
+    return good.unionByName(bad.select("offset", F.lit(None).cast("string").alias("event"), F.lit(None).cast("long").alias("seq"), "reason"))
+
+
 def _gate_events(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"), F.col("event_type").alias("gate"), "ts",

@@ -53,3 +53,11 @@ def test_empty_enrichment_join_vanishes(spark):
     p = plan(gold.dim_title(stg))
     assert "Join" not in p
     assert gold.dim_title(stg).first().mood_tags is None
+
+
+@pytest.mark.parametrize("name, at_most", [("label_agreement", 1), ("agreement_summary", 1), ("response_parse", 1), ("ndjson_split", 2)])
+def test_a_text_is_parsed_once(spark, name, at_most):
+    """Filters on what a parse yields do not write the parse out again; ndjson_split reads its lines for two outputs."""
+    p = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    for costly in ("sha2(", "parse_json", "from_json(wrapped", "regexp_replace(raw_response"):
+        assert p.count(costly) <= at_most, (costly, p.count(costly))

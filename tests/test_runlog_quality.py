@@ -128,3 +128,33 @@ def test_unparseable_json_metric(spark):
     df = spark.createDataFrame([('["Action"]',), ("[]",), (None,), ("not json",), ('{"a": 1}',)], "genres string")
     row = quality.unparseable_json(df, "genres").first()
     assert (row.rows, row.unparseable) == (5, 2)
+
+
+def test_accepted_and_rejected_lines_are_disjoint(spark):
+    import json
+
+    texts = ['{"seq":1,"x":NaN}', '{"seq":1,"seq":2}', '{"seq":3,"x":' + "9" * 1500 + "}", '{"seq":4,"x":0.' + "1" * 1200 + "}",
+             '{"seq":5,"line":"' + "8" * 1500 + '"}', '{"x":+INF}', '{"x":-INF}', '{"x":+Infinity}', '{"x":-Infinity}', '{"x":"+INF"}',
+             '{"x":1e+5}', '{"x":+1}', "\t", "", "[1] 2", "nope", "{'a':1}", '"a + b"', "7", '"open']
+    lines = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    schema = "seq long, line string"
+    good = {r.i: r for r in runlog.parse_lines(lines, keep=["i"], schema=schema, raw="raw").collect()}
+    bad = {r.i: r.line for r in runlog.rejected_lines(lines, keep=["i"]).collect()}
+
+    def fine(text):
+        try:
+            json.loads(text)
+            return True
+        except ValueError:
+            return False
+
+    import sys
+    limit = sys.get_int_max_str_digits()
+    sys.set_int_max_str_digits(0)
+    try:
+        want = {i for i, t in enumerate(texts) if t.strip() and fine(t)}
+    finally:
+        sys.set_int_max_str_digits(limit)
+    assert set(good) == want
+    assert bad == {i: t for i, t in enumerate(texts) if t.strip() and i not in want}
+    assert good[1].seq == 2 and good[2].raw == texts[2] and good[4].line == "8" * 1500
