@@ -18,24 +18,51 @@ from pyspark.sql.streaming import StreamingQuery
 from playlake.operators import runlog, silver
 from playlake.schemas import BRONZE_PLAYBACK, GATE_EVENT
 from playlake.sources import bronze
+from playlake.sources.tail import tail_lines
 
 # Gate events as written by an emitter that numbers its lines.
 GATE_EVENT_SEQ = T.StructType(GATE_EVENT.fields + [T.StructField("seq", T.LongType())])
 
 
-def read_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """SRC-6: tail a directory of NDJSON files as lines (``value`` column)."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+def read_lines(spark: SparkSession, path: str, settled: float | None = None) -> DataFrame:
+    """SRC-6: tail a directory of NDJSON files as lines (``value`` column); lines appended to a file arrive too.
+
+    A last line without its line feed waits until it is finished, or until the file has not changed for ``settled`` seconds.
+    """
+    return tail_lines(spark, path, settled).select("value")
 
 
 def gate_events(spark: SparkSession, path: str, schema: T.StructType = GATE_EVENT_SEQ) -> DataFrame:
-    """SRC-6 + STR-1: parsed gate events with the line as it came; blank and non-JSON lines are dropped."""
+    """SRC-6 + STR-1: parsed gate events with the line as it came; blank and non-JSON lines are dropped
+    (``split_log`` keeps them)."""
     return runlog.parse_lines(read_lines(spark, path), schema=schema, raw="raw_line")
 
 
+def split_log(spark: SparkSession, path: str, out_path: str, rejected_path: str, checkpoint: str,
+              schema: T.StructType = GATE_EVENT_SEQ, available_now: bool = True) -> StreamingQuery:
+    """SRC-6 + STR-1 + STR-2: accepted events to one folder, the other lines with reasons to another.
+
+    Each micro-batch is one folder ``batch_id=N`` in both, written over by a replay of the batch, so every line
+    stands once in exactly one of them.
+    """
+    lines = runlog.classified_lines(tail_lines(spark, path))
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            good = runlog.accepted(batch, keep=["file", "offset"], schema=schema, raw="raw_line")
+            good.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+            bad = runlog.rejected(batch, keep=["file", "offset"])
+            bad.write.mode("overwrite").parquet(f"{rejected_path.rstrip('/')}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = lines.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def append_log(events: DataFrame, out_path: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
     """STR-2: append every accepted event (exactly once via the checkpoint).
 
