@@ -99,33 +99,23 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def current_version(spark: SparkSession, base: str) -> int | None:
-    """Highest ``version=N`` directory under ``base`` that holds a ``_SUCCESS`` marker."""
-    fs, p = _fs(spark, base)
-    if not fs.exists(p):
-        return None
-    best = None
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("version="):
-            if fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                v = int(name.split("=", 1)[1])
-                best = v if best is None or v > best else best
-    return best
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
 
-def read_versioned(spark: SparkSession, base: str) -> DataFrame | None:
-    v = current_version(spark, base)
-    return None if v is None else spark.read.parquet(f"{base.rstrip('/')}/version={v}")
+def current_version(spark: SparkSession, base: str) -> int | None:
+    """The number of the newest manifest under ``base``."""
+    found = [int(n.removesuffix(".json")) for n in _children(spark, f"{base.rstrip('/')}/_manifest")
+             if n.endswith(".json") and n[:-5].isdigit()]
+    return max(found, default=None)
 
 
-def _notes(spark: SparkSession, base: str, version: int | None) -> dict[str, int]:
-    """The last batch of each stream that a version holds: {query id: batch id}."""
+def _manifest(spark: SparkSession, base: str, version: int | None) -> dict | None:
+    """What a version consists of: schema, keys, number of buckets, folder of each bucket, last batch of each stream."""
     if version is None:
-        return {}
-    fs, p = _fs(spark, f"{base.rstrip('/')}/_applied/{version}.json")
-    if not fs.exists(p):
-        return {}
+        return None
+    fs, p = _fs(spark, f"{base.rstrip('/')}/_manifest/{version}.json")
     stream = fs.open(p)
     try:
         return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
@@ -133,46 +123,108 @@ def _notes(spark: SparkSession, base: str, version: int | None) -> dict[str, int
         stream.close()
 
 
-def _write_notes(spark: SparkSession, base: str, version: int, notes: dict[str, int]) -> None:
-    fs, p = _fs(spark, f"{base.rstrip('/')}/_applied/{version}.json")
-    stream = fs.create(p, True)
+def _commit(spark: SparkSession, base: str, version: int, manifest: dict) -> None:
+    """Write the manifest beside its place and rename it there: readers see the old version or the new one."""
+    base = base.rstrip("/")
+    fs, place = _fs(spark, f"{base}/_manifest/{version}.json")
+    _, draft = _fs(spark, f"{base}/_manifest/.draft-{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
     try:
-        stream.write(bytearray(json.dumps(notes).encode()))
+        stream.write(bytearray(json.dumps(manifest).encode()))
     finally:
         stream.close()
+    if fs.exists(place) or not fs.rename(draft, place):
+        fs.delete(draft, False)
+        raise RuntimeError(f"another writer has committed version {version} of {base}; run the upsert again")
+
+
+def _read_buckets(spark: SparkSession, base: str, manifest: dict, buckets: Sequence[int] | None = None) -> DataFrame:
+    """The rows of some buckets, or of all; no file of another bucket is opened."""
+    schema = T.StructType.fromJson(manifest["schema"])
+    parts = manifest["parts"] if buckets is None else {str(b): manifest["parts"][str(b)] for b in buckets if str(b) in manifest["parts"]}
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{base.rstrip('/')}/data/{folder}/_bucket={b}" for b, folder in sorted(parts.items())])
+
+
+def read_versioned(spark: SparkSession, base: str, version: int | None = None) -> DataFrame | None:
+    """The table that ``upsert_path`` keeps under ``base``, at its newest version or an older one that is still there."""
+    manifest = _manifest(spark, base, current_version(spark, base) if version is None else version)
+    return None if manifest is None else _read_buckets(spark, base, manifest)
 
 
 def applied_batch(spark: SparkSession, base: str, query: str) -> int | None:
     """The last batch id of the stream ``query`` that the current version holds, if any."""
-    return _notes(spark, base, current_version(spark, base)).get(query)
+    return ((_manifest(spark, base, current_version(spark, base)) or {}).get("applied") or {}).get(query)
 
 
-def upsert_path(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str],
-                order: Sequence[Column], batch: tuple[str, int] | None = None) -> int:
-    """SNK-3 on plain parquet: write the merged table as a new version directory.
+def upsert_path(spark: SparkSession, base: str, incoming: DataFrame, keys: Sequence[str], order: Sequence[Column],
+                batch: tuple[str, int] | None = None, buckets: int = 64) -> int:
+    """SNK-3 on plain parquet: rewrite only the buckets that hold incoming keys.
 
-    Overwriting the directory a plan reads would delete its input first (T8),
-    so each upsert writes ``version=N+1`` and readers take the newest complete
-    version. Returns the new version number. ``batch`` = (query id, batch id)
-    records which micro-batch of a stream the version holds, apart from the
-    version number; the record is written before the data and counts only once
-    the version is complete. Every upsert rewrites the whole target: plain
-    parquet has no smaller unit, so large targets belong in a format with MERGE
-    (``upsert_table``).
+    Rows are dealt to ``buckets`` by the hash of their keys (fixed by the first upsert; choose it so that a
+    bucket is worth rewriting, say 100 MB to 1 GB). A manifest names the folder of each
+    bucket's current rows. An upsert reads the incoming keys' buckets, writes them merged into a new
+    folder, and commits by renaming one file, so a lost writer leaves the old manifest and a folder that
+    nothing names. Buckets without incoming keys stay where they are. Incoming rows are staged once in the
+    shared scratch folder. Returns the new version's number. ``batch`` = (query id, batch id) records
+    in the same manifest which micro-batch of a stream the version holds. A version committed by another
+    writer meanwhile raises an error. ``vacuum`` deletes folders that no kept version names.
     """
+    base, keys = base.rstrip("/"), list(keys)
     v = current_version(spark, base)
-    target = read_versioned(spark, base)
-    merged = latest(incoming, list(keys), list(order)) if target is None else upsert(target, incoming, keys, order)
-    nxt = 0 if v is None else v + 1
-    notes = _notes(spark, base, v)
+    held = _manifest(spark, base, v) or {"keys": keys, "buckets": buckets, "parts": {}, "applied": {}}
+    if held["keys"] != keys:
+        raise ValueError(f"{base} is keyed by {held['keys']}, not by {keys}")
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(held["buckets"])).cast("int").alias("_bucket")
+    staged = scratch_path(spark, f"upsert-{uuid.uuid4().hex}")
+    newest = latest(incoming, keys, list(order))
+    newest.select("*", bucket).write.parquet(staged)
+    try:
+        new = spark.read.schema(T.StructType([*newest.schema.fields, T.StructField("_bucket", T.IntegerType())])).parquet(staged)
+        touched = sorted(r[0] for r in new.select("_bucket").distinct().collect())  # at most the number of buckets
+        parts = dict(held["parts"])
+        if touched:
+            merged = new.drop("_bucket")
+            if "schema" in held:
+                target = _read_buckets(spark, base, held, touched)
+                merged = target.join(merged.select(*keys), keys, "left_anti").unionByName(merged.select(*target.columns))
+            folder = f"{0 if v is None else v + 1:08d}-{uuid.uuid4().hex[:12]}"
+            # one bucket may take several files; Spark splits and joins them by size
+            merged.select("*", bucket).hint("rebalance", "_bucket").write.partitionBy("_bucket").parquet(f"{base}/data/{folder}")
+            parts |= {str(b): folder for b in touched}
+    finally:
+        fs, p = _fs(spark, staged)
+        fs.delete(p, True)
+    applied = dict(held["applied"])
     if batch is not None:
-        notes[batch[0]] = batch[1]
-    _write_notes(spark, base, nxt, notes)
-    # a half-written attempt (no _SUCCESS) of this version is replaced
-    merged.write.mode("overwrite").parquet(f"{base.rstrip('/')}/version={nxt}")
+        applied[batch[0]] = batch[1]
+    schema = held.get("schema") or json.loads(newest.schema.json())
+    nxt = 0 if v is None else v + 1
+    _commit(spark, base, nxt, {"schema": schema, "keys": keys, "buckets": held["buckets"], "parts": parts, "applied": applied})
     return nxt
 
 
+def vacuum(spark: SparkSession, base: str, keep: int = 2) -> list[str]:
+    """Delete the manifests before the last ``keep`` versions and the folders that none of those names.
+
+    Not while an upsert runs: the folder it writes has no manifest yet.
+    """
+    base = base.rstrip("/")
+    last = current_version(spark, base)
+    if last is None:
+        return []
+    versions = sorted(int(n[:-5]) for n in _children(spark, f"{base}/_manifest") if n.endswith(".json") and n[:-5].isdigit())
+    kept = versions[-keep:]
+    named = {folder for v in kept for folder in _manifest(spark, base, v)["parts"].values()}
+    gone = [f"{base}/_manifest/{v}.json" for v in versions if v not in kept]
+    gone += [f"{base}/data/{n}" for n in _children(spark, f"{base}/data") if n not in named]
+    for path in gone:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+    return gone
+
+
 def ensure_schema(spark: SparkSession, schema_name: str) -> None:
     """SNK-4: CREATE SCHEMA IF NOT EXISTS."""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema_name}")

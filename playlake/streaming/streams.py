@@ -164,7 +164,8 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 
 def upsert_stream(stream: DataFrame, base_path: str, keys: Sequence[str], order: Sequence[Column],
                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """STR-11: rerunnable catalog refresh; each micro-batch is upserted as a new version.
+    """STR-11: rerunnable catalog refresh; each micro-batch is upserted as a new version, which rewrites the buckets
+    of its keys only (``bronze.upsert_path``).
 
     A version records the last batch of this stream that it holds, by the
     stream's own id. A batch replayed after a failure is skipped by that record
