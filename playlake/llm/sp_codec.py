@@ -5,7 +5,7 @@ compiled character map. ``Normalizer`` applies the map by longest prefix (a doub
 and records, for each byte it writes, the source byte it came from. BPE merges never
 cross from a piece's letters to a following space mark (checked when the model is loaded), so the
 normalised text falls into chunks (space marks and the letters after them) that are encoded on
-their own; a task keeps the chunks it has seen in a table of bounded size. Piece lengths
+their own; a worker remembers the ids of chunks in ``CACHE_BYTES``. Piece lengths
 summed over a text and looked up in the alignment give each piece's span of source bytes.
 
 Edge cases: a null or empty text has no pieces, and its decoded text is empty. Texts of any
@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -32,11 +31,15 @@ from playlake.llm import words as W
 
 SPACE = "▁"
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
-#: Chunks that a task remembers, and the longest that it remembers.
-CACHE, CACHE_CHARS = 400_000, 64
-#: Characters up to which a chunk is merged by scanning, and the cost of a pair that is no piece.
-SHORT, _NEVER = 48, float("inf")
-_CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: Bytes of chunks that a worker remembers (two generations of half of it), and of the longest chunk.
+CACHE_BYTES, CACHE_BYTES_EACH = 24 << 20, 96
+#: What a remembered chunk takes beside its letters and ids: two objects and a place in the dictionary.
+_ENTRY = 200
+#: Characters up to which chunks are merged many at a time, in groups of like length; the rank of a pair that is no piece.
+GROUPS, _NEVER = (4, 8, 12, 16, 24, 48), 1 << 30
+_MARK = SPACE.encode()
+#: Characters that are no piece get numbers from here on, so that no pair with them is found.
+_STRANGE = 1 << 21
 
 
 class Normalizer:
@@ -90,6 +93,11 @@ class Normalizer:
 
     def __call__(self, text: str) -> tuple[str, np.ndarray]:
         """(normalised text, source byte of each of its bytes, with the source's length at the end)."""
+        raw, source = self.normalise(text)
+        return raw.decode(), source
+
+    def normalise(self, text: str) -> tuple[bytes, np.ndarray]:
+        """(normalised text in UTF-8, source byte of each of its bytes, with the source's length at the end)."""
         raw, source = self.rewrite(text.encode())
         if self.squeeze:
             keep = np.frombuffer(raw, np.uint8) != 0x20
@@ -101,14 +109,14 @@ class Normalizer:
             raw = np.frombuffer(raw, np.uint8)[first].tobytes()
             source = np.append(source[:-1][first], source[-1])
         if not raw:
-            return "", source[-1:]
+            return b"", source[-1:]
         if self.dummy_prefix:
             raw, source = b" " + raw, np.concatenate([source[:1], source])
         if self.escape:
             wide = np.where(np.frombuffer(raw, np.uint8) == 0x20, 3, 1)
             source = np.append(np.repeat(source[:-1], wide), source[-1])
             raw = raw.replace(b" ", SPACE.encode())
-        return raw.decode(), source
+        return raw, source
 
 
 @dataclass
@@ -121,11 +129,29 @@ class Codec:
     byte_ids: list[int]
     unknown: int
     normalizer: Normalizer
-    cache: dict[str, tuple] = field(default_factory=dict)
-    cost: dict[str, float] = field(default_factory=dict)
+    young: dict[bytes, bytes] = field(default_factory=dict)
+    old: dict[bytes, bytes] = field(default_factory=dict)
+    held: int = 0
 
     def __post_init__(self):
-        self.cost = {piece: -self.scores[i] for piece, i in self.ids.items()}
+        self.kind = np.dtype("<u2" if len(self.surface) <= 1 << 16 else "<u4")
+        sizes = np.ones(len(self.surface), np.uint8)  # a byte piece stands for one byte
+        for piece, i in self.ids.items():
+            sizes[i] = len(piece.encode())
+        self.sizes = sizes
+        self.decimals = [str(i).encode() for i in range(len(self.surface))]
+        letters = sorted((ord(p), i) for p, i in self.ids.items() if len(p) == 1)
+        self.letter, self.letter_id = (np.array([x[k] for x in letters], np.int64) for k in (0, 1))
+        # every way to join two pieces to one, by the rank of the joined piece's score; equal scores have equal ranks
+        rank = {c: k for k, c in enumerate(sorted({-self.scores[i] for i in self.ids.values()}))}
+        get, joins = self.ids.get, []
+        for p, i in self.ids.items():
+            for k in range(1, len(p)):
+                a, b = get(p[:k]), get(p[k:])
+                if a is not None and b is not None:
+                    joins.append((a << 32 | b, rank[-self.scores[i]], i))
+        joins.sort()
+        self.pair, self.pair_rank, self.pair_id = (np.array([x[k] for x in joins], np.int64) for k in (0, 1, 2))
 
     @classmethod
     def load(cls, path: str) -> Codec:
@@ -161,22 +187,79 @@ class Codec:
         )
         return cls(ids, [p.score for p in model.pieces], surface, byte_ids, unknown, normalizer)
 
-    def merge(self, chunk: str) -> list[str]:
-        """BPE: join the neighbouring pair of the best score, the leftmost of equals, until none is a piece."""
-        if len(chunk) > SHORT:
-            return self._merge_long(chunk)
-        part = list(chunk)
-        get = self.cost.get
-        cost = [get(a + b, _NEVER) for a, b in zip(part, part[1:], strict=False)]
-        while cost and (low := min(cost)) != _NEVER:
-            k = cost.index(low)
-            part[k: k + 2] = [part[k] + part[k + 1]]
-            del cost[k]
-            if k:
-                cost[k - 1] = get(part[k - 1] + part[k], _NEVER)
-            if k < len(cost):
-                cost[k] = get(part[k] + part[k + 1], _NEVER)
-        return part
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of the piece that each two numbers join to, or _NEVER."""
+        if not len(self.pair):
+            return np.full(a.shape, _NEVER)
+        key = (a << 32) | b
+        at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+        return np.where(self.pair[at] == key, self.pair_rank[at], _NEVER)
+
+    def merge_rows(self, part: np.ndarray) -> np.ndarray:
+        """BPE on every row (numbers, then -1): join the neighbouring pair of the best rank, the leftmost of equals, until none is a piece."""
+        part = np.pad(part, ((0, 0), (0, 1)), constant_values=-1)  # a last column that stays empty
+        cost = np.where(part[:, 1:] >= 0, self._rank(part[:, :-1], part[:, 1:]), _NEVER)
+        cost = np.pad(cost, ((0, 0), (0, 1)), constant_values=_NEVER)
+        out, rows = part.copy(), np.arange(len(part))
+        width = np.arange(part.shape[1] - 1)
+        while len(rows):
+            k = cost.argmin(1)
+            here = np.arange(len(rows))
+            low = cost[here, k]
+            going = low < _NEVER
+            if not going.all():
+                out[rows[~going]] = part[~going]
+                rows, part, cost, k = rows[going], part[going], cost[going], k[going]
+                here = here[: len(rows)]
+                if not len(rows):
+                    break
+            part[here, k] = self.pair_id[np.searchsorted(self.pair, (part[here, k] << 32) | part[here, k + 1])]
+            rest = width[None, :]  # what stands after the joined pair moves one place to the left
+            part[:, :-1] = np.take_along_axis(part, rest + (rest > k[:, None]), 1)
+            cost[:, :-1] = np.take_along_axis(cost, rest + (rest >= k[:, None]), 1)
+            joined, after = part[here, k], part[here, k + 1]
+            cost[here, k] = np.where(after >= 0, self._rank(joined, after), _NEVER)
+            before = np.flatnonzero(k > 0)
+            cost[before, k[before] - 1] = self._rank(part[before, k[before] - 1], joined[before])
+        return out
+
+    def merge_all(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of each chunk, ``kind`` each."""
+        text = [c.decode() for c in chunks]
+        long = np.array([len(t) for t in text], np.int64)
+        out: list[bytes] = [b""] * len(chunks)
+        low = 0
+        for high in GROUPS:
+            some = np.flatnonzero((long > low) & (long <= high))
+            low = high
+            if not len(some):
+                continue
+            letters = np.frombuffer("".join([text[i] for i in some]).encode("utf-32-le"), "<u4").astype(np.int64)
+            at = np.minimum(np.searchsorted(self.letter, letters), max(0, len(self.letter) - 1))
+            number = np.where(self.letter[at] == letters, self.letter_id[at], _STRANGE + letters)
+            part = np.full((len(some), high), -1, np.int64)
+            part[np.arange(high)[None, :] < long[some][:, None]] = number
+            done = self.merge_rows(part)
+            odd = (done >= _STRANGE).any(1)
+            for i, numbers in zip(some[odd].tolist(), done[odd].tolist(), strict=True):
+                out[i] = self._spelt([x if x < _STRANGE else chr(x - _STRANGE) for x in numbers if x >= 0])
+            some, done = some[~odd], done[~odd]
+            filled = done >= 0
+            raw, wide = done[filled].astype(self.kind).tobytes(), self.kind.itemsize
+            begin = 0
+            for i, end in zip(some.tolist(), (wide * np.cumsum(filled.sum(1))).tolist(), strict=True):
+                out[i] = raw[begin:end]
+                begin = end
+        for i in np.flatnonzero(long > low):
+            out[i] = self._spelt([self.ids.get(p, p) for p in self._merge_long(text[i])])
+        return out
+
+    def _spelt(self, pieces: list) -> bytes:
+        """Ids of pieces; a character that is no piece is spelt in bytes."""
+        numbers: list[int] = []
+        for p in pieces:
+            numbers += [p] if isinstance(p, int) else [self.byte_ids[b] for b in p.encode()]
+        return np.array(numbers, self.kind).tobytes()
 
     def _merge_long(self, chunk: str) -> list[str]:
         """The same by a heap of pairs, in time that grows with n log n."""
@@ -208,26 +291,56 @@ class Codec:
                 offer(before[left], left)
         return [p for p in part if p]
 
-    def chunk(self, chunk: str) -> tuple[list[int], bytes, str, str]:
-        """(ids, one byte for each piece's length, ids as text, decoded text) of a chunk."""
-        held = self.cache.get(chunk)
-        if held is None:
-            numbers, sizes = [], []
-            for piece in self.merge(chunk):
-                i = self.ids.get(piece)
-                if i is not None:
-                    numbers.append(i)
-                    sizes.append(len(piece.encode()))
-                else:  # a character that is no piece is spelt in bytes
-                    for b in piece.encode():
-                        numbers.append(self.byte_ids[b])
-                        sizes.append(1)
-            held = (numbers, bytes(sizes), ",".join(map(str, numbers)), self.decode_part(numbers))
-            if len(chunk) <= CACHE_CHARS:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[chunk] = held
-        return held
+    def chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of distinct chunks, ``kind`` each.
+
+        Chunks met lately are remembered in two generations: when the young one is full it takes the
+        old one's place, and chunks that are met again move up, so frequent ones stay.
+        """
+        young, old = self.young.get, self.old.get
+        out = [young(c) or old(c) for c in chunks]
+        new = [i for i, found in enumerate(out) if found is None]
+        for i, found in zip(new, self.merge_all([chunks[i] for i in new]), strict=True):
+            out[i] = found
+        for c, found in zip(chunks, out, strict=True):
+            if len(c) <= CACHE_BYTES_EACH and c not in self.young:
+                self.held += _ENTRY + len(c) + len(found)
+                if self.held > CACHE_BYTES // 2:
+                    self.old, self.young, self.held = self.young, {}, 0
+                self.young[c] = found
+        return out
+
+    def numbers(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of normalised texts. All of them are cut into chunks at once; each distinct chunk is looked up once."""
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        if not len(raw):
+            return [np.empty(0, self.kind)] * len(texts)
+        new = np.zeros(len(raw) + 1, bool)
+        mark = np.zeros(len(raw), bool)
+        mark[:-2] = (raw[:-2] == _MARK[0]) & (raw[1:-1] == _MARK[1]) & (raw[2:] == _MARK[2])
+        at = np.flatnonzero(mark)
+        new[at[(at < 3) | ~mark[at - 3]]] = True  # the first of neighbouring marks
+        new[offsets] = True
+        start = np.flatnonzero(new[:-1])
+        values = pa.Array.from_buffers(
+            pa.large_binary(), len(start), [None, pa.py_buffer(np.append(start, len(raw)).astype(np.int64)), pa.py_buffer(raw)]
+        ).dictionary_encode()
+        which = values.indices.to_numpy(zero_copy_only=False)
+        found = self.chunks(values.dictionary.to_pylist())
+        wide = self.kind.itemsize
+        flat = np.frombuffer(b"".join(found), self.kind)
+        size = np.array([len(f) for f in found], np.int64) // wide
+        begin = np.cumsum(size) - size
+        size, begin = size[which], begin[which]
+        ends = np.cumsum(size)
+        every = flat[np.arange(int(ends[-1])) + np.repeat(begin - (ends - size), size)]
+        cuts = np.concatenate([[0], ends])[np.searchsorted(start, offsets)]
+        return [every[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+
+    def ends(self, numbers: np.ndarray) -> np.ndarray:
+        """Where each piece ends in the normalised bytes, after a 0."""
+        return np.concatenate([[0], np.cumsum(self.sizes[numbers], dtype=np.int64)])
 
     def decode_part(self, numbers: list[int]) -> str:
         return b"".join([self.surface[i] for i in numbers]).decode("utf-8", "replace")
@@ -239,17 +352,10 @@ class Codec:
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray]:
         """(ids, spans): spans[k] is the pair of source bytes that piece k covers."""
-        normal, source = self.normalizer(text)
-        parts = [self.chunk(c) for c in _CHUNK.findall(normal)]
-        numbers = [i for p in parts for i in p[0]]
-        ends = _ends(parts)
-        return numbers, np.stack([source[ends[:-1]], source[ends[1:]]], 1)
-
-
-def _ends(parts: list[tuple]) -> np.ndarray:
-    """Where each piece ends in the normalised bytes, after a 0."""
-    sizes = np.frombuffer(b"".join([p[1] for p in parts]), np.uint8)
-    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        normal, source = self.normalizer.normalise(text)
+        numbers = self.numbers([normal])[0]
+        ends = self.ends(numbers)
+        return numbers.tolist(), np.stack([source[ends[:-1]], source[ends[1:]]], 1)
 
 
 @lru_cache(maxsize=2)
@@ -272,20 +378,21 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _open(model)
-        sha, look, seen, chunks = hashlib.sha256, own.chunk, own.cache.get, _CHUNK.findall
+        sha, decimal, surface = hashlib.sha256, own.decimals.__getitem__, own.surface.__getitem__
         for part in W.slices(batches):
             out = []
-            for text in part.column("text").to_pylist():
-                normal, source = own.normalizer(text or "")
-                parts = [seen(c) or look(c) for c in chunks(normal)]
-                ends = _ends(parts)
+            normal = [own.normalizer.normalise(t.as_py() or "") for t in part.column("text")]
+            numbers_of = own.numbers([n[0] for n in normal])
+            for (_, source), numbers in zip(normal, numbers_of, strict=True):
+                ends = own.ends(numbers)
                 # the heads of bytes written from one source byte: their distance is what a span covers
                 covered = int((source[ends[1:]] - source[ends[:-1]]).sum())
-                decoded = "".join([p[3] for p in parts])
+                numbers = numbers.tolist()
+                decoded = b"".join(map(surface, numbers)).decode("utf-8", "replace")
                 if own.normalizer.dummy_prefix and decoded.startswith(" "):
                     decoded = decoded[1:]
-                ids = ",".join([p[2] for p in parts])
-                out.append((len(ends) - 1, sha(ids.encode()).hexdigest(), sha(decoded.encode()).hexdigest(), int(source[-1]), covered))
+                ids = b",".join(map(decimal, numbers))
+                out.append((len(numbers), sha(ids).hexdigest(), sha(decoded.encode()).hexdigest(), int(source[-1]), covered))
             columns = list(zip(*out, strict=True))
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), *(pa.array(c) for c in columns)],
