@@ -24,8 +24,8 @@ An edge is known by the hashes of its minimizer (64 bits) and of the window (56
 
 Edge cases: null or empty texts have no words; a text of fewer words than a window loses
 none. A row without doc_id has no place in the order: it loses nothing and is no source.
-Rows that repeat a doc_id are told apart by a 15-bit signature of the text, which orders them; equal
-rows hold the same coordinates, so neither is a repeat of the other. Only doc_id and text are
+Rows that repeat a doc_id are told apart by a 64-bit signature of the text, which orders them; equal
+rows hold the same coordinates, so neither is a repeat of the other, and their spans are kept once. Only doc_id and text are
 read; other columns pass through under any name.
 """
 
@@ -44,19 +44,22 @@ from playlake.llm import words as W
 from playlake.llm.common import IdFilter, store
 
 SIZE, GRAM = 20, 7
-#: Edges of a minimizer from which its bucket is split by the windows' hashes.
-HOT_EDGES = 200_000
+#: Edges of a minimizer from which its bucket is split by the windows' hashes, and the most minimizers that are split
+#: (the bound rises with the corpus, so the list that goes to every task stays small).
+HOT_EDGES, MOST_HOT = 200_000, 100_000
+#: Slices of the usual size that are cut into runs at a time.
+_SLICE = 0.5
 _RULE = W.rule()
-_RUNS = "anchor long, doc_id long, sig int, start int, windows binary"
-_REPEATS = "doc_id long, sig int, start int, len int, src_doc long, src_sig int, src_start int"
-#: A run whose source is known already carries this record in place of its hashes. Its 22 bytes tell it apart.
-_TOLD = np.dtype([("doc", "<i8"), ("sig", "<i4"), ("start", "<i4"), ("len", "<i4"), ("mark", "<u2")])
+_RUNS = "anchor long, doc_id long, sig long, start int, windows binary"
+_REPEATS = "doc_id long, sig long, start int, len int, src_doc long, src_sig long, src_start int"
+#: A run whose source is known already carries this record in place of its hashes. Its 26 bytes tell it apart.
+_TOLD = np.dtype([("doc", "<i8"), ("sig", "<i8"), ("start", "<i4"), ("len", "<i4"), ("mark", "<u2")])
 #: Bytes of an edge's own hash that travel; with its minimizer's hash an edge is known by 120 bits.
 WIDTH = 7
 
 
 def _signature(text: str) -> F.Column:
-    return F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 15)).cast("int")
+    return F.xxhash64(F.col(text))
 
 
 def _pack(edge: np.ndarray) -> bytes:
@@ -80,7 +83,7 @@ def _minimizers(h: np.ndarray, size: int, gram: int) -> np.ndarray:
 
 
 def hot_minimizers(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
-    """(anchor, parts) of the minimizers with more than HOT_EDGES edges that are not settled in their slice.
+    """(anchor, parts) of the minimizers with more than HOT_EDGES edges that are not settled in their slice, MOST_HOT at most.
 
     A slice that holds a minimizer in a single run does not report it, so few rows are shuffled; a bucket may exceed the bound by those.
     """
@@ -95,8 +98,9 @@ def hot_minimizers(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataF
             yield pa.RecordBatch.from_arrays([pa.array(name[runs > 1]), pa.array(edges[runs > 1])], ["anchor", "edges"])
 
     counts = edge_runs(docs, size, gram, tally=tally)  # in the same Python process, which a second step would double
-    total = counts.groupBy("anchor").agg(F.sum("edges").alias("edges")).where(F.col("edges") > HOT_EDGES)
-    return total.select("anchor", F.ceil(F.col("edges") / HOT_EDGES).alias("parts"))
+    total = store(docs.sparkSession, counts.groupBy("anchor").agg(F.sum("edges").alias("edges")), "anchors")
+    bound = max(HOT_EDGES, (total.agg(F.sum("edges")).first()[0] or 0) // MOST_HOT)
+    return total.where(F.col("edges") > bound).select("anchor", F.ceil(F.col("edges") / HOT_EDGES).alias("parts"))
 
 
 def edge_runs(
@@ -111,7 +115,7 @@ def edge_runs(
     gram = min(gram, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches):
+        for part in W.slices(batches, scale=_SLICE):
             words = W.split(part.column("text"), _RULE)
             at = W.window_starts(words, size)
             if not len(at):
@@ -142,6 +146,7 @@ def edge_runs(
             told = np.zeros(len(order), _TOLD)
             told["doc"], told["sig"], told["start"] = doc[source], sig[source], start[source]
             told["len"] = stop - begin
+            del rank, total, name, order, named, first, source, h, low  # before the hashes are packed
             if hot is not None and len(hot[0]):
                 names, parts = hot
                 at_hot = np.minimum(np.searchsorted(names, anchor.view(np.int64)), len(names) - 1)
@@ -165,7 +170,7 @@ def edge_runs(
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.where(known, own, anchor).view(np.int64)), pa.array(doc.astype(np.int64)),
-                    pa.array(sig.astype(np.int32)), pa.array(start), pa.array(windows, pa.binary()),
+                    pa.array(sig.astype(np.int64)), pa.array(start), pa.array(windows, pa.binary()),
                 ],
                 ["anchor", "doc_id", "sig", "start", "windows"],
             )
@@ -197,7 +202,7 @@ def repeated_edges(runs: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.empty(0, t) for t in (np.int64, np.int64, np.int32, np.int32, np.uint64)]
+        kept = [np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int32, np.uint64)]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -238,7 +243,7 @@ def repeated_edges(runs: DataFrame) -> DataFrame:
 
 
 def _rows(*columns: np.ndarray) -> pa.RecordBatch:
-    kinds = (np.int64, np.int32, np.int32, np.int32, np.int64, np.int32, np.int32)
+    kinds = (np.int64, np.int64, np.int32, np.int32, np.int64, np.int64, np.int32)
     names = ["doc_id", "sig", "start", "len", "src_doc", "src_sig", "src_start"]
     return pa.RecordBatch.from_arrays([pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)], names)
 
@@ -269,13 +274,16 @@ def compact(repeats: DataFrame) -> DataFrame:
     the source. All runs of a document meet in one task, so the same partitioning serves
     the join to the documents.
     """
-    by = Window.partitionBy("doc_id", "sig").orderBy("start", "src_doc", "src_sig", "src_start")
+    by = Window.partitionBy("doc_id", "sig").orderBy("start", "src_doc", "src_sig", "src_start", "len")
     goes_on = (
         (F.lag("src_doc").over(by) == F.col("src_doc"))
         & (F.lag("src_sig").over(by) == F.col("src_sig"))
         & (F.lag("start").over(by) + F.lag("len").over(by) == F.col("start"))
         & (F.lag("src_start").over(by) + F.lag("len").over(by) == F.col("src_start"))
     )
+    # rows that repeat a document repeat its runs; equal ones are neighbours in this order, and one of them stays
+    run = F.struct("start", "len", "src_doc", "src_sig", "src_start")
+    repeats = repeats.withColumn("same", F.coalesce(F.lag(run).over(by) == run, F.lit(False))).where("not same").drop("same")
     headed = repeats.withColumn("head", F.when(F.coalesce(goes_on, F.lit(False)), 0).otherwise(1))
     return (
         headed.withColumn("path", F.sum("head").over(by.rowsBetween(Window.unboundedPreceding, 0)))
@@ -329,7 +337,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = SIZE, gram:
     alone = sieve(False).select("_doc_id", "_text", F.lit(None).cast("array<bigint>").alias("spans"), *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, "_text"):
+        for part in W.slices(batches, "_text", _SLICE):
             words = W.split(part.column("_text"), _RULE)
             n = np.diff(words.first)
             mark = np.zeros(len(words) + 1, np.int64)

@@ -82,7 +82,7 @@ class Words:
         )
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", scale: int = 1) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", scale: float = 1) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of ``scale`` times the usual text size and rows, whole rows each."""
     for batch in batches:
         if not batch.num_rows:

@@ -109,3 +109,13 @@ def test_edges_of_a_frequent_phrase_are_dealt_to_several_buckets(spark, monkeypa
     plain = D.edge_runs(docs).groupBy("anchor").agg(F.sum(F.length("windows")).alias("n")).agg(F.max("n")).first()[0]
     split = D.edge_runs(docs, hot=(hot["anchor"].to_numpy(), hot["parts"].to_numpy()))
     assert 3 * split.groupBy("anchor").agg(F.sum(F.length("windows")).alias("n")).agg(F.max("n")).first()[0] < plain
+
+
+def test_equal_rows_of_one_document_keep_their_spans_once(spark):
+    words = [f"w{i}" for i in range(60)]
+    first, later = " ".join(words), " ".join(["x"] + words[:40] + ["y"])
+    docs = spark.createDataFrame([(1, first)] + [(2, later)] * 50, "doc_id long, text string").repartition(4)
+    spans = D.repeated_spans(docs).collect()
+    assert [(r.doc_id, r.start, r.len, r.src_doc, r.src_start) for r in spans] == [(2, 1, 21, 1, 0)]
+    got = D.remove_repeats(spark, docs, digest=True).collect()
+    assert sorted((r.doc_id, r.n_removed, r.n_spans) for r in got) == [(1, 0, 0)] + [(2, 40, 1)] * 50
