@@ -13,7 +13,7 @@ Links are searched in two passes, so that a large group does not become all its
    which it shares most bands); confirmed links give first components;
 2. in each bucket that still holds several components, all pairs across components are
    compared: by a join in small buckets; in larger ones in blocks of ``BLOCK`` members a side, on whole sets
-   of 40-bit hashes (thinned by a hash threshold beyond ``THIN`` shingles), of which only links that
+   (thinned by a hash threshold beyond ``THIN`` shingles), of which only links that
    join components leave the task. All are confirmed on full sets.
 
 The second pass covers every pair that the first left out and that could join two
@@ -48,9 +48,9 @@ MANTISSA = 10
 #: confirmed, so a link may be lost with about 1e-8, in line with the bands.
 SIGMAS = 6.0
 #: Members of a bucket up to which all its pairs are joined, and of the blocks that larger ones are cut into.
-SMALL, BLOCK = 8, 4000
-#: Hashes of a thinned set, and bytes of each.
-THIN, THIN_BYTES = 4096, 5
+SMALL, BLOCK = 8, 2000
+#: Hashes of a thinned set.
+THIN = 4096
 _RULE = W.rule(lower=True)
 _EC = 0.16991948715973909  # expected collisions, HyperMinHash paper (Yu and Weber), section on bias
 
@@ -173,25 +173,24 @@ def _pairs_near(reps: DataFrame, pairs: DataFrame, threshold: float) -> DataFram
 
 
 def _pack(values: np.ndarray) -> bytes:
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :THIN_BYTES].tobytes()
-
-
-def _unpack(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // THIN_BYTES, 8), np.uint8)
-    out[:, :THIN_BYTES] = np.frombuffer(raw, np.uint8).reshape(-1, THIN_BYTES)
-    return out.view("<u8").ravel()
+    return values.astype("<u8").tobytes()
 
 
 def _thin(values: np.ndarray) -> tuple[int, bytes]:
-    """(level, hashes): the set's upper hash bits; of a long set those below 2**-level of their range."""
-    short = np.unique(values >> np.uint64(64 - 8 * THIN_BYTES))
+    """(level, hashes): the set's hashes in order; of a long set those below 2**-level of their range."""
+    short = np.sort(values)
     level = 0
     while len(short) > THIN:
         level += 1
-        short = short[short < np.uint64(1 << (8 * THIN_BYTES - level))]
+        short = _below(short, level)
     return level, _pack(short)
 
 
+def _below(values: np.ndarray, level: int) -> np.ndarray:
+    """The hashes below 2**-level of their range."""
+    return values[values < np.uint64(1 << (64 - level))] if level else values
+
+
 def _shingles_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     """(doc_id, shingles) of the documents named in ids, and of few others.
 
@@ -300,7 +299,7 @@ def _large_pairs(open_: DataFrame, sets: DataFrame, threshold_pct: int) -> DataF
 def _joining(x: pd.DataFrame, threshold_pct: int) -> list[tuple[int, int]]:
     """Pairs between two blocks of a bucket that link different components.
 
-    Whole sets give exact similarities, so a spanning forest stands for all links among them. Where
+    Whole sets of the same 64-bit hashes that confirm links give the same similarities here, so a spanning forest stands for all links among them. Where
     a set is thinned the similarity is an estimate, and every pair near the threshold is returned.
     """
     x = x.drop_duplicates("rep")
@@ -310,12 +309,12 @@ def _joining(x: pd.DataFrame, threshold_pct: int) -> list[tuple[int, int]]:
     if len(names) < 2:
         return []
     outside = label != names[counts.argmax()]  # every pair across components has a member here
-    values = [_unpack(v) for v in x["thin"]]
+    values = [np.frombuffer(v, np.uint64) for v in x["thin"]]
     root = label.copy()
     out: list[tuple[int, int]] = []
     for top in np.unique(level):
         use = np.flatnonzero((level == top) | (level == top - 1))
-        held = [v[v < np.uint64(1 << (8 * THIN_BYTES - int(top)))] for v in (values[k] for k in use)]
+        held = [_below(values[k], int(top)) for k in use]
         shared = _intersections(held, outside[use])
         size = np.array([len(v) for v in held])
         of = {k: len(v) for k, v in zip(use, held, strict=True)}

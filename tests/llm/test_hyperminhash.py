@@ -152,3 +152,18 @@ def test_thinned_margin_covers_the_sampling_error():
         "thin": [H._pack(one), H._pack(two)],
     })
     assert H._joining(x, 80) == [(1, 2)]
+
+
+def test_blocks_link_by_whole_hashes(spark):
+    """Two sets that agree in the upper bits of a hash only are not alike, and do not hide a true link."""
+    import numpy as np
+    import pandas as pd
+
+    base = np.arange(1, 101, dtype=np.uint64) << np.uint64(50)
+    near = base.copy()
+    near[80:] += np.uint64(1)  # upper bits as in base
+    true = base.copy()
+    true[95:] += np.uint64(1) << np.uint64(45)
+    rows = [(k, f.tobytes(), i) for i, (k, f) in enumerate(((1, base), (2, near), (3, true)))]
+    x = pd.DataFrame({"rep": [r[0] for r in rows], "thin": [r[1] for r in rows], "n_shingles": 100, "level": 0, "label": [10, 20, 20], "own": 0, "i": 0, "j": 0})
+    assert H._joining(x, 80) == [(1, 3)]
