@@ -322,19 +322,15 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = SIZE, gram:
         *[F.col(f"`{c}`").alias(n) for c, n in zip(others, names, strict=True)],
     ).withColumn("_key", IdFilter.key("_doc_id"))
 
-    def sieve(wanted: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                some = held.may_hold(batch.column("_key").to_numpy(zero_copy_only=False))
-                some &= batch.column("_doc_id").is_valid().to_numpy(zero_copy_only=False)
-                yield batch.filter(pa.array(some == wanted))
-
-        return rows.mapInArrow(run, rows.schema)
+    def chosen(batches: Iterator[pa.RecordBatch], wanted: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            some = held.may_hold(batch.column("_key").to_numpy(zero_copy_only=False))
+            some &= batch.column("_doc_id").is_valid().to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(some == wanted))
 
-    shuffled = sieve(True).withColumn("_sig", _signature("_text"))
+    shuffled = rows.mapInArrow(lambda batches: chosen(batches, True), rows.schema).withColumn("_sig", _signature("_text"))
     on = (F.col("_doc_id") == F.col("doc_id")) & (F.col("_sig") == F.col("sig"))
     shuffled = shuffled.join(spans, on, "left").select("_doc_id", "_text", "spans", *names)
-    alone = sieve(False).select("_doc_id", "_text", F.lit(None).cast("array<bigint>").alias("spans"), *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, "_text", _SLICE):
@@ -356,11 +352,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = SIZE, gram:
                 text = pa.compute.if_else(pa.array(removed > 0), text, part.column("_text"))
                 yield pa.RecordBatch.from_arrays([text, *[part.column(c) for c in names]], ["_text", *names])
 
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows without spans, chosen and finished in one Python process."""
+        kinds = ["_doc_id", "_text", "spans", *names]
+        for part in chosen(batches, False):
+            none = pa.nulls(part.num_rows, pa.list_(pa.int64()))
+            columns = [none if c == "spans" else part.column(c) for c in kinds]
+            yield from run(iter([pa.RecordBatch.from_arrays(columns, kinds)]))
+
     if digest:
         schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, n_spans long"
-        return shuffled.mapInArrow(run, schema).unionByName(alone.mapInArrow(run, schema))
+        return shuffled.mapInArrow(run, schema).unionByName(rows.mapInArrow(alone, schema))
     schema = T.StructType([T.StructField("_text", T.StringType()), *[shuffled.schema[c] for c in names]])
-    out = shuffled.mapInArrow(run, schema).unionByName(alone.mapInArrow(run, schema))
+    out = shuffled.mapInArrow(run, schema).unionByName(rows.mapInArrow(alone, schema))
     back = dict(zip(others, names, strict=True))
     return out.select(*[F.col(back.get(c, "_text")).alias(c) for c in docs.columns])
 
