@@ -52,9 +52,9 @@ BUCKET, LEAST_BITS = 1 << 22, 10
 #: Frequent shingles are at most so many (their counts add up to at most all shingles), and held by at least so many.
 FREQUENT, LEAST_FREQUENT = 500_000, 1000
 #: Sets of a bucket up to which its pairs are joined, and of a block of a larger one.
-SMALL, BLOCK = 32, 250
+SMALL, BLOCK = 32, 1000
 #: Shingles of the sets of a block, about.
-BLOCK_SHINGLES = 1 << 19
+BLOCK_SHINGLES = 1 << 20
 _REST = 6  # bytes of a shingle that travel beside its bucket
 _MOVED = "key long, slice binary, kind int, a binary, b binary, c binary"
 
