@@ -48,7 +48,9 @@ MANTISSA = 10
 #: confirmed, so a link may be lost with about 1e-8, in line with the bands.
 SIGMAS = 6.0
 #: Members of a bucket up to which all its pairs are joined, and of the blocks that larger ones are cut into.
-SMALL, BLOCK = 8, 2000
+SMALL, BLOCK = 8, 4000
+#: Slices of the usual size that sets are made of at a time.
+_SLICE = 0.5
 #: Hashes of a thinned set.
 THIN = 4096
 _RULE = W.rule(lower=True)
@@ -118,7 +120,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n_shingles, digest, sketch) of every row; digest names the set, null if empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches):
+        for part in W.slices(batches, scale=_SLICE):
             n = part.num_rows
             of, value = shingle_sets(part.column("text"), size)
             count = np.bincount(of, minlength=n).astype(np.int64)
@@ -201,7 +203,7 @@ def _shingles_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = (b.filter(pa.array(wanted.may_hold(b.column("key").to_numpy(zero_copy_only=False)))) for b in batches)
-        for part in W.slices(chosen):
+        for part in W.slices(chosen, scale=_SLICE):
             of, value = shingle_sets(part.column("text"), size)
             bound = np.searchsorted(of, np.arange(part.num_rows + 1))
             own = [np.sort(value[i:j]) for i, j in zip(bound[:-1], bound[1:], strict=True)]
