@@ -9,7 +9,8 @@ host's pages, and on more than ``LEAST``, are the site's template and are delete
 the block that holds most text go by the lower ``OUTER_SHARE`` and ``OUTER_LEAST``: a menu of one section of a large
 host is template, a passage that some articles share is not. Elements that say
 themselves that they are no article (navigation, footers, forms, scripts and the like, by tag, role or class)
-are deleted on any page, since a host with few pages has no counts to go by. Classes and ids count as whole words,
+are deleted on any page, since a host with few pages has no counts to go by; some words that an article's own parts may
+bear (``WEAK_NAMES``) say nothing inside of an article. Classes and ids count as whole words,
 a heading's id not at all, and they never take the page's largest article or, on a page without one, most of its text (reader
 comments: all of its text). If what is left holds an ``article`` or ``main`` element with text that is no reader's comment,
 text outside of such elements goes too.
@@ -18,8 +19,9 @@ What remains is cut into blocks at block elements. Character references are deco
 space inside a block becomes one space, and blocks are joined by a line feed in page order.
 
 Edge cases: null or empty html gives an empty text. Tags that are never closed end with their
-parent, or where HTML implies it; a stray end tag is ignored; an unfinished comment, script or tag
-runs to the end of the page. A null url is a host of its own. Rows that repeat a page_id
+parent, or where HTML implies it; a stray end tag is ignored; an unfinished comment, script, tag or quoted
+attribute runs to the end of the page. Tags, attributes and comments end where the HTML tokenizer ends them, but ``/>`` ends any element.
+Hidden elements are text as any other. A null url is a host of its own. Rows that repeat a page_id
 are pages of their own. Only page_id, url and html are read. A page of any length is parsed whole, in
 time linear in its length.
 """
@@ -77,10 +79,21 @@ ENDS = {
 }
 #: Elements that keep an implied end from reaching further up.
 WALLS = frozenset("ul ol dl table select td th article section div body html".split())
+#: Class words that say nothing inside of an article; there only the counts decide.
+WEAK_NAMES = frozenset("related social share promo widget notice".split())
+# The states of the HTML tokenizer, without backtracking: quotes count only after an equals sign, and what is unfinished
+# runs to the end of the page.
+_ATTRIBUTE_TEXT = r"""[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z)|[^ \t\n\f\r>"'][^ \t\n\f\r>]*+)?+)?+"""
 _TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+>?|</(?![A-Za-z]|\Z)[^>]*+>?"
+    rf"|<(/?)([A-Za-z][^ \t\n\f\r/>]*+)((?:[ \t\n\f\r]++|/(?!>)|{_ATTRIBUTE_TEXT})*+)(?:(/?)>|\Z)",
+    re.S,
 )
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(
+    r"""([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+("[^"]*+"?+|'[^']*+'?+|[^ \t\n\f\r>"'][^ \t\n\f\r>]*+)?+)?+"""
+)
+#: Only attributes that hold one of these words are read.
+_NAMING = re.compile(r"class|id|role", re.I)
 _SPACES = re.compile(r"\s+")
 
 
@@ -88,16 +101,33 @@ _SPACES = re.compile(r"\s+")
 class Element:
     tag: str
     attributes: str = ""
+    role: str = ""
+    names: frozenset[str] = frozenset()  # class words and the id; a heading's id is an anchor, not a name
     children: list = field(default_factory=list)  # elements and strings
     digest: int = 0
     size: int = 0  # characters of text, without elements of NO_TEXT
     best: int = 0  # size of the largest article or main, itself included
 
 
+def _element(tag: str, attributes: str) -> Element:
+    if not _NAMING.search(attributes):
+        return Element(tag, attributes)
+    values: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(attributes):
+        if value[:1] in ("'", '"'):
+            value = value[1:].removesuffix(value[0])
+        values.setdefault(name.lower(), references.unescape(value).lower())  # the first of a name counts
+    names = values.get("class", "").split()
+    if tag not in HEADINGS:
+        names += values.get("id", "").split()
+    return Element(tag, attributes, values.get("role", ""), frozenset(names))
+
+
 def parse(page: str) -> Element:
     """The element tree of a page; raw text elements hold their text as one string."""
     root = Element("html-root")
     stack = [root]
+    opened: Counter[str] = Counter()  # names on the stack
     at, n = 0, len(page)
     while at < n:
         m = _TOKEN.search(page, at)
@@ -107,42 +137,50 @@ def parse(page: str) -> Element:
         if m.start() > at:
             stack[-1].children.append(page[at: m.start()])
         at = m.end()
-        if m[2] is None:
+        if m[2] is None or m[4] is None:  # a comment, or a tag that the page's end cuts
             continue
         tag = m[2].lower()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                _close(stack, opened, k)
             continue
         if tag in BLOCKS:
-            _imply(stack, tag)
-        element = Element(tag, m[3].strip())
+            _imply(stack, opened, tag)
+        element = _element(tag, m[3].strip())
         stack[-1].children.append(element)
-        if tag in VOID or m[3].endswith("/"):
+        if tag in VOID or m[4]:
             continue
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            close = re.compile(rf"</{re.escape(tag)}(?=[ \t\n\f\r/>])", re.I).search(page, at)
             element.children.append(page[at: close.start() if close else n])
-            at = close.end() if close else n
+            at = close.start() if close else n  # its end tag is read as one of no open element
             continue
         stack.append(element)
+        opened[tag] += 1
     return root
 
 
-def _imply(stack: list[Element], tag: str) -> None:
+def _close(stack: list[Element], opened: Counter[str], k: int) -> None:
+    """End the open elements from the k-th on."""
+    opened.subtract(e.tag for e in stack[k:])
+    del stack[k:]
+
+
+def _imply(stack: list[Element], opened: Counter[str], tag: str) -> None:
     """End the open elements that a block's start tag ends: a paragraph, or an item of its kind."""
     ends = ENDS.get(tag, ())
     k = len(stack) - 1
-    while k > 0:
+    while k > 0 and (opened["p"] or any(opened[x] for x in ends)):
         own = stack[k].tag
         if own in ends:
-            del stack[k:]
+            _close(stack, opened, k)
             if tag not in ("tr", "tbody", "tfoot", "thead"):
                 return
         elif own == "p":
-            del stack[k:]
+            _close(stack, opened, k)
         elif own in WALLS and own not in ends or own in BLOCKS and not ends:
             return
         k -= 1
@@ -182,34 +220,21 @@ def digest(root: Element) -> list[int]:
     return list(found)
 
 
-def _names(e: Element) -> set[str]:
-    """Whole class words and the id of an element, lower-cased; a heading's id is an anchor, not a name."""
-    if not e.attributes:
-        return set()
-    found: set[str] = set()
-    for name, *values in _ATTRIBUTE.findall(e.attributes):
-        name = name.lower()
-        if name == "class" or name == "id" and e.tag not in HEADINGS:
-            found.update(next((v for v in values if v), "").lower().split())
-    return found
-
-
 def _is_article(e: Element) -> bool:
-    return e.tag in ("article", "main") and not COMMENT_NAMES & _names(e)
+    return e.tag in ("article", "main") and not COMMENT_NAMES & e.names
 
 
 def _useless(e: Element, whole: Element, best: int) -> bool:
     """Whether an element says itself that it is no article; whole is the article around it or the page, best the page's."""
     if e.tag in NO_TEXT:
         return True
-    if not e.attributes or e.tag in ROOTS or e.tag in ("article", "main") and _is_article(e):
+    if e.tag in ROOTS or e.tag in ("article", "main") and _is_article(e):
         return False
-    for name, *values in _ATTRIBUTE.findall(e.attributes):
-        value = next((v for v in values if v), "")
-        name = name.lower()
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in NO_ROLE:
-            return True
-    named = NO_NAMES & _names(e)
+    if e.role in NO_ROLE:
+        return True
+    named = NO_NAMES & e.names
+    if whole.tag not in ROOTS:
+        named -= WEAK_NAMES
     if not named:
         return False
     # a name does not outweigh the page's largest article, or most of the text around; comments may be most of a page

@@ -1,6 +1,9 @@
 """Main text of pages whose parts are known because the test wrote them."""
 
 import random
+import re
+import time
+from html.parser import HTMLParser
 
 from pyspark.sql import functions as F
 
@@ -147,3 +150,89 @@ def test_the_main_block_is_not_one_of_its_paragraphs():
     H.digest(root)
     assert [c.tag for c in H._main_block(root).children] == ["h2", "p", "div", "p"]
     assert [e.tag for e in H._outer(root)] == ["div"]
+
+
+def test_tags_comments_and_raw_text_end_where_the_tokenizer_ends_them():
+    for page, want in {
+        "<p title=don't>Hello world</p><p>it's fine</p>": "Hello world\nit's fine",
+        "a<!-->b<!--->c<!-- x --!>d<!-- y -- z -->e": "abcde",
+        "<script>x</script foo='>'><p>rest</p>": "rest",
+        "<script>x</scripty></script\n><p>rest": "rest",
+        "I </3 you> x < y </> z": "I x < y z",
+        "<a href=/x/>c</a> d": "c d",
+        "<p a = '>' b=\"<p>\" c= d=>t</p>": "t",
+        "text<a title='no end <p>more</p>": "text",
+        "text<p": "text",
+        "a<![CDATA[b>c]]>": "ac]]>",
+        "<svg/>a<br/>b": "a b",
+    }.items():
+        assert text_of(page) == want, page
+
+
+def test_what_an_attribute_says_is_not_its_name():
+    assert text_of("<p title='hidden gem'>a</p><p data-role='navigation'>b</p><p title=' class=ad'>c</p><p>long text</p>") == "a\nb\nc\nlong text"
+    assert text_of("<p>a longer text</p><p class='ad' class='x'>b</p><p class='x' class='ad'>c</p>") == "a longer text\nc"
+
+
+def test_an_articles_own_parts_stay():
+    page = "<article><p hidden>x</p><div class='related work'>r</div><div class='social'>s</div><p>text of the article</p><div class='ad'>buy</div></article>"
+    assert text_of(page) == "x\nr\ns\ntext of the article"
+    assert text_of("<div><p>text of the page</p></div><div class='related'>r</div>") == "text of the page"
+
+
+def test_hostile_pages_take_time_in_proportion():
+    for part in ("<a ", "<![CDATA[", "<!--", "</", "<script>", "<a x='", "<", "<a x=", "</i><b>", "<b><p>"):
+        begin = time.time()
+        H.parse("<b>" * 5000 + part * (1_000_000 // len(part)))
+        assert time.time() - begin < 20, part
+
+
+class Plain(HTMLParser):
+    """Texts and start tags by the standard library."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=False)
+        self.found = []
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.found.append((tag, *sorted({k: v for k, v in reversed(attrs)}.items())))
+
+    def handle_data(self, data):
+        self.found.append(data)
+
+    def handle_entityref(self, name):
+        self.found.append(f"&{name};")
+
+
+def test_the_parse_equals_the_standard_librarys():
+    rng = random.Random(5)
+    parts = ["text ", "a > b ", "&amp;", "it's ", '"quoted" ', "<b>", "</b>", "<i title=don't>", "<a href='x>y'>", '<a href="it\'s" class=k>', "</a >",
+             "<p\nid = z >", "</p>", "<div data-x=1/2 y>", "</div>", "<br>", "<!-- <p> - > -->", "<script>if (a < b) '</p>'</script>",
+             "<style>p > a</style >", "<!DOCTYPE html>", "<li>", "</ul>", "<h2 a=b c='d'>", "1 < 2 "]
+    for _ in range(400):
+        page = "".join(rng.choices(parts, k=rng.randint(1, 40)))
+        found, todo = [], [H.parse(page)]
+        while todo:
+            e = todo.pop()
+            if isinstance(e, str):
+                found.append(e)
+                continue
+            if e.tag != "html-root":
+                values = {}
+                for k, v in H._ATTRIBUTE.findall(e.attributes):
+                    values.setdefault(k, v[1:-1] if v[:1] in ("'", '"') else v)
+                found.append((e.tag, *values.items()))
+            todo += reversed(e.children)
+
+        def shape(items):
+            texts, tags = "", []
+            for x in items:
+                if isinstance(x, str):
+                    texts += x
+                else:
+                    tags.append((x[0], tuple((k, v or "") for k, v in sorted(x[1:]))))
+            return re.sub(r"\s+", " ", texts), tags
+
+        assert shape(found) == shape(Plain(page).found), page
