@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playlake.functions import jaccard, py_round
-from playlake.operators.ordering import global_position
+from playlake.operators.quality import COPY_STEP
 from playlake.operators.silver import latest
 
 
@@ -84,13 +84,48 @@ def agreement_summary(report: DataFrame, scale: int = 4) -> DataFrame:
     )
 
 
+#: Hexadecimal digits of a hash that name its bucket, and slices of a repeated key's rows.
+PREFIX, SLICES = 4, 256
+
+
 def seeded_order(df: DataFrame, key: str, seed: str, name: str = "position") -> DataFrame:
-    """WIN-4: a stable, seed-keyed shuffled position (sha256 of seed || key, then key) of unique keys."""
-    h = F.sha2(F.concat(F.lit(seed), F.col(key).cast("string")), 256)
-    # only the keys are sorted and stored; the rows join their positions back
-    keys = df.select(key).withColumn("_h", h)
-    placed = global_position(keys, [F.col("_h").asc(), F.col(key).asc()], name).select(key, name)
-    return df.join(placed, key)
+    """WIN-4: a stable, seed-keyed shuffled position (sha256 of seed || key, then key; NULL keys last).
+
+    Hashes are spread evenly, so no range sort is needed: keys are counted by the first digits of their
+    hash (65,536 buckets at most), a key's place is its bucket's start and its rank there. Rows
+    of one key take neighbouring positions, by a hash of the whole row; equal rows are counted, not sorted, so a hot
+    key never sits in one task. Columns must be of types that can be grouped.
+    """
+    k, names, one = F.col(f"`{key}`"), df.columns, F.count(F.lit(1))
+    counts = df.groupBy(k.alias("_key")).agg(one.alias("_n"))
+    counts = counts.withColumn("_h", F.sha2(F.concat(F.lit(seed), F.col("_key").cast("string")), 256))
+    counts = counts.withColumn("_prefix", F.coalesce(F.substring("_h", 1, PREFIX), F.lit("null")))  # after every digit
+    starts = _starts(counts, [], "_prefix", "_n")
+    inside = Window.partitionBy("_prefix").orderBy("_h", "_key").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("_rank", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(F.broadcast(starts), "_prefix")
+    placed = placed.select("_key", "_n", (F.col("_start") + F.col("_rank")).alias("_before"))
+    rows = df.join(placed, k.eqNullSafe(F.col("_key")))
+    once = rows.where("_n = 1").select(*names, (F.col("_before") + 1).alias(name))
+
+    whole = F.xxhash64(*names)
+    again = rows.where("_n > 1").groupBy(*names, "_key", "_before").agg(one.alias("_m"))
+    again = again.withColumn("_row", whole).withColumn("_slice", F.pmod("_row", F.lit(SLICES)))
+    of_slice = Window.partitionBy("_key", "_slice").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    slices = _starts(again, ["_key"], "_slice", "_m").withColumnsRenamed({"_key": "_of", "_slice": "_at"})
+    again = again.withColumn("_rank", F.coalesce(F.sum("_m").over(of_slice), F.lit(0)))
+    again = again.join(slices, F.col("_key").eqNullSafe(F.col("_of")) & (F.col("_slice") == F.col("_at")))
+    again = again.withColumn("_first", F.col("_before") + F.col("_start") + F.col("_rank"))
+    steps = again.select(*names, "_m", "_first", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_m") - 1) / COPY_STEP))).alias("_i"))
+    left = F.least(F.lit(COPY_STEP).cast("long"), F.col("_m") - F.col("_i") * COPY_STEP)
+    copies = steps.select(*names, "_first", "_i", F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("_copy"))
+    return once.unionByName(copies.select(*names, (F.col("_first") + F.col("_i") * COPY_STEP + F.col("_copy")).alias(name)))
+
+
+def _starts(df: DataFrame, by: list[str], part: str, n: str) -> DataFrame:
+    """(by, part, _start): the sum of ``n`` in the parts before, for each by; the parts are few."""
+    sums = df.groupBy(*by, part).agg(F.sum(n).alias("_sum"))
+    before = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    return sums.select(*by, part, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
 
 
 def last_line_wins(df: DataFrame, key: str, seq: str) -> DataFrame:

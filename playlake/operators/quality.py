@@ -172,12 +172,16 @@ def fingerprint(df: DataFrame, name: str | None = None) -> DataFrame:
     """DQ-6: order-insensitive identity: row count and the exact sum of row hashes.
 
     A row is written as text, ``column=value`` or ``column!`` for NULL, one to a
-    line, so that values cannot change places unseen; its hash is the first 60
-    bits of the SHA-256. Stable across partitioning and file layout, unlike
+    line; backslashes and line feeds inside names and values are escaped, so that
+    no two different rows have one text. Its hash is the first 60 bits of the SHA-256. Stable across partitioning and file layout, unlike
     parquet bytes.
     """
     def part(c: str) -> Column:
-        return F.coalesce(F.concat(F.lit(f"{c}="), F.col(c).cast("string")), F.lit(f"{c}!"))
+        # quoted: a name may hold dots; "=" inside a name would let name and value trade places
+        name = c.replace("\\", "\\\\").replace("\n", "\\n").replace("=", "\\=").replace("!", "\\!")
+        value = F.col(f"`{c.replace('`', '``')}`").cast("string")
+        value = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+        return F.coalesce(F.concat(F.lit(f"{name}="), value), F.lit(f"{name}!"))
 
     text = F.concat_ws("\n", *[part(c) for c in df.columns])
     h = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast(T.DecimalType(38, 0))

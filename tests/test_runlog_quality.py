@@ -114,6 +114,15 @@ def test_quality_suite_drift_fingerprint(spark):
     assert quality.fingerprint(b).first().fingerprint != f1.fingerprint
     left, right = (spark.createDataFrame([r], "p string, q string") for r in (("x", None), (None, "x")))
     assert quality.fingerprint(left).first().fingerprint != quality.fingerprint(right).first().fingerprint
+    pairs = [  # values and names that look like the encoding of others
+        ([("1\nb=2", "3")], [("1", "2\nb=3")], "a string, b string", "a string, b string"),
+        ([("\\n",)], [("\n",)], "a string", "a string"),
+        ([(None,)], [("",)], "a string", "a string"),
+        ([("c=1",)], [("1",)], "a string", "`a=c` string"),
+    ]
+    for x, y, s, t in pairs:
+        assert quality.fingerprint(spark.createDataFrame(x, s)).first() != quality.fingerprint(spark.createDataFrame(y, t)).first()
+    assert quality.fingerprint(spark.createDataFrame([("1",)], "`a.b` string")).first().n_rows == 1
     many = spark.createDataFrame([(1,)] * 9000, "k int")
     assert quality.drift(many, many.limit(1)).count() == 8999  # copies in several steps
     g = quality.gate(quality.gate_results(spark, [("style", "pass", None), ("docs", "skip", "absent"),
