@@ -94,7 +94,6 @@ _ATTRIBUTE = re.compile(
 )
 #: Only attributes that hold one of these words are read.
 _NAMING = re.compile(r"class|id|role", re.I)
-_SPACES = re.compile(r"\s+")
 
 
 @dataclass
@@ -165,7 +164,8 @@ def parse(page: str) -> Element:
 
 def _close(stack: list[Element], opened: Counter[str], k: int) -> None:
     """End the open elements from the k-th on."""
-    opened.subtract(e.tag for e in stack[k:])
+    for e in stack[k:]:
+        opened[e.tag] -= 1
     del stack[k:]
 
 
@@ -206,7 +206,7 @@ def digest(root: Element) -> list[int]:
                 e.size += c.size
                 e.best = max(e.best, c.best)
             elif not c.isspace():
-                text = _SPACES.sub(" ", c)
+                text = " ".join(c.split())
                 h.update(text)
                 e.size += len(text)
                 full = True
@@ -355,37 +355,48 @@ def _text(root: Element, template: frozenset[int] | set[int], beside: set[int],
             main.append(own is not None)
             todo.append((None, inside, kept))
         todo += [(c, own, kept) for c in reversed(e.children)]
-    texts = [_SPACES.sub(" ", references.unescape("".join(b))).strip() for b in blocks]
+    texts = [" ".join(references.unescape("".join(b)).split()) for b in blocks]
     chosen = [t for t, m in zip(texts, main, strict=True) if t and m] or [t for t in texts if t]
     return "\n".join(chosen)
 
 
 def _pages(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    return pages.select(
+    named = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host.alias("host")
     )
+    return named.withColumn("row", F.xxhash64("page_id", "url", "html"))  # equal rows hold the same hits
 
 
-def recurring_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """(host, subtree, everywhere) of the subtrees that recur on a host's distinct contents; if not everywhere, by the outer bar only."""
+def page_subtrees(pages: DataFrame) -> DataFrame:
+    """(row, host, content, subtrees, outer) of each page: hashes of its text, its subtrees, and those outside of its main block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in W.slices(batches, "html"):
-            found: dict[tuple[str, int], bytes] = {}
-            for name, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
+            content, subtrees, outer = [], [], []
+            for page in part.column("html").to_pylist():
                 root = parse(page or "")
-                own = np.sort(np.array(digest(root), np.int64)).tobytes()
-                content = xxhash.xxh3_64(main_text(root, frozenset())).intdigest() - (1 << 63)
-                found[name, content] = min(own, found.get((name, content), own))
+                subtrees.append(np.sort(np.array(digest(root), np.int64)).tobytes())
+                outer.append(list({e.digest for e in _outer(root)}))
+                content.append(xxhash.xxh3_64(main_text(root, frozenset())).intdigest() - (1 << 63))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int64()),
-                    pa.array(found.values(), pa.binary()),
+                    part.column("row"), part.column("host"), pa.array(content, pa.int64()), pa.array(subtrees, pa.binary()),
+                    pa.array(outer, pa.list_(pa.int64())),
                 ],
-                ["host", "content", "subtrees"],
+                ["row", "host", "content", "subtrees", "outer"],
             )
 
+    schema = "row long, host string, content long, subtrees binary, outer array<bigint>"
+    return _pages(pages).select("row", "host", "html").mapInArrow(run, schema)
+
+
+def recurring_subtrees(parsed: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
+    """(host, subtree, everywhere) of the subtrees that recur on a host's distinct contents; if not everywhere, by the outer bar only.
+
+    parsed is what ``page_subtrees`` returns.
+    """
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:  # counts of the batch; the row without a subtree counts the contents
             counts: dict[str, Counter] = defaultdict(Counter)
@@ -398,8 +409,7 @@ def recurring_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAS
             )
 
     # one page stands for all of its host with the same content
-    contents = _pages(pages).select("host", "html").mapInArrow(run, "host string, content long, subtrees binary")
-    contents = contents.groupBy("host", "content").agg(F.min("subtrees").alias("subtrees")).select("host", "subtrees")
+    contents = parsed.groupBy("host", "content").agg(F.min("subtrees").alias("subtrees")).select("host", "subtrees")
     counts = contents.mapInArrow(spread, "host string, subtree long, n long").groupBy("host", "subtree").agg(F.sum("n").alias("n"))
     total = F.max(F.when(F.col("subtree").isNull(), F.col("n")))
     several = counts.where((F.col("n") > min(least, OUTER_LEAST)) | F.col("subtree").isNull())
@@ -421,29 +431,15 @@ def _lists(recurring: DataFrame) -> DataFrame:
 
 def template_subtrees(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """(host, template): hashes of the subtrees on more than ``share`` of a host's distinct contents."""
-    return _lists(recurring_subtrees(pages, share, least))
+    return _lists(recurring_subtrees(page_subtrees(pages), share, least))
 
 
-def _outer_hits(rows: DataFrame, recurring: DataFrame) -> DataFrame:
+def _outer_hits(parsed: DataFrame, recurring: DataFrame) -> DataFrame:
     """(row, beside) of the pages that hold recurring subtrees outside of their main block.
 
     The list of such subtrees may be long, so it is not held by host: its rows are joined to those of the pages.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, "html"):
-            row, host, found = [], [], []
-            for key, name, page in zip(*(part.column(c).to_pylist() for c in ("row", "host", "html")), strict=True):
-                root = parse(page or "")
-                digest(root)
-                own = {e.digest for e in _outer(root)}
-                row += [key] * len(own)
-                host += [name] * len(own)
-                found += own
-            columns = [pa.array(row, pa.int64()), pa.array(host, pa.string()), pa.array(found, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "host", "subtree"])
-
-    own = rows.select("row", "host", "html").mapInArrow(run, "row long, host string, subtree long")
+    own = parsed.select("row", "host", F.explode("outer").alias("subtree"))
     hits = own.join(recurring.select("host", "subtree"), ["host", "subtree"])
     return hits.groupBy("row").agg(F.collect_set("subtree").alias("beside"))
 
@@ -469,11 +465,11 @@ def extract(pages: DataFrame, share: float = SHARE, least: int = LEAST) -> DataF
             )
 
     spark = pages.sparkSession
-    rows = _pages(pages).withColumn("row", F.xxhash64("page_id", "url", "html"))  # equal rows hold the same hits
-    recurring = store(spark, recurring_subtrees(pages, share, least), "templates")
-    hits = store(spark, _outer_hits(rows, recurring), "beside")
+    parsed = store(spark, page_subtrees(pages), "subtrees")
+    recurring = store(spark, recurring_subtrees(parsed, share, least), "templates")
+    hits = store(spark, _outer_hits(parsed, recurring), "beside")
     held = IdFilter(spark, hits, "row")
-    keyed = rows.withColumn("key", IdFilter.key("row"))
+    keyed = _pages(pages).withColumn("key", IdFilter.key("row"))
 
     def sieve(wanted: bool) -> DataFrame:
         def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
