@@ -115,7 +115,7 @@ def edge_runs(
     gram = min(gram, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, scale=_SLICE):
+        for part in W.released(W.slices(batches, scale=_SLICE)):
             words = W.split(part.column("text"), _RULE)
             at = W.window_starts(words, size)
             if not len(at):
@@ -203,7 +203,7 @@ def repeated_edges(runs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [np.empty(0, t) for t in (np.int64, np.int64, np.int64, np.int32, np.uint64)]
-        for batch in batches:
+        for batch in W.released(batches):
             if not batch.num_rows:
                 continue
             column = batch.column("windows")
@@ -333,7 +333,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, size: int = SIZE, gram:
     shuffled = shuffled.join(spans, on, "left").select("_doc_id", "_text", "spans", *names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, "_text", _SLICE):
+        for part in W.released(W.slices(batches, "_text", _SLICE)):
             words = W.split(part.column("_text"), _RULE)
             n = np.diff(words.first)
             mark = np.zeros(len(words) + 1, np.int64)

@@ -120,7 +120,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n_shingles, digest, sketch) of every row; digest names the set, null if empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, scale=_SLICE):
+        for part in W.released(W.slices(batches, scale=_SLICE)):
             n = part.num_rows
             of, value = shingle_sets(part.column("text"), size)
             count = np.bincount(of, minlength=n).astype(np.int64)
@@ -203,7 +203,7 @@ def _shingles_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = (b.filter(pa.array(wanted.may_hold(b.column("key").to_numpy(zero_copy_only=False)))) for b in batches)
-        for part in W.slices(chosen, scale=_SLICE):
+        for part in W.released(W.slices(chosen, scale=_SLICE)):
             of, value = shingle_sets(part.column("text"), size)
             bound = np.searchsorted(of, np.arange(part.num_rows + 1))
             own = [np.sort(value[i:j]) for i, j in zip(bound[:-1], bound[1:], strict=True)]
@@ -221,7 +221,7 @@ def _thin_sets(sets: DataFrame) -> DataFrame:
     """(doc_id, level, thin) of every set, see ``_thin``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in W.released(batches):
             thin = [_thin(np.frombuffer(v, np.uint64)) for v in batch.column("shingles").to_pylist()]
             levels, values = pa.array([t[0] for t in thin], pa.int32()), pa.array([t[1] for t in thin], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), levels, values], ["doc_id", "level", "thin"])
@@ -235,7 +235,7 @@ def _confirm(sets: DataFrame, pairs: DataFrame, threshold_pct: int) -> DataFrame
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("s_b"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
+        for x in W.released(batches):
             ok = []
             for s_a, s_b in zip(x["s_a"], x["s_b"], strict=True):
                 a, b = np.frombuffer(s_a, np.uint64), np.frombuffer(s_b, np.uint64)

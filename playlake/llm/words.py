@@ -9,6 +9,7 @@ text makes a slice of its own).
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -97,6 +98,30 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", scale: float =
         yield batch.slice(begin)
 
 
+def released(parts: Iterator, every: int = 16) -> Iterator:
+    """The parts; what was freed goes back to the system after every few and at the end.
+
+    Spark keeps its Python workers for later tasks, and the allocators would keep freed memory for them.
+    """
+    for i, part in enumerate(parts, 1):
+        yield part
+        del part
+        if i % every == 0:
+            _give_back()
+    _give_back()
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array; a null text has no bytes."""
     if isinstance(texts, pa.ChunkedArray):
