@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -172,18 +173,21 @@ def fingerprint(df: DataFrame, name: str | None = None) -> DataFrame:
     """DQ-6: order-insensitive identity: row count and the exact sum of row hashes.
 
     A row is written as text, ``column=value`` or ``column!`` for NULL, one to a
-    line; backslashes and line feeds inside names and values are escaped, so that
-    no two different rows have one text. Its hash is the first 60 bits of the SHA-256. Stable across partitioning and file layout, unlike
+    line. A row with a value that holds a line which looks like a column's also gets
+    the lengths of its values, so that no two rows of a schema have one text. Its hash is the first
+    60 bits of the SHA-256. Stable across partitioning and file layout, unlike
     parquet bytes.
     """
-    def part(c: str) -> Column:
-        # quoted: a name may hold dots; "=" inside a name would let name and value trade places
-        name = c.replace("\\", "\\\\").replace("\n", "\\n").replace("=", "\\=").replace("!", "\\!")
-        value = F.col(f"`{c.replace('`', '``')}`").cast("string")
-        value = F.replace(F.replace(value, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
-        return F.coalesce(F.concat(F.lit(f"{name}="), value), F.lit(f"{name}!"))
-
-    text = F.concat_ws("\n", *[part(c) for c in df.columns])
+    values = {c: F.col(f"`{c.replace('`', '``')}`").cast("string") for c in df.columns}
+    plain = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp")
+    looks = "\n(?:" + "|".join(re.escape(c) for c in df.columns) + ")[=!]"
+    doubt = F.lit(False)
+    for c, kind in df.dtypes:
+        if kind not in plain:
+            doubt = doubt | F.coalesce(values[c].rlike(looks), F.lit(False))
+    lengths = F.concat_ws(",", *[F.coalesce(F.length(v), F.lit(-1)).cast("string") for v in values.values()])
+    lines = [F.coalesce(F.concat(F.lit(f"{c}="), v), F.lit(f"{c}!")) for c, v in values.items()]
+    text = F.concat(F.concat_ws("\n", *lines), F.when(doubt, F.concat(F.lit("\n#"), lengths)).otherwise(F.lit("")))
     h = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast(T.DecimalType(38, 0))
     out = df.groupBy().agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(h), F.lit(0)).cast("string").alias("fingerprint"))
     return out if name is None else out.select(F.lit(name).alias("table_name"), "*")

@@ -118,7 +118,8 @@ def test_quality_suite_drift_fingerprint(spark):
         ([("1\nb=2", "3")], [("1", "2\nb=3")], "a string, b string", "a string, b string"),
         ([("\\n",)], [("\n",)], "a string", "a string"),
         ([(None,)], [("",)], "a string", "a string"),
-        ([("c=1",)], [("1",)], "a string", "`a=c` string"),
+        ([("1\nb!", None)], [("1", "\nb!")], "a string, b string", "a string, b string"),
+        ([("x\nb=y", "z")], [("x", "y\nb=z\n#5,1")], "a string, b string", "a string, b string"),
     ]
     for x, y, s, t in pairs:
         assert quality.fingerprint(spark.createDataFrame(x, s)).first() != quality.fingerprint(spark.createDataFrame(y, t)).first()
