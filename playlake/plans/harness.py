@@ -17,7 +17,7 @@ from playlake.functions import (
     clamp, composite_key, first_or_null, parse_string_array, py_round, strip_html, tag_display, to_json_list,
 )
 from playlake.functions.json import parse_tag_responses
-from playlake.operators import enrich, evals, gold, quality, report, runlog, silver, stats
+from playlake.operators import enrich, evals, frozen, gold, ledger, observed, quality, report, runlog, silver, stats, viewers
 from playlake.operators import labels as labelops
 from playlake.operators.frames import side_by_side
 from playlake.operators.partitioning import spread
@@ -25,6 +25,7 @@ from playlake.plans.tables import table
 from playlake.schemas import CATALOG_PAGE, GATE_EVENT, TONES
 from playlake.session import scratch_path
 from playlake.sources import bronze, files
+from playlake.streaming import run_state, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1392,3 +1393,107 @@ def q_display_keys(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", composite_key("l_orderkey", "l_partkey", "l_suppkey").alias("event_key"),
         tag_display(F.array("l_returnflag", "l_linestatus")).alias("flags"), clamp("l_quantity", 5.0, 30.0).alias("clamped"))
+
+
+# ---------------------------------------------------------------------------
+# Results kept between runs: ledger, viewers by day, fingerprints, run state
+# ---------------------------------------------------------------------------
+def _length_classifier(batch):
+    """Replies that follow from the prompt alone, so that equal prompts have equal replies."""
+    n = batch["prompt"].str.len()
+    return batch[["media_id"]].assign(raw_response=n.map(lambda k: '["long"]' if k > 400 else '["short"]'), latency_ms=n,
+                                      input_tokens=n // 4, output_tokens=1)
+
+
+@register("enrich_ledger", """
+SELECT doc_id AS media_id, CASE WHEN n > 400 THEN '["long"]' ELSE '["short"]' END AS raw_response, n AS latency_ms,
+       n // 4 AS input_tokens, CAST(1 AS BIGINT) AS output_tokens
+FROM (SELECT doc_id, length(substring(text, 1, 2000)) AS n FROM documents WHERE length(text) > 40)
+""")
+def q_enrich_ledger(spark, sf_dir):
+    """ENR-2: English texts are classified first; the second run, over all texts, calls for the missing prompts only."""
+    path = scratch_path(spark, f"replies-{uuid.uuid4().hex}")
+    docs = table(spark, sf_dir, "documents")
+    ledger.classify(enrich.candidates(docs.filter("lang = 'en'"), key="doc_id", text="text"), _length_classifier, "length-1", path, waves=2)
+    return ledger.classify(enrich.candidates(docs, key="doc_id", text="text"), _length_classifier, "length-1", path, waves=2)
+
+
+@register("viewers_by_year", """
+WITH f AS (SELECT CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS title_key, o_custkey, o_orderstatus = 'F' AS first FROM orders)
+SELECT title_key, strict, count(DISTINCT o_custkey) FILTER (WHERE first) AS ep1_viewers,
+       count(DISTINCT o_custkey) FILTER (WHERE NOT first AND (NOT strict OR (title_key, o_custkey) IN
+           (SELECT (title_key, o_custkey) FROM f WHERE first))) AS ep2_viewers
+FROM f, (VALUES (true), (false)) s(strict) GROUP BY title_key, strict
+""")
+def q_viewers_by_year(spark, sf_dir):
+    """AGG-1 / AGG-2: customers of each order priority (finished orders, other ones), appended in two steps of whole years."""
+    path = scratch_path(spark, f"viewers-{uuid.uuid4().hex}")
+    fact = table(spark, sf_dir, "orders").select(
+        F.substring("o_orderpriority", 1, 1).cast("long").alias("title_key"), F.when(F.col("o_orderstatus") == "F", 1).otherwise(2).alias("episode"),
+        F.col("o_custkey").alias("user_key"), F.trunc("o_orderdate", "year").alias("watch_date"))
+    late = F.coalesce(F.col("watch_date") >= F.lit("1998-01-01").cast("date"), F.lit(True))
+    viewers.append_days(fact.filter(~late), path)
+    viewers.append_days(fact.filter(late), path)
+    days = viewers.stored_days(spark, path)
+    both = [viewers.episode_viewers(days, strict_cohort=strict).withColumn("strict", F.lit(strict)) for strict in (True, False)]
+    return both[0].unionByName(both[1])
+
+
+def _row_text_sql(columns: list[str]) -> str:
+    return " || ".join(f"coalesce('{c}=' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR) || ';', '{c}!;')" for c in columns)
+
+
+@register("bucket_prints", f"""
+SELECT substr(sha256({_row_text_sql(["doc_id"])}), 1, 2) AS bucket, count(*) AS n_rows,
+       CAST(sum(CAST(CAST('0x' || substr(sha256({_row_text_sql(_PRINTED["documents"])}), 1, 15) AS BIGINT) AS HUGEINT)) AS VARCHAR) AS print
+FROM documents GROUP BY 1
+""")
+def q_bucket_prints(spark, sf_dir):
+    """DQ-6: a fingerprint for each key bucket of a whole table."""
+    return frozen.bucket_prints(table(spark, sf_dir, "documents").select(*_PRINTED["documents"]), ["doc_id"])
+
+
+@register("frozen_drift", ORACLE["golden_drift"])
+def q_frozen_drift(spark, sf_dir):
+    """DQ-5 / DQ-6: the mart stored with its bucket fingerprints against a changed model; unequal buckets are read."""
+    cols = ["title_key", "title", "primary_genre", "ep1_viewers", "ep2_viewers", "ep2_retention"]
+    path = scratch_path(spark, f"frozen-{uuid.uuid4().hex}")
+    frozen.freeze(quality.freeze(dropoff(spark, sf_dir), cols), ["title_key"], path)
+    return frozen.drift(spark, path, quality.freeze(dropoff(spark, sf_dir, strict_cohort=True), cols), ["title_key"])
+
+
+@register("observed_suite", """
+SELECT test_order, test, 'fact' AS model, column_name, failures, failures = 0 AS passed FROM (
+  SELECT CAST(0 AS INTEGER) AS test_order, 'not_null' AS test, 'l_shipdate' AS column_name, count(*) FILTER (WHERE l_shipdate IS NULL) AS failures FROM lineitem
+  UNION ALL SELECT 1, 'bounds', 'quantity', count(*) FILTER (WHERE NOT coalesce(l_quantity BETWEEN 1 AND 40, false)) FROM lineitem
+  UNION ALL SELECT 2, 'bounds', 'line', count(*) FILTER (WHERE NOT coalesce(l_linenumber >= 1, false)) FROM lineitem
+  UNION ALL SELECT 3, 'relationships', 'l_suppkey', (SELECT count(*) FROM lineitem l WHERE l_suppkey IS NOT NULL
+            AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey)))
+""")
+def q_observed_suite(spark, sf_dir):
+    """DQ-2 / DQ-4 / DQ-7: null and bounds checks counted by the write; relationships keep their pass."""
+    path = scratch_path(spark, f"observed-{uuid.uuid4().hex}")
+    fact = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    written = observed.write(fact, path, "fact", ["l_shipdate"],
+                             {"quantity": F.col("l_quantity").between(1, 40), "line": F.col("l_linenumber") >= 1})
+    stored = spark.read.schema(fact.schema).parquet(path)
+    return observed.suite(written, [quality.Check("relationships", "fact", "l_suppkey", stored, table(spark, sf_dir, "supplier"), "s_suppkey")])
+
+
+@register("run_status_stream", """
+SELECT 'run-' || user_id AS run_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS started_at, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS finished_at,
+       CASE WHEN bool_or(event_type = 'error') THEN 'fail' ELSE 'pass' END AS status,
+       count(DISTINCT event_type) AS gates_done, count(*) AS log_lines
+FROM events WHERE user_id IS NOT NULL GROUP BY user_id
+""")
+def q_run_status_stream(spark, sf_dir):
+    """STR-4 / STR-5: run records from a stream of several micro-batches whose state holds open runs only."""
+    root = scratch_path(spark, f"runs-{uuid.uuid4().hex}")
+    events = _gate_events(spark, sf_dir).filter(F.col("run_id").isNotNull())
+    events.write.parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 8).parquet(f"{root}/events")
+    query = streams.append_to(run_state.run_parts(stream, silence_ms=None), f"{root}/parts", f"{root}/ck", available_now=True)
+    query.awaitTermination()
+    runs = run_state.fold(spark.read.schema(run_state.OUT).parquet(f"{root}/parts"))
+    return runs.select("run_id", F.date_format("started_at", _TS_FMT).alias("started_at"), F.date_format("finished_at", _TS_FMT).alias("finished_at"),
+                       "status", "gates_done", "log_lines")
