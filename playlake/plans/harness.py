@@ -1458,8 +1458,8 @@ def q_frozen_drift(spark, sf_dir):
     """DQ-5 / DQ-6: the mart stored with its bucket fingerprints against a changed model; unequal buckets are read."""
     cols = ["title_key", "title", "primary_genre", "ep1_viewers", "ep2_viewers", "ep2_retention"]
     path = scratch_path(spark, f"frozen-{uuid.uuid4().hex}")
-    frozen.freeze(quality.freeze(dropoff(spark, sf_dir), cols), ["title_key"], path)
-    return frozen.drift(spark, path, quality.freeze(dropoff(spark, sf_dir, strict_cohort=True), cols), ["title_key"])
+    frozen.freeze(quality.freeze(dropoff(spark, sf_dir), cols), ["title_key"], path, digits=1)
+    return frozen.drift(spark, path, quality.freeze(dropoff(spark, sf_dir, strict_cohort=True), cols), ["title_key"], digits=1)
 
 
 @register("observed_suite", """
