@@ -19,13 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def store(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def store(spark: SparkSession, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write an intermediate result to the shared checkpoint folder and read it again.
 
-    It cuts lineage and survives lost executors. ``clean`` deletes what was written.
+    It cuts lineage and survives lost executors. ``clean`` deletes what was written. ``compression`` names a Parquet codec
+    other than the session's.
     """
     path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     _FOLDERS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -51,6 +51,8 @@ SIGMAS = 6.0
 SMALL, BLOCK = 8, 4000
 #: Slices of the usual size that sets are made of at a time.
 _SLICE = 0.5
+#: Codec of the tables of sketches and bands; registers have some 12 of 16 bits of information.
+PACKED = "zstd"
 #: Hashes of a thinned set.
 THIN = 4096
 _RULE = W.rule(lower=True)
@@ -369,20 +371,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, thresho
     at least threshold_pct percent; kept is true for that document.
     """
     threshold = threshold_pct / 100
-    rows = store(spark, sketches(docs, size), "sketch")
+    rows = store(spark, sketches(docs, size), "sketch", PACKED)
     full = rows.where("digest is not null and doc_id is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     member = store(
         spark, full.select("digest", "doc_id").distinct().join(classes, "digest").select("doc_id", "rep"), "classes"
     )
     reps = full.join(member.where("doc_id = rep").select("doc_id").distinct(), "doc_id", "left_semi")
-    reps = store(spark, reps.select("doc_id", "n_shingles", "sketch"), "reps")
-    shared = store(spark, _shared_bands(_bands(reps)), "bands")
+    reps = store(spark, reps.select("doc_id", "n_shingles", "sketch"), "reps", PACKED)
+    shared = store(spark, _shared_bands(_bands(reps)), "bands", PACKED)
     sets = store(spark, _shingles_of(spark, docs, shared.select(F.col("rep").alias("doc_id")).distinct(), size), "sets")
     first = store(spark, _pairs_near(reps, _first_pairs(shared), threshold), "pairs")
     links = store(spark, _confirm(sets, first, threshold_pct), "links")
     label = connected_components(spark, links)
-    open_ = store(spark, _open_buckets(shared, label, reps), "open")
+    open_ = store(spark, _open_buckets(shared, label, reps), "open", PACKED)
     rest = _pairs_near(reps, _small_pairs(open_, threshold_pct), threshold).union(_large_pairs(open_, sets, threshold_pct))
     rest = rest.distinct().join(first, ["a", "b"], "left_anti")
     links = links.unionByName(_confirm(sets, rest, threshold_pct))
