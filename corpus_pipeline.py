@@ -26,15 +26,18 @@ MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.bound_batches(spark)
     return toxicity.drop_toxic(spark, docs, common.table(spark, sf_dir, "labels"))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.bound_batches(spark)
     return hyperminhash.keep_one(spark, docs, size=5, threshold_pct=80)
 
 
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """n_chars follows the text that is left; a text left as it was keeps its n_chars."""
+    common.bound_batches(spark)
     cut = debruijn.remove_repeats(spark, docs.withColumn("_full", F.length("text")), size=20)
     same = F.length("text").eqNullSafe(F.col("_full"))
     if "n_chars" in docs.columns:
@@ -43,10 +46,12 @@ def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.bound_batches(spark)
     return phrase_index.drop_contaminated(spark, docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.bound_batches(spark)
     return sp_codec.digests(docs, MODEL)
 
 

@@ -57,7 +57,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         block = (task.partitionId() if task else 0) << 32
-        for part in W.slices(batches, scale=SCALE):
+        for part in W.released(W.slices(batches, scale=SCALE), 2):
             words = W.split(part.column("text"), _RULE)
             coded = words.values().dictionary_encode()
             code = coded.indices.to_numpy(zero_copy_only=False)

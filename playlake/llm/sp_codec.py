@@ -40,6 +40,8 @@ GROUPS, _NEVER = (4, 8, 12, 16, 24, 48), 1 << 30
 _MARK = SPACE.encode()
 #: Characters that are no piece get numbers from here on, so that no pair with them is found.
 _STRANGE = 1 << 21
+#: Size of what a worker encodes at a time, in slices, and after how many of them it gives freed memory back.
+_SLICE, _EVERY = 0.5, 4
 
 
 class Normalizer:
@@ -77,7 +79,7 @@ class Normalizer:
     def rewrite(self, raw: bytes) -> tuple[bytes, np.ndarray]:
         """(mapped bytes, source byte of each, with the source's length at the end)."""
         if not len(self.units):
-            return raw, np.arange(len(raw) + 1)
+            return raw, np.arange(len(raw) + 1, dtype=np.int32 if len(raw) < 1 << 31 else np.int64)
         out, source, k = bytearray(), [], 0
         while k < len(raw):
             found = self.longest(raw, k)
@@ -355,7 +357,11 @@ class Codec:
         normal, source = self.normalizer.normalise(text)
         numbers = self.numbers([normal])[0]
         ends = self.ends(numbers)
-        return numbers.tolist(), np.stack([source[ends[:-1]], source[ends[1:]]], 1)
+        return numbers.tolist(), np.stack([source[ends[:-1]], source[ends[1:]]], 1).astype(np.int64)
+
+    def forget(self) -> None:
+        """Drop the remembered chunks: a worker that a task has ended in may stay for other work."""
+        self.young, self.old, self.held = {}, {}, 0
 
 
 @lru_cache(maxsize=2)
@@ -370,6 +376,16 @@ def _open(path: str) -> Codec:
     return codec(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
 
 
+def _slices(batches: Iterator[pa.RecordBatch], own: Codec) -> Iterator[pa.RecordBatch]:
+    """Slices of a task's batches; what was freed is given back meanwhile, and the remembered chunks at the end."""
+
+    def parts() -> Iterator[pa.RecordBatch]:
+        yield from W.slices(batches, scale=_SLICE)
+        own.forget()
+
+    return W.released(parts(), _EVERY)
+
+
 def digests(docs: DataFrame, model: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256, n_bytes, spanned) of every row of docs.
 
@@ -379,7 +395,7 @@ def digests(docs: DataFrame, model: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _open(model)
         sha, decimal, surface = hashlib.sha256, own.decimals.__getitem__, own.surface.__getitem__
-        for part in W.slices(batches):
+        for part in _slices(batches, own):
             out = []
             normal = [own.normalizer.normalise(t.as_py() or "") for t in part.column("text")]
             numbers_of = own.numbers([n[0] for n in normal])
@@ -410,7 +426,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _open(model)
-        for part in W.slices(batches):
+        for part in _slices(batches, own):
             got = [own.encode(t or "") for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [

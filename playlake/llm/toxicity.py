@@ -154,7 +154,7 @@ def score(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataF
     keep = keep or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches):
+        for part in W.released(W.slices(batches), 4):
             p = model.severity(part.column("text").to_pylist())
             severity = p.sum(1)
             grade = (p >= 0.5).sum(1).astype(np.int32)
@@ -178,7 +178,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataF
     text = names[docs.columns.index("text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in W.slices(batches, text):
+        for part in W.released(W.slices(batches, text), 4):
             yield part.filter(pa.array(model.severity(part.column(text).to_pylist()).sum(1) < REJECT))
 
     kept = rows.mapInArrow(run, rows.schema)

@@ -3,6 +3,8 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
+import pytest
 import sentencepiece
 
 import corpus_pipeline as C
@@ -89,3 +91,30 @@ def test_run_applies_all_stages_and_cleans_up(spark, tmp):
     got = C.run(spark, tmp)
     assert got.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and 0 < got.count() < 300
     assert common.mark() == before
+
+
+@pytest.fixture
+def batch_setting(spark):
+    """The name of the setting that bounds Arrow batches, which starts at Spark's own value and gets its old one back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.unset(key)
+    yield key
+    spark.conf.set(key, old)
+
+
+def test_stages_send_whole_texts_in_bounded_batches(spark, tmp, batch_setting):
+    tables(spark, tmp)
+    docs = spark.range(0, 30, 1, 1).selectExpr("id doc_id", "repeat('word ', 200000) text")
+    sizes = lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+    for _, stage in C.STAGES:
+        spark.conf.unset(batch_setting)
+        stage(spark, common.table(spark, tmp, "documents"), tmp)
+        got = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+        assert sum(got) >= 30_000_000 and max(got) < 14 << 20
+
+
+def test_a_batch_size_that_the_user_has_set_stays(spark, batch_setting):
+    spark.conf.set(batch_setting, "3m")
+    common.bound_batches(spark)
+    assert spark.conf.get(batch_setting) == "3m"

@@ -4,13 +4,16 @@ import hashlib
 import random
 import struct
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from playlake.llm import sp_codec as S
+from playlake.llm import words as W
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
@@ -106,3 +109,21 @@ def test_squeezing_keeps_single_inner_spaces():
     text, source = normal("  a   b ")
     assert text == "▁a▁b" and source.tolist() == [2, 2, 2, 2, 3, 3, 3, 6, 8]
     assert normal("   ")[0] == ""
+
+
+def test_a_worker_keeps_neither_chunks_nor_powers_when_its_task_ends():
+    codec = S.codec(MODEL)
+    W.powers(10, W._MUL)
+    batch = pa.record_batch({"text": [t for t in ODD for _ in range(40)]})
+    parts, remembered = [], []
+    for part in S._slices(iter([batch]), codec):
+        parts += [codec.encode(t)[0] for t in part.column("text").to_pylist()]
+        remembered.append(len(codec.young))
+    assert parts == [LIBRARY.encode(t) for t in ODD for _ in range(40)] and len(remembered) > 1 and min(remembered) > 0
+    assert not codec.young and not codec.old and codec.held == 0 and W._powers.cache_info().currsize == 0
+    check("still the same")
+
+
+def test_alignment_takes_four_bytes_a_place():
+    source = S.codec(MODEL).normalizer.normalise("a b")[1]
+    assert source.dtype == np.int32 and source.tolist() == [0, 0, 0, 0, 1, 1, 1, 2, 3]
