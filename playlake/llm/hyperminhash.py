@@ -11,14 +11,17 @@ Links are searched in two passes, so that a large group does not become all its
 
 1. each representative is compared with the smallest members of its buckets (the three with
    which it shares most bands); confirmed links give first components;
-2. in each bucket that still holds several components, all pairs across components are
-   compared: by a join in small buckets; in larger ones in blocks of ``BLOCK`` members a side, on whole sets
-   (thinned by a hash threshold beyond ``THIN`` shingles), of which only links that
+2. members of buckets that still hold several components are compared across components: by a
+   join in small buckets. A large bucket, of documents that share a passage or that are so short that
+   few registers are full, grows with the corpus, and all its pairs with the square of it. So members of
+   large buckets are paired by the rarest shingles of their sets instead (``prefix_pairs``), which
+   leaves out no pair at the threshold. Where most sets that meet at a shingle remain pairs, they are compared in blocks of
+   ``BLOCK`` members a side, on whole sets (thinned by a hash threshold beyond ``THIN`` shingles), of which only links that
    join components leave the task. All are confirmed on full sets.
 
 The second pass covers every pair that the first left out and that could join two
-components, so components are those of all links among banded pairs. With 48 bands of
-5 registers a pair at similarity 0.8 shares no band with probability 5e-9.
+components, so components are those of all links among banded pairs, and of any others among members of
+large buckets. With 48 bands of 5 registers a pair at similarity 0.8 shares no band with probability 5e-9.
 
 Edge cases: a null or empty text has no shingles, forms its own component and is kept. A
 text of fewer words than a shingle has one shingle, its whole word sequence. Rows that
@@ -34,9 +37,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from playlake.llm import prefix_pairs as P
 from playlake.llm import words as W
 from playlake.llm.common import IdFilter, store
 from playlake.llm.components import connected_components
@@ -47,7 +51,8 @@ MANTISSA = 10
 #: Standard deviations by which an estimate may fall short of the threshold and still be confirmed. Pairs below are never
 #: confirmed, so a link may be lost with about 1e-8, in line with the bands.
 SIGMAS = 6.0
-#: Members of a bucket up to which all its pairs are joined, and of the blocks that larger ones are cut into.
+#: Members of a bucket up to which all its pairs are joined, and pairs for each set that meets others at a shingle up to which they are
+#: confirmed one by one; members of the blocks that more are cut into.
 SMALL, BLOCK = 8, 4000
 #: Slices of the usual size that sets are made of at a time.
 _SLICE = 0.5
@@ -150,7 +155,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _bands(reps: DataFrame) -> DataFrame:
-    """(band, rep): one row for each band of a sketch that has a full register."""
+    """(band, rep, n_shingles): one row for each band of a sketch that has a full register."""
     width = 2 * ROWS
     empty = F.lit(bytes(width))
     own = [
@@ -158,7 +163,7 @@ def _bands(reps: DataFrame) -> DataFrame:
         for b in range(BANDS)
         for part in [F.substring("sketch", 1 + b * width, width)]
     ]
-    return reps.select(F.explode(F.array_compact(F.array(*own))).alias("band"), F.col("doc_id").alias("rep"))
+    return reps.select(F.explode(F.array_compact(F.array(*own))).alias("band"), F.col("doc_id").alias("rep"), "n_shingles")
 
 
 def _pairs_near(reps: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
@@ -219,16 +224,17 @@ def _shingles_of(spark: SparkSession, docs: DataFrame, ids: DataFrame, size: int
     )
 
 
-def _thin_sets(sets: DataFrame) -> DataFrame:
-    """(doc_id, level, thin) of every set, see ``_thin``."""
+def _thin_sets(sets: DataFrame, wanted: IdFilter) -> DataFrame:
+    """(doc_id, level, thin) of the wanted sets, see ``_thin``, and of few others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in W.released(batches):
+        chosen = (b.filter(pa.array(wanted.may_hold(b.column("key").to_numpy(zero_copy_only=False)))) for b in batches)
+        for batch in W.released(chosen):
             thin = [_thin(np.frombuffer(v, np.uint64)) for v in batch.column("shingles").to_pylist()]
             levels, values = pa.array([t[0] for t in thin], pa.int32()), pa.array([t[1] for t in thin], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), levels, values], ["doc_id", "level", "thin"])
 
-    return sets.select("doc_id", "shingles").mapInArrow(run, "doc_id long, level int, thin binary")
+    return sets.select("doc_id", "shingles", IdFilter.key().alias("key")).mapInArrow(run, "doc_id long, level int, thin binary")
 
 
 def _confirm(sets: DataFrame, pairs: DataFrame, threshold_pct: int) -> DataFrame:
@@ -249,43 +255,70 @@ def _confirm(sets: DataFrame, pairs: DataFrame, threshold_pct: int) -> DataFrame
 
 
 def _shared_bands(bands: DataFrame) -> DataFrame:
-    """(band, rep, hub, n) of the bands that several representatives share; hub is the smallest."""
-    ends = bands.groupBy("band").agg(F.min("rep").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    return bands.join(ends, "band")
+    """(band, rep, n_shingles, hub, hub_shingles, n) of the bands that several representatives share; hub is the smallest."""
+    rows = bands.repartition("band")  # dealt once for both sides
+    ends = rows.groupBy("band").agg(F.min(F.struct("rep", "n_shingles")).alias("hub"), F.count("*").alias("n")).where("n > 1")
+    return rows.join(ends, "band").select(
+        "band", "rep", "n_shingles", F.col("hub.rep").alias("hub"), F.col("hub.n_shingles").alias("hub_shingles"), "n"
+    )
+
 
+def _sizes_allow(one: str, two: str, threshold_pct: int) -> Column:
+    return 100 * F.least(one, two) >= threshold_pct * F.greatest(one, two)
 
-def _first_pairs(shared: DataFrame) -> DataFrame:
-    """Each representative with the three hubs of its buckets that it shares most bands with."""
-    counts = shared.where("rep <> hub").groupBy("rep", "hub").agg(F.count("*").alias("n"))
+
+def _first_pairs(shared: DataFrame, threshold_pct: int) -> DataFrame:
+    """Each representative with the three hubs of its buckets that it shares most bands with, of those whose sizes allow the threshold."""
+    near = shared.where((F.col("rep") != F.col("hub")) & _sizes_allow("n_shingles", "hub_shingles", threshold_pct))
+    counts = near.groupBy("rep", "hub").agg(F.count("*").alias("n"))
     best = F.row_number().over(Window.partitionBy("rep").orderBy(F.desc("n"), "hub"))
     return counts.withColumn("k", best).where("k <= 3").select(F.col("hub").alias("a"), F.col("rep").alias("b"))
 
 
-def _open_buckets(shared: DataFrame, label: DataFrame, reps: DataFrame) -> DataFrame:
-    """(band, rep, label, n, n_shingles) of the buckets whose members lie in several components so far."""
+def _open_buckets(shared: DataFrame, label: DataFrame) -> DataFrame:
+    """(band, rep, label, alone, n, n_shingles, wide) of the buckets whose members lie in several components so far.
+
+    alone is true for a component of one, wide for members of any such bucket of more than SMALL.
+    """
     held = shared.join(label, F.col("rep") == F.col("node"), "left").select(
-        "band", "rep", F.coalesce("component", "rep").alias("label"), "n"
+        "band", "rep", F.coalesce("component", "rep").alias("label"), F.col("component").isNull().alias("alone"), "n", "n_shingles"
     )
     several = held.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    sizes = reps.select(F.col("doc_id").alias("rep"), "n_shingles")
-    return held.join(several.select("band"), "band").join(sizes, "rep")
+    most = F.max("n").over(Window.partitionBy("rep"))
+    return held.join(several.select("band"), "band").withColumn("wide", most > SMALL)
 
 
 def _small_pairs(open_: DataFrame, threshold_pct: int) -> DataFrame:
-    """All pairs across components in buckets of at most SMALL members whose sizes allow the threshold."""
+    """All pairs across components in buckets of at most SMALL members whose sizes allow the threshold, but for those of two wide members."""
     small = open_.where(F.col("n") <= SMALL)
-    two = small.select("band", F.col("rep").alias("b"), F.col("label").alias("l_b"), F.col("n_shingles").alias("n_b"))
-    sizes = 100 * F.least("n_shingles", "n_b") >= threshold_pct * F.greatest("n_shingles", "n_b")
-    pairs = small.join(two, (small["band"] == two["band"]) & (F.col("rep") < F.col("b")) & (F.col("label") != F.col("l_b")) & sizes)
+    two = small.select("band", F.col("rep").alias("b"), F.col("label").alias("l_b"), F.col("n_shingles").alias("n_b"), F.col("wide").alias("w_b"))
+    across = (F.col("rep") < F.col("b")) & (F.col("label") != F.col("l_b")) & ~(F.col("wide") & F.col("w_b"))
+    pairs = small.join(two, (small["band"] == two["band"]) & across & _sizes_allow("n_shingles", "n_b", threshold_pct))
     return pairs.select(F.col("rep").alias("a"), "b").distinct()
 
 
-def _large_pairs(open_: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
-    """Pairs of larger buckets that join their components, compared in pairs of blocks."""
+def _wide_pairs(spark: SparkSession, open_: DataFrame, sets: DataFrame, threshold_pct: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs across the components of wide members that their prefixes allow, and pairs of crowds of them that join their components."""
+    wide = open_.where("wide").groupBy(F.col("rep").alias("doc_id"), "label", "alone").agg(F.max("n_shingles").alias("size"))
+    bits = P.bits(wide.agg(F.sum("size")).first()[0] or 0)
+    moved = P.dealt(sets.join(wide.drop("size"), "doc_id"), bits)
+    prefix = store(spark, P.prefixes(P.shared(moved, bits), threshold_pct), "prefix", PACKED)
+    tokens = store(spark, P.tokens(prefix), "tokens", PACKED)  # joined as a table of its own, a token of many rows can be split
+    held = store(spark, prefix.join(tokens, "token"), "held", PACKED)
+    met = P.meetings(held, threshold_pct, BLOCK)
+    many = P.meetings(held.where(F.col("c") > 2 * SMALL), threshold_pct, BLOCK)
+    crowds = store(spark, many.groupBy("token", "c").agg(F.count("*").alias("m")).where(F.col("m") > SMALL * F.col("c")).select("token"), "crowds")
+    crowd = held.join(crowds, "token", "left_semi").select(
+        F.col("token").alias("band"), "rep", "label", F.col("c").alias("n"), F.col("n").alias("n_shingles")
+    )
+    return met.join(crowds, "token", "left_anti").select("a", "b").distinct(), _large_pairs(spark, crowd, sets, threshold_pct)
+
+
+def _large_pairs(spark: SparkSession, crowd: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
+    """Pairs of crowds (band, rep, label, n, n_shingles) that join their components, compared in pairs of blocks."""
     members = (
-        open_.where(F.col("n") > SMALL)
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-        .join(_thin_sets(sets).withColumnRenamed("doc_id", "rep"), "rep")
+        crowd.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        .join(_thin_sets(sets, IdFilter(spark, crowd, "rep")).withColumnRenamed("doc_id", "rep"), "rep")
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -381,11 +414,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int = 5, thresho
     reps = store(spark, reps.select("doc_id", "n_shingles", "sketch"), "reps", PACKED)
     shared = store(spark, _shared_bands(_bands(reps)), "bands", PACKED)
     sets = store(spark, _shingles_of(spark, docs, shared.select(F.col("rep").alias("doc_id")).distinct(), size), "sets")
-    first = store(spark, _pairs_near(reps, _first_pairs(shared), threshold), "pairs")
+    first = store(spark, _pairs_near(reps, _first_pairs(shared, threshold_pct), threshold), "pairs")
     links = store(spark, _confirm(sets, first, threshold_pct), "links")
     label = connected_components(spark, links)
-    open_ = store(spark, _open_buckets(shared, label, reps), "open", PACKED)
-    rest = _pairs_near(reps, _small_pairs(open_, threshold_pct), threshold).union(_large_pairs(open_, sets, threshold_pct))
+    open_ = store(spark, _open_buckets(shared, label), "open", PACKED)
+    some, crowds = _wide_pairs(spark, open_, sets, threshold_pct)
+    rest = _pairs_near(reps, _small_pairs(open_, threshold_pct).union(some), threshold).union(crowds)
     rest = rest.distinct().join(first, ["a", "b"], "left_anti")
     links = links.unionByName(_confirm(sets, rest, threshold_pct))
     same = member.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
